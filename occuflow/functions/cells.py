@@ -29,6 +29,16 @@ def _valid(lat: Column, lon: Column) -> Column:
     return lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
 
 
+def valid_coordinates(lat="decimallatitude", lon="decimallongitude") -> Column:
+    """Rows whose cell is not NULL, tested on the raw columns.
+
+    Filter with this *before* computing cells: a filter on the derived cell
+    would be pushed below the projection by inlining the whole cell
+    expression, while this one reaches the Parquet scan as ``IsNotNull``.
+    """
+    return _valid(_c(lat), _c(lon))
+
+
 @dataclass(frozen=True)
 class Graticule:
     """``cells_per_degree`` × ``cells_per_degree`` cells per square degree.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occuflow.functions.cells import with_cells
+from occuflow.functions.cells import valid_coordinates, with_cells
 from occuflow.operators.predicates import apply_basis
 
 BINNED_COLUMNS = ("H3", "species", "year", "record_count", "dataset_keys")
@@ -43,17 +43,16 @@ def species_cells(occ: DataFrame, indexer, species: DataFrame | None = None,
     The dedupe runs before the centroid is computed, so the centroid (a UDF
     for some indexers) is evaluated once per distinct cell.
     """
-    df = apply_basis(restrict_species(occ, species), basis)
+    df = apply_basis(restrict_species(occ, species), basis).where(valid_coordinates())
     df = with_cells(df.select("species", "decimallatitude", "decimallongitude"), indexer)
-    cells = (df.where(F.col("cell").isNotNull())
-               .select(F.col("species").alias("Species"), "cell").distinct())
+    cells = df.select(F.col("species").alias("Species"), "cell").distinct()
     lat, lon = indexer.centroid("cell")
     return cells.select(lat.alias("LAT"), lon.alias("LON"),
                         indexer.cell_string("cell").alias("H3"), "Species", "cell")
 
 
 def bin_counts(occ: DataFrame, indexer, species: DataFrame | None = None,
-               basis=None) -> DataFrame:
+               basis=None, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Record count and dataset keys per (cell, species, year) (A3).
 
     Two-stage: (cell, species, year, datasetkey) counts first, then one row
@@ -61,16 +60,16 @@ def bin_counts(occ: DataFrame, indexer, species: DataFrame | None = None,
     A NULL dataset key is kept as one list element, and a NULL year is a
     group of its own.
     """
-    df = apply_basis(restrict_species(occ, species), basis)
-    df = with_cells(df.select("species", "year", "datasetkey",
+    df = apply_basis(restrict_species(occ, species), basis).where(valid_coordinates())
+    keys = list(extra_keys)
+    df = with_cells(df.select(*keys, "species", "year", "datasetkey",
                               "decimallatitude", "decimallongitude"), indexer)
-    per_key = (df.where(F.col("cell").isNotNull())
-                 .groupBy("cell", "species", "year", "datasetkey")
+    per_key = (df.groupBy(*keys, "cell", "species", "year", "datasetkey")
                  .agg(F.count(F.lit(1)).alias("_n")))
-    grouped = (per_key.groupBy("cell", "species", "year")
+    grouped = (per_key.groupBy(*keys, "cell", "species", "year")
                       .agg(F.sum("_n").cast("long").alias("record_count"),
                            F.sort_array(F.transform(F.collect_list(F.struct("datasetkey")),
                                                     lambda s: s["datasetkey"]))
                             .alias("dataset_keys")))
     return grouped.select(indexer.cell_string("cell").alias("H3"), "species", "year",
-                          "record_count", "dataset_keys")
+                          "record_count", "dataset_keys", *keys)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
+from occuflow.session import cut_lineage
 
 
 def _check(eps_m, minpts):
@@ -98,9 +99,12 @@ def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
     """
     _check(eps_m, minpts)
     side, reach, search = _geometry(eps_m, geomodel)
-    base = points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
-                         F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    cubed = with_cubes(base, side, "_lat", "_lon")
+    # The points are read several times below; materialise them once so a
+    # lost executor re-reads the checkpoint rather than the whole lineage.
+    pts = cut_lineage(with_cubes(points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid))
+                                       .withColumn("_lat", F.col(lat)).withColumn("_lon", F.col(lon)),
+                                 side, "_lat", "_lon"))
+    cubed = pts.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z", "_cx", "_cy", "_cz")
     cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.count(F.lit(1)).alias("_cn"))
     flagged = cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"])
     dense = flagged.where(F.col("_cn") >= minpts)
@@ -134,11 +138,10 @@ def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
     rescued = ss.join(core_ids, ["_k", "_sid"], "left_semi").select("_k", "_id").distinct()
     noise = (sp_state.where(~F.col("_core") & (F.col("_nd") == 0))
                      .join(rescued, ["_k", "_id"], "left_anti")
-                     .select(F.col("_k").alias("_nk"), F.col("_id").alias("_nid"))
                      .withColumn("_noise", F.lit(1.0)))
-    out = points.join(noise, (points[key] == noise["_nk"]) & (points[pid] == noise["_nid"]), "left")
+    out = pts.join(noise, ["_k", "_id"], "left")
     return (out.withColumn("OutlierScore", F.coalesce("_noise", F.lit(0.0)))
-               .drop("_nk", "_nid", "_noise"))
+               .select(*points.columns, "OutlierScore"))
 
 
 def neighbour_counts(points: DataFrame, eps_m: float, key: str = "Species", pid: str = "H3",
@@ -152,7 +155,7 @@ def neighbour_counts(points: DataFrame, eps_m: float, key: str = "Species", pid:
     side, reach, search = _geometry(eps_m, geomodel)
     base = points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
                          F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    cubed = with_cubes(base, side, "_lat", "_lon")
+    cubed = cut_lineage(with_cubes(base, side, "_lat", "_lon"))
     cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.count(F.lit(1)).alias("_cn"))
     probe = neighbour_cubes(cubed, side, reach, search).where(
         ~((F.col("_ncx") == F.col("_cx")) & (F.col("_ncy") == F.col("_cy"))

@@ -18,26 +18,43 @@ SCORE_COLUMNS = ("H3Index", "Species", "OutlierScore")
 REMOVAL_THRESHOLD = 0.5
 
 
+def flagged_cells(scores: DataFrame) -> DataFrame:
+    """(species, cell string) pairs whose score removes them: NOT (score < 0.5).
+
+    The score is compared as a 4-byte float, as the reference reads it; a
+    NaN score removes the cell, a NULL score does not.
+    """
+    s = F.col("OutlierScore").cast("float")
+    return (scores.where(s.isNotNull() & ~(s < F.lit(REMOVAL_THRESHOLD)))
+                  .select(F.col("Species").alias("species"), F.col("H3Index").alias("h3_index"))
+                  .distinct())
+
+
+def drop_flagged(records: DataFrame, scores: DataFrame) -> DataFrame:
+    """Anti-join of records (with ``species``, ``h3_index``) on flagged cells.
+
+    Only the flagged (species, cell) pairs travel: AQE broadcasts them when
+    their measured size is small, so the record side is not shuffled.
+    """
+    return records.join(flagged_cells(scores), ["species", "h3_index"], "left_anti")
+
+
 def remove_outliers(occ: DataFrame, scores: DataFrame, indexer, species: DataFrame | None = None,
                     basis=None) -> DataFrame:
     """All raw columns of the kept records plus ``h3_index`` (cell string).
 
-    The join is on (species, cell): a cell flagged for one species must not
-    remove another species' records.  Records without coordinates have no
-    cell, find no score and are kept, as in the reference.  The score side
-    has one row per (species, cell); a hot cell on the record side is split
-    by AQE's skew-join handling.
+    Keeps ``score < 0.5 OR score IS NULL`` of a left join on (species, cell):
+    a cell flagged for one species must not remove another species' records.
+    Records without coordinates have no cell, match no score and are kept, as
+    in the reference.
     """
     if species is None:
         species = scores.select(F.col("Species").alias("species")).distinct()
     df = apply_basis(restrict_species(occ, species), basis)
     cols = df.columns
-    df = with_cells(df, indexer, out="_cell").withColumn("h3_index", indexer.cell_string("_cell"))
-    sc = scores.select(F.col("Species").alias("_sp"), F.col("H3Index").alias("_h3"),
-                       F.col("OutlierScore").cast("float").alias("_score"))
-    joined = df.join(sc, (df["species"] == sc["_sp"]) & (df["h3_index"] == sc["_h3"]), "left")
-    kept = joined.where((F.col("_score") < F.lit(REMOVAL_THRESHOLD)) | F.col("_score").isNull())
-    return kept.select(*cols, "h3_index")
+    df = (with_cells(df, indexer, out="_cell")
+          .withColumn("h3_index", indexer.cell_string("_cell")).drop("_cell"))
+    return drop_flagged(df, scores).select(*cols, "h3_index")
 
 
 SUMMARY_VARIABLES = (

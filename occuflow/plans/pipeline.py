@@ -12,14 +12,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occuflow.functions.cells import Graticule
+from occuflow.functions.cells import Graticule, with_cells
 from occuflow.operators.binning import bin_counts, species_cells
 from occuflow.operators.counts import species_counts
 from occuflow.operators.density import dbscan_noise
-from occuflow.operators.outliers import outlier_summary, remove_outliers
+from occuflow.operators.outliers import drop_flagged, outlier_summary, remove_outliers
 from occuflow.operators.pool import pool_species, species_list
-from occuflow.operators.predicates import DEFAULT_BASIS, parse_basis
+from occuflow.operators.predicates import DEFAULT_BASIS, apply_basis, parse_basis
 from occuflow.operators.trees import split_species, tree_stats
+from occuflow.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -67,16 +68,21 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
     out["tree_stats"] = tree_stats(counts, tips)
     split = split_species(counts, tips, params.occurrence_threshold)
     out["split"] = split
-    pooled = pool_species(split, extinct)
+    # The pooled list is small and feeds three later steps; cut it once so
+    # the counting scan is not repeated for each of them.
+    pooled = cut_lineage(pool_species(split, extinct))
     out["pooled"] = pooled
     large = species_list(pooled, "Large")
-    small = species_list(pooled, "Small")
     if params.overlap == "large":
-        small = small.join(large, "species", "left_anti")
+        pooled = pooled.join(large.withColumn("_l", F.lit(1)), "species", "left")
+        pooled = pooled.where((F.col("occ_group") == "Large") | F.col("_l").isNull()).drop("_l")
 
-    binned_small = bin_counts(occ, params.final_cells, small, params.basis)
+    # One scan for the final bins: each record is tagged with its list(s)
+    # (a name in both lists is binned twice, as the reference does).
+    tagged = (apply_basis(occ, params.basis)
+              .join(pooled.select("species", "occ_group"), "species", "inner"))
     if params.nodbscan:
-        binned_large = bin_counts(occ, params.final_cells, large, params.basis)
+        kept = tagged
     else:
         cells = species_cells(occ, params.outlier_cells, large, params.basis)
         scored = dbscan_noise(cells, params.dbscan_eps_m, params.dbscan_minpts,
@@ -85,8 +91,14 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
         out["cells"] = cells
         out["scores"] = scores
         out["outlier_summary"] = outlier_summary(scores, params.summary_threshold)
-        cleaned = remove_outliers(occ, scores, params.outlier_cells, large, params.basis)
-        out["cleaned"] = cleaned
-        binned_large = bin_counts(cleaned, params.final_cells, large, params.basis)
-    out["binned"] = binned_small.unionByName(binned_large)
+        out["cleaned"] = remove_outliers(occ, scores, params.outlier_cells, large, params.basis)
+        with_cell = (with_cells(tagged, params.outlier_cells, out="_ocell")
+                     .withColumn("h3_index", params.outlier_cells.cell_string("_ocell")))
+        # Small-list records never match a flagged (species, cell): only
+        # Large-list copies are checked.
+        is_large = F.col("occ_group") == "Large"
+        checked = drop_flagged(with_cell.where(is_large), scores)
+        kept = checked.unionByName(with_cell.where(~is_large)).drop("_ocell", "h3_index")
+    binned = bin_counts(kept, params.final_cells, None, None, extra_keys=("occ_group",))
+    out["binned"] = binned.drop("occ_group")
     return out
