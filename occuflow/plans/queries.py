@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.functions.cells import Graticule
-from occuflow.operators import binning, counts, density, outliers, pool, predicates, trees
+from occuflow.operators import binning, counts, density, knn, outliers, pool, predicates, trees
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
 from occuflow.sources.fixtures import load_fixture, with_ctes
@@ -283,6 +283,69 @@ FROM cells GROUP BY Species""", _CELLS_SQL, "occurrences"))(
     lambda spark, d: outliers.bounding_box(_cells(_fx(spark, d))))
 
 
+# ---------------------------------------------------------------- kNN family
+
+K = 5
+
+
+def _knn_ctes() -> list[str]:
+    d = S.haversine_sql("a", "b")
+    return _CELLS_SQL + [
+        f"""pairs AS (SELECT a.Species, a.H3, b.H3 AS nid, CAST(floor({d} * 1000.0 + 0.5) AS BIGINT) AS dmm
+  FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)""",
+        """ranked AS (SELECT *, row_number() OVER (PARTITION BY Species, H3 ORDER BY dmm, nid) AS rnk FROM pairs)""",
+        f"""kd AS (SELECT Species, H3, dmm AS kdmm FROM ranked WHERE rnk = {K})""",
+        """nb AS (SELECT r.Species, r.H3, r.nid, r.dmm / 1000.0 AS dist_m, r.rnk FROM ranked r
+  LEFT JOIN kd ON r.Species = kd.Species AND r.H3 = kd.H3 WHERE kd.kdmm IS NULL OR r.dmm <= kd.kdmm)""",
+        f"""kst AS (SELECT Species, H3, MAX(dist_m) FILTER (WHERE rnk <= {K}) AS kdist,
+  SUM(dist_m) FILTER (WHERE rnk <= {K}) AS ksum, COUNT(*) AS nk, SUM(dist_m) AS nsum FROM nb GROUP BY Species, H3)""",
+    ]
+
+
+def _knn_query(name: str, fn, score_sql: str, extra_ctes: list[str] = ()):
+    sql = _q(f"""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND({score_sql}, 6) AS OutlierScore
+FROM cells c LEFT JOIN sc ON c.Species = sc.Species AND c.H3 = sc.H3""",
+             _knn_ctes() + list(extra_ctes), "occurrences")
+
+    def build(spark, d):
+        return _round6(fn(_cells(_fx(spark, d)).drop("cell"), K), "OutlierScore")
+
+    QUERIES[name] = (build, sql)
+
+
+_knn_query("knn_distance", knn.knn_outlier, "sc.v", ["sc AS (SELECT Species, H3, kdist AS v FROM kst)"])
+_knn_query("knn_weight", knn.knn_weight, "sc.v", ["sc AS (SELECT Species, H3, ksum AS v FROM kst)"])
+_knn_query("local_isolation", knn.local_isolation, "sc.v",
+           [f"sc AS (SELECT Species, H3, kdist + ksum / {float(K)!r} AS v FROM kst)"])
+_knn_query("odin", knn.odin, f"COALESCE(sc.v, 0) / {float(K)!r}",
+           ["sc AS (SELECT Species, nid AS H3, COUNT(*) AS v FROM nb GROUP BY Species, nid)"])
+_knn_query("lof", knn.lof, "sc.v", [
+    """reach AS (SELECT n.Species, n.H3, greatest(o.kdist, n.dist_m) AS r FROM nb n
+  JOIN kst o ON o.Species = n.Species AND o.H3 = n.nid)""",
+    """lrd AS (SELECT Species, H3, COUNT(*) / SUM(r) AS lrd FROM reach GROUP BY Species, H3)""",
+    """sc AS (SELECT n.Species, n.H3, AVG(o.lrd) / MAX(p.lrd) AS v FROM nb n
+  JOIN lrd o ON o.Species = n.Species AND o.H3 = n.nid JOIN lrd p ON p.Species = n.Species AND p.H3 = n.H3
+  GROUP BY n.Species, n.H3)"""])
+_knn_query("simplified_lof", lambda p, k: knn.lof(p, k, simplified=True), "sc.v", [
+    """dens AS (SELECT Species, H3, nk / nsum AS lrd FROM kst)""",
+    """sc AS (SELECT n.Species, n.H3, AVG(o.lrd) / MAX(p.lrd) AS v FROM nb n
+  JOIN dens o ON o.Species = n.Species AND o.H3 = n.nid JOIN dens p ON p.Species = n.Species AND p.H3 = n.H3
+  GROUP BY n.Species, n.H3)"""])
+_knn_query("ldof", knn.ldof, "sc.v", [
+    f"""kn AS (SELECT n.Species, n.H3, n.nid, n.dist_m, c.LAT, c.LON FROM nb n
+  JOIN cells c ON c.Species = n.Species AND c.H3 = n.nid WHERE n.rnk <= {K})""",
+    f"""inner_d AS (SELECT a.Species, a.H3, AVG(floor({S.haversine_sql('a', 'b')} * 1000.0 + 0.5) / 1000.0) AS d
+  FROM kn a JOIN kn b ON a.Species = b.Species AND a.H3 = b.H3 AND a.nid <> b.nid GROUP BY a.Species, a.H3)""",
+    """sc AS (SELECT o.Species, o.H3, o.d / i.d AS v FROM
+  (SELECT Species, H3, AVG(dist_m) AS d FROM kn GROUP BY Species, H3) o
+  LEFT JOIN inner_d i ON o.Species = i.Species AND o.H3 = i.H3)"""])
+
+QUERIES["trivial_average"] = (
+    lambda spark, d: _round6(knn.trivial_average(_cells(_fx(spark, d)).drop("cell")), "OutlierScore"),
+    _q("SELECT LAT, LON, H3, Species, ROUND((LAT + LON) / 2.0, 6) AS OutlierScore FROM cells",
+       _CELLS_SQL, "occurrences"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in QUERIES.items()}
 
