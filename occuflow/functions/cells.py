@@ -5,8 +5,8 @@ whole-stage codegen) and expressible in plain SQL, so it is the indexer the
 oracle checks use.
 
 ``h3``: the H3 library's ids when the ``h3`` package is importable on the
-executors.  Encoding runs as an Arrow pandas UDF; callers apply it to
-*distinct* coordinates only and join the ids back.
+executors.  Encoding runs as an Arrow pandas UDF over record batches;
+decoding (centroids) runs on distinct cells only.
 
 All indexers map NULL (or NaN) coordinates to a NULL cell.
 """
@@ -155,15 +155,9 @@ def with_cells(df, indexer, lat: str = "decimallatitude", lon: str = "decimallon
                out: str = "cell"):
     """Add ``out`` (cell id) to ``df``.
 
-    Pure-Column indexers are applied row-wise inside codegen.  UDF-backed
-    indexers are evaluated once per *distinct* coordinate pair and joined
-    back, so the Python cost scales with distinct locations, not records.
+    Graticule cells are Column expressions inside codegen.  UDF-backed
+    indexers run per record inside Arrow batches: joining ids back from the
+    distinct coordinates would shuffle every record, which costs more than
+    the encoding at scale.  Centroids are only computed after a dedupe.
     """
-    if isinstance(indexer, Graticule):
-        return df.withColumn(out, indexer.cell_id(lat, lon))
-    coords = (df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-                .where(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
-                .distinct())
-    coords = coords.withColumn(out, indexer.cell_id("_lat", "_lon"))
-    joined = df.join(coords, (df[lat] == coords["_lat"]) & (df[lon] == coords["_lon"]), "left")
-    return joined.drop("_lat", "_lon")
+    return df.withColumn(out, indexer.cell_id(lat, lon))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from occuflow.functions.cells import valid_coordinates, with_cells
 from occuflow.operators.predicates import apply_basis
+from occuflow.session import broadcast_if_small
 
 BINNED_COLUMNS = ("H3", "species", "year", "record_count", "dataset_keys")
 CELL_COLUMNS = ("LAT", "LON", "H3", "Species")
@@ -27,13 +28,14 @@ def restrict_species(occ: DataFrame, species: DataFrame | None) -> DataFrame:
     """Records whose species is in ``species`` (semi-join, J2/F3/F4).
 
     Without a list every non-NULL species is kept, which is what deriving the
-    list from the same input amounts to.  The list side is small; AQE turns
-    the join into a broadcast once the list's measured size allows it.
+    list from the same input amounts to.  The list is bounded by the number
+    of species; it is broadcast after its row count is checked, so the
+    record side is not shuffled.
     """
     if species is None:
         return occ.where(F.col("species").isNotNull())
     names = species.select("species").where(F.col("species").isNotNull()).distinct()
-    return occ.join(names, "species", "left_semi")
+    return occ.join(broadcast_if_small(names), "species", "left_semi")
 
 
 def species_cells(occ: DataFrame, indexer, species: DataFrame | None = None,

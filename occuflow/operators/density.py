@@ -87,46 +87,52 @@ def _geometry(eps_m: float, geomodel: str):
     return side, reach, search
 
 
-def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
-                 key: str = "Species", pid: str = "H3", lat: str = "LAT", lon: str = "LON",
-                 geomodel: str = "sphere") -> DataFrame:
-    """DBSCAN outlier score (D1): 1.0 for noise, 0.0 otherwise.
+def _cubed_points(points: DataFrame, side: float, key: str, pid: str, lat: str, lon: str,
+                  weight: str | None) -> DataFrame:
+    # The points are read several times by the plans below; materialise them
+    # once so a lost executor re-reads the checkpoint, not the whole lineage.
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    return cut_lineage(with_cubes(points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid))
+                                        .withColumn("_lat", F.col(lat)).withColumn("_lon", F.col(lon))
+                                        .withColumn("_w", w),
+                                  side, "_lat", "_lon"))
+
+
+def _partners(probe: DataFrame, target: DataFrame, tag: str, eps_m: float, geomodel: str,
+              how: str = "inner") -> DataFrame:
+    """Probe rows (with ``_ncx/_ncy/_ncz``) joined to target points of that cube
+    within eps; returns ``_k, _id, _<tag>id, _<tag>w`` (or probe rows for semi)."""
+    t = target.select(F.col("_k").alias("_tk"), F.col("_id").alias(f"_{tag}id"),
+                      F.col("_w").alias(f"_{tag}w"),
+                      F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"),
+                      F.col("_cx").alias("_tcx"), F.col("_cy").alias("_tcy"),
+                      F.col("_cz").alias("_tcz"))
+    cond = ((probe["_k"] == t["_tk"]) & (probe["_ncx"] == t["_tcx"])
+            & (probe["_ncy"] == t["_tcy"]) & (probe["_ncz"] == t["_tcz"])
+            & within_eps(probe["_lat"], probe["_lon"], t["_tlat"], t["_tlon"], eps_m, geomodel))
+    if how == "left_semi":
+        return probe.join(t, cond, "left_semi")
+    return probe.join(t, cond).select("_k", "_id", f"_{tag}id", f"_{tag}w")
 
-    Noise = not core (fewer than ``minpts`` points within ``eps``, counting
-    itself) and no core point within ``eps``.  No cluster labels are needed.
-    Returns ``points`` with an ``OutlierScore`` column; (key, pid) must be
-    unique.
+
+def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: float,
+                minpts: int, geomodel: str):
+    """Per point: cube weight, core flag; plus sparse-sparse neighbour pairs.
+
+    Dense cubes (total weight >= minpts) are all core with no pair formed;
+    sparse points count their neighbours' weights through the cube join.
     """
-    _check(eps_m, minpts)
-    side, reach, search = _geometry(eps_m, geomodel)
-    # The points are read several times below; materialise them once so a
-    # lost executor re-reads the checkpoint rather than the whole lineage.
-    pts = cut_lineage(with_cubes(points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid))
-                                       .withColumn("_lat", F.col(lat)).withColumn("_lon", F.col(lon)),
-                                 side, "_lat", "_lon"))
-    cubed = pts.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z", "_cx", "_cy", "_cz")
-    cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.count(F.lit(1)).alias("_cn"))
+    cubed = pts.select("_k", "_id", "_w", "_lat", "_lon", "_x", "_y", "_z", "_cx", "_cy", "_cz")
+    cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.sum("_w").alias("_cn"))
     flagged = cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"])
     dense = flagged.where(F.col("_cn") >= minpts)
     sparse = flagged.where(F.col("_cn") < minpts)
-
     probe = neighbour_cubes(sparse, side, reach, search).select(
         "_k", "_id", "_lat", "_lon", "_ncx", "_ncy", "_ncz")
-
-    def partners(target: DataFrame, tag: str) -> DataFrame:
-        t = target.select(F.col("_k").alias("_tk"), F.col("_id").alias(f"_{tag}id"),
-                          F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"),
-                          F.col("_cx").alias("_tcx"), F.col("_cy").alias("_tcy"),
-                          F.col("_cz").alias("_tcz"))
-        cond = ((probe["_k"] == t["_tk"]) & (probe["_ncx"] == t["_tcx"])
-                & (probe["_ncy"] == t["_tcy"]) & (probe["_ncz"] == t["_tcz"]))
-        return (probe.join(t, cond)
-                     .where(within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
-                     .select("_k", "_id", f"_{tag}id"))
-
-    n_dense = partners(dense, "d").groupBy("_k", "_id").agg(F.count(F.lit(1)).alias("_nd"))
-    ss = partners(sparse, "s")
-    n_sparse = ss.groupBy("_k", "_id").agg(F.count(F.lit(1)).alias("_ns"))
+    n_dense = (_partners(probe, dense, "d", eps_m, geomodel)
+               .groupBy("_k", "_id").agg(F.sum("_dw").alias("_nd")))
+    ss = _partners(probe, sparse, "s", eps_m, geomodel)
+    n_sparse = ss.groupBy("_k", "_id").agg(F.sum("_sw").alias("_ns"))
     sp_state = (sparse.select("_k", "_id")
                       .join(n_sparse, ["_k", "_id"], "left")
                       .join(n_dense, ["_k", "_id"], "left")
@@ -134,6 +140,25 @@ def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
                               F.coalesce("_nd", F.lit(0)).alias("_nd"),
                               ((F.coalesce("_ns", F.lit(0)) + F.coalesce("_nd", F.lit(0)))
                                >= minpts).alias("_core")))
+    return flagged, dense, sparse, ss, sp_state
+
+
+def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
+                 key: str = "Species", pid: str = "H3", lat: str = "LAT", lon: str = "LON",
+                 geomodel: str = "sphere", weight: str | None = None) -> DataFrame:
+    """DBSCAN outlier score (D1): 1.0 for noise, 0.0 otherwise.
+
+    Noise = not core (fewer than ``minpts`` points within ``eps``, counting
+    itself) and no core point within ``eps``.  No cluster labels are needed.
+    ``weight`` (optional) is a multiplicity column, so duplicate records can
+    be collapsed to one point first.  Returns ``points`` with an
+    ``OutlierScore`` column; (key, pid) must be unique.
+    """
+    _check(eps_m, minpts)
+    side, reach, search = _geometry(eps_m, geomodel)
+    pts = _cubed_points(points, side, key, pid, lat, lon, weight)
+    flagged, dense, sparse, ss, sp_state = _core_state(pts, side, reach, search, eps_m,
+                                                       minpts, geomodel)
     core_ids = sp_state.where("_core").select("_k", F.col("_id").alias("_sid"))
     rescued = ss.join(core_ids, ["_k", "_sid"], "left_semi").select("_k", "_id").distinct()
     noise = (sp_state.where(~F.col("_core") & (F.col("_nd") == 0))
@@ -191,3 +216,133 @@ def db_outlier_score(points: DataFrame, d_m: float, key: str = "Species", pid: s
                                 .otherwise(F.lit(0.0)))
                    .drop("_gn", "n_neighbours"))
 
+
+
+def _cube_node() -> F.Column:
+    return F.concat_ws(":", F.col("_cx").cast("string"), F.col("_cy").cast("string"),
+                       F.col("_cz").cast("string"))
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """Min-label components of an undirected graph ``(_k, src, dst)``.
+
+    Returns ``(_k, node, label)`` with ``label`` the smallest node of the
+    component.  Each round takes the minimum over neighbours, then jumps to
+    the label's label (pointer jumping), and is checkpointed; the loop stops
+    when no label changes (one count per round reaches the driver).
+    """
+    both = edges.unionByName(edges.select("_k", F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = cut_lineage(both.distinct())
+    labels = cut_lineage(both.select("_k", F.col("src").alias("node"))
+                             .distinct().withColumn("label", F.col("node")))
+    for _ in range(max_rounds):
+        nb = (both.join(labels.select("_k", F.col("node").alias("dst"), F.col("label").alias("_nl")),
+                        ["_k", "dst"])
+                  .groupBy("_k", F.col("src").alias("node")).agg(F.min("_nl").alias("_m")))
+        step = (labels.join(nb, ["_k", "node"], "left")
+                      .select("_k", "node", F.least("label", F.coalesce("_m", "label")).alias("label")))
+        jump = (step.join(step.select("_k", F.col("node").alias("label"),
+                                      F.col("label").alias("_ll")), ["_k", "label"], "left")
+                    .select("_k", "node", F.least("label", F.coalesce("_ll", "label")).alias("label")))
+        jump = cut_lineage(jump)
+        changed = (jump.join(labels.select("_k", "node", F.col("label").alias("_old")), ["_k", "node"])
+                       .where(F.col("label") != F.col("_old")).count())
+        labels = jump
+        if changed == 0:
+            return labels
+    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+
+
+def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Species",
+                  pid: str = "H3", lat: str = "LAT", lon: str = "LON",
+                  geomodel: str = "sphere", weight: str | None = None) -> DataFrame:
+    """DBSCAN cluster labels (D2): ``cluster`` (-1 = noise), ``cluster_rep``, ``is_core``.
+
+    All points of one cube are within eps of each other, so every cube with
+    a core point is one graph node; two nodes are joined when some core pair
+    across them is within eps (a semi-join: existence, no pair list).  The
+    components of that cube graph are the clusters.  ``cluster_rep`` is the
+    smallest core point id of the cluster (NULL for noise); a border point
+    takes the smallest one among its core neighbours' clusters.  ``cluster``
+    is a non-negative number derived from it (-1 for noise).
+    """
+    _check(eps_m, minpts)
+    side, reach, search = _geometry(eps_m, geomodel)
+    pts = _cubed_points(points, side, key, pid, lat, lon, weight)
+    flagged, dense, sparse, ss, sp_state = _core_state(pts, side, reach, search, eps_m,
+                                                       minpts, geomodel)
+    core = cut_lineage(
+        flagged.join(sp_state.select("_k", "_id", "_core"), ["_k", "_id"], "left")
+               .withColumn("_core", F.coalesce("_core", F.col("_cn") >= minpts))
+               .where("_core").withColumn("_node", _cube_node()))
+    # Cube-graph edges: a core point probes neighbouring cubes for a core point
+    # within eps; existence is enough, so this is a semi-join.
+    probe = (neighbour_cubes(core, side, reach, search)
+             .where(~((F.col("_ncx") == F.col("_cx")) & (F.col("_ncy") == F.col("_cy"))
+                      & (F.col("_ncz") == F.col("_cz"))))
+             .select("_k", "_id", "_node", "_lat", "_lon", "_ncx", "_ncy", "_ncz"))
+    hit = _partners(probe, core, "c", eps_m, geomodel, how="left_semi")
+    edges = hit.select("_k", F.col("_node").alias("src"),
+                       F.concat_ws(":", F.col("_ncx").cast("string"), F.col("_ncy").cast("string"),
+                                   F.col("_ncz").cast("string")).alias("dst")).distinct()
+    nodes = core.select("_k", F.col("_node").alias("src"), F.col("_node").alias("dst")).distinct()
+    comp = connected_components(edges.unionByName(nodes))
+    core_lab = (core.join(comp.withColumnRenamed("node", "_node"), ["_k", "_node"])
+                    .select("_k", "_id", "label"))
+    # Canonical cluster id: the smallest core point id of the component.
+    rep = core_lab.groupBy("_k", "label").agg(F.min("_id").alias("_rep"))
+    core_lab = (core_lab.join(rep, ["_k", "label"])
+                        .select("_k", "_id", F.col("_rep").alias("label")))
+    # Border points: non-core points with a core neighbour (fewer than minpts
+    # neighbours in total, so few pairs).
+    noncore = pts.join(core.select("_k", "_id"), ["_k", "_id"], "left_anti")
+    bprobe = neighbour_cubes(noncore, side, reach, search).select(
+        "_k", "_id", "_lat", "_lon", "_ncx", "_ncy", "_ncz")
+    bpairs = _partners(bprobe, core, "c", eps_m, geomodel)
+    border = (bpairs.join(core_lab.select("_k", F.col("_id").alias("_cid"), "label"), ["_k", "_cid"])
+                    .groupBy("_k", "_id").agg(F.min("label").alias("label")))
+    lab = core_lab.withColumn("is_core", F.lit(True)).unionByName(
+        border.withColumn("is_core", F.lit(False)))
+    cluster = F.xxhash64(F.col("_k").cast("string"), F.col("label")).bitwiseAND(
+        F.lit(0x7FFFFFFFFFFFFFFF))
+    out = pts.join(lab, ["_k", "_id"], "left")
+    return (out.withColumn("cluster", F.when(F.col("label").isNull(), F.lit(-1)).otherwise(cluster))
+               .withColumn("cluster_rep", F.col("label"))
+               .withColumn("is_core", F.coalesce("is_core", F.lit(False)))
+               .select(*points.columns, "cluster", "cluster_rep", "is_core"))
+
+
+def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
+                         method: str = "DBSCAN", lat_col: str = "decimallatitude",
+                         lon_col: str = "decimallongitude", by: str | None = None):
+    """Cluster raw records and drop noise (D3): returns (retained, outliers).
+
+    Records are collapsed to distinct coordinates with a multiplicity weight
+    (DBSCAN on records counts duplicates), scored, and the noise flag joined
+    back.  Distances are haversine on R = 6371.0088 km; ``by`` clusters each
+    group separately (the reference runs on one file, i.e. ``by=None``).
+    Records without coordinates cannot be clustered and are returned as
+    outliers.  Only DBSCAN is available: HDBSCAN and OPTICS label
+    extraction are not built (README).
+    """
+    if method != "DBSCAN":
+        raise NotImplementedError(f"{method} labels are not built; use DBSCAN")
+    if eps_km is None:
+        raise ValueError(f"epsilon_km must be provided for {method}")
+    grp = F.col(by).cast("string") if by else F.lit("")
+    valid = F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
+    pts = (df.where(valid).groupBy(grp.alias("_g"), F.col(lat_col).alias("_la"),
+                                   F.col(lon_col).alias("_lo"))
+             .agg(F.count(F.lit(1)).alias("_w"))
+             .withColumn("_pid", F.concat_ws("|", F.col("_la").cast("string"),
+                                             F.col("_lo").cast("string"))))
+    scored = dbscan_noise(pts, eps_km * 1000.0, min_samples, key="_g", pid="_pid", lat="_la",
+                          lon="_lo", weight="_w")
+    noise = scored.where(F.col("OutlierScore") == 1.0).select("_g", "_la", "_lo")
+    tagged = df.withColumn("_g", grp)
+    cond = ((tagged["_g"] == noise["_g"]) & (tagged[lat_col] == noise["_la"])
+            & (tagged[lon_col] == noise["_lo"]))
+    retained = tagged.join(noise, cond, "left_anti").where(valid).drop("_g")
+    out_noise = tagged.join(noise, cond, "left_semi").drop("_g")
+    outliers = out_noise.unionByName(df.where(~valid))
+    return retained, outliers

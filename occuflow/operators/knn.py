@@ -232,3 +232,43 @@ def ldof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON
 def trivial_average(points: DataFrame, lat: str = "LAT", lon: str = "LON") -> DataFrame:
     """TrivialAverageCoordinate (D28): the mean of the two coordinates."""
     return points.withColumn("OutlierScore", (F.col(lat) + F.col(lon)) / F.lit(2.0))
+
+
+def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pid="H3",
+                  lat="LAT", lon="LON") -> DataFrame:
+    """Multi-eps DBSCAN sweep (D6, re-aimed from OPTICS) from one kNN join.
+
+    ``core_dist`` = distance to the (minpts - 1)-th neighbour (the point
+    counts itself); ``reach_dist`` = the smallest eps at which the point is
+    not noise: min(core_dist(p), min over q in N(p) of max(d(p, q),
+    core_dist(q))).  Only q closer than core_dist(p) can lower it, and those
+    are p's kNN.  For each eps in ``eps_list`` a column ``noise_<eps>``
+    (1.0/0.0) is added.  Distances are in whole millimetres.
+    """
+    if minpts is None or int(minpts) != minpts or minpts < 1:
+        raise ValueError("minpts must be a positive integer")
+    if minpts == 1:
+        out = points.withColumn("core_dist", F.lit(0.0)).withColumn("reach_dist", F.lit(0.0))
+    else:
+        k = minpts - 1
+        nb = cut_lineage(knn(points, k, key, pid, lat, lon))
+        # A group with fewer than minpts points has no core point.
+        core = (nb.groupBy(key, pid)
+                  .agg(F.max(F.when(F.col("rank") <= k, F.col("dist_m"))).alias("_kd"),
+                       F.count_if(F.col("rank") <= k).alias("_kc"))
+                  .select(key, pid, F.when(F.col("_kc") >= k, F.col("_kd")).alias("core_dist")))
+        qc = core.select(key, F.col(pid).alias("nid"), F.col("core_dist").alias("_qcore"))
+        via = (nb.join(qc.where(F.col("_qcore").isNotNull()), [key, "nid"])
+                 .groupBy(key, pid).agg(F.min(F.greatest("dist_m", "_qcore")).alias("_via")))
+        sc = (core.join(via, [key, pid], "left")
+                  .select(key, pid, "core_dist",
+                          F.least(F.coalesce("core_dist", F.lit(float("inf"))),
+                                  F.coalesce("_via", F.lit(float("inf")))).alias("reach_dist")))
+        out = _attach(points, sc, key, pid).withColumn(
+            "core_dist", F.coalesce("core_dist", F.lit(float("inf")))).withColumn(
+            "reach_dist", F.coalesce("reach_dist", F.lit(float("inf"))))
+    for eps in eps_list:
+        name = f"noise_{int(eps) if float(eps).is_integer() else eps}"
+        out = out.withColumn(name, F.when(F.col("reach_dist") > F.lit(float(eps)), F.lit(1.0))
+                                    .otherwise(F.lit(0.0)))
+    return out

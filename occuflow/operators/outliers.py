@@ -11,6 +11,7 @@ from occuflow.functions.cells import with_cells
 from occuflow.functions.text import percent, round_half_away
 from occuflow.operators.binning import restrict_species
 from occuflow.operators.predicates import apply_basis
+from occuflow.session import broadcast_if_small
 
 SCORE_COLUMNS = ("H3Index", "Species", "OutlierScore")
 # Fixed value: cells scoring at or above this are removed (the reference's
@@ -30,13 +31,17 @@ def flagged_cells(scores: DataFrame) -> DataFrame:
                   .distinct())
 
 
-def drop_flagged(records: DataFrame, scores: DataFrame) -> DataFrame:
+def drop_flagged(records: DataFrame, scores: DataFrame, small: bool = True) -> DataFrame:
     """Anti-join of records (with ``species``, ``h3_index``) on flagged cells.
 
-    Only the flagged (species, cell) pairs travel: AQE broadcasts them when
-    their measured size is small, so the record side is not shuffled.
+    Only the flagged (species, cell) pairs travel.  With ``small`` they are
+    materialised and broadcast when their row count is within the bound, so
+    the record side is not shuffled; otherwise AQE plans the join.
     """
-    return records.join(flagged_cells(scores), ["species", "h3_index"], "left_anti")
+    flagged = flagged_cells(scores)
+    if small:
+        flagged = broadcast_if_small(flagged)
+    return records.join(flagged, ["species", "h3_index"], "left_anti")
 
 
 def remove_outliers(occ: DataFrame, scores: DataFrame, indexer, species: DataFrame | None = None,

@@ -20,7 +20,7 @@ from occuflow.operators.outliers import drop_flagged, outlier_summary, remove_ou
 from occuflow.operators.pool import pool_species, species_list
 from occuflow.operators.predicates import DEFAULT_BASIS, apply_basis, parse_basis
 from occuflow.operators.trees import split_species, tree_stats
-from occuflow.session import cut_lineage
+from occuflow.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -68,9 +68,10 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
     out["tree_stats"] = tree_stats(counts, tips)
     split = split_species(counts, tips, params.occurrence_threshold)
     out["split"] = split
-    # The pooled list is small and feeds three later steps; cut it once so
-    # the counting scan is not repeated for each of them.
-    pooled = cut_lineage(pool_species(split, extinct))
+    # The pooled list feeds three later scans: cut it once so the counting
+    # scan is not repeated, and broadcast it when its row count allows, so
+    # the record side is never shuffled by species.
+    pooled = broadcast_if_small(pool_species(split, extinct))
     out["pooled"] = pooled
     large = species_list(pooled, "Large")
     if params.overlap == "large":
@@ -97,7 +98,7 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
         # Small-list records never match a flagged (species, cell): only
         # Large-list copies are checked.
         is_large = F.col("occ_group") == "Large"
-        checked = drop_flagged(with_cell.where(is_large), scores)
+        checked = drop_flagged(with_cell.where(is_large), scores, small=True)
         kept = checked.unionByName(with_cell.where(~is_large)).drop("_ocell", "h3_index")
     binned = bin_counts(kept, params.final_cells, None, None, extra_keys=("occ_group",))
     out["binned"] = binned.drop("occ_group")

@@ -346,6 +346,65 @@ QUERIES["trivial_average"] = (
        _CELLS_SQL, "occurrences"))
 
 
+# ---------------------------------------------------------------- clusters, sweep
+
+SWEEP_EPS = (250_000.0, 500_000.0, 1_000_000.0)
+
+
+def _clusters_sql() -> str:
+    d = S.haversine_sql("a", "b")
+    ctes = _SCORED_SQL + [
+        f"""cpairs AS (SELECT a.Species, a.H3 AS a, b.H3 AS b FROM scored_core a JOIN scored_core b
+  ON a.Species = b.Species AND a.H3 <> b.H3 AND {d} <= {EPS_M!r})""",
+        """RECURSIVE_PLACEHOLDER""",
+        """comp AS (SELECT Species, node, MIN(rep) AS rep FROM reach GROUP BY Species, node)""",
+        f"""border AS (SELECT a.Species, a.H3, MIN(c.rep) AS rep FROM cells a JOIN scored_core b
+  ON a.Species = b.Species AND {d} <= {EPS_M!r}
+  JOIN comp c ON c.Species = b.Species AND c.node = b.H3
+  WHERE NOT EXISTS (SELECT 1 FROM scored_core x WHERE x.Species = a.Species AND x.H3 = a.H3)
+  GROUP BY a.Species, a.H3)""",
+    ]
+    body = S.compose(ctes, """
+SELECT p.Species, p.H3, p.LAT, p.LON, COALESCE(c.rep, b.rep) AS cluster_rep,
+  c.rep IS NOT NULL AS is_core
+FROM cells p LEFT JOIN comp c ON c.Species = p.Species AND c.node = p.H3
+LEFT JOIN border b ON b.Species = p.Species AND b.H3 = p.H3""")
+    recursive = ("reach(Species, node, rep) AS (SELECT Species, H3, H3 FROM scored_core "
+                 "UNION SELECT r.Species, e.b, r.rep FROM reach r JOIN cpairs e "
+                 "ON r.Species = e.Species AND r.node = e.a)")
+    sql = with_ctes(body, "occurrences").replace("RECURSIVE_PLACEHOLDER", recursive)
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
+@register("dbscan_clusters", _clusters_sql())
+def _clusters(spark, d):
+    lab = density.dbscan_labels(_cells(_fx(spark, d)), EPS_M, MINPTS)
+    return lab.select("Species", "H3", "LAT", "LON", "cluster_rep", "is_core")
+
+
+def _sweep_sql() -> str:
+    d = S.haversine_sql("a", "b")
+    flags = ", ".join(f"CASE WHEN s.reach_dist > {e!r} THEN 1.0 ELSE 0.0 END AS noise_{int(e)}"
+                      for e in SWEEP_EPS)
+    ctes = _CELLS_SQL + [
+        f"""sp AS (SELECT a.Species, a.H3, b.H3 AS nid, floor({d} * 1000.0 + 0.5) / 1000.0 AS dm
+  FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)""",
+        f"""sr AS (SELECT *, row_number() OVER (PARTITION BY Species, H3 ORDER BY dm, nid) AS rnk FROM sp)""",
+        f"""core AS (SELECT Species, H3, dm AS core_dist FROM sr WHERE rnk = {MINPTS - 1})""",
+        """via AS (SELECT p.Species, p.H3, MIN(greatest(p.dm, q.core_dist)) AS v FROM sp p
+  JOIN core q ON q.Species = p.Species AND q.H3 = p.nid GROUP BY p.Species, p.H3)""",
+        """s AS (SELECT c.Species, c.H3, c.core_dist, least(c.core_dist, COALESCE(v.v, c.core_dist)) AS reach_dist
+  FROM core c LEFT JOIN via v ON v.Species = c.Species AND v.H3 = c.H3)""",
+    ]
+    return _q(f"""SELECT p.LAT, p.LON, p.H3, p.Species, s.core_dist, s.reach_dist, {flags}
+FROM cells p JOIN s ON s.Species = p.Species AND s.H3 = p.H3""", ctes, "occurrences")
+
+
+QUERIES["density_sweep"] = (
+    lambda spark, d: knn.density_sweep(_cells(_fx(spark, d)).drop("cell"), MINPTS, SWEEP_EPS),
+    _sweep_sql())
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in QUERIES.items()}
 

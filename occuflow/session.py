@@ -11,6 +11,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -73,3 +74,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Rows a broadcast side may hold.  Species lists and flagged-cell sets are
+# bounded by the number of species / cells, not by record volume; their row
+# count is checked on a materialised (checkpointed) frame before broadcasting.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Checkpoint ``df`` and mark it for broadcast only if its row count is small.
+
+    The count runs on the checkpoint (cheap).  Above the bound the frame is
+    returned unmarked and the join falls back to a shuffle join, where AQE
+    splits skewed partitions.
+    """
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= max_rows else df

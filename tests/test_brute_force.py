@@ -112,3 +112,69 @@ def test_lof_matches_brute_force(spark, points):
                         for i, nb in enumerate(nbrs)])
         for i, pid in enumerate(ids):
             assert got[(g, pid)] == pytest.approx(lrd[nbrs[i]].mean() / lrd[i], rel=1e-9)
+
+
+def brute_dbscan(d, eps, minpts, w=None):
+    n = len(d)
+    w = np.ones(n) if w is None else np.asarray(w, float)
+    within = d <= eps
+    core = (within * w[None, :]).sum(axis=1) >= minpts
+    parent = list(range(n))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+    for i in range(n):
+        if core[i]:
+            for j in np.where(within[i] & core)[0]:
+                parent[find(i)] = find(j)
+    comp = {i: find(i) for i in range(n) if core[i]}
+    return within, core, comp
+
+
+@pytest.mark.parametrize("eps,minpts", [(300_000.0, 4), (1_500_000.0, 3)])
+def test_dbscan_labels_match_brute_force(spark, points, eps, minpts):
+    rows, df = points
+    got = {(r.Species, r.H3): (r.cluster, r.is_core)
+           for r in density.dbscan_labels(df, eps, minpts).collect()}
+    for g, (ids, d) in brute(rows).items():
+        within, core, comp = brute_dbscan(d, eps, minpts)
+        # same partition of core points
+        mapping = {}
+        for i, pid in enumerate(ids):
+            lab, is_core = got[(g, pid)]
+            assert is_core == bool(core[i])
+            if core[i]:
+                assert mapping.setdefault(comp[i], lab) == lab
+        assert len(set(mapping.values())) == len(mapping)
+        # border points join a neighbouring cluster; noise is -1
+        for i, pid in enumerate(ids):
+            if core[i]:
+                continue
+            lab = got[(g, pid)][0]
+            nbr = {mapping[comp[j]] for j in np.where(within[i] & core)[0]}
+            assert (lab == -1) if not nbr else (lab in nbr)
+
+
+def test_density_sweep_agrees_with_dbscan_noise(spark, points):
+    _, df = points
+    sweep = knn.density_sweep(df, 3, [300_000.0, 1_000_000.0]).collect()
+    for eps in (300_000.0, 1_000_000.0):
+        ref = {(r.Species, r.H3): r.OutlierScore for r in density.dbscan_noise(df, eps, 3).collect()}
+        col = f"noise_{int(eps)}"
+        assert {(r.Species, r.H3): r[col] for r in sweep} == ref
+
+
+def test_remove_by_clustering_counts_duplicates(spark):
+    rows = [(float(i % 3) * 0.01, 0.0) for i in range(6)] + [(50.0, 50.0), (50.0, 50.0),
+                                                            (-40.0, 100.0), (None, None)]
+    df = spark.createDataFrame(rows, "decimallatitude double, decimallongitude double")
+    kept, out = density.remove_by_clustering(df, 100.0, 3)
+    assert kept.count() + out.count() == df.count()
+    # the duplicated pair has weight 2 < 3 and no core neighbour: noise
+    assert sorted((r[0], r[1]) for r in out.collect() if r[0] is not None) == [
+        (-40.0, 100.0), (50.0, 50.0), (50.0, 50.0)]
+    kept, out = density.remove_by_clustering(df, 100.0, 2)
+    assert sorted(r[0] for r in out.collect() if r[0] is not None) == [-40.0]
