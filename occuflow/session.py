@@ -1,14 +1,15 @@
 """Session construction and lineage cuts.
 
 All operators take and return DataFrames; this module only builds a
-session for scripts/tests and provides :func:`cut_lineage`, which writes a
-reliable checkpoint under the cluster-provided ``spark.checkpoint.dir``.
+session for scripts/tests and provides :func:`cut_lineage`, which writes an
+intermediate table under the cluster-provided ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,13 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint and return the re-read frame.
+    """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
-    Used between the stages of iterative or multi-reuse plans so that a lost
-    executor re-reads the checkpoint instead of recomputing the whole lineage.
+    Used between the stages of iterative or multi-reuse plans: a lost
+    executor re-reads the table instead of recomputing the whole lineage.
+    One job writes it (``DataFrame.checkpoint`` on an unpersisted frame
+    computes it twice), and the re-read carries file statistics that AQE
+    uses for its join choices.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/occuflow-stage-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 # Rows a broadcast side may hold.  Species lists and flagged-cell sets are
