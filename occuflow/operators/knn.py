@@ -33,8 +33,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, ecef, haversine_m
 from occuflow.session import cut_lineage
@@ -272,3 +275,142 @@ def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pi
         out = out.withColumn(name, F.when(F.col("reach_dist") > F.lit(float(eps)), F.lit(1.0))
                                     .otherwise(F.lit(0.0)))
     return out
+
+
+def _knn_rows(points, k, key, pid, lat, lon):
+    """Cut neighbour rows limited to the k nearest (rank <= k)."""
+    return cut_lineage(knn(points, k, key, pid, lat, lon))
+
+
+def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """KNNDD (D11): k-distance over the mean k-distance of the k nearest."""
+    nb = _knn_rows(points, k, key, pid, lat, lon)
+    kd = _kstats(nb, k, key, pid).select(key, pid, "kdist")
+    nkd = kd.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_nkd"))
+    m = (nb.where(F.col("rank") <= k).join(nkd, [key, "nid"])
+           .groupBy(key, pid).agg(F.avg("_nkd").alias("_m")))
+    sc = kd.join(m, [key, pid]).select(key, pid, F.try_divide(F.col("kdist"), F.col("_m"))
+                                      .alias("OutlierScore"))
+    return _attach(points, sc, key, pid)
+
+
+def inflo(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """INFLO (D16): influence space = kNN ∪ reverse kNN; density 1 / k-distance;
+    score = mean density over the influence space / own density."""
+    nb = _knn_rows(points, k, key, pid, lat, lon)
+    den = (_kstats(nb, k, key, pid)
+           .select(key, pid, (F.lit(1.0) / F.col("kdist")).alias("_den")))
+    fwd = nb.where(F.col("rank") <= k).select(key, pid, "nid")
+    rev = fwd.select(key, F.col("nid").alias(pid), F.col(pid).alias("nid"))
+    space = fwd.unionByName(rev).distinct()
+    nden = den.select(key, F.col(pid).alias("nid"), F.col("_den").alias("_nden"))
+    m = space.join(nden, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nden").alias("_m"))
+    sc = den.join(m, [key, pid]).select(key, pid, (F.col("_m") / F.col("_den")).alias("OutlierScore"))
+    return _attach(points, sc, key, pid)
+
+
+def erf(x) -> F.Column:
+    """Error function as a Column (Abramowitz & Stegun 7.1.26, |error| < 1.5e-7)."""
+    x = F.col(x) if isinstance(x, str) else x
+    # The published coefficients of the approximation.
+    p, a1, a2, a3, a4, a5 = 0.3275911, 0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429
+    ax = F.abs(x)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(p) * ax)
+    poly = ((((F.lit(a5) * t + F.lit(a4)) * t + F.lit(a3)) * t + F.lit(a2)) * t + F.lit(a1)) * t
+    y = F.lit(1.0) - poly * F.exp(-ax * ax)
+    return F.signum(x) * y
+
+
+def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", lat="LAT",
+         lon="LON"):
+    """LoOP (D17, Kriegel et al. 2009) with the k nearest as context set.
+
+    pdist(o) = lam * sqrt(mean d(o, s)^2); PLOF(o) = pdist(o) / mean pdist(s)
+    - 1; nPLOF = lam * sqrt(mean PLOF^2) per group; LoOP = max(0, erf(PLOF /
+    (nPLOF * sqrt 2))).
+    """
+    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    pd_ = (nb.groupBy(key, pid)
+             .agg((F.lit(lam) * F.sqrt(F.avg(F.col("dist_m") * F.col("dist_m")))).alias("_pd")))
+    npd = pd_.select(key, F.col(pid).alias("nid"), F.col("_pd").alias("_npd"))
+    plof = (nb.join(npd, [key, "nid"]).groupBy(key, pid).agg(F.avg("_npd").alias("_m"))
+              .join(pd_, [key, pid])
+              .select(key, pid, (F.col("_pd") / F.col("_m") - F.lit(1.0)).alias("_plof")))
+    norm = plof.groupBy(key).agg((F.lit(lam) * F.sqrt(F.avg(F.col("_plof") * F.col("_plof"))))
+                                 .alias("_n"))
+    sc = (plof.join(norm, key)
+              .select(key, pid, F.greatest(F.lit(0.0),
+                                           erf(F.try_divide(F.col("_plof"),
+                                                            F.col("_n") * F.lit(math.sqrt(2.0)))))
+                      .alias("OutlierScore")))
+    return _attach(points, sc, key, pid)
+
+
+def variance_of_volume(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+                       unit_m: float = 1_000_000.0):
+    """VOV (D19, Hu & Sung 2003): sample variance of the k-distance disc areas
+    (pi * (kdist / unit)^2) over the point and its k nearest; ``unit_m``
+    scales distances (default 1000 km) to keep the variance well-conditioned."""
+    nb = _knn_rows(points, k, key, pid, lat, lon)
+    r = F.col("kdist") / F.lit(float(unit_m))
+    vol = _kstats(nb, k, key, pid).select(key, pid, (F.lit(math.pi) * r * r).alias("_v"))
+    nvol = vol.select(key, F.col(pid).alias("nid"), F.col("_v").alias("_nv"))
+    members = (nb.where(F.col("rank") <= k).join(nvol, [key, "nid"]).select(key, pid, "_nv")
+                 .unionByName(vol.select(key, pid, F.col("_v").alias("_nv"))))
+    sc = members.groupBy(key, pid).agg(F.var_samp("_nv").alias("OutlierScore"))
+    return _attach(points, sc, key, pid)
+
+
+def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """COF (D18, Tang et al. 2002): connectivity-based outlier factor.
+
+    For each point the set-based-nearest trail over itself and its k nearest
+    is built greedily (always extend by the closest remaining point); the
+    average chaining distance weighs the i-th trail edge by 2(k+1-i)/(k(k+1)).
+    COF = own chaining distance / mean of the neighbours'.  The trail is a
+    small per-row computation (k+1 points) in an Arrow UDF over arrays.
+    """
+    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
+                           F.col(lat).alias("_nlat"), F.col(lon).alias("_nlon"))
+    own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
+                        F.col(lat).alias("_plat"), F.col(lon).alias("_plon"))
+    grouped = (nb.join(coords, [key, "nid"])
+                 .groupBy(key, pid)
+                 .agg(F.sort_array(F.collect_list(F.struct("rank", "_nlat", "_nlon"))).alias("_nbrs"))
+                 .join(own, [key, pid])
+                 .withColumn("_las", F.transform("_nbrs", lambda r: r["_nlat"]))
+                 .withColumn("_los", F.transform("_nbrs", lambda r: r["_nlon"])))
+
+    @F.pandas_udf(DoubleType())
+    def chaining(plat: pd.Series, plon: pd.Series, las: pd.Series, los: pd.Series) -> pd.Series:
+        out = []
+        for a, b, nla, nlo in zip(plat, plon, las, los):
+            la = np.radians(np.concatenate([[a], np.asarray(nla, dtype=float)]))
+            lo = np.radians(np.concatenate([[b], np.asarray(nlo, dtype=float)]))
+            h = (np.sin((la[:, None] - la[None, :]) / 2) ** 2
+                 + np.cos(la[:, None]) * np.cos(la[None, :]) * np.sin((lo[:, None] - lo[None, :]) / 2) ** 2)
+            d = np.floor(2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, h))) * 1000 + 0.5) / 1000
+            n = len(la) - 1
+            if n == 0:
+                out.append(None)
+                continue
+            in_set = np.zeros(n + 1, bool)
+            in_set[0] = True
+            total = 0.0
+            for i in range(1, n + 1):
+                sub = d[np.ix_(in_set, ~in_set)]
+                j = np.unravel_index(np.argmin(sub), sub.shape)
+                cand = np.where(~in_set)[0][j[1]]
+                total += 2.0 * (n + 1 - i) / (n * (n + 1)) * sub[j]
+                in_set[cand] = True
+            out.append(total)
+        return pd.Series(out, dtype="float64")
+
+    ac = grouped.select(key, pid, chaining("_plat", "_plon", "_las", "_los").alias("_ac"))
+    ac = cut_lineage(ac)
+    nac = ac.select(key, F.col(pid).alias("nid"), F.col("_ac").alias("_nac"))
+    m = nb.join(nac, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nac").alias("_m"))
+    sc = ac.join(m, [key, pid]).select(key, pid, F.try_divide(F.col("_ac"), F.col("_m"))
+                                      .alias("OutlierScore"))
+    return _attach(points, sc, key, pid)

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.functions.cells import Graticule
-from occuflow.operators import binning, counts, density, knn, outliers, pool, predicates, trees
+from occuflow.operators import (binning, counts, density, knn, models, outliers, pool,
+                                predicates, trees)
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
 from occuflow.sources.fixtures import load_fixture, with_ctes
@@ -302,13 +303,14 @@ def _knn_ctes() -> list[str]:
     ]
 
 
-def _knn_query(name: str, fn, score_sql: str, extra_ctes: list[str] = ()):
-    sql = _q(f"""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND({score_sql}, 6) AS OutlierScore
+def _knn_query(name: str, fn, score_sql: str, extra_ctes: list[str] = (), digits: int = 6):
+    sql = _q(f"""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND({score_sql}, {digits}) AS OutlierScore
 FROM cells c LEFT JOIN sc ON c.Species = sc.Species AND c.H3 = sc.H3""",
              _knn_ctes() + list(extra_ctes), "occurrences")
 
     def build(spark, d):
-        return _round6(fn(_cells(_fx(spark, d)).drop("cell"), K), "OutlierScore")
+        out = fn(_cells(_fx(spark, d)).drop("cell"), K)
+        return out.withColumn("OutlierScore", F.round("OutlierScore", digits))
 
     QUERIES[name] = (build, sql)
 
@@ -340,6 +342,70 @@ _knn_query("ldof", knn.ldof, "sc.v", [
   (SELECT Species, H3, AVG(dist_m) AS d FROM kn GROUP BY Species, H3) o
   LEFT JOIN inner_d i ON o.Species = i.Species AND o.H3 = i.H3)"""])
 
+_knn_query("knndd", knn.knndd, "sc.v", [
+    f"""sc AS (SELECT n.Species, n.H3, MAX(p.kdist) / AVG(o.kdist) AS v FROM nb n
+  JOIN kst o ON o.Species = n.Species AND o.H3 = n.nid JOIN kst p ON p.Species = n.Species AND p.H3 = n.H3
+  WHERE n.rnk <= {K} GROUP BY n.Species, n.H3)"""])
+_knn_query("inflo", knn.inflo, "sc.v", [
+    f"""fwd AS (SELECT Species, H3, nid FROM nb WHERE rnk <= {K})""",
+    """space AS (SELECT Species, H3, nid FROM fwd UNION SELECT Species, nid AS H3, H3 AS nid FROM fwd)""",
+    """sc AS (SELECT s.Species, s.H3, AVG(1.0 / o.kdist) / (1.0 / MAX(p.kdist)) AS v FROM space s
+  JOIN kst o ON o.Species = s.Species AND o.H3 = s.nid JOIN kst p ON p.Species = s.Species AND p.H3 = s.H3
+  GROUP BY s.Species, s.H3)"""])
+_knn_query("variance_of_volume", knn.variance_of_volume, "sc.v", [
+    f"""vol AS (SELECT Species, H3, pi() * (kdist / 1000000.0) * (kdist / 1000000.0) AS v FROM kst)""",
+    f"""mem AS (SELECT n.Species, n.H3, o.v FROM nb n JOIN vol o ON o.Species = n.Species AND o.H3 = n.nid
+  WHERE n.rnk <= {K} UNION ALL SELECT Species, H3, v FROM vol)""",
+    """sc AS (SELECT Species, H3, var_samp(v) AS v FROM mem GROUP BY Species, H3)"""], digits=10)
+
+
+def _erf_sql(x: str) -> str:
+    t = f"(1.0 / (1.0 + 0.3275911 * abs({x})))"
+    poly = (f"(((((1.061405429 * {t} + -1.453152027) * {t} + 1.421413741) * {t} + -0.284496736) * {t}"
+            f" + 0.254829592) * {t})")
+    return f"(sign({x}) * (1.0 - {poly} * exp(-abs({x}) * abs({x}))))"
+
+
+_knn_query("loop", knn.loop, "sc.v", [
+    f"""pdist AS (SELECT Species, H3, 2.0 * sqrt(AVG(dist_m * dist_m)) AS pd FROM nb WHERE rnk <= {K}
+  GROUP BY Species, H3)""",
+    f"""plof AS (SELECT n.Species, n.H3, MAX(p.pd) / AVG(o.pd) - 1.0 AS pl FROM nb n
+  JOIN pdist o ON o.Species = n.Species AND o.H3 = n.nid JOIN pdist p ON p.Species = n.Species AND p.H3 = n.H3
+  WHERE n.rnk <= {K} GROUP BY n.Species, n.H3)""",
+    """nplof AS (SELECT Species, 2.0 * sqrt(AVG(pl * pl)) AS np FROM plof GROUP BY Species)""",
+    f"""sc AS (SELECT p.Species, p.H3, greatest(0.0, {_erf_sql('(p.pl / (n.np * sqrt(2.0)))')}) AS v
+  FROM plof p JOIN nplof n ON n.Species = p.Species)"""])
+
+QUERIES["cof"] = (
+    lambda spark, d: _round6(knn.cof(_cells(_fx(spark, d)).drop("cell"), K), "OutlierScore"),
+    None)
+
+HYSORT_BINS = 5
+
+
+def _hysort_sql() -> str:
+    cell = ("LEAST(FLOOR(CASE WHEN {hi} - {lo} > 0 THEN ({c} - {lo}) / ({hi} - {lo}) ELSE 0.0 END"
+            f" * {HYSORT_BINS}), {HYSORT_BINS - 1})")
+    return _q(f"""SELECT b.LAT, b.LON, b.H3, b.Species, ROUND(1.0 - d.d / m.mx, 6) AS OutlierScore
+FROM binned b JOIN dens d ON d.Species = b.Species AND d.bi = b.bi AND d.bj = b.bj
+JOIN (SELECT Species, MAX(d) AS mx FROM dens GROUP BY Species) m ON m.Species = b.Species""",
+              _CELLS_SQL + [
+                  """ext AS (SELECT Species, MIN(LAT) AS la0, MAX(LAT) AS la1, MIN(LON) AS lo0, MAX(LON) AS lo1
+  FROM cells GROUP BY Species)""",
+                  f"""binned AS (SELECT c.LAT, c.LON, c.H3, c.Species,
+  {cell.format(c='c.LAT', lo='e.la0', hi='e.la1')} AS bi, {cell.format(c='c.LON', lo='e.lo0', hi='e.lo1')} AS bj
+  FROM cells c JOIN ext e ON e.Species = c.Species)""",
+                  """cube AS (SELECT Species, bi, bj, COUNT(*) AS n FROM binned GROUP BY Species, bi, bj)""",
+                  """dens AS (SELECT a.Species, a.bi, a.bj, SUM(b.n) AS d FROM cube a JOIN cube b
+  ON a.Species = b.Species AND abs(a.bi - b.bi) <= 1 AND abs(a.bj - b.bj) <= 1 GROUP BY a.Species, a.bi, a.bj)""",
+              ], "occurrences")
+
+
+QUERIES["hysortod"] = (
+    lambda spark, d: _round6(models.hysortod(_cells(_fx(spark, d)).drop("cell"), HYSORT_BINS)
+                             .select("LAT", "LON", "H3", "Species", "OutlierScore"), "OutlierScore"),
+    _hysort_sql())
+
 QUERIES["trivial_average"] = (
     lambda spark, d: _round6(knn.trivial_average(_cells(_fx(spark, d)).drop("cell")), "OutlierScore"),
     _q("SELECT LAT, LON, H3, Species, ROUND((LAT + LON) / 2.0, 6) AS OutlierScore FROM cells",

@@ -178,3 +178,49 @@ def test_remove_by_clustering_counts_duplicates(spark):
         (-40.0, 100.0), (50.0, 50.0), (50.0, 50.0)]
     kept, out = density.remove_by_clustering(df, 100.0, 2)
     assert sorted(r[0] for r in out.collect() if r[0] is not None) == [-40.0]
+
+
+def _knn_sets(d, k):
+    dmm = np.floor(d * 1000 + 0.5) / 1000.0
+    np.fill_diagonal(dmm, np.inf)
+    order = np.lexsort((np.arange(len(d))[None, :].repeat(len(d), 0), dmm), axis=1)
+    return dmm, order[:, :k]
+
+
+def test_cof_matches_brute_force(spark, points):
+    rows, df = points
+    k = 4
+    got = {(r.Species, r.H3): r.OutlierScore for r in knn.cof(df, k).collect()}
+    for g, (ids, d) in brute(rows).items():
+        dmm, nn = _knn_sets(d, k)
+        np.fill_diagonal(dmm, 0.0)
+        ac = []
+        for i in range(len(ids)):
+            members = [i] + list(nn[i])
+            in_set = [members[0]]
+            rest = members[1:]
+            total = 0.0
+            for step in range(1, k + 1):
+                dist, pick = min((dmm[a, b], b) for a in in_set for b in rest)
+                total += 2.0 * (k + 1 - step) / (k * (k + 1)) * dist
+                in_set.append(pick)
+                rest.remove(pick)
+            ac.append(total)
+        ac = np.array(ac)
+        for i, pid in enumerate(ids):
+            assert got[(g, pid)] == pytest.approx(ac[i] / ac[nn[i]].mean(), rel=1e-9)
+
+
+def test_loop_matches_brute_force(spark, points):
+    import math
+    rows, df = points
+    k = 5
+    got = {(r.Species, r.H3): r.OutlierScore for r in knn.loop(df, k).collect()}
+    for g, (ids, d) in brute(rows).items():
+        dmm, nn = _knn_sets(d, k)
+        pdist = np.array([2.0 * np.sqrt(np.mean(dmm[i, nn[i]] ** 2)) for i in range(len(ids))])
+        plof = np.array([pdist[i] / pdist[nn[i]].mean() - 1 for i in range(len(ids))])
+        nplof = 2.0 * np.sqrt(np.mean(plof ** 2))
+        for i, pid in enumerate(ids):
+            exp = max(0.0, math.erf(plof[i] / (nplof * math.sqrt(2))))
+            assert got[(g, pid)] == pytest.approx(exp, abs=2e-7)
