@@ -127,6 +127,12 @@ def within_eps(lat1, lon1, lat2, lon2, eps_m: float, geomodel: str = "sphere") -
         return hv <= F.lit(eps_m)
     if geomodel != "wgs84":
         raise ValueError(f"unknown geomodel {geomodel!r}")
+    from pyspark.sql import SparkSession
+
+    from occuflow.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     lo, hi = eps_m * (1 - SPHEROID_BAND), eps_m * (1 + SPHEROID_BAND)
     return (F.when(hv < F.lit(lo), F.lit(True))
              .when(hv > F.lit(hi), F.lit(False))

@@ -406,6 +406,12 @@ QUERIES["hysortod"] = (
                              .select("LAT", "LON", "H3", "Species", "OutlierScore"), "OutlierScore"),
     _hysort_sql())
 
+# Seeded random model: checked by tests (determinism, separation), no SQL form.
+QUERIES["isolation_forest"] = (
+    lambda spark, d: models.isolation_forest(_cells(_fx(spark, d)).drop("cell"))
+                           .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    None)
+
 QUERIES["trivial_average"] = (
     lambda spark, d: _round6(knn.trivial_average(_cells(_fx(spark, d)).drop("cell")), "OutlierScore"),
     _q("SELECT LAT, LON, H3, Species, ROUND((LAT + LON) / 2.0, 6) AS OutlierScore FROM cells",

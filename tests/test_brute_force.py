@@ -224,3 +224,31 @@ def test_loop_matches_brute_force(spark, points):
         for i, pid in enumerate(ids):
             exp = max(0.0, math.erf(plof[i] / (nplof * math.sqrt(2))))
             assert got[(g, pid)] == pytest.approx(exp, abs=2e-7)
+
+
+def test_isolation_forest_separates_and_is_deterministic(spark):
+    from occuflow.operators import models
+    rng = np.random.default_rng(3)
+    rows = [("A", f"a{i}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 1, (1500, 2)))]
+    rows += [("A", "far", 9.0, -9.0), ("B", "b0", 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "Species string, H3 string, LAT double, LON double")
+    one = {r.H3: r.OutlierScore for r in models.isolation_forest(df, bucket_rows=400).collect()}
+    two = {r.H3: r.OutlierScore
+           for r in models.isolation_forest(df.repartition(3), bucket_rows=100).collect()}
+    assert one == two
+    normal = np.array([v for k, v in one.items() if k.startswith("a")])
+    assert one["far"] > np.quantile(normal, 0.99) and 0 < normal.min() and normal.max() <= 1
+
+
+def test_wgs84_band_predicate_matches_vincenty(spark):
+    from pyspark.sql import functions as F
+    from occuflow.functions.geo import _vincenty_np, within_eps
+    rng = np.random.default_rng(5)
+    a = rng.uniform(-80, 80, (400, 2))
+    b = a + rng.normal(0, 6, (400, 2))
+    rows = [tuple(map(float, (p[0], p[1], q[0], q[1]))) for p, q in zip(a, b)]
+    df = spark.createDataFrame(rows, "la1 double, lo1 double, la2 double, lo2 double")
+    eps = 600_000.0
+    got = [r[0] for r in df.select(within_eps("la1", "lo1", "la2", "lo2", eps, "wgs84")).collect()]
+    exp = _vincenty_np(a[:, 0], a[:, 1], b[:, 0], b[:, 1]) <= eps
+    assert got == list(exp)
