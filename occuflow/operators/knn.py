@@ -414,3 +414,93 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     sc = ac.join(m, [key, pid]).select(key, pid, F.try_divide(F.col("_ac"), F.col("_m"))
                                       .alias("OutlierScore"))
     return _attach(points, sc, key, pid)
+
+
+def kernel_density_lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """Simple kernel-density LOF.
+
+    density(p) = mean over N_k(p) of a 2-D Gaussian kernel of the
+    reachability distance max(d(p, o), k-distance(o)) scaled by the
+    bandwidth k-distance(p); score = mean neighbour density / own density.
+    """
+    nb = _knn_rows(points, k, key, pid, lat, lon)
+    st = _kstats(nb, k, key, pid).select(key, pid, "kdist")
+    okd = st.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_okd"))
+    own = st.select(key, pid, F.col("kdist").alias("_h"))
+    u = F.greatest("dist_m", "_okd") / F.col("_h")
+    kern = F.exp(-u * u / F.lit(2.0)) / (F.lit(2.0 * math.pi) * F.col("_h") * F.col("_h"))
+    dens = (nb.join(okd, [key, "nid"]).join(own, [key, pid])
+              .groupBy(key, pid).agg(F.avg(kern).alias("_dens")))
+    nd = dens.select(key, F.col(pid).alias("nid"), F.col("_dens").alias("_nd"))
+    sc = (nb.join(nd, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nd").alias("_m"))
+            .join(dens, [key, pid])
+            .select(key, pid, F.try_divide(F.col("_m"), F.col("_dens")).alias("OutlierScore")))
+    return _attach(points, sc, key, pid)
+
+
+def _binding_probabilities(d: np.ndarray, perplexity: float, iters: int = 60) -> np.ndarray:
+    """Row-wise affinities exp(-beta d^2) normalised, with beta set by bisection
+    so that the entropy equals log(perplexity) (Janssens et al. 2012)."""
+    scale = np.where(d.mean(axis=1, keepdims=True) > 0, d.mean(axis=1, keepdims=True), 1.0)
+    d2 = (d / scale) ** 2
+    target = math.log(perplexity)
+    lo = np.full(len(d), -40.0)
+    hi = np.full(len(d), 40.0)
+    for _ in range(iters):
+        mid = (lo + hi) / 2
+        beta = np.exp(mid)[:, None]
+        a = np.exp(-(d2 - d2.min(axis=1, keepdims=True)) * beta)
+        p = a / a.sum(axis=1, keepdims=True)
+        ent = -(p * np.log(np.maximum(p, 1e-300))).sum(axis=1)
+        too_flat = ent > target  # entropy too high: beta must grow
+        lo = np.where(too_flat, mid, lo)
+        hi = np.where(too_flat, hi, mid)
+    beta = np.exp((lo + hi) / 2)[:, None]
+    a = np.exp(-(d2 - d2.min(axis=1, keepdims=True)) * beta)
+    return a / a.sum(axis=1, keepdims=True)
+
+
+def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Species", pid="H3",
+            lat="LAT", lon="LON"):
+    """KNNSOS (D21): stochastic outlier selection restricted to the k nearest.
+
+    Each point binds to its k nearest with Gaussian affinities whose
+    bandwidth gives the requested perplexity (default k / 3); the outlier
+    probability of x is the product over the points that bind to x of
+    (1 - binding probability).  Rows are ranked neighbours (exactly k per
+    point), so the per-row bandwidth search is a small numpy computation.
+    """
+    h = float(perplexity) if perplexity else k / 3.0
+    if not 1.0 <= h < k:
+        raise ValueError("perplexity must be in [1, k)")
+    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    rows = (nb.groupBy(key, pid)
+              .agg(F.sort_array(F.collect_list(F.struct("rank", "dist_m", "nid"))).alias("_l"))
+              .withColumn("_d", F.transform("_l", lambda r: r["dist_m"]))
+              .withColumn("_n", F.transform("_l", lambda r: r["nid"])))
+
+    @F.pandas_udf("array<double>")
+    def binding(ds: pd.Series) -> pd.Series:
+        out = [None] * len(ds)
+        by_len: dict[int, list[int]] = {}
+        for i, v in enumerate(ds):
+            by_len.setdefault(len(v), []).append(i)
+        for n, idx in by_len.items():
+            if n == 0:
+                for i in idx:
+                    out[i] = []
+                continue
+            mat = np.vstack([np.asarray(ds.iloc[i], dtype=float) for i in idx])
+            probs = _binding_probabilities(mat, min(h, max(n - 1e-9, 1.0)))
+            for row, i in enumerate(idx):
+                out[i] = probs[row].tolist()
+        return pd.Series(out)
+
+    bound = (rows.withColumn("_b", binding("_d"))
+                 .select(key, F.explode(F.arrays_zip(F.col("_n").alias("nid"),
+                                                     F.col("_b").alias("b"))).alias("_z"))
+                 .select(key, F.col("_z.nid").alias(pid), F.col("_z.b").alias("b")))
+    sc = (bound.groupBy(key, pid)
+               .agg(F.exp(F.sum(F.log1p(-F.least(F.col("b"), F.lit(1.0 - 1e-16))))).alias("OutlierScore")))
+    out = _attach(points, sc, key, pid)
+    return out.withColumn("OutlierScore", F.coalesce("OutlierScore", F.lit(1.0)))

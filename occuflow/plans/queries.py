@@ -406,6 +406,21 @@ QUERIES["hysortod"] = (
                              .select("LAT", "LON", "H3", "Species", "OutlierScore"), "OutlierScore"),
     _hysort_sql())
 
+_knn_query("kernel_density_lof", knn.kernel_density_lof, "sc.v", [
+    """kern AS (SELECT n.Species, n.H3,
+  exp(-power(greatest(n.dist_m, o.kdist) / p.kdist, 2) / 2.0) / (2.0 * pi() * p.kdist * p.kdist) AS kv
+  FROM nb n JOIN kst o ON o.Species = n.Species AND o.H3 = n.nid
+  JOIN kst p ON p.Species = n.Species AND p.H3 = n.H3)""",
+    """dens AS (SELECT Species, H3, AVG(kv) AS dn FROM kern GROUP BY Species, H3)""",
+    """sc AS (SELECT n.Species, n.H3, AVG(o.dn) / MAX(p.dn) AS v FROM nb n
+  JOIN dens o ON o.Species = n.Species AND o.H3 = n.nid JOIN dens p ON p.Species = n.Species AND p.H3 = n.H3
+  GROUP BY n.Species, n.H3)"""])
+
+QUERIES["knn_sos"] = (
+    lambda spark, d: knn.knn_sos(_cells(_fx(spark, d)).drop("cell"), 3 * K)
+                        .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    None)
+
 # Seeded random model: checked by tests (determinism, separation), no SQL form.
 QUERIES["isolation_forest"] = (
     lambda spark, d: models.isolation_forest(_cells(_fx(spark, d)).drop("cell"))

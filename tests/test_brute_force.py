@@ -252,3 +252,22 @@ def test_wgs84_band_predicate_matches_vincenty(spark):
     got = [r[0] for r in df.select(within_eps("la1", "lo1", "la2", "lo2", eps, "wgs84")).collect()]
     exp = _vincenty_np(a[:, 0], a[:, 1], b[:, 0], b[:, 1]) <= eps
     assert got == list(exp)
+
+
+def test_knn_sos_matches_brute_force(spark, points):
+    from occuflow.operators.knn import _binding_probabilities
+    rows, df = points
+    k, h = 9, 3.0
+    got = {(r.Species, r.H3): r.OutlierScore for r in knn.knn_sos(df, k, h).collect()}
+    for g, (ids, d) in brute(rows).items():
+        dmm, nn = _knn_sets(d, k)
+        dist = np.take_along_axis(dmm, nn, axis=1)
+        b = _binding_probabilities(dist, h)
+        ent = -(b * np.log(b)).sum(axis=1)
+        assert np.allclose(ent, np.log(h), atol=1e-6)
+        prob = np.ones(len(ids))
+        for i in range(len(ids)):
+            for j, bij in zip(nn[i], b[i]):
+                prob[j] *= 1 - bij
+        for i, pid in enumerate(ids):
+            assert got[(g, pid)] == pytest.approx(prob[i], rel=1e-6, abs=1e-12)

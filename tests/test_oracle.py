@@ -15,8 +15,9 @@ def con():
 
 
 # Checked against numpy brute force (test_brute_force.py) instead of SQL:
-# a greedy per-point trail (COF) and a seeded random model (isolation forest).
-NO_SQL = {"cof", "isolation_forest"}
+# a greedy per-point trail (COF), a per-point bandwidth search (KNNSOS) and a
+# seeded random model (isolation forest).
+NO_SQL = {"cof", "isolation_forest", "knn_sos"}
 
 
 def test_every_query_has_an_oracle_or_brute_force_test():
