@@ -504,3 +504,29 @@ def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Spe
                .agg(F.exp(F.sum(F.log1p(-F.least(F.col("b"), F.lit(1.0 - 1e-16))))).alias("OutlierScore")))
     out = _attach(points, sc, key, pid)
     return out.withColumn("OutlierScore", F.coalesce("OutlierScore", F.lit(1.0)))
+
+
+def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid="H3",
+                        lat="LAT", lon="LON"):
+    """Scatterplot spatial outlier (D24, Shekhar, Lu & Zhang 2003).
+
+    The neighbourhood mean of ``attr`` over the k nearest is regressed on
+    ``attr`` per group (``regr_slope``/``regr_intercept`` aggregates); the
+    score is the standardised absolute residual |e - mean(e)| / sd(e).
+    """
+    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    na = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
+                       F.col(attr).cast("double").alias("_na"))
+    own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
+                        F.col(attr).cast("double").alias("_a"))
+    avg = (nb.join(na, [key, "nid"]).groupBy(key, pid).agg(F.avg("_na").alias("_m"))
+             .join(own, [key, pid]))
+    fit = avg.groupBy(key).agg(F.regr_slope("_a", "_m").alias("_b"),
+                               F.regr_intercept("_a", "_m").alias("_c"))
+    res = (avg.join(fit, key)
+              .withColumn("_e", F.col("_a") - (F.col("_c") + F.col("_b") * F.col("_m"))))
+    mom = res.groupBy(key).agg(F.avg("_e").alias("_em"), F.stddev_samp("_e").alias("_es"))
+    sc = (res.join(mom, key)
+             .select(key, pid, F.try_divide(F.abs(F.col("_e") - F.col("_em")), F.col("_es"))
+                     .alias("OutlierScore")))
+    return _attach(points, sc, key, pid)

@@ -416,6 +416,41 @@ _knn_query("kernel_density_lof", knn.kernel_density_lof, "sc.v", [
   JOIN dens o ON o.Species = n.Species AND o.H3 = n.nid JOIN dens p ON p.Species = n.Species AND p.H3 = n.H3
   GROUP BY n.Species, n.H3)"""])
 
+def _cells_with_counts(fx) -> DataFrame:
+    """Cells of the Large species with their record count as the attribute."""
+    occ = fx["occurrences"]
+    ids = (binning.restrict_species(occ, _large_by_counts(fx))
+                  .where("decimallatitude IS NOT NULL AND decimallongitude IS NOT NULL")
+                  .select(F.col("species").alias("Species"),
+                          OUTLIER_GRID.cell_id("decimallatitude", "decimallongitude").alias("cell"))
+                  .groupBy("Species", "cell").agg(F.count(F.lit(1)).alias("n_records")))
+    lat, lon = OUTLIER_GRID.centroid("cell")
+    return ids.select(lat.alias("LAT"), lon.alias("LON"),
+                      OUTLIER_GRID.cell_string("cell").alias("H3"), "Species", "n_records")
+
+
+_cid = OUTLIER_GRID.cell_id_sql("decimallatitude", "decimallongitude")
+_clat, _clon = OUTLIER_GRID.centroid_sql("cell")
+QUERIES["scatterplot_outlier"] = (
+    lambda spark, d: knn.scatterplot_outlier(_cells_with_counts(_fx(spark, d)), K, "n_records")
+                        .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    _q(f"""SELECT c.LAT, c.LON, c.H3, c.Species, c.n_records, ROUND(abs(r.e - m.em) / m.es, 6) AS OutlierScore
+FROM cells c JOIN res r ON r.Species = c.Species AND r.H3 = c.H3 JOIN mom m ON m.Species = c.Species""",
+       S.counts_ctes() + _LARGE_SQL + [
+           f"""cid AS (SELECT species AS Species, {_cid} AS cell, COUNT(*) AS n_records FROM occurrences
+  WHERE species IN (SELECT species FROM large) AND decimallatitude IS NOT NULL AND decimallongitude IS NOT NULL
+  GROUP BY species, cell)""",
+           f"""cells AS (SELECT {_clat} AS LAT, {_clon} AS LON, {OUTLIER_GRID.cell_string_sql('cell')} AS H3,
+  Species, n_records FROM cid)""",
+       ] + _knn_ctes()[len(_CELLS_SQL):] + [
+           f"""av AS (SELECT n.Species, n.H3, AVG(CAST(o.n_records AS DOUBLE)) AS mval, MAX(p.n_records) AS a
+  FROM nb n JOIN cells o ON o.Species = n.Species AND o.H3 = n.nid
+  JOIN cells p ON p.Species = n.Species AND p.H3 = n.H3 WHERE n.rnk <= {K} GROUP BY n.Species, n.H3)""",
+           """fit AS (SELECT Species, regr_slope(a, mval) AS b, regr_intercept(a, mval) AS c FROM av GROUP BY Species)""",
+           """res AS (SELECT v.Species, v.H3, v.a - (f.c + f.b * v.mval) AS e FROM av v JOIN fit f ON f.Species = v.Species)""",
+           """mom AS (SELECT Species, AVG(e) AS em, stddev_samp(e) AS es FROM res GROUP BY Species)""",
+       ], "occurrences"))
+
 QUERIES["knn_sos"] = (
     lambda spark, d: knn.knn_sos(_cells(_fx(spark, d)).drop("cell"), 3 * K)
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
