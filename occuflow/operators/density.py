@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
-from occuflow.session import cut_lineage
+from occuflow.session import cut_lineage, spread
 
 
 def _check(eps_m, minpts):
@@ -107,6 +107,8 @@ def _partners(probe: DataFrame, target: DataFrame, tag: str, eps_m: float, geomo
                       F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"),
                       F.col("_cx").alias("_tcx"), F.col("_cy").alias("_tcy"),
                       F.col("_cz").alias("_tcz"))
+    probe = spread(probe, "_k", "_ncx", "_ncy", "_ncz")
+    t = spread(t, "_tk", "_tcx", "_tcy", "_tcz")
     cond = ((probe["_k"] == t["_tk"]) & (probe["_ncx"] == t["_tcx"])
             & (probe["_ncy"] == t["_tcy"]) & (probe["_ncz"] == t["_tcz"])
             & within_eps(probe["_lat"], probe["_lon"], t["_tlat"], t["_tlon"], eps_m, geomodel))
@@ -185,9 +187,11 @@ def neighbour_counts(points: DataFrame, eps_m: float, key: str = "Species", pid:
     probe = neighbour_cubes(cubed, side, reach, search).where(
         ~((F.col("_ncx") == F.col("_cx")) & (F.col("_ncy") == F.col("_cy"))
           & (F.col("_ncz") == F.col("_cz"))))
-    t = cubed.select(F.col("_k").alias("_tk"), F.col("_lat").alias("_tlat"),
-                     F.col("_lon").alias("_tlon"), F.col("_cx").alias("_tcx"),
-                     F.col("_cy").alias("_tcy"), F.col("_cz").alias("_tcz"))
+    probe = spread(probe, "_k", "_ncx", "_ncy", "_ncz")
+    t = spread(cubed.select(F.col("_k").alias("_tk"), F.col("_lat").alias("_tlat"),
+                            F.col("_lon").alias("_tlon"), F.col("_cx").alias("_tcx"),
+                            F.col("_cy").alias("_tcy"), F.col("_cz").alias("_tcz")),
+               "_tk", "_tcx", "_tcy", "_tcz")
     cond = ((probe["_k"] == t["_tk"]) & (probe["_ncx"] == t["_tcx"])
             & (probe["_ncy"] == t["_tcy"]) & (probe["_ncz"] == t["_tcz"]))
     cross = (probe.join(t, cond)

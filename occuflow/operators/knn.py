@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, ecef, haversine_m
-from occuflow.session import cut_lineage
+from occuflow.session import cut_lineage, spread
 
 LEVELS = 26  # a_0 ~ 2.02 R_earth down to ~0.2 m
 
@@ -109,7 +109,8 @@ def knn(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
                          _cube("_x", F.col("_lv")).alias("_cx"),
                          _cube("_y", F.col("_lv")).alias("_cy"),
                          _cube("_z", F.col("_lv")).alias("_cz")))
-        cand = (pr.join(tg, ["_k", "_lv", "_cx", "_cy", "_cz"])
+        keys = ["_k", "_lv", "_cx", "_cy", "_cz"]
+        cand = (spread(pr, *keys).join(spread(tg, *keys), keys)
                   .where(F.col("_id") != F.col("_nid"))
                   .select("_k", "_id", "_lv", "_nid",
                           _dist_mm("_lat", "_lon", "_nlat", "_nlon").alias("_dmm")))

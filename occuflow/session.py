@@ -126,3 +126,15 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition ``df`` on ``cols`` into ``spark.sql.shuffle.partitions``.
+
+    For joins whose output is far larger than their input (candidate pairs
+    of neighbour searches): AQE sizes partitions by input bytes and would
+    merge them into a few tasks; an explicit partition count keeps the
+    expansion spread, and the join reuses this partitioning.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
