@@ -31,21 +31,27 @@ def flagged_cells(scores: DataFrame) -> DataFrame:
                   .distinct())
 
 
-def drop_flagged(records: DataFrame, scores: DataFrame, small: bool = True) -> DataFrame:
+def checked_flagged_cells(scores: DataFrame) -> DataFrame:
+    """Flagged cells materialised once and marked for broadcast when their
+    row count is within the bound (see ``session.broadcast_if_small``)."""
+    return broadcast_if_small(flagged_cells(scores))
+
+
+def drop_flagged(records: DataFrame, scores: DataFrame | None = None,
+                 flagged: DataFrame | None = None) -> DataFrame:
     """Anti-join of records (with ``species``, ``h3_index``) on flagged cells.
 
-    Only the flagged (species, cell) pairs travel.  With ``small`` they are
-    materialised and broadcast when their row count is within the bound, so
-    the record side is not shuffled; otherwise AQE plans the join.
+    Only the flagged (species, cell) pairs travel; materialised and broadcast
+    when small, the record side is not shuffled.  Pass ``flagged`` (from
+    :func:`checked_flagged_cells`) to share one materialisation.
     """
-    flagged = flagged_cells(scores)
-    if small:
-        flagged = broadcast_if_small(flagged)
+    if flagged is None:
+        flagged = checked_flagged_cells(scores)
     return records.join(flagged, ["species", "h3_index"], "left_anti")
 
 
 def remove_outliers(occ: DataFrame, scores: DataFrame, indexer, species: DataFrame | None = None,
-                    basis=None) -> DataFrame:
+                    basis=None, flagged: DataFrame | None = None) -> DataFrame:
     """All raw columns of the kept records plus ``h3_index`` (cell string).
 
     Keeps ``score < 0.5 OR score IS NULL`` of a left join on (species, cell):
@@ -59,7 +65,7 @@ def remove_outliers(occ: DataFrame, scores: DataFrame, indexer, species: DataFra
     cols = df.columns
     df = (with_cells(df, indexer, out="_cell")
           .withColumn("h3_index", indexer.cell_string("_cell")).drop("_cell"))
-    return drop_flagged(df, scores).select(*cols, "h3_index")
+    return drop_flagged(df, scores, flagged).select(*cols, "h3_index")
 
 
 SUMMARY_VARIABLES = (

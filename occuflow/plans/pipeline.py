@@ -16,7 +16,8 @@ from occuflow.functions.cells import Graticule, with_cells
 from occuflow.operators.binning import bin_counts, species_cells
 from occuflow.operators.counts import species_counts
 from occuflow.operators.density import dbscan_noise
-from occuflow.operators.outliers import drop_flagged, outlier_summary, remove_outliers
+from occuflow.operators.outliers import (checked_flagged_cells, drop_flagged, outlier_summary,
+                                         remove_outliers)
 from occuflow.operators.pool import pool_species, species_list
 from occuflow.operators.predicates import DEFAULT_BASIS, apply_basis, parse_basis
 from occuflow.operators.trees import split_species, tree_stats
@@ -92,13 +93,15 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
         out["cells"] = cells
         out["scores"] = scores
         out["outlier_summary"] = outlier_summary(scores, params.summary_threshold)
-        out["cleaned"] = remove_outliers(occ, scores, params.outlier_cells, large, params.basis)
+        flagged = checked_flagged_cells(scores)
+        out["cleaned"] = remove_outliers(occ, scores, params.outlier_cells, large, params.basis,
+                                         flagged=flagged)
         with_cell = (with_cells(tagged, params.outlier_cells, out="_ocell")
                      .withColumn("h3_index", params.outlier_cells.cell_string("_ocell")))
         # Small-list records never match a flagged (species, cell): only
         # Large-list copies are checked.
         is_large = F.col("occ_group") == "Large"
-        checked = drop_flagged(with_cell.where(is_large), scores, small=True)
+        checked = drop_flagged(with_cell.where(is_large), flagged=flagged)
         kept = checked.unionByName(with_cell.where(~is_large)).drop("_ocell", "h3_index")
     binned = bin_counts(kept, params.final_cells, None, None, extra_keys=("occ_group",))
     out["binned"] = binned.drop("occ_group")

@@ -17,6 +17,7 @@ from occuflow.operators import (binning, counts, density, knn, models, outliers,
                                 predicates, trees)
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
+from occuflow.session import broadcast_if_small
 from occuflow.sources.fixtures import load_fixture, with_ctes
 
 # Fixed parameters of the registered queries (the reference's defaults where
@@ -44,9 +45,16 @@ def _fx(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _large_by_counts(fx) -> DataFrame:
-    """Species names with >= THRESHOLD distinct rounded coordinates."""
-    c = counts.species_counts(fx["occurrences"])
-    return c.where(F.col("NumUniqCoordsRounded2dp") >= THRESHOLD).select("species").distinct()
+    """Species names with >= THRESHOLD distinct rounded coordinates.
+
+    Materialised once per query (and broadcast when small), so the counting
+    scan is not repeated by every step that filters on the list.
+    """
+    if "_large" not in fx:
+        c = counts.species_counts(fx["occurrences"])
+        fx["_large"] = broadcast_if_small(
+            c.where(F.col("NumUniqCoordsRounded2dp") >= THRESHOLD).select("species").distinct())
+    return fx["_large"]
 
 
 _LARGE_SQL = [f"large AS (SELECT DISTINCT species FROM counts WHERE NumUniqCoordsRounded2dp >= {THRESHOLD})"]
