@@ -7,10 +7,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from occuflow.session import cut_lineage, ship_package
+from occuflow.session import broadcast_if_small, cut_lineage, ship_package
 
 
 def hysortod(points: DataFrame, bins: int = 5, min_split: int = 100, key: str = "Species",
@@ -181,3 +181,101 @@ def isolation_forest(points: DataFrame, n_trees: int = 100, sample_size: int = 2
                     .applyInPandas(_score_bucket, "_k string, _id string, OutlierScore double"))
     out = points.withColumn("_k", F.col(key).cast("string")).withColumn("_id", F.col(pid).cast("string"))
     return out.join(scored, ["_k", "_id"], "left").drop("_k", "_id")
+
+
+# ---------------------------------------------------------------------------
+# Exact top-n per group without putting a group in one task.
+
+
+def top_n_per_group(df: DataFrame, group: str, order: list, n: int, uid: str,
+                    bucket_rows: int = 50_000) -> DataFrame:
+    """Rows ranked 1..n per ``group`` by ``order`` (Columns, ties broken by ``uid``).
+
+    Two levels: rows are salted into buckets of about ``bucket_rows`` per
+    group and the top n of each bucket kept (windows over bounded buckets);
+    the top n of a group is among those candidates (at most buckets x n
+    rows), ranked by a second window.  Exact.
+    """
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
+    salted = (df.join(sizes, group)
+                .withColumn("_salt", F.pmod(F.xxhash64(F.col(uid)),
+                                            F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(bucket_rows))))))
+    w1 = Window.partitionBy(group, "_salt").orderBy(*order, F.col(uid))
+    cand = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
+    w2 = Window.partitionBy(group).orderBy(*order, F.col(uid))
+    return (cand.withColumn("_rank", F.row_number().over(w2)).where(F.col("_rank") <= n)
+                .drop("_salt", "_r1", "_gn"))
+
+
+def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, seed: int = 42,
+                       key: str = "Species", pid: str = "H3", lat: str = "LAT",
+                       lon: str = "LON") -> DataFrame:
+    """k-means-- (D27, Chawla & Gionis 2013) per group on planar (lat, lon).
+
+    Each round: distance of every point to its nearest centre; the ``l``
+    farthest points of the group are set aside; centres are recomputed from
+    the rest.  Stops when no centre moves (one count per round reaches the
+    driver) or after ``max_iter`` rounds.  Initial centres: the k points with
+    the smallest seeded hash.  Output: ``cluster`` (index of the nearest
+    centre), ``OutlierScore`` (distance to it) and ``is_outlier`` (among the
+    l set aside in the last round).
+
+    The centres of a group travel as one small array (k entries) and the
+    nearest one is chosen with higher-order functions inside the scan, so
+    points are never shuffled to meet their centres.
+    """
+    if k < 1 or l < 0:
+        raise ValueError("k must be >= 1 and l >= 0")
+    pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).cast("string").alias("_id"),
+                                    F.col(lat).cast("double").alias("_x"),
+                                    F.col(lon).cast("double").alias("_y")))
+    init = top_n_per_group(pts.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_k"), F.col("_id"))),
+                           "_k", [F.col("_h")], k, "_id")
+    centres = init.select("_k", (F.col("_rank") - 1).alias("c"), "_x", "_y")
+
+    def as_arrays(c: DataFrame) -> DataFrame:
+        arr = c.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("c", "_x", "_y"))).alias("_cs"))
+        return broadcast_if_small(arr, max_rows=1_000_000)
+
+    def nearest(arr: DataFrame) -> DataFrame:
+        d2 = lambda s: F.pow(s["_x"] - F.col("_x"), 2) + F.pow(s["_y"] - F.col("_y"), 2)
+        best = F.aggregate(
+            F.col("_cs"), F.struct(F.lit(-1).alias("c"), F.lit(float("inf")).alias("d2")),
+            lambda acc, s: F.when(d2(s) < acc["d2"], F.struct(s["c"].alias("c"), d2(s).alias("d2")))
+                            .otherwise(acc))
+        return (pts.join(arr, "_k").withColumn("_best", best)
+                   .select("_k", "_id", "_x", "_y", F.col("_best.c").alias("cluster"),
+                           F.sqrt(F.col("_best.d2")).alias("_d")))
+
+    arr = as_arrays(centres)
+    for _ in range(max_iter):
+        assigned = cut_lineage(nearest(arr))
+        far = top_n_per_group(assigned, "_k", [F.col("_d").desc()], l, "_id") if l else None
+        kept = assigned.join(far.select("_k", "_id"), ["_k", "_id"], "left_anti") if l else assigned
+        new = kept.groupBy("_k", F.col("cluster").alias("c")).agg(F.avg("_x").alias("_x"),
+                                                                   F.avg("_y").alias("_y"))
+        # centres that lost all points stay where they were
+        old = arr.select("_k", F.explode("_cs").alias("_s")).select(
+            "_k", F.col("_s.c").alias("c"), F.col("_s._x").alias("_ox"), F.col("_s._y").alias("_oy"))
+        merged = (old.join(new, ["_k", "c"], "left")
+                     .select("_k", "c", F.coalesce("_x", "_ox").alias("_x"),
+                             F.coalesce("_y", "_oy").alias("_y"),
+                             ((F.abs(F.coalesce("_x", "_ox") - F.col("_ox")) > F.lit(1e-9))
+                              | (F.abs(F.coalesce("_y", "_oy") - F.col("_oy")) > F.lit(1e-9)))
+                             .alias("_moved")))
+        merged = cut_lineage(merged)
+        moved = merged.where("_moved").count()
+        arr = as_arrays(merged.drop("_moved"))
+        if moved == 0:
+            break
+    final = cut_lineage(nearest(arr))
+    far = (top_n_per_group(final, "_k", [F.col("_d").desc()], l, "_id")
+           .select("_k", "_id", F.lit(True).alias("is_outlier")) if l else None)
+    res = final.select("_k", "_id", "cluster", F.col("_d").alias("OutlierScore"))
+    if far is not None:
+        res = res.join(far, ["_k", "_id"], "left")
+    else:
+        res = res.withColumn("is_outlier", F.lit(None).cast("boolean"))
+    res = res.withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False)))
+    out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid).cast("string"))
+    return out.join(res, ["_k", "_id"], "left").drop("_k", "_id")

@@ -464,6 +464,12 @@ QUERIES["knn_sos"] = (
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
     None)
 
+# Iterative (rounds until no centre moves): checked by the fixed-point test.
+QUERIES["kmeans_minus_minus"] = (
+    lambda spark, d: models.kmeans_minus_minus(_cells(_fx(spark, d)).drop("cell"), k=K, l=K)
+                           .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    None)
+
 # Seeded random model: checked by tests (determinism, separation), no SQL form.
 QUERIES["isolation_forest"] = (
     lambda spark, d: models.isolation_forest(_cells(_fx(spark, d)).drop("cell"))

@@ -271,3 +271,42 @@ def test_knn_sos_matches_brute_force(spark, points):
                 prob[j] *= 1 - bij
         for i, pid in enumerate(ids):
             assert got[(g, pid)] == pytest.approx(prob[i], rel=1e-6, abs=1e-12)
+
+
+def test_top_n_per_group_is_exact(spark):
+    from occuflow.operators.models import top_n_per_group
+    rng = np.random.default_rng(11)
+    rows = [("A" if i < 900 else "B", f"p{i}", float(v)) for i, v in enumerate(rng.integers(0, 50, 1000))]
+    df = spark.createDataFrame(rows, "g string, id string, v double")
+    from pyspark.sql import functions as F
+    got = top_n_per_group(df, "g", [F.col("v").desc()], 7, "id", bucket_rows=60).collect()
+    for g in ("A", "B"):
+        exp = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[2], r[1]))[:7]
+        assert sorted((r.id, r._rank) for r in got if r.g == g) == sorted(
+            (r[1], i + 1) for i, r in enumerate(exp))
+
+
+def test_kmeans_minus_minus_fixed_point(spark):
+    from occuflow.operators.models import kmeans_minus_minus
+    rng = np.random.default_rng(2)
+    centres = np.array([[0, 0], [20, 20], [-20, 30]])
+    pts = np.vstack([c + rng.normal(0, 1, (150, 2)) for c in centres] + [[[60, -60], [-60, 80]]])
+    rows = [("S", f"p{i:03d}", float(a), float(b)) for i, (a, b) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "Species string, H3 string, LAT double, LON double")
+    res = kmeans_minus_minus(df, k=3, l=2).collect()
+    out = {r.H3 for r in res if r.is_outlier}
+    assert out == {"p450", "p451"}
+    # the outliers are the two farthest from their centre
+    far = sorted(res, key=lambda r: (-r.OutlierScore, r.H3))[:2]
+    assert {r.H3 for r in far} == out
+    # centres are the means of the kept points of each cluster: every kept
+    # point's distance to its cluster mean equals its score
+    by_c = {}
+    for r in res:
+        if not r.is_outlier:
+            by_c.setdefault(r.cluster, []).append((r.LAT, r.LON))
+    assert len(by_c) == 3
+    means = {c: np.mean(v, axis=0) for c, v in by_c.items()}
+    for r in res:
+        d = min(np.hypot(r.LAT - m[0], r.LON - m[1]) for m in means.values())
+        assert r.OutlierScore == pytest.approx(d, abs=1e-6)
