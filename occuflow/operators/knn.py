@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, ecef, haversine_m
-from occuflow.session import cut_lineage, spread
+from occuflow.session import cut_lineage, ship_package, spread
 
 LEVELS = 26  # a_0 ~ 2.02 R_earth down to ~0.2 m
 
@@ -371,6 +371,7 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     COF = own chaining distance / mean of the neighbours'.  The trail is a
     small per-row computation (k+1 points) in an Arrow UDF over arrays.
     """
+    ship_package(points.sparkSession)
     nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
     coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                            F.col(lat).alias("_nlat"), F.col(lon).alias("_nlon"))
@@ -474,6 +475,7 @@ def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Spe
     h = float(perplexity) if perplexity else k / 3.0
     if not 1.0 <= h < k:
         raise ValueError("perplexity must be in [1, k)")
+    ship_package(points.sparkSession)
     nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
     rows = (nb.groupBy(key, pid)
               .agg(F.sort_array(F.collect_list(F.struct("rank", "dist_m", "nid"))).alias("_l"))

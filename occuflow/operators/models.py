@@ -279,3 +279,86 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, se
     res = res.withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False)))
     out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid).cast("string"))
     return out.join(res, ["_k", "_id"], "left").drop("_k", "_id")
+
+
+def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 50, tol: float = 1e-6,
+               seed: int = 42, key: str = "Species", pid: str = "H3", lat: str = "LAT",
+               lon: str = "LON") -> DataFrame:
+    """EM outlier score (D26): a k-component 2-D Gaussian mixture per group
+    on planar (lat, lon); score = -log of the largest weighted component
+    density at the point (higher = more outlying).
+
+    E-step: each point meets its group's component array (k entries,
+    broadcast when small) and computes responsibilities with higher-order
+    functions in the scan.  M-step: responsibility-weighted sums per (group,
+    component), partially aggregated map-side.  Stops when the mean
+    log-likelihood of every group changes by less than ``tol`` (one count per
+    round reaches the driver) or after ``max_iter`` rounds.  Initial means:
+    the k points with the smallest seeded hash; initial covariance: the
+    group's covariance; a 1e-6 ridge keeps covariances invertible.
+    """
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    ridge = 1e-6
+    pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).cast("string").alias("_id"),
+                                    F.col(lat).cast("double").alias("_x"),
+                                    F.col(lon).cast("double").alias("_y")))
+    cov = pts.groupBy("_k").agg(F.var_pop("_x").alias("_vx"), F.var_pop("_y").alias("_vy"),
+                                F.covar_pop("_x", "_y").alias("_cxy"))
+    init = top_n_per_group(pts.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_k"), F.col("_id"))),
+                           "_k", [F.col("_h")], k, "_id")
+    comps = (init.join(cov, "_k")
+                 .select("_k", (F.col("_rank") - 1).alias("c"), F.lit(1.0 / k).alias("w"),
+                         F.col("_x").alias("mx"), F.col("_y").alias("my"),
+                         (F.col("_vx") + ridge).alias("sxx"), F.col("_cxy").alias("sxy"),
+                         (F.col("_vy") + ridge).alias("syy")))
+
+    def as_arrays(c: DataFrame) -> DataFrame:
+        arr = c.groupBy("_k").agg(F.sort_array(F.collect_list(
+            F.struct("c", "w", "mx", "my", "sxx", "sxy", "syy"))).alias("_cs"))
+        return broadcast_if_small(arr, max_rows=1_000_000)
+
+    def weighted_density(s):
+        det = s["sxx"] * s["syy"] - s["sxy"] * s["sxy"]
+        dx, dy = F.col("_x") - s["mx"], F.col("_y") - s["my"]
+        q = (s["syy"] * dx * dx - F.lit(2.0) * s["sxy"] * dx * dy + s["sxx"] * dy * dy) / det
+        return s["w"] * F.exp(-q / F.lit(2.0)) / (F.lit(2.0 * math.pi) * F.sqrt(det))
+
+    def e_step(arr: DataFrame) -> DataFrame:
+        dens = F.transform(F.col("_cs"), weighted_density)
+        return (pts.join(arr, "_k").withColumn("_dens", dens)
+                   .withColumn("_tot", F.aggregate("_dens", F.lit(0.0), lambda a, v: a + v))
+                   .withColumn("_best", F.array_max("_dens")))
+
+    arr = as_arrays(comps)
+    prev = None
+    for _ in range(max_iter):
+        e = e_step(arr)
+        resp = (e.select("_k", "_x", "_y", F.posexplode(F.transform(
+                    "_dens", lambda v: v / F.greatest(F.col("_tot"), F.lit(1e-300)))).alias("c", "_r")))
+        m = (resp.groupBy("_k", "c")
+                 .agg(F.sum("_r").alias("_n"), F.sum(F.col("_r") * F.col("_x")).alias("_sx"),
+                      F.sum(F.col("_r") * F.col("_y")).alias("_sy"),
+                      F.sum(F.col("_r") * F.col("_x") * F.col("_x")).alias("_sxx"),
+                      F.sum(F.col("_r") * F.col("_x") * F.col("_y")).alias("_sxy"),
+                      F.sum(F.col("_r") * F.col("_y") * F.col("_y")).alias("_syy")))
+        tot = m.groupBy("_k").agg(F.sum("_n").alias("_ntot"))
+        mx, my = F.col("_sx") / F.col("_n"), F.col("_sy") / F.col("_n")
+        new = (m.join(tot, "_k").where(F.col("_n") > 0)
+                .select("_k", "c", (F.col("_n") / F.col("_ntot")).alias("w"), mx.alias("mx"), my.alias("my"),
+                        (F.col("_sxx") / F.col("_n") - mx * mx + F.lit(ridge)).alias("sxx"),
+                        (F.col("_sxy") / F.col("_n") - mx * my).alias("sxy"),
+                        (F.col("_syy") / F.col("_n") - my * my + F.lit(ridge)).alias("syy")))
+        ll = cut_lineage(e.groupBy("_k").agg(F.avg(F.log(F.greatest("_tot", F.lit(1e-300))))
+                                             .alias("_ll")))
+        arr = as_arrays(new)
+        if prev is not None:
+            changed = (ll.join(prev.withColumnRenamed("_ll", "_pl"), "_k")
+                         .where(F.abs(F.col("_ll") - F.col("_pl")) > F.lit(tol)).count())
+            if changed == 0:
+                break
+        prev = ll
+    final = e_step(arr).select("_k", "_id", (-F.log(F.greatest("_best", F.lit(1e-300))))
+                               .alias("OutlierScore"))
+    out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid).cast("string"))
+    return out.join(final, ["_k", "_id"], "left").drop("_k", "_id")

@@ -470,6 +470,11 @@ QUERIES["kmeans_minus_minus"] = (
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
     None)
 
+QUERIES["em_outlier"] = (
+    lambda spark, d: models.em_outlier(_cells(_fx(spark, d)).drop("cell"), k=3)
+                           .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    None)
+
 # Seeded random model: checked by tests (determinism, separation), no SQL form.
 QUERIES["isolation_forest"] = (
     lambda spark, d: models.isolation_forest(_cells(_fx(spark, d)).drop("cell"))

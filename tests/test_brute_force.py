@@ -310,3 +310,17 @@ def test_kmeans_minus_minus_fixed_point(spark):
     for r in res:
         d = min(np.hypot(r.LAT - m[0], r.LON - m[1]) for m in means.values())
         assert r.OutlierScore == pytest.approx(d, abs=1e-6)
+
+
+def test_em_outlier_ranks_planted_outliers_highest(spark):
+    from occuflow.operators.models import em_outlier
+    rng = np.random.default_rng(4)
+    pts = np.vstack([rng.normal([0, 0], [1, 2], (200, 2)), rng.normal([15, -10], [2, 1], (200, 2)),
+                     [[40, 40], [-30, 25]]])
+    rows = [("S", f"p{i:03d}", float(a), float(b)) for i, (a, b) in enumerate(pts)]
+    rows += [("T", f"t{i}", float(i), float(-i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "Species string, H3 string, LAT double, LON double")
+    res = {r.H3: r.OutlierScore for r in em_outlier(df, k=2).collect()}
+    s = sorted((v, k) for k, v in res.items() if k.startswith("p"))
+    assert {s[-1][1], s[-2][1]} == {"p400", "p401"}
+    assert all(np.isfinite(v) for v in res.values())

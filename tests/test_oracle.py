@@ -16,8 +16,8 @@ def con():
 
 # Checked against numpy brute force (test_brute_force.py) instead of SQL:
 # a greedy per-point trail (COF), a per-point bandwidth search (KNNSOS) and a
-# seeded random model (isolation forest), and iterative k-means--.
-NO_SQL = {"cof", "isolation_forest", "knn_sos", "kmeans_minus_minus"}
+# seeded random model (isolation forest), and iterative k-means-- and EM.
+NO_SQL = {"cof", "isolation_forest", "knn_sos", "kmeans_minus_minus", "em_outlier"}
 
 
 def test_every_query_has_an_oracle_or_brute_force_test():
