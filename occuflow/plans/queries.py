@@ -481,6 +481,42 @@ QUERIES["isolation_forest"] = (
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
     None)
 
+ALOCI_NMIN, ALOCI_ALPHA, ALOCI_DEPTH = 20, 4, 10
+
+
+def _aloci_sql() -> str:
+    a, dp, nm = ALOCI_ALPHA, ALOCI_DEPTH, ALOCI_NMIN
+    unit = "CASE WHEN e.{hi} - e.{lo} > 0 THEN (c.{c} - e.{lo}) / (e.{hi} - e.{lo}) ELSE 0.0 END"
+    box = "CAST(least(floor({c} * pow(2, {l})), pow(2, {l}) - 1) AS BIGINT)"
+    return _q("""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND(COALESCE(s.r, 0.0), 6) AS OutlierScore
+FROM cells c LEFT JOIN (SELECT Species, H3, MAX(r) AS r FROM per GROUP BY Species, H3) s
+  ON s.Species = c.Species AND s.H3 = c.H3""", _CELLS_SQL + [
+        """ext AS (SELECT Species, MIN(LAT) AS la0, MAX(LAT) AS la1, MIN(LON) AS lo0, MAX(LON) AS lo1
+  FROM cells GROUP BY Species)""",
+        f"""base AS (SELECT c.Species, c.H3, {unit.format(c='LAT', lo='la0', hi='la1')} AS u,
+  {unit.format(c='LON', lo='lo0', hi='lo1')} AS v FROM cells c JOIN ext e ON e.Species = c.Species)""",
+        f"""lv AS (SELECT b.Species, b.H3, b.u, b.v, t.l, {box.format(c='b.u', l='t.l')} AS bi,
+  {box.format(c='b.v', l='t.l')} AS bj FROM base b CROSS JOIN range(0, {dp + 1}) t(l))""",
+        """cnt AS (SELECT Species, l, bi, bj, COUNT(*) AS c FROM lv GROUP BY Species, l, bi, bj)""",
+        f"""sub AS (SELECT Species, l - {a} AS l, bi >> {a} AS bi, bj >> {a} AS bj, SUM(c) AS s1,
+  SUM(c * c) AS s2, SUM(CAST(c AS DOUBLE) * c * c) AS s3 FROM cnt WHERE l >= {a}
+  GROUP BY Species, l - {a}, bi >> {a}, bj >> {a})""",
+        f"""mom AS (SELECT m.Species, m.H3, fc.c AS n, s.s2 / s.s1 AS nh,
+  sqrt(greatest(0.0, s.s3 / s.s1 - (s.s2 / s.s1) * (s.s2 / s.s1))) AS sd
+  FROM lv m JOIN sub s ON s.Species = m.Species AND s.l = m.l AND s.bi = m.bi AND s.bj = m.bj
+  JOIN lv f ON f.Species = m.Species AND f.H3 = m.H3 AND f.l = m.l + {a}
+  JOIN cnt fc ON fc.Species = f.Species AND fc.l = f.l AND fc.bi = f.bi AND fc.bj = f.bj
+  WHERE m.l <= {dp - a} AND s.s1 >= {nm})""",
+        """per AS (SELECT Species, H3, (1.0 - n / nh) / (sd / nh) AS r FROM mom WHERE sd > 0)""",
+    ], "occurrences")
+
+
+QUERIES["aloci"] = (
+    lambda spark, d: models.aloci(_cells(_fx(spark, d)).drop("cell"), ALOCI_NMIN, ALOCI_ALPHA,
+                                  ALOCI_DEPTH)
+                           .withColumn("OutlierScore", F.round("OutlierScore", 6)),
+    _aloci_sql())
+
 QUERIES["trivial_average"] = (
     lambda spark, d: _round6(knn.trivial_average(_cells(_fx(spark, d)).drop("cell")), "OutlierScore"),
     _q("SELECT LAT, LON, H3, Species, ROUND((LAT + LON) / 2.0, 6) AS OutlierScore FROM cells",

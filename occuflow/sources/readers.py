@@ -63,9 +63,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_occurrences(spark: SparkSession, path: str) -> DataFrame:
-    """Occurrence dump (S1): a directory (all files in it), a glob or a file."""
-    if not any(ch in path for ch in "*?[") and _is_dir(spark, path):
-        path = path.rstrip("/") + "/*"
+    """Occurrence dump (S1): a directory (all data files in it), a glob or a file.
+
+    A directory is passed as is, so Spark lists its data files and skips
+    markers such as ``_SUCCESS``.
+    """
     return spark.read.parquet(path)
 
 
