@@ -133,6 +133,20 @@ def _pooled_ext(spark, d):
     return pool.pool_species(split, fx["extinct_taxa"])
 
 
+@register("pool_progress",
+          _q("""SELECT b.occ_group, b.unique_species, COALESCE(a.n, 0) AS unique_species_not_extinct
+FROM (SELECT OccGroup AS occ_group, COUNT(DISTINCT species) AS unique_species FROM split GROUP BY OccGroup) b
+LEFT JOIN (SELECT occ_group, COUNT(*) AS n FROM pooled GROUP BY occ_group) a ON a.occ_group = b.occ_group""",
+             S.counts_ctes() + S.split_ctes(THRESHOLD) + S.pooled_ctes(True),
+             "occurrences", "tree_tips", "extinct_taxa"))
+def _progress(spark, d):
+    fx = _fx(spark, d)
+    split = trees.split_species(counts.species_counts(fx["occurrences"]), fx["tree_tips"], THRESHOLD)
+    p = pool.pool_progress(split, pool.pool_species(split, fx["extinct_taxa"]))
+    return p.withColumn("unique_species_not_extinct",
+                        F.coalesce("unique_species_not_extinct", F.lit(0)).cast("long"))
+
+
 # ---------------------------------------------------------------- cells, D1, removal
 
 register("cells_distinct",
