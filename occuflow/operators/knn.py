@@ -533,3 +533,39 @@ def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid
              .select(key, pid, F.try_divide(F.abs(F.col("_e") - F.col("_em")), F.col("_es"))
                      .alias("OutlierScore")))
     return _attach(points, sc, key, pid)
+
+
+def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species", pid="H3",
+               lat="LAT", lon="LON"):
+    """Simple correlation outlier score (D22, after Kriegel et al. 2012).
+
+    Local PCA of the k nearest (planar lat, lon; population covariance)
+    with the 2 x 2 eigen decomposition in closed form.  When the strongest
+    direction explains at least ``explained`` of the variance, the other one
+    is the weak direction and the score is the absolute deviation of the
+    point from the neighbourhood mean along it; otherwise no weak subspace
+    exists and the score is 0.
+    """
+    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
+                           F.col(lat).cast("double").alias("_nx"), F.col(lon).cast("double").alias("_ny"))
+    mom = (nb.join(coords, [key, "nid"]).groupBy(key, pid)
+             .agg(F.avg("_nx").alias("_mx"), F.avg("_ny").alias("_my"),
+                  F.var_pop("_nx").alias("_a"), F.covar_pop("_nx", "_ny").alias("_b"),
+                  F.var_pop("_ny").alias("_c")))
+    half = (F.col("_a") + F.col("_c")) / F.lit(2.0)
+    rad = F.sqrt(F.pow((F.col("_a") - F.col("_c")) / F.lit(2.0), 2) + F.col("_b") * F.col("_b"))
+    l1, l2 = half + rad, half - rad
+    # eigenvector of the smaller eigenvalue
+    ex = F.when(F.col("_b") != 0, l2 - F.col("_c")).when(F.col("_a") <= F.col("_c"), F.lit(1.0)) \
+          .otherwise(F.lit(0.0))
+    ey = F.when(F.col("_b") != 0, F.col("_b")).when(F.col("_a") <= F.col("_c"), F.lit(0.0)) \
+          .otherwise(F.lit(1.0))
+    norm = F.sqrt(ex * ex + ey * ey)
+    own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
+                        F.col(lat).cast("double").alias("_px"), F.col(lon).cast("double").alias("_py"))
+    dev = F.abs((F.col("_px") - F.col("_mx")) * ex + (F.col("_py") - F.col("_my")) * ey) / norm
+    strong = F.try_divide(l1, l1 + l2) >= F.lit(explained)
+    sc = (mom.join(own, [key, pid])
+             .select(key, pid, F.when(strong & (norm > 0), dev).otherwise(F.lit(0.0)).alias("OutlierScore")))
+    return _attach(points, sc, key, pid)

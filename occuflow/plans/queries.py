@@ -473,6 +473,19 @@ FROM cells c JOIN res r ON r.Species = c.Species AND r.H3 = c.H3 JOIN mom m ON m
            """mom AS (SELECT Species, AVG(e) AS em, stddev_samp(e) AS es FROM res GROUP BY Species)""",
        ], "occurrences"))
 
+_COP_L1 = "((m.a + m.c) / 2.0 + sqrt(power((m.a - m.c) / 2.0, 2) + m.b * m.b))"
+_COP_L2 = "((m.a + m.c) / 2.0 - sqrt(power((m.a - m.c) / 2.0, 2) + m.b * m.b))"
+_COP_EX = f"(CASE WHEN m.b <> 0 THEN {_COP_L2} - m.c WHEN m.a <= m.c THEN 1.0 ELSE 0.0 END)"
+_COP_EY = "(CASE WHEN m.b <> 0 THEN m.b WHEN m.a <= m.c THEN 0.0 ELSE 1.0 END)"
+_COP_NORM = f"sqrt({_COP_EX} * {_COP_EX} + {_COP_EY} * {_COP_EY})"
+_knn_query("simple_cop", knn.simple_cop, "sc.v", [
+    f"""mo AS (SELECT n.Species, n.H3, AVG(o.LAT) AS mx, AVG(o.LON) AS my, var_pop(o.LAT) AS a,
+  covar_pop(o.LAT, o.LON) AS b, var_pop(o.LON) AS c FROM nb n
+  JOIN cells o ON o.Species = n.Species AND o.H3 = n.nid WHERE n.rnk <= {K} GROUP BY n.Species, n.H3)""",
+    f"""sc AS (SELECT m.Species, m.H3, CASE WHEN {_COP_L1} / ({_COP_L1} + {_COP_L2}) >= 0.85 AND {_COP_NORM} > 0
+  THEN abs((p.LAT - m.mx) * {_COP_EX} + (p.LON - m.my) * {_COP_EY}) / {_COP_NORM} ELSE 0.0 END AS v
+  FROM mo m JOIN cells p ON p.Species = m.Species AND p.H3 = m.H3)"""])
+
 QUERIES["knn_sos"] = (
     lambda spark, d: knn.knn_sos(_cells(_fx(spark, d)).drop("cell"), 3 * K)
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
