@@ -569,3 +569,59 @@ def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species"
     sc = (mom.join(own, [key, pid])
              .select(key, pid, F.when(strong & (norm > 0), dev).otherwise(F.lit(0.0)).alias("OutlierScore")))
     return _attach(points, sc, key, pid)
+
+
+def _attr_diffs(points, k, attr, key, pid, lat, lon):
+    """Neighbour rows with |attr(p) - attr(o)| over N_k(p) (ties included)."""
+    nb = _knn_rows(points, k, key, pid, lat, lon)
+    na = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
+                       F.col(attr).cast("double").alias("_na"))
+    own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
+                        F.col(attr).cast("double").alias("_a"))
+    return (nb.join(na, [key, "nid"]).join(own, [key, pid])
+              .withColumn("_ad", F.abs(F.col("_a") - F.col("_na"))))
+
+
+def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """Spatial outlier factor (D24): LOF with spatial kNN neighbourhoods and
+    attribute differences as distances.  lrd = 1 / mean |attr difference|
+    (NULL when all neighbours share the attribute); SOF = mean neighbour lrd
+    / own lrd."""
+    d = _attr_diffs(points, k, attr, key, pid, lat, lon)
+    lrd = d.groupBy(key, pid).agg(F.try_divide(F.lit(1.0), F.avg("_ad")).alias("_lrd"))
+    nl = lrd.select(key, F.col(pid).alias("nid"), F.col("_lrd").alias("_nl"))
+    sc = (d.select(key, pid, "nid").join(nl, [key, "nid"]).groupBy(key, pid)
+           .agg(F.avg("_nl").alias("_m")).join(lrd, [key, pid])
+           .select(key, pid, F.try_divide(F.col("_m"), F.col("_lrd")).alias("OutlierScore")))
+    return _attach(points, sc, key, pid)
+
+
+def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON"):
+    """Spatial local outlier measure (D24, Chawla & Sun 2006).
+
+    d~(p) = mean |attr difference| over N_k(p) without its largest value;
+    over N = N_k(p) and p: avg = mean d~, n+ / n- = members with d~ above /
+    below avg (equal within 1e-9 relative counts as neither), beta =
+    (max(n+, n-) - min(n+, n-)) / (|N| - 2) (0 when |N| <= 2); SLOM = d~(p)
+    * beta / (1 + avg).
+    """
+    d = _attr_diffs(points, k, attr, key, pid, lat, lon)
+    dt = (d.groupBy(key, pid)
+           .agg(F.when(F.count(F.lit(1)) > 1,
+                       (F.sum("_ad") - F.max("_ad")) / (F.count(F.lit(1)) - F.lit(1)))
+                 .otherwise(F.max("_ad")).alias("_dt")))
+    members = (d.select(key, pid, "nid").unionByName(
+                  dt.select(key, pid, F.col(pid).alias("nid")))
+                .join(dt.select(key, F.col(pid).alias("nid"), F.col("_dt").alias("_ndt")), [key, "nid"]))
+    avg = members.groupBy(key, pid).agg(F.avg("_ndt").alias("_avg"), F.count(F.lit(1)).alias("_n"))
+    # Members equal to the mean count as neither above nor below it; the
+    # tolerance absorbs summation-order rounding of the mean.
+    tol = F.lit(1e-9) * (F.lit(1.0) + F.abs(F.col("_avg")))
+    osc = (members.join(avg, [key, pid]).groupBy(key, pid, "_avg", "_n")
+                  .agg(F.count_if(F.col("_ndt") - F.col("_avg") > tol).alias("_up"),
+                       F.count_if(F.col("_avg") - F.col("_ndt") > tol).alias("_dn")))
+    beta = F.when(F.col("_n") > 2, (F.greatest("_up", "_dn") - F.least("_up", "_dn"))
+                  / (F.col("_n") - F.lit(2))).otherwise(F.lit(0.0))
+    sc = (osc.join(dt, [key, pid])
+             .select(key, pid, (F.col("_dt") * beta / (F.lit(1.0) + F.col("_avg"))).alias("OutlierScore")))
+    return _attach(points, sc, key, pid)

@@ -486,6 +486,47 @@ _knn_query("simple_cop", knn.simple_cop, "sc.v", [
   THEN abs((p.LAT - m.mx) * {_COP_EX} + (p.LON - m.my) * {_COP_EY}) / {_COP_NORM} ELSE 0.0 END AS v
   FROM mo m JOIN cells p ON p.Species = m.Species AND p.H3 = m.H3)"""])
 
+_ATTR_CTES = (S.counts_ctes() + _LARGE_SQL + [
+    f"""cid AS (SELECT species AS Species, {_cid} AS cell, COUNT(*) AS n_records FROM occurrences
+  WHERE species IN (SELECT species FROM large) AND decimallatitude IS NOT NULL AND decimallongitude IS NOT NULL
+  GROUP BY species, cell)""",
+    f"""cells AS (SELECT {_clat} AS LAT, {_clon} AS LON, {OUTLIER_GRID.cell_string_sql('cell')} AS H3,
+  Species, n_records FROM cid)""",
+] + _knn_ctes()[len(_CELLS_SQL):] + [
+    """ad AS (SELECT n.Species, n.H3, n.nid, abs(CAST(p.n_records AS DOUBLE) - o.n_records) AS d FROM nb n
+  JOIN cells o ON o.Species = n.Species AND o.H3 = n.nid JOIN cells p ON p.Species = n.Species AND p.H3 = n.H3)""",
+])
+
+
+def _attr_query(name: str, fn, ctes: list[str]):
+    # Scores here are ratios of small integers and often end exactly in a 5
+    # at the 7th decimal; the two engines can land one ulp either side of
+    # it, so both round (v + 1e-12) to make exact halves round alike.
+    QUERIES[name] = (
+        lambda spark, d: fn(_cells_with_counts(_fx(spark, d)), K, "n_records")
+                            .withColumn("OutlierScore", F.round(F.col("OutlierScore") + F.lit(1e-12), 6)),
+        _q("""SELECT c.LAT, c.LON, c.H3, c.Species, c.n_records, ROUND(sc.v + 1e-12, 6) AS OutlierScore
+FROM cells c LEFT JOIN sc ON sc.Species = c.Species AND sc.H3 = c.H3""", _ATTR_CTES + ctes, "occurrences"))
+
+
+_attr_query("sof", knn.sof, [
+    """lrd AS (SELECT Species, H3, 1.0 / NULLIF(AVG(d), 0) AS l FROM ad GROUP BY Species, H3)""",
+    """sc AS (SELECT a.Species, a.H3, AVG(o.l) / MAX(p.l) AS v FROM ad a
+  JOIN lrd o ON o.Species = a.Species AND o.H3 = a.nid JOIN lrd p ON p.Species = a.Species AND p.H3 = a.H3
+  GROUP BY a.Species, a.H3)"""])
+_attr_query("slom", knn.slom, [
+    """dt AS (SELECT Species, H3, CASE WHEN COUNT(*) > 1 THEN (SUM(d) - MAX(d)) / (COUNT(*) - 1)
+  ELSE MAX(d) END AS t FROM ad GROUP BY Species, H3)""",
+    """mem AS (SELECT a.Species, a.H3, x.t FROM (SELECT Species, H3, nid FROM ad
+  UNION ALL SELECT Species, H3, H3 FROM dt) a JOIN dt x ON x.Species = a.Species AND x.H3 = a.nid)""",
+    """av AS (SELECT Species, H3, AVG(t) AS avg_t, COUNT(*) AS n FROM mem GROUP BY Species, H3)""",
+    """osc AS (SELECT m.Species, m.H3, MAX(v.avg_t) AS avg_t, MAX(v.n) AS n,
+  COUNT(*) FILTER (WHERE m.t - v.avg_t > 1e-9 * (1.0 + abs(v.avg_t))) AS up,
+  COUNT(*) FILTER (WHERE v.avg_t - m.t > 1e-9 * (1.0 + abs(v.avg_t))) AS dn
+  FROM mem m JOIN av v ON v.Species = m.Species AND v.H3 = m.H3 GROUP BY m.Species, m.H3)""",
+    """sc AS (SELECT o.Species, o.H3, d.t * (CASE WHEN o.n > 2 THEN (greatest(o.up, o.dn) - least(o.up, o.dn))
+  / (o.n - 2.0) ELSE 0.0 END) / (1.0 + o.avg_t) AS v FROM osc o JOIN dt d ON d.Species = o.Species AND d.H3 = o.H3)"""])
+
 QUERIES["knn_sos"] = (
     lambda spark, d: knn.knn_sos(_cells(_fx(spark, d)).drop("cell"), 3 * K)
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
