@@ -281,7 +281,7 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, se
     return out.join(res, ["_k", "_id"], "left").drop("_k", "_id")
 
 
-def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 50, tol: float = 1e-6,
+def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float = 1e-3,
                seed: int = 42, key: str = "Species", pid: str = "H3", lat: str = "LAT",
                lon: str = "LON") -> DataFrame:
     """EM outlier score (D26): a k-component 2-D Gaussian mixture per group
@@ -291,9 +291,10 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 50, tol: float = 1
     E-step: each point meets its group's component array (k entries,
     broadcast when small) and computes responsibilities with higher-order
     functions in the scan.  M-step: responsibility-weighted sums per (group,
-    component), partially aggregated map-side.  Stops when the mean
-    log-likelihood of every group changes by less than ``tol`` (one count per
-    round reaches the driver) or after ``max_iter`` rounds.  Initial means:
+    component), partially aggregated map-side.  Stops when the per-point
+    mean log-likelihood of every group changes by less than ``tol`` (1e-3,
+    the usual convention of mixture-model fitting; one count per round
+    reaches the driver) or after ``max_iter`` rounds.  Initial means:
     the k points with the smallest seeded hash; initial covariance: the
     group's covariance; a 1e-6 ridge keeps covariances invertible.
     """
@@ -334,10 +335,16 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 50, tol: float = 1
     prev = None
     for _ in range(max_iter):
         e = e_step(arr)
-        resp = (e.select("_k", "_x", "_y", F.posexplode(F.transform(
-                    "_dens", lambda v: v / F.greatest(F.col("_tot"), F.lit(1e-300)))).alias("c", "_r")))
-        m = (resp.groupBy("_k", "c")
-                 .agg(F.sum("_r").alias("_n"), F.sum(F.col("_r") * F.col("_x")).alias("_sx"),
+        resp = (e.select("_k", "_x", "_y", F.log(F.greatest("_tot", F.lit(1e-300))).alias("_lt"),
+                         F.posexplode(F.transform(
+                             "_dens", lambda v: v / F.greatest(F.col("_tot"), F.lit(1e-300))))
+                         .alias("c", "_r")))
+        # One pass per round: the component sums and, on component 0 only
+        # (one row per point), the log-likelihood terms.
+        m = cut_lineage(resp.groupBy("_k", "c")
+                 .agg(F.sum(F.when(F.col("c") == 0, F.col("_lt"))).alias("_ll0"),
+                      F.sum(F.when(F.col("c") == 0, F.lit(1))).alias("_np"),
+                      F.sum("_r").alias("_n"), F.sum(F.col("_r") * F.col("_x")).alias("_sx"),
                       F.sum(F.col("_r") * F.col("_y")).alias("_sy"),
                       F.sum(F.col("_r") * F.col("_x") * F.col("_x")).alias("_sxx"),
                       F.sum(F.col("_r") * F.col("_x") * F.col("_y")).alias("_sxy"),
@@ -349,8 +356,7 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 50, tol: float = 1
                         (F.col("_sxx") / F.col("_n") - mx * mx + F.lit(ridge)).alias("sxx"),
                         (F.col("_sxy") / F.col("_n") - mx * my).alias("sxy"),
                         (F.col("_syy") / F.col("_n") - my * my + F.lit(ridge)).alias("syy")))
-        ll = cut_lineage(e.groupBy("_k").agg(F.avg(F.log(F.greatest("_tot", F.lit(1e-300))))
-                                             .alias("_ll")))
+        ll = m.where(F.col("c") == 0).select("_k", (F.col("_ll0") / F.col("_np")).alias("_ll"))
         arr = as_arrays(new)
         if prev is not None:
             changed = (ll.join(prev.withColumnRenamed("_ll", "_pl"), "_k")
