@@ -629,7 +629,7 @@ def _clusters(spark, d):
 
 def _sweep_sql() -> str:
     d = S.haversine_sql("a", "b")
-    flags = ", ".join(f"CASE WHEN s.reach_dist > {e!r} THEN 1.0 ELSE 0.0 END AS noise_{int(e)}"
+    flags = ", ".join(f"CAST(CASE WHEN s.reach_dist > {e!r} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS noise_{int(e)}"
                       for e in SWEEP_EPS)
     ctes = _CELLS_SQL + [
         f"""sp AS (SELECT a.Species, a.H3, b.H3 AS nid, floor({d} * 1000.0 + 0.5) / 1000.0 AS dm

@@ -99,9 +99,9 @@ def dbscan_ctes(points: str, eps_m: float, minpts: int, name: str = "scored") ->
   ON a.Species = b.Species AND {d} <= {eps_m!r} GROUP BY a.Species, a.H3)""",
         f"""{name}_core AS (SELECT p.* FROM {points} p JOIN {name}_n n ON p.Species = n.Species AND p.H3 = n.H3
   WHERE n.n >= {minpts})""",
-        f"""{name} AS (SELECT a.*, CASE WHEN n.n < {minpts} AND NOT EXISTS (
+        f"""{name} AS (SELECT a.*, CAST(CASE WHEN n.n < {minpts} AND NOT EXISTS (
     SELECT 1 FROM {name}_core b WHERE b.Species = a.Species AND {d} <= {eps_m!r})
-  THEN 1.0 ELSE 0.0 END AS OutlierScore
+  THEN 1.0 ELSE 0.0 END AS DOUBLE) AS OutlierScore
   FROM {points} a JOIN {name}_n n ON a.Species = n.Species AND a.H3 = n.H3)""",
     ]
 
