@@ -556,11 +556,14 @@ def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species"
     half = (F.col("_a") + F.col("_c")) / F.lit(2.0)
     rad = F.sqrt(F.pow((F.col("_a") - F.col("_c")) / F.lit(2.0), 2) + F.col("_b") * F.col("_b"))
     l1, l2 = half + rad, half - rad
-    # eigenvector of the smaller eigenvalue
-    ex = F.when(F.col("_b") != 0, l2 - F.col("_c")).when(F.col("_a") <= F.col("_c"), F.lit(1.0)) \
-          .otherwise(F.lit(0.0))
-    ey = F.when(F.col("_b") != 0, F.col("_b")).when(F.col("_a") <= F.col("_c"), F.lit(0.0)) \
-          .otherwise(F.lit(1.0))
+    # Eigenvector of the smaller eigenvalue: (l2 - c, b) and (b, l2 - a) are
+    # both solutions; the one with the larger norm is the numerically stable
+    # choice (the other vanishes when b is near 0).
+    u1x, u1y = l2 - F.col("_c"), F.col("_b")
+    u2x, u2y = F.col("_b"), l2 - F.col("_a")
+    first = (u1x * u1x + u1y * u1y) >= (u2x * u2x + u2y * u2y)
+    ex = F.when(first, u1x).otherwise(u2x)
+    ey = F.when(first, u1y).otherwise(u2y)
     norm = F.sqrt(ex * ex + ey * ey)
     own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
                         F.col(lat).cast("double").alias("_px"), F.col(lon).cast("double").alias("_py"))

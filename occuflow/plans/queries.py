@@ -475,8 +475,9 @@ FROM cells c JOIN res r ON r.Species = c.Species AND r.H3 = c.H3 JOIN mom m ON m
 
 _COP_L1 = "((m.a + m.c) / 2.0 + sqrt(power((m.a - m.c) / 2.0, 2) + m.b * m.b))"
 _COP_L2 = "((m.a + m.c) / 2.0 - sqrt(power((m.a - m.c) / 2.0, 2) + m.b * m.b))"
-_COP_EX = f"(CASE WHEN m.b <> 0 THEN {_COP_L2} - m.c WHEN m.a <= m.c THEN 1.0 ELSE 0.0 END)"
-_COP_EY = "(CASE WHEN m.b <> 0 THEN m.b WHEN m.a <= m.c THEN 0.0 ELSE 1.0 END)"
+_COP_FIRST = (f"(power({_COP_L2} - m.c, 2) + m.b * m.b >= m.b * m.b + power({_COP_L2} - m.a, 2))")
+_COP_EX = f"(CASE WHEN {_COP_FIRST} THEN {_COP_L2} - m.c ELSE m.b END)"
+_COP_EY = f"(CASE WHEN {_COP_FIRST} THEN m.b ELSE {_COP_L2} - m.a END)"
 _COP_NORM = f"sqrt({_COP_EX} * {_COP_EX} + {_COP_EY} * {_COP_EY})"
 _knn_query("simple_cop", knn.simple_cop, "sc.v", [
     f"""mo AS (SELECT n.Species, n.H3, AVG(o.LAT) AS mx, AVG(o.LON) AS my, var_pop(o.LAT) AS a,
