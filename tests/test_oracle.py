@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from occuflow.plans import queries as registry
 from conftest import SF_SMALL
 from oracle import compare, duck
 
-ORACLES = entry.oracle_sql()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,9 @@ NO_SQL = {"cof", "isolation_forest", "knn_sos", "kmeans_minus_minus", "em_outlie
 
 
 def test_every_query_has_an_oracle_or_brute_force_test():
-    assert set(entry.queries()) == set(ORACLES) | NO_SQL
+    assert set(registry.queries()) == set(ORACLES) | NO_SQL
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(NO_SQL))
