@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from occuflow.llm import fingerprint, quality_rules, secret_scan, url_filter
+from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, quality_rules, secret_scan,
+                          suffix_dedup, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_winnowing": fingerprint.op6_winnowing,
+    "op7_pack_windows": packing.op7_pack_windows,
+    "op8_kneser_ney": lm_score.op8_kneser_ney,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {

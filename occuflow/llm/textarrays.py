@@ -157,34 +157,46 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def winnow(data: np.ndarray, offsets: np.ndarray, k: int, w: int
-           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, Rolling, np.ndarray]:
-    """Winnowing: the minimal k-gram of every window of ``w`` k-grams, rightmost on ties.
+def window_choices(laid: np.ndarray, starts: np.ndarray, n_grams: np.ndarray, n_windows: np.ndarray,
+                   k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Rolling]:
+    """The minimal k-gram, rightmost on ties, of the first ``n_windows`` windows of each text.
 
-    Returns ``(text index, position in its text, k-gram hash)`` of the chosen
-    k-grams in text order, and the rolling hash over the padded layout with
-    the texts' starts in it.  A text with fewer than ``w`` k-grams has one
-    window; one of fewer than ``k`` bytes has no k-gram.
+    ``laid`` holds the texts from ``starts``, each followed by at least
+    ``k + w`` bytes of padding.  Returns (window starts, chosen places, k-gram
+    hashes by place, rolling hash), places being offsets in ``laid``.
     """
-    laid, starts = padded(data, offsets, k + w)
     rolling = Rolling(laid)
-    n_grams = np.diff(offsets) - k + 1
     grams = rolling.windows(k)
     place = np.arange(len(grams), dtype=np.uint64)
     ranked = (grams & U64(0xFFFFFFFF00000000)) | (U64(0xFFFFFFFF) - place)
-    owner_end = starts + np.maximum(n_grams, 0)
-    valid = np.zeros(len(grams) + 1, dtype=np.int8)
     has = n_grams > 0
-    valid[starts[has]] += 1
-    valid[owner_end[has]] -= 1
-    ranked[np.cumsum(valid[:-1]) == 0] = U64(_MASK)
+    inside = np.zeros(len(grams) + 1, dtype=np.int8)
+    inside[starts[has]] = 1
+    np.add.at(inside, starts[has] + n_grams[has], -1)
+    ranked[np.cumsum(inside[:-1]) == 0] = U64(_MASK)
     least = sliding_min(ranked, w) if len(ranked) >= w else np.empty(0, np.uint64)
-    n_windows = np.where(has, np.maximum(n_grams - w + 1, 1), 0)
+    has = n_windows > 0
     mark = np.zeros(len(least) + 1, dtype=np.int8)
-    mark[starts[has]] += 1
+    mark[starts[has]] = 1
     np.add.at(mark, starts[has] + n_windows[has], -1)
     begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
     at = (U64(0xFFFFFFFF) - (least[begin] & U64(0xFFFFFFFF))).astype(np.int64)
+    return begin, at, grams, rolling
+
+
+def winnow(data: np.ndarray, offsets: np.ndarray, k: int, w: int
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, Rolling, np.ndarray]:
+    """Winnowing: the minimal k-gram of every window of ``w`` k-grams, rightmost on ties.
+
+    Returns ``(text index, position in its text, k-gram hash)`` of the chosen
+    k-grams in text order, and the rolling hash over the padded layout with
+    the texts' starts in it.  A text with fewer than ``w`` k-grams has one
+    window; one of fewer than ``k`` bytes has no k-gram.
+    """
+    laid, starts = padded(data, offsets, k + w)
+    n_grams = np.maximum(np.diff(offsets) - k + 1, 0)
+    n_windows = np.where(n_grams > 0, np.maximum(n_grams - w + 1, 1), 0)
+    _, at, grams, rolling = window_choices(laid, starts, n_grams, n_windows, k, w)
     keep = np.ones(len(at), dtype=bool)
     keep[1:] = at[1:] != at[:-1]
     at = at[keep]
