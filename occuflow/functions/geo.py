@@ -15,13 +15,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Mean Earth radius (metres) and the km-per-radian constant
-# used when clustering raw records with a haversine metric.
+# Fixed value: mean Earth radius (metres).
 EARTH_RADIUS_M = 6371008.8
-KMS_PER_RADIAN = 6371.0088
 # WGS84 ellipsoid.
 WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
+HALF_MERIDIAN_M = 20003931.4586
 # Sphere vs. spheroid distances differ by less than this relative amount.
 SPHEROID_BAND = 0.007
 
@@ -85,6 +84,7 @@ def _vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
     sinU1, cosU1, sinU2, cosU2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
     lam = L.copy()
     sin_sigma = cos_sigma = sigma = cos2_alpha = cos2_sm = np.zeros_like(L)
+    unsettled = np.zeros(len(L), dtype=bool)
     for _ in range(iters):
         sin_lam, cos_lam = np.sin(lam), np.cos(lam)
         sin_sigma = np.sqrt((cosU2 * sin_lam) ** 2 + (cosU1 * sinU2 - sinU1 * cosU2 * cos_lam) ** 2)
@@ -98,7 +98,8 @@ def _vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
         lam_prev = lam
         lam = L + (1 - C) * f * sin_alpha * (
             sigma + C * sin_sigma * (cos2_sm + C * cos_sigma * (-1 + 2 * cos2_sm ** 2)))
-        if np.all(np.abs(lam - lam_prev) < 1e-12):
+        unsettled = ~(np.abs(lam - lam_prev) < 1e-12)
+        if not unsettled.any():
             break
     u2 = cos2_alpha * (a * a - b * b) / (b * b)
     A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
@@ -106,7 +107,9 @@ def _vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
     dsig = B * sin_sigma * (cos2_sm + B / 4 * (cos_sigma * (-1 + 2 * cos2_sm ** 2)
                                                - B / 6 * cos2_sm * (-3 + 4 * sin_sigma ** 2)
                                                * (-3 + 4 * cos2_sm ** 2)))
-    return b * A * (sigma - dsig)
+    # The iteration only fails for nearly antipodal pairs; their distance is
+    # within 0.2 % of the half meridian.
+    return np.where(unsettled, HALF_MERIDIAN_M, b * A * (sigma - dsig))
 
 
 @F.pandas_udf(DoubleType())

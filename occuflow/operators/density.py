@@ -333,7 +333,9 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
         raise NotImplementedError(f"{method} labels are not built; use DBSCAN")
     if eps_km is None:
         raise ValueError(f"epsilon_km must be provided for {method}")
-    grp = F.col(by).cast("string") if by else F.lit("")
+    # a NULL group is a group of its own
+    grp = (F.when(F.col(by).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(by).cast("string")))
+           if by else F.lit(""))
     valid = F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
     pts = (df.where(valid).groupBy(grp.alias("_g"), F.col(lat_col).alias("_la"),
                                    F.col(lon_col).alias("_lo"))

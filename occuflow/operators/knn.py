@@ -8,25 +8,23 @@ neighbourhood ``N_k(p)`` holds every point within the k-distance of ``p``
 (ties included, as in Breunig et al. 2000), so results do not depend on how
 ties are broken.
 
-Plan (no all-pairs per group):
-
-1. Each point is placed in a pyramid of 3-D cubes (Earth-centred
-   coordinates), edge ``a_L = a_0 / 2^L``, with ``a_0`` larger than the
-   Earth's diameter.  One aggregate counts the points per (group, level,
-   cube).
-2. ``L*`` = the finest level at which the point's own cube holds at least
-   ``k + 1`` points.  Its k-th neighbour is then within the cube diagonal
-   ``sqrt(3) * a_L*``, so the 27 cubes around it at level ``L* - 1`` (edge
-   ``2 a_L*``) are guaranteed to hold all k nearest.
-3. Round 1 tries level ``L*`` itself (its 27 cubes hold at least k other
-   points); a point is resolved there when its k-th candidate distance is
-   within the edge, the radius the 27 cubes are certain to cover.
-   Unresolved points take the guaranteed level ``L* - 1`` in round 2.
-   Groups with at most k points use the top level, where the 27 cubes cover
-   the whole sphere.
-
-Candidates per point are the points of 27 cubes sized to the local density,
-so the work follows the data, not the square of the largest group.
+Plan (branch and bound over a cube pyramid, no all-pairs per group):
+
+1. Points lie in a pyramid of 3-D cubes (Earth-centred coordinates) whose
+   edge shrinks four-fold a level.  One aggregate per level gives each cube's
+   count and the tight box around its points.
+2. The finest cube around a point that holds ``k + 1`` points bounds its
+   k-distance from above: the farthest corner of that cube's tight box.
+3. A frontier of cubes per point starts one level above that cube, with the
+   (at most 8) cubes that the bound reaches.  Each round drops cubes whose
+   box lies beyond the bound, tightens the bound by the cubes' counts, and
+   replaces cubes of many points by their children.  Far queries see a dense
+   patch as a few boxes until they reach its near edge.
+4. Only the points of the last cubes are ranked, and only rows within the
+   k-distance leave the join.
+
+Rounds grow with the logarithm of the largest group, rows per point with the
+cubes within its bound, not with the group.
 """
 
 from __future__ import annotations
@@ -40,109 +38,138 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, ecef, haversine_m
-from occuflow.session import cut_lineage, ship_package, spread
+from occuflow.session import cut_lineage, ship_package
 
-LEVELS = 26  # a_0 ~ 2.02 R_earth down to ~0.2 m
+# Cube edges shrink by 2 ** STEP a level: about 2.02 R_earth down to 0.8 m.
+STEP, LEVELS = 2, 13
+# Absolute slack on chord bounds (m): ranks compare distances in whole
+# millimetres, and haversine and chord differ by rounding.
+SLACK_M = 0.01
 
 
 def _top_side() -> float:
     return 2.02 * EARTH_RADIUS_M
 
 
-def _side(level: int) -> float:
-    return _top_side() / (2 ** level)
+def _side(level) -> F.Column:
+    return F.lit(_top_side()) / F.pow(F.lit(2.0 ** STEP), level)
 
 
 def _dist_mm(lat1, lon1, lat2, lon2):
     return F.floor(haversine_m(lat1, lon1, lat2, lon2) * F.lit(1000.0) + F.lit(0.5)).cast("long")
 
 
-def _cube(coord: str, level_col) -> F.Column:
-    side = F.lit(_top_side()) / F.pow(F.lit(2.0), level_col)
-    return F.floor(F.col(coord) / side).cast("long")
+_CUBE = ("_cx", "_cy", "_cz")
+_AXES = ("_x", "_y", "_z")
 
 
-def knn(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
-        lat: str = "LAT", lon: str = "LON") -> DataFrame:
-    """Neighbour rows ``(key, pid, nid, dist_m, rank)`` for every point.
+def _box_distance(far: bool) -> F.Column:
+    """Chord from the point (_x, _y, _z) to the nearest or farthest spot of a box."""
+    total = F.lit(0.0)
+    for a in _AXES:
+        low, high = F.col(f"{a}0") - F.col(a), F.col(a) - F.col(f"{a}1")
+        # low > 0: the box lies above the point; high > 0: below it
+        d = F.greatest(F.abs(low), F.abs(high)) if far else F.greatest(low, high, F.lit(0.0))
+        total = total + d * d
+    return F.sqrt(total)
 
-    Holds every neighbour within the k-distance (ties included), ranked by
-    (distance, neighbour id); ``rank`` <= k for the k nearest.  Points that
-    are alone in their group get no rows.
-    """
+
+def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
+                   lat: str = "LAT", lon: str = "LON") -> DataFrame:
+    """Pairs ``(_k, _id, _nid, _dmm)`` that hold every point's k nearest and their ties."""
     if k is None or int(k) != k or k < 1:
         raise ValueError("k must be a positive integer")
     x, y, z = ecef("_lat", "_lon")
     pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
                                     F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
                             .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z))
+    node = ["_k", "_lv", *_CUBE]
+    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    for c, a in zip(_CUBE, _AXES):
+        lv = lv.withColumn(c, F.floor(F.col(a) / _side(F.col("_lv"))).cast("long"))
+    boxes = cut_lineage(lv.groupBy(*node).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[f(a).alias(f"{a}{i}") for a in _AXES for i, f in ((0, F.min), (1, F.max))]))
+    box_cols = [f"{a}{i}" for a in _AXES for i in (0, 1)]
+
+    # 2. the finest own cube of k + 1 points and the bound it gives.
+    own = (lv.select("_id", *node, *_AXES).join(boxes.where(F.col("_n") > k), node)
+             .groupBy("_k", "_id").agg(F.max(F.struct("_lv", _box_distance(True).alias("_far"))).alias("_m")))
+    start = (pts.join(own, ["_k", "_id"], "left")
+                .withColumn("_ub", F.coalesce(F.col("_m._far") + F.lit(SLACK_M), F.lit(math.inf)))
+                .withColumn("_lv", F.greatest(F.coalesce(F.col("_m._lv"), F.lit(0)) - 1, F.lit(0)))
+                .drop("_m"))
+
+    # 3. the cubes around the bound's ball at the level above.
+    reach = F.least(F.col("_ub"), F.lit(_top_side()))
+    first = start
+    for c, a in zip(_CUBE, _AXES):
+        side, top = _side(F.col("_lv")), F.lit(EARTH_RADIUS_M)
+        first = first.withColumn(c, F.explode(F.sequence(
+            F.floor(F.greatest(F.col(a) - reach, -top) / side).cast("long"),
+            F.floor(F.least(F.col(a) + reach, top) / side).cast("long"))))
+    query = ["_k", "_id", "_lat", "_lon", *_AXES, "_ub"]
+    frontier = first.select(*query, "_lv", *_CUBE).join(boxes, node)
+    parents = boxes.select("_k", F.col("_lv").alias("_clv"), *[F.col(c).alias(f"{c}c") for c in _CUBE],
+                           *[F.floor(F.col(c) / 2 ** STEP).cast("long").alias(c) for c in _CUBE],
+                           (F.col("_lv") - 1).alias("_lv"), F.col("_n").alias("_cn"),
+                           *[F.col(b).alias(f"{b}c") for b in box_cols])
+    last = None
+    for _ in range(LEVELS + 1):
+        inside = F.lit(True)
+        for c, a in zip(_CUBE, _AXES):
+            inside = inside & (F.col(c) == F.floor(F.col(a) / _side(F.col("_lv"))))
+        near = (frontier.withColumn("_near", _box_distance(False)).where(F.col("_near") <= F.col("_ub"))
+                        .withColumn("_far", _box_distance(True)))
+        w = Window.partitionBy("_k", "_id")
+        held = F.sum(F.col("_n") - F.when(inside, 1).otherwise(0)).over(w.orderBy("_far", "_lv", *_CUBE))
+        near = (near.withColumn("_held", held)
+                    .withColumn("_ub", F.least("_ub", F.coalesce(
+                        F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(w) + F.lit(SLACK_M), F.col("_ub"))))
+                    .where(F.col("_near") <= F.col("_ub"))
+                    .withColumn("_split", (F.col("_n") > k + 1) & (F.col("_lv") < LEVELS - 1)))
+        step = cut_lineage(near.select(*query, "_lv", *_CUBE, "_n", *box_cols, "_split"))
+        if step.where("_split").isEmpty():
+            last = step
+            break
+        children = (step.where("_split").select(*query, "_lv", *_CUBE).join(parents, node)
+                        .select(*query, F.col("_clv").alias("_lv"), *[F.col(f"{c}c").alias(c) for c in _CUBE],
+                                F.col("_cn").alias("_n"), *[F.col(f"{b}c").alias(b) for b in box_cols]))
+        frontier = step.where("NOT _split").drop("_split").unionByName(children)
+
+    # 4. the points of the last cubes.
+    ends = last.select("_k", "_id", "_lat", "_lon", "_lv", *_CUBE)
+    members = lv.select(*node, F.col("_id").alias("_nid"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"))
+    return (ends.join(members, node).where(F.col("_id") != F.col("_nid"))
+                .select("_k", "_id", "_nid", _dist_mm("_lat", "_lon", "_nlat", "_nlon").alias("_dmm")))
+
 
-    # 1-2. cube pyramid counts and the per-point level L*.
-    lv = pts.select("_k", "_id", "_x", "_y", "_z",
-                    F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_lv"))
-    lv = (lv.withColumn("_cx", _cube("_x", F.col("_lv")))
-            .withColumn("_cy", _cube("_y", F.col("_lv")))
-            .withColumn("_cz", _cube("_z", F.col("_lv"))))
-    occupancy = lv.groupBy("_k", "_lv", "_cx", "_cy", "_cz").agg(F.count(F.lit(1)).alias("_n"))
-    finest = (lv.join(occupancy, ["_k", "_lv", "_cx", "_cy", "_cz"])
-                .where(F.col("_n") >= k + 1)
-                .groupBy("_k", "_id").agg(F.max("_lv").alias("_lstar")))
-    plan = cut_lineage(pts.join(finest, ["_k", "_id"], "left")
-                          .withColumn("_lstar", F.coalesce("_lstar", F.lit(0))))
-
-    def candidates(probe: DataFrame, level_col: str) -> DataFrame:
-        offs = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("dz"))
-                         for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
-        pr = (probe.withColumn("_lv", F.col(level_col))
-                   .withColumn("_cx", _cube("_x", F.col("_lv")))
-                   .withColumn("_cy", _cube("_y", F.col("_lv")))
-                   .withColumn("_cz", _cube("_z", F.col("_lv")))
-                   .withColumn("_o", F.explode(offs))
-                   .select("_k", "_id", "_lat", "_lon", "_lv",
-                           (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
-                           (F.col("_cy") + F.col("_o.dy")).alias("_cy"),
-                           (F.col("_cz") + F.col("_o.dz")).alias("_cz")))
-        levels = pr.select("_k", "_lv").distinct()
-        tg = (pts.join(levels, "_k")
-                 .select("_k", "_lv", F.col("_id").alias("_nid"), F.col("_lat").alias("_nlat"),
-                         F.col("_lon").alias("_nlon"),
-                         _cube("_x", F.col("_lv")).alias("_cx"),
-                         _cube("_y", F.col("_lv")).alias("_cy"),
-                         _cube("_z", F.col("_lv")).alias("_cz")))
-        keys = ["_k", "_lv", "_cx", "_cy", "_cz"]
-        cand = (spread(pr, *keys).join(spread(tg, *keys), keys)
-                  .where(F.col("_id") != F.col("_nid"))
-                  .select("_k", "_id", "_lv", "_nid",
-                          _dist_mm("_lat", "_lon", "_nlat", "_nlon").alias("_dmm")))
-        w = Window.partitionBy("_k", "_id").orderBy("_dmm", "_nid")
-        ranked = cand.withColumn("_rank", F.row_number().over(w))
-        kd = (ranked.where(F.col("_rank") == k)
-                    .select("_k", "_id", F.col("_dmm").alias("_kdmm")))
-        return ranked.join(kd, ["_k", "_id"], "left")
-
-    def covered(level_col: str, kdmm: str) -> F.Column:
-        # chord of (k-distance + 1 mm) within the cube edge of that level
-        arc = (F.col(kdmm) + F.lit(1)) / F.lit(1000.0)
-        chord = F.lit(2 * EARTH_RADIUS_M) * F.sin(F.least(arc / F.lit(2 * EARTH_RADIUS_M),
-                                                          F.lit(math.pi / 2)))
-        side = F.lit(_top_side()) / F.pow(F.lit(2.0), F.col(level_col))
-        return F.col(kdmm).isNotNull() & (chord <= side)
-
-    # Round 1: level L* (its 27 cubes may already suffice).
-    first = plan.withColumn("_try", F.col("_lstar"))
-    r1 = cut_lineage(candidates(first, "_try"))
-    ok1 = r1.where(covered("_lv", "_kdmm") | (F.col("_lv") == 0))
-    done1 = ok1.select("_k", "_id").distinct()
-    # Round 2: guaranteed level L* - 1 for the rest.
-    second = (plan.join(done1, ["_k", "_id"], "left_anti")
-                  .withColumn("_sure", F.greatest(F.col("_lstar") - 1, F.lit(0))))
-    r2 = candidates(second, "_sure")
-    rows = ok1.unionByName(r2)
-    keep = F.col("_kdmm").isNull() | (F.col("_dmm") <= F.col("_kdmm"))
-    return (rows.where(keep)
-                .select(F.col("_k").alias(key), F.col("_id").alias(pid),
-                        F.col("_nid").alias("nid"), (F.col("_dmm") / F.lit(1000.0)).alias("dist_m"),
-                        F.col("_rank").alias("rank")))
+def knn(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
+        lat: str = "LAT", lon: str = "LON") -> DataFrame:
+    """Neighbour rows ``(key, pid, nid, dist_m, rank)`` for every point.
+
+    Holds every neighbour within the k-distance (ties included), ranked by
+    (distance, neighbour id); ``rank`` <= k for the k nearest.  Points that
+    are alone in their group get no rows.
+    """
+    cand = knn_candidates(points, k, key, pid, lat, lon)
+    w = Window.partitionBy("_k", "_id").orderBy("_dmm", "_nid")
+    kth = F.max(F.when(F.col("_rank") == k, F.col("_dmm"))).over(Window.partitionBy("_k", "_id"))
+    ranked = cand.withColumn("_rank", F.row_number().over(w)).withColumn("_kdmm", kth)
+    return (ranked.where(F.col("_kdmm").isNull() | (F.col("_dmm") <= F.col("_kdmm")))
+                  .select(F.col("_k").alias(key), F.col("_id").alias(pid), F.col("_nid").alias("nid"),
+                          (F.col("_dmm") / F.lit(1000.0)).alias("dist_m"), F.col("_rank").alias("rank")))
+
+
+def _ratio(a, b) -> F.Column:
+    """a / b in the limit of coincident points: equal zeros or infinities give 1,
+    anything else over zero infinity, anything finite over infinity 0."""
+    a, b = (F.col(v) if isinstance(v, str) else v for v in (a, b))
+    a, b = a.cast("double"), b.cast("double")
+    inf = F.lit(math.inf)
+    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+             .when(((a == 0) & (b == 0)) | ((a == inf) & (b == inf)), F.lit(1.0))
+             .when(b == 0, inf).otherwise(F.try_divide(a, b)))
 
 
 def _attach(points: DataFrame, scores: DataFrame, key: str, pid: str) -> DataFrame:
@@ -196,17 +223,17 @@ def lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     nb = cut_lineage(knn(points, k, key, pid, lat, lon))
     st = _kstats(nb, k, key, pid)
     if simplified:
-        dens = st.select(key, pid, (F.col("nk") / F.col("nsum")).alias("_lrd"))
+        dens = st.select(key, pid, _ratio("nk", "nsum").alias("_lrd"))
     else:
         kd = st.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_okd"))
         reach = (nb.join(kd, [key, "nid"])
                    .withColumn("_r", F.greatest("_okd", "dist_m")))
         dens = (reach.groupBy(key, pid)
-                     .agg((F.count(F.lit(1)) / F.sum("_r")).alias("_lrd")))
+                     .agg(_ratio(F.count(F.lit(1)), F.sum("_r")).alias("_lrd")))
     nd = dens.select(key, F.col(pid).alias("nid"), F.col("_lrd").alias("_nlrd"))
     ratio = (nb.join(nd, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nlrd").alias("_m"))
                .join(dens, [key, pid])
-               .select(key, pid, (F.col("_m") / F.col("_lrd")).alias("OutlierScore")))
+               .select(key, pid, _ratio("_m", "_lrd").alias("OutlierScore")))
     return _attach(points, ratio, key, pid)
 
 
@@ -290,8 +317,7 @@ def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LO
     nkd = kd.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_nkd"))
     m = (nb.where(F.col("rank") <= k).join(nkd, [key, "nid"])
            .groupBy(key, pid).agg(F.avg("_nkd").alias("_m")))
-    sc = kd.join(m, [key, pid]).select(key, pid, F.try_divide(F.col("kdist"), F.col("_m"))
-                                      .alias("OutlierScore"))
+    sc = kd.join(m, [key, pid]).select(key, pid, _ratio("kdist", "_m").alias("OutlierScore"))
     return _attach(points, sc, key, pid)
 
 
@@ -300,13 +326,13 @@ def inflo(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LO
     score = mean density over the influence space / own density."""
     nb = _knn_rows(points, k, key, pid, lat, lon)
     den = (_kstats(nb, k, key, pid)
-           .select(key, pid, (F.lit(1.0) / F.col("kdist")).alias("_den")))
+           .select(key, pid, _ratio(F.lit(1.0), F.col("kdist")).alias("_den")))
     fwd = nb.where(F.col("rank") <= k).select(key, pid, "nid")
     rev = fwd.select(key, F.col("nid").alias(pid), F.col(pid).alias("nid"))
     space = fwd.unionByName(rev).distinct()
     nden = den.select(key, F.col(pid).alias("nid"), F.col("_den").alias("_nden"))
     m = space.join(nden, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nden").alias("_m"))
-    sc = den.join(m, [key, pid]).select(key, pid, (F.col("_m") / F.col("_den")).alias("OutlierScore"))
+    sc = den.join(m, [key, pid]).select(key, pid, _ratio("_m", "_den").alias("OutlierScore"))
     return _attach(points, sc, key, pid)
 
 
@@ -336,14 +362,14 @@ def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", l
     npd = pd_.select(key, F.col(pid).alias("nid"), F.col("_pd").alias("_npd"))
     plof = (nb.join(npd, [key, "nid"]).groupBy(key, pid).agg(F.avg("_npd").alias("_m"))
               .join(pd_, [key, pid])
-              .select(key, pid, (F.col("_pd") / F.col("_m") - F.lit(1.0)).alias("_plof")))
-    norm = plof.groupBy(key).agg((F.lit(lam) * F.sqrt(F.avg(F.col("_plof") * F.col("_plof"))))
-                                 .alias("_n"))
+              .select(key, pid, (_ratio("_pd", "_m") - F.lit(1.0)).alias("_plof")))
+    # a point whose neighbours all coincide with theirs has an infinite PLOF: LoOP 1
+    finite = F.when(F.col("_plof") < math.inf, F.col("_plof"))
+    norm = plof.groupBy(key).agg((F.lit(lam) * F.sqrt(F.avg(finite * finite))).alias("_n"))
     sc = (plof.join(norm, key)
-              .select(key, pid, F.greatest(F.lit(0.0),
-                                           erf(F.try_divide(F.col("_plof"),
-                                                            F.col("_n") * F.lit(math.sqrt(2.0)))))
-                      .alias("OutlierScore")))
+              .select(key, pid, F.when(F.col("_plof") == math.inf, F.lit(1.0)).otherwise(
+                  F.greatest(F.lit(0.0), erf(F.try_divide(F.col("_plof"), F.col("_n") * F.lit(math.sqrt(2.0))))))
+                  .alias("OutlierScore")))
     return _attach(points, sc, key, pid)
 
 
@@ -429,14 +455,17 @@ def kernel_density_lof(points: DataFrame, k: int, key="Species", pid="H3", lat="
     st = _kstats(nb, k, key, pid).select(key, pid, "kdist")
     okd = st.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_okd"))
     own = st.select(key, pid, F.col("kdist").alias("_h"))
-    u = F.greatest("dist_m", "_okd") / F.col("_h")
-    kern = F.exp(-u * u / F.lit(2.0)) / (F.lit(2.0 * math.pi) * F.col("_h") * F.col("_h"))
+    # a point with k coincident neighbours has bandwidth 0: infinite density
+    u = F.try_divide(F.greatest("dist_m", "_okd"), F.col("_h"))
+    kern = F.when(F.col("_h") > 0, F.try_divide(F.exp(-u * u / F.lit(2.0)),
+                                                F.lit(2.0 * math.pi) * F.col("_h") * F.col("_h"))
+                  ).otherwise(F.lit(math.inf))
     dens = (nb.join(okd, [key, "nid"]).join(own, [key, pid])
               .groupBy(key, pid).agg(F.avg(kern).alias("_dens")))
     nd = dens.select(key, F.col(pid).alias("nid"), F.col("_dens").alias("_nd"))
     sc = (nb.join(nd, [key, "nid"]).groupBy(key, pid).agg(F.avg("_nd").alias("_m"))
             .join(dens, [key, pid])
-            .select(key, pid, F.try_divide(F.col("_m"), F.col("_dens")).alias("OutlierScore")))
+            .select(key, pid, _ratio("_m", "_dens").alias("OutlierScore")))
     return _attach(points, sc, key, pid)
 
 

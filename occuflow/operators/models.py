@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 import zlib
 
 import numpy as np
@@ -207,18 +208,19 @@ def top_n_per_group(df: DataFrame, group: str, order: list, n: int, uid: str,
                 .drop("_salt", "_r1", "_gn"))
 
 
-def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, seed: int = 42,
+def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, seed: int = 42,
                        key: str = "Species", pid: str = "H3", lat: str = "LAT",
                        lon: str = "LON") -> DataFrame:
     """k-means-- (D27, Chawla & Gionis 2013) per group on planar (lat, lon).
 
     Each round: distance of every point to its nearest centre; the ``l``
     farthest points of the group are set aside; centres are recomputed from
-    the rest.  Stops when no centre moves (one count per round reaches the
-    driver) or after ``max_iter`` rounds.  Initial centres: the k points with
+    the rest.  A group leaves the rounds once none of its centres moves (one
+    count per round reaches the driver).  Initial centres: the k points with
     the smallest seeded hash.  Output: ``cluster`` (index of the nearest
-    centre), ``OutlierScore`` (distance to it) and ``is_outlier`` (among the
-    l set aside in the last round).
+    centre), ``OutlierScore`` (distance to it), ``is_outlier`` (among the
+    l set aside in the last round) and ``converged``: false for a group whose
+    centres still moved after ``max_iter`` rounds.
 
     The centres of a group travel as one small array (k entries) and the
     nearest one is chosen with higher-order functions inside the scan, so
@@ -247,7 +249,7 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, se
                    .select("_k", "_id", "_x", "_y", F.col("_best.c").alias("cluster"),
                            F.sqrt(F.col("_best.d2")).alias("_d")))
 
-    arr = as_arrays(centres)
+    arr, done, moving = as_arrays(centres), [], centres
     for _ in range(max_iter):
         assigned = cut_lineage(nearest(arr))
         far = top_n_per_group(assigned, "_k", [F.col("_d").desc()], l, "_id") if l else None
@@ -264,10 +266,15 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, se
                               | (F.abs(F.coalesce("_y", "_oy") - F.col("_oy")) > F.lit(1e-9)))
                              .alias("_moved")))
         merged = cut_lineage(merged)
-        moved = merged.where("_moved").count()
-        arr = as_arrays(merged.drop("_moved"))
-        if moved == 0:
+        still = merged.where("_moved").select("_k").distinct()
+        done.append(merged.join(still, "_k", "left_anti").drop("_moved").withColumn("converged", F.lit(True)))
+        moving = merged.join(still, "_k", "left_semi").drop("_moved")
+        arr = as_arrays(moving)
+        if arr.isEmpty():
             break
+    settled = reduce(DataFrame.unionByName, [*done, moving.withColumn("converged", F.lit(False))])
+    arr = as_arrays(settled.drop("converged"))
+    converged = settled.select("_k", "converged").distinct()
     final = cut_lineage(nearest(arr))
     far = (top_n_per_group(final, "_k", [F.col("_d").desc()], l, "_id")
            .select("_k", "_id", F.lit(True).alias("is_outlier")) if l else None)
@@ -276,7 +283,7 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 30, se
         res = res.join(far, ["_k", "_id"], "left")
     else:
         res = res.withColumn("is_outlier", F.lit(None).cast("boolean"))
-    res = res.withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False)))
+    res = res.withColumn("is_outlier", F.coalesce("is_outlier", F.lit(False))).join(converged, "_k")
     out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid).cast("string"))
     return out.join(res, ["_k", "_id"], "left").drop("_k", "_id")
 
@@ -291,10 +298,12 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
     E-step: each point meets its group's component array (k entries,
     broadcast when small) and computes responsibilities with higher-order
     functions in the scan.  M-step: responsibility-weighted sums per (group,
-    component), partially aggregated map-side.  Stops when the per-point
-    mean log-likelihood of every group changes by less than ``tol`` (1e-3,
-    the usual convention of mixture-model fitting; one count per round
-    reaches the driver) or after ``max_iter`` rounds.  Initial means:
+    component), partially aggregated map-side.  A group leaves the rounds when
+    its per-point mean log-likelihood changes by at most ``tol`` (1e-3, the
+    usual convention of mixture-model fitting; one count per round reaches
+    the driver); ``converged`` is false for a group that had not settled after
+    ``max_iter`` rounds.  Densities stay logarithms throughout, so points far
+    from every component keep their mass and their order.  Initial means:
     the k points with the smallest seeded hash; initial covariance: the
     group's covariance; a 1e-6 ridge keeps covariances invertible.
     """
@@ -319,26 +328,24 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
             F.struct("c", "w", "mx", "my", "sxx", "sxy", "syy"))).alias("_cs"))
         return broadcast_if_small(arr, max_rows=1_000_000)
 
-    def weighted_density(s):
+    def log_density(s):
         det = s["sxx"] * s["syy"] - s["sxy"] * s["sxy"]
         dx, dy = F.col("_x") - s["mx"], F.col("_y") - s["my"]
         q = (s["syy"] * dx * dx - F.lit(2.0) * s["sxy"] * dx * dy + s["sxx"] * dy * dy) / det
-        return s["w"] * F.exp(-q / F.lit(2.0)) / (F.lit(2.0 * math.pi) * F.sqrt(det))
+        return F.log(s["w"]) - q / F.lit(2.0) - F.lit(math.log(2.0 * math.pi)) - F.log(det) / F.lit(2.0)
 
     def e_step(arr: DataFrame) -> DataFrame:
-        dens = F.transform(F.col("_cs"), weighted_density)
-        return (pts.join(arr, "_k").withColumn("_dens", dens)
-                   .withColumn("_tot", F.aggregate("_dens", F.lit(0.0), lambda a, v: a + v))
-                   .withColumn("_best", F.array_max("_dens")))
+        return (pts.join(arr, "_k").withColumn("_ld", F.transform(F.col("_cs"), log_density))
+                   .withColumn("_best", F.array_max("_ld"))
+                   .withColumn("_lt", F.col("_best") + F.log(F.aggregate(
+                       "_ld", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("_best"))))))
 
     arr = as_arrays(comps)
-    prev = None
+    prev, done, moving = None, [], comps
     for _ in range(max_iter):
         e = e_step(arr)
-        resp = (e.select("_k", "_x", "_y", F.log(F.greatest("_tot", F.lit(1e-300))).alias("_lt"),
-                         F.posexplode(F.transform(
-                             "_dens", lambda v: v / F.greatest(F.col("_tot"), F.lit(1e-300))))
-                         .alias("c", "_r")))
+        resp = e.select("_k", "_x", "_y", "_lt",
+                        F.posexplode(F.transform("_ld", lambda v: F.exp(v - F.col("_lt")))).alias("c", "_r"))
         # One pass per round: the component sums and, on component 0 only
         # (one row per point), the log-likelihood terms.
         m = cut_lineage(resp.groupBy("_k", "c")
@@ -356,16 +363,22 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
                         (F.col("_sxx") / F.col("_n") - mx * mx + F.lit(ridge)).alias("sxx"),
                         (F.col("_sxy") / F.col("_n") - mx * my).alias("sxy"),
                         (F.col("_syy") / F.col("_n") - my * my + F.lit(ridge)).alias("syy")))
+        new = cut_lineage(new)
         ll = m.where(F.col("c") == 0).select("_k", (F.col("_ll0") / F.col("_np")).alias("_ll"))
-        arr = as_arrays(new)
+        still = ll.select("_k")
         if prev is not None:
-            changed = (ll.join(prev.withColumnRenamed("_ll", "_pl"), "_k")
-                         .where(F.abs(F.col("_ll") - F.col("_pl")) > F.lit(tol)).count())
-            if changed == 0:
-                break
+            still = (ll.join(prev.withColumnRenamed("_ll", "_pl"), "_k")
+                       .where(F.abs(F.col("_ll") - F.col("_pl")) > F.lit(tol)).select("_k"))
+            done.append(new.join(still, "_k", "left_anti").withColumn("converged", F.lit(True)))
+        moving = new.join(still, "_k", "left_semi")
+        arr = as_arrays(moving)
+        if arr.isEmpty():
+            break
         prev = ll
-    final = e_step(arr).select("_k", "_id", (-F.log(F.greatest("_best", F.lit(1e-300))))
-                               .alias("OutlierScore"))
+    settled = reduce(DataFrame.unionByName, [*done, moving.withColumn("converged", F.lit(False))])
+    converged = settled.select("_k", "converged").distinct()
+    final = (e_step(as_arrays(settled.drop("converged")))
+             .select("_k", "_id", (-F.col("_best")).alias("OutlierScore")).join(converged, "_k"))
     out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid).cast("string"))
     return out.join(final, ["_k", "_id"], "left").drop("_k", "_id")
 

@@ -159,10 +159,8 @@ def flag_outliers(scores: DataFrame, mode: str = "medium", threshold: float | No
         if by:
             df = scores.join(thr, by, "left")
         else:
-            # One global number: bring the single aggregated value back as a literal.
-            row = thr.first()
-            df = scores.withColumn("_thr", F.lit(None if row is None else row["_thr"])
-                                   .cast("double"))
+            # One aggregate row, joined by broadcast: nothing runs while the plan is built.
+            df = scores.join(F.broadcast(thr), F.lit(True), "left")
     else:
         raise ValueError(f"unknown outlier mode {mode!r}")
     s = F.col(score)

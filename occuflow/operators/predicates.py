@@ -225,7 +225,9 @@ def select_extinct(taxonomy: DataFrame, higher_taxa=DEFAULT_HIGHER_TAXA,
     df = taxonomy.where((F.col("taxonrank") == "SPECIES") & (F.col("status") == "ACCEPTED")
                         & F.col("isextinct")
                         & F.col("highertaxonkey").isin(*[int(k) for k in higher_taxa]))
-    if dataset_key is not None and "datasetkey" in taxonomy.columns:
+    if dataset_key is not None:
+        if "datasetkey" not in taxonomy.columns:
+            raise ValueError("dataset_key given, but the taxonomy has no datasetkey column")
         df = df.where(F.col("datasetkey") == dataset_key)
 
     def field(name: str) -> Column:

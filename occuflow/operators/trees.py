@@ -73,7 +73,8 @@ def tree_stats(counts: DataFrame, tips: DataFrame, with_source: bool = True) ->
     source = (tips.where(F.col("stage") == "source").groupBy("tree")
                   .agg(F.count(F.lit(1)).alias("SpeciesInSourceTree"))
                   .withColumnRenamed("tree", "Tree"))
-    stats = (stats.join(source, "Tree", "inner")
+    # A tree without a source tree is still reported, its source columns NULL.
+    stats = (stats.join(source, "Tree", "left")
              .withColumn("OverallTreeTipsNotInGBIF",
                          F.col("SpeciesInSourceTree") - F.col("SpeciesInGBIF"))
              .withColumn("Pct_NameMatchedSpecies", percent("SpeciesInTree", "SpeciesInSourceTree"))

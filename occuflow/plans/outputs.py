@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from occuflow.operators.pool import species_list
+from occuflow.plans.pipeline import Params, run
+from occuflow.session import stage_scope
 from occuflow.sources import sinks
 
 
@@ -39,3 +41,11 @@ def write_outputs(results: dict[str, DataFrame], outdir: str, userid: str | None
     sinks.write_pooled(results["binned"], p["filtered"], rows_per_file=rows_per_file, level=14)
     return p
 
+
+
+def run_and_write(occ: DataFrame, tips: DataFrame, outdir: str, extinct: DataFrame | None = None,
+                  params: Params = Params(), userid: str | None = None,
+                  rows_per_file: int = 300_000) -> dict[str, str]:
+    """A whole run with its published tables; its stage tables go at the end."""
+    with stage_scope(occ.sparkSession):
+        return write_outputs(run(occ, tips, extinct, params), outdir, userid, rows_per_file)

@@ -16,12 +16,12 @@ from occuflow.functions.cells import Graticule, with_cells
 from occuflow.operators.binning import bin_counts, species_cells
 from occuflow.operators.counts import species_counts
 from occuflow.operators.density import dbscan_noise
-from occuflow.operators.outliers import (checked_flagged_cells, drop_flagged, outlier_summary,
+from occuflow.operators.outliers import (checked_flagged_cells, outlier_summary,
                                          remove_outliers)
 from occuflow.operators.pool import pool_species, species_list
 from occuflow.operators.predicates import DEFAULT_BASIS, apply_basis, parse_basis
 from occuflow.operators.trees import split_species, tree_stats
-from occuflow.session import broadcast_if_small
+from occuflow.session import broadcast_if_small, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,8 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
     lists is binned once, as Large.
     """
     out: dict[str, DataFrame] = {}
-    counts = species_counts(occ, params.basis)
+    # Cut once: four of the run's tables read the counts.
+    counts = cut_lineage(species_counts(occ, params.basis))
     out["counts"] = counts
     out["tree_stats"] = tree_stats(counts, tips)
     split = split_species(counts, tips, params.occurrence_threshold)
@@ -86,10 +87,10 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
     if params.nodbscan:
         kept = tagged
     else:
-        cells = species_cells(occ, params.outlier_cells, large, params.basis)
+        cells = cut_lineage(species_cells(occ, params.outlier_cells, large, params.basis))
         scored = dbscan_noise(cells, params.dbscan_eps_m, params.dbscan_minpts,
                               geomodel=params.geomodel)
-        scores = scored.select(F.col("H3").alias("H3Index"), "Species", "OutlierScore")
+        scores = cut_lineage(scored.select(F.col("H3").alias("H3Index"), "Species", "OutlierScore"))
         out["cells"] = cells
         out["scores"] = scores
         out["outlier_summary"] = outlier_summary(scores, params.summary_threshold)
@@ -99,10 +100,11 @@ def run(occ: DataFrame, tips: DataFrame, extinct: DataFrame | None = None,
         with_cell = (with_cells(tagged, params.outlier_cells, out="_ocell")
                      .withColumn("h3_index", params.outlier_cells.cell_string("_ocell")))
         # Small-list records never match a flagged (species, cell): only
-        # Large-list copies are checked.
-        is_large = F.col("occ_group") == "Large"
-        checked = drop_flagged(with_cell.where(is_large), flagged=flagged)
-        kept = checked.unionByName(with_cell.where(~is_large)).drop("_ocell", "h3_index")
+        # Large-list copies are checked, by a condition of the one anti-join.
+        bad = flagged.select(F.col("species").alias("_fs"), F.col("h3_index").alias("_fc"))
+        kept = with_cell.join(
+            bad, (F.col("occ_group") == "Large") & (F.col("species") == F.col("_fs"))
+            & (F.col("h3_index") == F.col("_fc")), "left_anti").drop("_ocell", "h3_index")
     binned = bin_counts(kept, params.final_cells, None, None, extra_keys=("occ_group",))
     out["binned"] = binned.drop("occ_group")
     return out

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
+# Open stage scopes: stage paths written since each began (see stage_scope).
+_SCOPES: list[list[str]] = []
+
+
+def _write_stage(df: DataFrame) -> str:
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/occuflow-stage-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
@@ -76,28 +90,51 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     computes it twice), and the re-read carries file statistics that AQE
     uses for its join choices.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/occuflow-stage-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(_write_stage(df))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-# Rows a broadcast side may hold.  Species lists and flagged-cell sets are
-# bounded by the number of species / cells, not by record volume; their row
-# count is checked on a materialised (checkpointed) frame before broadcasting.
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Delete the stage tables written inside the block when it ends.
+
+    For runs that write their results themselves: frames built inside must
+    not be used after the block.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            fs, p = _hadoop_path(spark, path)
+            fs.delete(p, True)
+
+
+# What a broadcast side may hold, checked on its written table: rows and bytes
+# of (compressed) Parquet.  Species lists and flagged-cell sets are bounded by
+# the number of species / cells, not by record volume.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Checkpoint ``df`` and mark it for broadcast only if its row count is small.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Write ``df`` as a stage and mark it for broadcast only if it is small.
 
-    The count runs on the checkpoint (cheap).  Above the bound the frame is
-    returned unmarked and the join falls back to a shuffle join, where AQE
-    splits skewed partitions.
+    Both the table's bytes and its rows are checked (cheap on the written
+    table).  Above either bound the frame is returned unmarked and the join
+    falls back to a shuffle join, where AQE splits skewed partitions.
     """
-    df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    spark = df.sparkSession
+    path = _write_stage(df)
+    df = spark.read.parquet(path)
+    fs, p = _hadoop_path(spark, path)
+    small = fs.getContentSummary(p).getLength() <= max_bytes and df.count() <= max_rows
+    return F.broadcast(df) if small else df
 
 
 _SHIPPED: set[str] = set()

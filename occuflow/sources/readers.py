@@ -82,8 +82,8 @@ def read_scores(spark: SparkSession, path: str, header: bool = False) -> DataFra
 
 
 def read_species_list(spark: SparkSession, path: str) -> DataFrame:
-    """One species name per line (S5); names with commas or quotes survive."""
-    return (spark.read.text(path).select(F.col("value").cast("string").alias("species"))
+    """One species name per line (S5), trimmed; names with commas or quotes survive."""
+    return (spark.read.text(path).select(F.trim(F.col("value").cast("string")).alias("species"))
                  .where(F.length("species") > 0))
 
 
@@ -111,7 +111,7 @@ def read_extinct(spark: SparkSession, path: str) -> DataFrame:
 
 
 # Newick: a tip label follows "(" or "," and ends before ":", ",", ")" or "[".
-_NEWICK_TIP = r"[(,]\s*('[^']*'|[^\s(),:;\[\]']+)"
+_NEWICK_TIP = r"[(,]\s*('(?:[^']|'')*'|[^\s(),:;\[\]']+)"
 
 
 def tree_format(path: str) -> str:
@@ -146,8 +146,8 @@ def read_tree_tips(spark: SparkSession, path: str, tree: str, stage: str = "proc
         translate = F.regexp_extract("t", r"(?is)\btranslate\b(.*?);", 1)
         taxlabels = F.regexp_extract("t", r"(?is)\btaxlabels\b(.*?);", 1)
         from_translate = F.regexp_extract_all(
-            translate, F.lit(r"(?s)\S+\s+('[^']*'|[^\s,;']+)\s*(?:,|$)"), 1)
-        from_taxlabels = F.regexp_extract_all(taxlabels, F.lit(r"('[^']*'|[^\s;']+)"), 1)
+            translate, F.lit(r"(?s)\S+\s+('(?:[^']|'')*'|[^\s,;']+)\s*(?:,|$)"), 1)
+        from_taxlabels = F.regexp_extract_all(taxlabels, F.lit(r"('(?:[^']|'')*'|[^\s;']+)"), 1)
         tips = F.when(F.length(F.trim(translate)) > 0, from_translate).otherwise(from_taxlabels)
     return (text.select(F.explode(tips).alias("tip"))
                 .select(F.lit(tree).alias("tree"), F.lit(stage).alias("stage"),

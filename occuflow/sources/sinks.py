@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occuflow.operators.counts import sorted_counts
+from occuflow.session import cut_lineage
 
 
 def check_zstd_level(level) -> int:
@@ -32,13 +33,14 @@ def write_pooled(df: DataFrame, path: str, rows_per_file: int = 300_000, level:
                  mode: str = "overwrite") -> None:
     """Evenly sized Parquet files: one row group of ``rows_per_file`` rows each.
 
-    The input is first spread over ceil(rows / rows_per_file) partitions (the
-    row count is one cheap aggregate), so each task writes about one full
-    file and tails stay few.
+    The input is written once as a stage table, whose count is free, and then
+    spread over ceil(rows / rows_per_file) partitions, so each task writes
+    about one full file and tails stay few.
     """
     check_zstd_level(level)
     if rows_per_file <= 0:
         raise ValueError("rows_per_file must be positive")
+    df = cut_lineage(df)
     n = df.count()
     parts = max(1, math.ceil(n / rows_per_file))
     (df.repartition(parts).write.mode(mode)
