@@ -4,14 +4,14 @@ descriptive tables (A8-A11).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from occuflow.functions.cells import with_cells
 from occuflow.functions.text import percent, round_half_away
 from occuflow.operators.binning import restrict_species
 from occuflow.operators.predicates import apply_basis
-from occuflow.session import broadcast_if_small
+from occuflow.session import broadcast_if_small, cut_lineage
 
 SCORE_COLUMNS = ("H3Index", "Species", "OutlierScore")
 # Fixed value: cells scoring at or above this are removed (the reference's
@@ -68,6 +68,53 @@ def remove_outliers(occ: DataFrame, scores: DataFrame, indexer, species: DataFra
     return drop_flagged(df, scores, flagged).select(*cols, "h3_index")
 
 
+# Bins per group of the exact quantiles: a task ranks about 1/256 of a group's values.
+QUANTILE_BINS = 256
+
+
+def exact_quantiles(values: DataFrame, probs: list[float], by: list[str], value: str) -> DataFrame:
+    """``by`` columns, ``n`` and ``q``: exact linear-interpolation quantiles (R type 7).
+
+    No buffer holds a group's values.  Distinct values are counted; a sketch
+    of bounded size splits them into ``QUANTILE_BINS`` bins of about equal
+    size; exact bin counts say which bins hold the wanted ranks, and only the
+    values of those bins are ranked, each bin in its own task.  NULL values
+    are ignored; a group without values has no row.
+    """
+    key = F.struct(*by) if by else F.lit(0)
+    per_value = cut_lineage(values.where(F.col(value).isNotNull())
+                            .groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+                            .withColumn("_g", key))
+    cuts = per_value.groupBy("_g").agg(
+        F.sum("_w").alias("_n"),
+        F.percentile_approx("_v", [i / QUANTILE_BINS for i in range(1, QUANTILE_BINS)], 10_000).alias("_c"))
+    binned = (per_value.join(cuts.select("_g", "_c"), "_g")
+              .withColumn("_b", F.size(F.filter("_c", lambda c: c < F.col("_v")))).drop("_c"))
+    bins = binned.groupBy("_g", "_b").agg(F.sum("_w").alias("_bn"))
+    before = F.coalesce(F.sum("_bn").over(
+        Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pos = lambda p: F.lit(float(p)) * (F.col("_n") - 1)
+    ranks = cuts.select("_g", F.explode(F.array_distinct(F.flatten(F.array(*[
+        F.array(F.floor(pos(p)), F.ceil(pos(p))) for p in probs])))).alias("_r"))
+    wanted = (bins.withColumn("_before", before).join(ranks, "_g")
+              .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_bn")))
+              .groupBy("_g", "_b", "_before").agg(F.collect_list("_r").alias("_rs")))
+    inner = F.sum("_w").over(Window.partitionBy("_g", "_b").orderBy("_v"))
+    at = (binned.join(wanted, ["_g", "_b"]).withColumn("_end", F.col("_before") + inner)
+          .withColumn("_rs", F.filter("_rs", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_w"))))
+          .where(F.size("_rs") > 0).select("_g", F.explode("_rs").alias("_r"), "_v"))
+    picked = at.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m")).join(
+        cuts.select("_g", "_n"), "_g")
+
+    def quantile(p: float):
+        x = pos(p)
+        lo, hi = F.col("_m")[F.floor(x)], F.col("_m")[F.ceil(x)]
+        return F.when(F.floor(x) == F.ceil(x), lo).otherwise((F.ceil(x) - x) * lo + (x - F.floor(x)) * hi)
+
+    return picked.select(*[F.col(f"_g.{c}") for c in by], F.col("_n").alias("n"),
+                         F.array(*[quantile(p) for p in probs]).alias("q"))
+
+
 SUMMARY_VARIABLES = (
     "Total_records", "Unique_H3_cells", "Unique_species", "Total_outliers",
     "Average_number_of_outliers_per_species", "Minimum_outlier_score", "Q1_outlier_score",
@@ -78,9 +125,8 @@ SUMMARY_VARIABLES = (
 def outlier_summary(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Ten (Variable, Value) rows in the reference's order.
 
-    One aggregate over the scores for counts, one over per-value counts for
-    the quartiles (exact ``percentile`` with a frequency column, so its
-    buffer holds distinct score values, not rows), then ``stack``.
+    One aggregate over the scores for counts and extremes, exact binned
+    quantiles for the quartiles, then ``stack``.
     """
     t = F.lit(float(threshold))
     is_out = F.col("OutlierScore") > t
@@ -90,12 +136,8 @@ def outlier_summary(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
         F.countDistinct("Species").alias("species"),
         F.count_if(is_out).alias("outliers"),
         F.countDistinct(F.when(is_out, F.col("Species"))).alias("out_species"))
-    per_value = (scores.where(F.col("OutlierScore").isNotNull())
-                       .groupBy("OutlierScore").agg(F.count(F.lit(1)).alias("w")))
-    quart = per_value.agg(
-        F.min("OutlierScore").alias("mn"), F.max("OutlierScore").alias("mx"),
-        F.percentile("OutlierScore", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("w"))
-         .alias("q"))
+    quart = scores.agg(F.min("OutlierScore").alias("mn"), F.max("OutlierScore").alias("mx")).join(
+        F.broadcast(exact_quantiles(scores, [0.25, 0.5, 0.75], [], "OutlierScore")), F.lit(True), "left")
     c = counts.select(
         F.col("n").cast("string").alias("v1"), F.col("cells").cast("string").alias("v2"),
         F.col("species").cast("string").alias("v3"), F.col("outliers").cast("string").alias("v4"),
@@ -129,11 +171,8 @@ def quantile_thresholds(scores: DataFrame, by: str | None = "Species",
     Quantiles are exact with linear interpolation (R's default type 7).
     """
     grp = [by] if by else []
-    per_value = (scores.where(F.col(score).isNotNull() & ~F.isnan(score))
-                       .groupBy(*grp, score).agg(F.count(F.lit(1)).alias("_w")))
-    q = per_value.groupBy(*grp).agg(
-        F.percentile(score, F.array(F.lit(0.25), F.lit(0.75)), F.col("_w")).alias("_q"))
-    out = q.select(*grp, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    q = exact_quantiles(scores.where(~F.isnan(score)), [0.25, 0.75], grp, score)
+    out = q.select(*grp, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     for mode, m in IQR_MULTIPLIER.items():
         out = out.withColumn(f"threshold_{mode}",
                              F.col("q3") + F.lit(m) * (F.col("q3") - F.col("q1")))
@@ -187,16 +226,15 @@ def score_summary(scores: DataFrame, by: str | None = "Species",
     """Six-number summary per group: min, q1, median, mean, q3, max (A10)."""
     grp = [by] if by else []
     valid = scores.where(F.col(score).isNotNull())
+    q = exact_quantiles(valid, [0.25, 0.5, 0.75], grp, score)
     per_value = valid.groupBy(*grp, score).agg(F.count(F.lit(1)).alias("_w"))
-    q = per_value.groupBy(*grp).agg(
-        F.min(score).alias("min_score"),
-        F.percentile(score, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_w")).alias("_q"),
-        (F.sum(F.col(score) * F.col("_w")) / F.sum("_w")).alias("mean_score"),
-        F.max(score).alias("max_score"),
-        F.sum("_w").alias("n_scored"))
-    return q.select(*grp, "min_score", F.col("_q")[0].alias("q1_score"),
-                    F.col("_q")[1].alias("median_score"), "mean_score",
-                    F.col("_q")[2].alias("q3_score"), "max_score", "n_scored")
+    ends = per_value.groupBy(*grp).agg(
+        F.min(score).alias("min_score"), F.max(score).alias("max_score"),
+        (F.sum(F.col(score) * F.col("_w")) / F.sum("_w")).alias("mean_score"))
+    joined = ends.join(q, grp) if grp else ends.join(F.broadcast(q), F.lit(True))
+    return joined.select(*grp, "min_score", F.col("q")[0].alias("q1_score"),
+                         F.col("q")[1].alias("median_score"), "mean_score",
+                         F.col("q")[2].alias("q3_score"), "max_score", F.col("n").alias("n_scored"))
 
 
 def bounding_box(points: DataFrame, by: str | None = "Species", lat: str = "LAT",

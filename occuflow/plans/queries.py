@@ -7,6 +7,7 @@ FIXTURES.md) in full; none runs on made-up input.  ``QUERIES[name]`` is
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from occuflow.operators import (binning, counts, density, knn, models, outliers,
                                 predicates, trees)
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
-from occuflow.session import broadcast_if_small
+from occuflow.session import broadcast_if_small, ensure_checkpoint_dir
+from occuflow.sources import readers, sinks
 from occuflow.sources.fixtures import load_fixture, with_ctes
 
 # Fixed parameters of the registered queries (the reference's defaults where
@@ -311,17 +313,17 @@ FROM cells GROUP BY Species""", _CELLS_SQL, "occurrences"))(
 K = 5
 
 
-def _knn_ctes() -> list[str]:
+def _knn_ctes(k: int = K) -> list[str]:
     d = S.haversine_sql("a", "b")
     return _CELLS_SQL + [
         f"""pairs AS (SELECT a.Species, a.H3, b.H3 AS nid, CAST(floor({d} * 1000.0 + 0.5) AS BIGINT) AS dmm
   FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)""",
         """ranked AS (SELECT *, row_number() OVER (PARTITION BY Species, H3 ORDER BY dmm, nid) AS rnk FROM pairs)""",
-        f"""kd AS (SELECT Species, H3, dmm AS kdmm FROM ranked WHERE rnk = {K})""",
+        f"""kd AS (SELECT Species, H3, dmm AS kdmm FROM ranked WHERE rnk = {k})""",
         """nb AS (SELECT r.Species, r.H3, r.nid, r.dmm / 1000.0 AS dist_m, r.rnk FROM ranked r
   LEFT JOIN kd ON r.Species = kd.Species AND r.H3 = kd.H3 WHERE kd.kdmm IS NULL OR r.dmm <= kd.kdmm)""",
-        f"""kst AS (SELECT Species, H3, MAX(dist_m) FILTER (WHERE rnk <= {K}) AS kdist,
-  SUM(dist_m) FILTER (WHERE rnk <= {K}) AS ksum, COUNT(*) AS nk, SUM(dist_m) AS nsum FROM nb GROUP BY Species, H3)""",
+        f"""kst AS (SELECT Species, H3, MAX(dist_m) FILTER (WHERE rnk <= {k}) AS kdist,
+  SUM(dist_m) FILTER (WHERE rnk <= {k}) AS ksum, COUNT(*) AS nk, SUM(dist_m) AS nsum FROM nb GROUP BY Species, H3)""",
     ]
 
 
@@ -398,9 +400,36 @@ _knn_query("loop", knn.loop, "sc.v", [
     f"""sc AS (SELECT p.Species, p.H3, greatest(0.0, {_erf_sql('(p.pl / (n.np * sqrt(2.0)))')}) AS v
   FROM plof p JOIN nplof n ON n.Species = p.Species)"""])
 
-QUERIES["cof"] = (
-    lambda spark, d: _round6(knn.cof(_cells(_fx(spark, d)).drop("cell"), K), "OutlierScore"),
-    None)
+def _trail_ctes(k: int) -> list[str]:
+    """COF by k explicit extensions of each point's trail (nearest remaining node first)."""
+    out = [
+        f"""node AS (SELECT Species, H3, 0 AS i, LAT, LON FROM cells UNION ALL
+  SELECT n.Species, n.H3, n.rnk AS i, c.LAT, c.LON FROM nb n
+  JOIN cells c ON c.Species = n.Species AND c.H3 = n.nid WHERE n.rnk <= {k})""",
+        f"""hop AS (SELECT a.Species, a.H3, a.i AS a, b.i AS b,
+  floor({S.haversine_sql('a', 'b')} * 1000.0 + 0.5) / 1000.0 AS d
+  FROM node a JOIN node b ON a.Species = b.Species AND a.H3 = b.H3 AND a.i <> b.i)""",
+        """t0 AS (SELECT Species, H3, MAX(i) AS n, [0] AS seen, 0.0 AS total FROM node GROUP BY Species, H3)""",
+    ]
+    for step in range(1, k + 1):
+        out += [
+            f"""h{step} AS (SELECT * FROM (SELECT t.Species, t.H3, h.b, h.d,
+  row_number() OVER (PARTITION BY t.Species, t.H3 ORDER BY h.d, h.a, h.b) AS r
+  FROM t{step - 1} t JOIN hop h ON h.Species = t.Species AND h.H3 = t.H3
+    AND list_contains(t.seen, h.a) AND NOT list_contains(t.seen, h.b)) WHERE r = 1)""",
+            f"""t{step} AS (SELECT t.Species, t.H3, t.n,
+  CASE WHEN h.b IS NULL THEN t.seen ELSE list_append(t.seen, h.b) END AS seen,
+  t.total + COALESCE(2.0 * (t.n + 1 - {step}) / (t.n * (t.n + 1)) * h.d, 0.0) AS total
+  FROM t{step - 1} t LEFT JOIN h{step} h ON h.Species = t.Species AND h.H3 = t.H3)""",
+        ]
+    return out + [
+        f"""ac AS (SELECT Species, H3, total AS ac FROM t{k} WHERE n > 0)""",
+        f"""sc AS (SELECT n.Species, n.H3, MAX(p.ac) / AVG(o.ac) AS v FROM nb n
+  JOIN ac o ON o.Species = n.Species AND o.H3 = n.nid JOIN ac p ON p.Species = n.Species AND p.H3 = n.H3
+  WHERE n.rnk <= {k} GROUP BY n.Species, n.H3)"""]
+
+
+_knn_query("cof", knn.cof, "sc.v", _trail_ctes(K))
 
 HYSORT_BINS = 5
 
@@ -528,10 +557,39 @@ _attr_query("slom", knn.slom, [
     """sc AS (SELECT o.Species, o.H3, d.t * (CASE WHEN o.n > 2 THEN (greatest(o.up, o.dn) - least(o.up, o.dn))
   / (o.n - 2.0) ELSE 0.0 END) / (1.0 + o.avg_t) AS v FROM osc o JOIN dt d ON d.Species = o.Species AND d.H3 = o.H3)"""])
 
+
+def _sos_sql() -> str:
+    """KNNSOS with the bandwidth bisection as a recursive CTE over the interval."""
+    k, h = 3 * K, K
+    weight = f"list_transform(d2, lambda x: exp(-(x - list_min(d2)) * exp({{}})))"
+    mid = weight.format("(lo + hi) / 2")
+    entropy = ("list_sum(list_transform(list_transform(w, lambda x: x / list_sum(w)), "
+               "lambda q: -q * ln(greatest(q, 1e-300))))")
+    body = S.compose(_knn_ctes(k) + [
+        f"""nb15 AS (SELECT Species, H3, list(nid ORDER BY rnk) AS nids, list(dist_m ORDER BY rnk) AS ds
+  FROM nb WHERE rnk <= {k} GROUP BY Species, H3)""",
+        """scaled AS (SELECT Species, H3, nids, least(CAST(%r AS DOUBLE), greatest(len(nids) - 1e-9, 1.0)) AS h,
+  list_transform(ds, lambda x: pow(x / CASE WHEN list_avg(ds) > 0 THEN list_avg(ds) ELSE 1.0 END, 2)) AS d2
+  FROM nb15)""" % float(h),
+        f"""halving AS (SELECT Species, H3, nids, h, d2, 0 AS it, -40.0::DOUBLE AS lo, 40.0::DOUBLE AS hi FROM scaled
+  UNION ALL
+  SELECT Species, H3, nids, h, d2, it + 1, CASE WHEN flat THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN flat THEN hi ELSE (lo + hi) / 2 END
+  FROM (SELECT *, {entropy} > ln(h) AS flat FROM (SELECT *, {mid} AS w FROM halving WHERE it < 60)))""",
+        f"""bound AS (SELECT Species, unnest(nids) AS nid, unnest(list_transform(w, lambda x: x / list_sum(w))) AS b
+  FROM (SELECT *, {mid} AS w FROM halving WHERE it = 60))""",
+        """sc AS (SELECT Species, nid AS H3, exp(SUM(ln(1.0 - least(b, 1.0 - 1e-16)))) AS v
+  FROM bound GROUP BY Species, nid)""",
+    ], """SELECT c.LAT, c.LON, c.H3, c.Species, ROUND(COALESCE(sc.v, 1.0), 6) AS OutlierScore
+FROM cells c LEFT JOIN sc ON c.Species = sc.Species AND c.H3 = sc.H3""")
+    sql = with_ctes(body, "occurrences")
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
 QUERIES["knn_sos"] = (
     lambda spark, d: knn.knn_sos(_cells(_fx(spark, d)).drop("cell"), 3 * K)
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
-    None)
+    _sos_sql())
 
 # Iterative (rounds until no centre moves): checked by the fixed-point test.
 QUERIES["kmeans_minus_minus"] = (
@@ -651,6 +709,99 @@ QUERIES["density_sweep"] = (
     _sweep_sql())
 
 
+# ---------------------------------------------------------------- files and record clustering
+
+def _out(spark: SparkSession) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/occuflow-files-{uuid.uuid4().hex}"
+
+
+@register("files_scores", _q("SELECT * FROM scores", _SCORES_SQL, "occurrences"))
+def _files_scores(spark, d):
+    """Scores written as gzip TSV (S16) and read back."""
+    path = _out(spark)
+    sinks.export_scores(_scores(_fx(spark, d)), path)
+    return readers.read_scores(spark, path, header=True)
+
+
+@register("files_counts", _q("SELECT * FROM counts", S.counts_ctes(), "occurrences"))
+def _files_counts(spark, d):
+    """The count table in export order (O1), as one TSV (S14), read back."""
+    path = _out(spark)
+    sinks.export_counts(counts.species_counts(_fx(spark, d)["occurrences"]), path)
+    return readers.read_counts(spark, path)
+
+
+@register("files_species", _q("SELECT species FROM pooled WHERE occ_group = 'Large'",
+                              S.counts_ctes() + S.split_ctes(THRESHOLD) + S.pooled_ctes(False),
+                              "occurrences", "tree_tips"))
+def _files_species(spark, d):
+    """The pooled Large list as plain text (S18), read back."""
+    path = _out(spark)
+    sinks.export_species(pool.species_list(_pooled(spark, d), "Large"), path)
+    return readers.read_species_list(spark, path)
+
+
+@register("files_tree_lists", _q("SELECT tree, OccGroup, species, NumUniqCoordsRounded2dp FROM split",
+                                 S.counts_ctes() + S.split_ctes(THRESHOLD), "occurrences", "tree_tips"))
+def _files_tree_lists(spark, d):
+    """Per-tree Large/Small lists, one folder each (S19), read back with their folder names."""
+    path, split = _out(spark), _split(spark, d)
+    stats = _coverage(spark, d)
+    sinks.export_tree_tables(stats, split, path)
+    return (spark.read.schema("species string, NumUniqCoordsRounded2dp long, tree string, OccGroup string")
+            .option("sep", "\t").option("header", True).csv(f"{path}/lists")
+            .select("tree", "OccGroup", "species", "NumUniqCoordsRounded2dp"))
+
+
+@register("files_pooled", _pipeline_sql(True))
+def _files_pooled(spark, d):
+    """The binned table in even ZSTD files (S11, S13), read back as a dump."""
+    path = _out(spark)
+    sinks.write_pooled(QUERIES["binned_no_dbscan"][0](spark, d), path, rows_per_file=5_000)
+    return readers.read_occurrences(spark, path)
+
+
+CLUSTER_EPS_KM, CLUSTER_MIN = 20.0, 4
+
+
+def _record_noise_sql() -> str:
+    d = S.haversine_sql("a", "b")
+    eps = repr(CLUSTER_EPS_KM * 1000.0)
+    return _q("""SELECT o.gbifid, o.species, CASE WHEN z.species IS NULL AND o.decimallatitude IS NOT NULL
+    THEN 0 ELSE 1 END AS removed
+FROM occurrences o LEFT JOIN lone z ON z.species = o.species AND z.LAT = o.decimallatitude AND z.LON = o.decimallongitude""", [
+        """spots AS (SELECT species, decimallatitude AS LAT, decimallongitude AS LON, COUNT(*) AS w
+  FROM occurrences WHERE decimallatitude IS NOT NULL GROUP BY ALL)""",
+        f"""close AS (SELECT a.species, a.LAT, a.LON, b.LAT AS LAT2, b.LON AS LON2, b.w FROM spots a JOIN spots b
+  ON a.species = b.species AND abs(a.LAT - b.LAT) <= 0.3 AND {d} <= {eps})""",
+        f"""dense AS (SELECT species, LAT, LON FROM close GROUP BY ALL HAVING SUM(w) >= {CLUSTER_MIN})""",
+        """reached AS (SELECT DISTINCT c.species, c.LAT, c.LON FROM close c
+  JOIN dense k ON k.species = c.species AND k.LAT = c.LAT2 AND k.LON = c.LON2)""",
+        """lone AS (SELECT species, LAT, LON FROM spots ANTI JOIN reached USING (species, LAT, LON))"""],
+              "occurrences")
+
+
+@register("record_clustering", _record_noise_sql())
+def _record_clustering(spark, d):
+    """Raw records clustered per species, noise marked."""
+    kept, gone = density.remove_by_clustering(
+        _fx(spark, d)["occurrences"], CLUSTER_EPS_KM, CLUSTER_MIN, by="species")
+    return (kept.select("gbifid", "species", F.lit(0).alias("removed"))
+            .unionByName(gone.select("gbifid", "species", F.lit(1).alias("removed"))))
+
+
+_LOCATED = {"type": "and", "predicates": [
+    {"type": "equals", "key": "HAS_COORDINATE", "value": "true"}, {"type": "isNotNull", "parameter": "YEAR"}]}
+
+
+@register("located_records", with_ctes("""SELECT gbifid FROM occurrences
+WHERE decimallatitude IS NOT NULL AND decimallongitude IS NOT NULL AND year IS NOT NULL""", "occurrences"))
+def _located(spark, d):
+    """The HAS_COORDINATE leaf, derived from both coordinates."""
+    return predicates.quality_filter(_fx(spark, d)["occurrences"], _LOCATED).select("gbifid")
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in QUERIES.items()}
 

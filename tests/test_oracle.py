@@ -15,10 +15,9 @@ def con():
     return duck(SF_SMALL)
 
 
-# Checked against numpy brute force (test_brute_force.py) instead of SQL:
-# a greedy per-point trail (COF), a per-point bandwidth search (KNNSOS) and a
-# seeded random model (isolation forest), and iterative k-means-- and EM.
-NO_SQL = {"cof", "isolation_forest", "knn_sos", "kmeans_minus_minus", "em_outlier"}
+# Checked against numpy and by properties (test_brute_force.py, test_robustness.py)
+# instead of SQL: a seeded random model, and iterative k-means-- and EM.
+NO_SQL = {"isolation_forest", "kmeans_minus_minus", "em_outlier"}
 
 
 def test_every_query_has_an_oracle_or_brute_force_test():
