@@ -44,8 +44,7 @@ from occuflow.session import cut_lineage, ensure_checkpoint_dir, ship_package
 
 U64 = np.uint64
 END, START = U64(0xE5D0F7A2C4B39681), U64(0x51A7E0B6D38C2F94)
-FLUSH_TOKENS = 4_000_000
-SLICE_TOKENS = 1_000_000
+FLUSH_TOKENS = 1_500_000
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 # Key layout: this many high bits from (context, 4 bits of the token).
 _HIGH = U64(((1 << 24) - 1) << 40)
@@ -139,6 +138,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _count_pairs(n_buckets: int, flush_tokens: int):
     def flush(contexts, toks):
         context, token = np.concatenate(contexts), np.concatenate(toks)
+        contexts.clear()
+        toks.clear()
         key = pair_keys(context, token)
         order = np.argsort(key)
         key = key[order]
@@ -148,8 +149,8 @@ def _count_pairs(n_buckets: int, flush_tokens: int):
         context, token = context[at], token[at]
         ends = np.searchsorted(bucket_of(key, n_buckets), np.arange(n_buckets + 1))
         full = [b for b in range(n_buckets) if ends[b] < ends[b + 1]]
-        for i in range(0, len(full), 64):
-            part = full[i:i + 64]
+        for i in range(0, len(full), 8):
+            part = full[i:i + 8]
             yield pa.RecordBatch.from_arrays([
                 pa.array(part, pa.int32()),
                 pa.array([pack_arrays(context[s:e], token[s:e], count[s:e])
@@ -165,7 +166,7 @@ def _count_pairs(n_buckets: int, flush_tokens: int):
             n += len(token)
             if n >= flush_tokens:
                 yield from flush(contexts, toks)
-                contexts, toks, n = [], [], 0
+                n = 0
         if n:
             yield from flush(contexts, toks)
 
@@ -244,10 +245,8 @@ def _merge_words(folder: str):
                                    for x in (left, right))
         if bucket is None:
             return
-        empty3, empty2 = np.zeros(0, np.int64), np.zeros(0, np.int64)
         lk, n1, n2, n3 = _sum_by(*(np.concatenate([p[i] for p in left]) for i in range(4)))
         rk, contexts, count = _sum_by(*(np.concatenate([p[i] for p in right]) for i in range(3)))
-        del empty2, empty3
         word = np.union1d(lk, rk)
         table = np.zeros((5, len(word)), dtype=np.int64)
         table[0, np.searchsorted(word, rk)] = count
