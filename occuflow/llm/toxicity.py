@@ -1,23 +1,26 @@
-"""Toxicity by cumulative-link ordinal regression on sparse word features.
+"""Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Model: ``P(grade <= k) = sigmoid(theta_k - w . x)`` with one weight vector
-shared by all ordered thresholds ``theta_0 < theta_1 < ...``; ``x`` marks
-which words of a learnt vocabulary a text holds.  The result is the expected
-severity ``sum_k P(grade > k)`` and the probability of any toxicity.
+shared by all ordered thresholds ``theta_0 < theta_1 < ...``.  The result is
+the expected severity ``sum_k P(grade > k)`` and the probability of any
+toxicity.
 
-Words are lower-cased runs of letters (ASCII letters and all non-ASCII
-characters), so trailing marks do not hide a word.  Fitting:
+Features are lower-cased words (runs of ASCII letters and non-ASCII
+characters, so trailing marks do not hide a word) and their prefixes of 3 to 8
+characters, so an inflected stem counts whatever its ending.  A feature's
+value is its rate: ``100 * count / (words + 100)``; the constant keeps one
+chance hit in a short text from looking like abuse.  Fitting:
 
 * a bounded sample of labelled rows (``max_rows``, chosen by a hash of the id);
-* per word, the numbers of sampled texts with it by toxic or not, summed in
-  Spark; the words most tied to toxicity or to its absence (log-likelihood
+* per feature, the numbers of sampled texts with it by toxic or not, summed in
+  Spark; the features most tied to toxicity or to its absence (log-likelihood
   ratio) form the vocabulary of ``max_features``;
-* grades of toxic texts, when the labels only say toxic or not: 2 if at least
-  two words of ``marker`` strength occur in the text, else 1;
+* grades of toxic texts, when the labels only say toxic or not: 2 for the half
+  with the higher total rate of features tied to toxicity, 1 for the others;
 * weights and thresholds by gradient descent on the driver over the sampled
   rows' vocabulary hits.
 
-Scoring reads every document once and looks its words up in the sorted hash
+Scoring reads every document once and looks its features up in the sorted hash
 array of the vocabulary.  Defined cases: a null or empty text has no word and
 gets the severity of the thresholds alone; labels without document, repeated
 and null labels are ignored or counted as rows; without any toxic label every
@@ -38,8 +41,9 @@ from pyspark.sql import functions as F
 from occuflow.llm import textarrays as ta
 from occuflow.session import cut_lineage, ship_package
 
-MAX_ROWS, MAX_FEATURES, MARKER_LIFT = 20_000, 2048, 20.0
-MIN_TEXTS = 4
+MAX_ROWS, MAX_FEATURES = 20_000, 2048
+MIN_TEXTS, MIN_LLR, MARKER_LIFT = 4, 15.0, 5.0
+PREFIXES, SMOOTH = range(3, 9), 100.0
 RESULTS = ("severity", "p_toxic", "toxic")
 
 _NOT_LETTER = np.ones(256, dtype=bool)
@@ -47,11 +51,22 @@ _NOT_LETTER[65:91] = _NOT_LETTER[97:123] = False
 _NOT_LETTER[128:] = False
 
 
-def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, word hash) of every lower-cased letter run."""
+def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, feature hash) of every word and proper word prefix; words per text."""
     lower = ta.LOWER[data]
     start, end, owner = ta.words(lower, offsets, _NOT_LETTER)
-    return owner, ta.word_hashes(lower, start, end)
+    rolling = ta.Rolling(lower)
+    owners, hashes = [owner], [rolling.at(start, end - start)]
+    first_byte = (lower & 0xC0) != 0x80
+    char_start = np.flatnonzero(first_byte)
+    char = np.cumsum(first_byte)[start] - 1 if len(start) else start
+    for k in PREFIXES:
+        stop = char + k
+        has = np.flatnonzero(stop < len(char_start))
+        has = has[char_start[stop[has]] < end[has]]
+        owners.append(owner[has])
+        hashes.append(ta.mix(rolling.at(start[has], char_start[stop[has]] - start[has])))
+    return np.concatenate(owners), np.concatenate(hashes), np.bincount(owner, minlength=len(offsets) - 1)
 
 
 @dataclass
@@ -61,44 +76,48 @@ class SeverityModel:
     words: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
-    markers: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-
-    def hits(self, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (text, vocabulary index) pairs."""
-        if not len(self.words) or not len(hashes):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+    markers: np.ndarray = field(default_factory=lambda: np.empty(0, bool))
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, vocabulary index, rate) of the features that occur."""
+        if not len(self.words):
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        owner, hashes, n_words = text_features(data, offsets)
+        # few features are known: a bit per hash prefix settles nearly all
+        maybe = np.zeros(1 << 20, dtype=bool)
+        maybe[self.words >> ta.U64(44)] = True
+        near = np.flatnonzero(maybe[hashes >> ta.U64(44)])
+        owner, hashes = owner[near], hashes[near]
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         known = self.words[at] == hashes
-        key = np.unique(owner[known].astype(np.int64) * len(self.words) + at[known])
-        return key // len(self.words), key % len(self.words)
+        key, count = np.unique(owner[known].astype(np.int64) * len(self.words) + at[known], return_counts=True)
+        row = key // len(self.words)
+        return row, key % len(self.words), 100.0 * count / (n_words[row] + SMOOTH)
 
     def exceed(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """P(grade > k) per text and threshold."""
         n = len(offsets) - 1
-        row, word = self.hits(*text_words(data, offsets))
-        score = np.bincount(row, weights=self.weights[word], minlength=n) if len(row) else np.zeros(n)
+        row, word, rate = self.hits(data, offsets)
+        score = np.bincount(row, weights=self.weights[word] * rate, minlength=n) if len(row) else np.zeros(n)
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def fit_ordinal(row: np.ndarray, word: np.ndarray, grade: np.ndarray, n_words: int, n_grades: int,
-                l2: float = 1e-3, steps: int = 600, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(row: np.ndarray, word: np.ndarray, value: np.ndarray, grade: np.ndarray, n_words: int,
+                n_grades: int, l2: float = 1e-4, steps: int = 800, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds by Adam on the cumulative-link likelihood.
 
-    ``row``/``word`` are the non-zero entries of the 0/1 feature matrix.  The
+    ``row``/``word``/``value`` are the non-zero entries of the feature matrix.  The
     thresholds are ``theta_0`` and exponentials of the gaps, so they stay ordered.
     """
     n = len(grade)
     w, base, gaps = np.zeros(n_words), 1.0, np.zeros(n_grades - 2)
     first, second, t = None, None, 0
-    # rows of rare grades weigh as much as those of common ones, within bounds
-    share = np.bincount(grade, minlength=n_grades) / n
-    weight = np.clip(1.0 / (n_grades * np.maximum(share, 1e-6)), 0.2, 5.0)[grade]
-    weight /= weight.sum()
+    weight = np.full(n, 1.0 / n)
     cut = lambda: base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
     sig = lambda z: 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
     for t in range(1, steps + 1):
         theta = cut()
-        score = np.bincount(row, weights=w[word], minlength=n)
+        score = np.bincount(row, weights=w[word] * value, minlength=n)
         upper = np.where(grade < n_grades - 1, sig(theta[np.minimum(grade, n_grades - 2)] - score), 1.0)
         lower = np.where(grade > 0, sig(theta[np.maximum(grade - 1, 0)] - score), 0.0)
         p = np.maximum(upper - lower, 1e-12)
@@ -106,7 +125,7 @@ def fit_ordinal(row: np.ndarray, word: np.ndarray, grade: np.ndarray, n_words: i
         g_theta = np.zeros(n_grades - 1)
         np.add.at(g_theta, np.minimum(grade, n_grades - 2), -d_up * (grade < n_grades - 1))
         np.add.at(g_theta, np.maximum(grade - 1, 0), d_low * (grade > 0))
-        g_w = np.bincount(word, weights=(d_up - d_low)[row], minlength=n_words) + l2 * w / max(1, n_grades)
+        g_w = np.bincount(word, weights=(d_up - d_low)[row] * value, minlength=n_words) + l2 * w / max(1, n_grades)
         g_gap = np.array([g_theta[j + 1:].sum() * np.exp(gaps[j]) for j in range(n_grades - 2)])
         g = np.concatenate([g_w, [g_theta.sum()], g_gap])
         if first is None:
@@ -155,7 +174,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
 
     def count_words(batches):
         for rows, data, offsets in ta.text_slices(batches, "text"):
-            owner, hashes = text_words(data, offsets)
+            owner, hashes, _ = text_features(data, offsets)
             toxic = rows.column(rows.schema.get_field_index("grade")).to_numpy() > 0
             pair = np.unique(np.stack([hashes, owner.astype(np.uint64)], axis=1), axis=0) if len(hashes) else np.empty((0, 2), np.uint64)
             word, at = np.unique(pair[:, 0], return_inverse=True)
@@ -176,36 +195,38 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     word = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
     a, b = (np.array([r[c] for r in rows], dtype=float) for c in ("a", "b"))
     best = np.argsort(-_llr(a, b, n_toxic, n_clean), kind="stable")[:max_features]
-    # chance words of so large a vocabulary would only add noise: 15 is p ~ 1e-4
-    best = best[_llr(a, b, n_toxic, n_clean)[best] > 15.0]
+    # chance ties of so large a vocabulary would only add noise: 15 is p ~ 1e-4
+    best = best[_llr(a, b, n_toxic, n_clean)[best] > MIN_LLR]
     word, a, b = word[best], a[best], b[best]
     order = np.argsort(word)
     word, a, b = word[order], a[order], b[order]
-    markers = word[(a / n_toxic) / ((b + 0.5) / n_clean) >= MARKER_LIFT]
+    markers = (a / n_toxic) / ((b + 0.5) / n_clean) >= MARKER_LIFT
     model = SeverityModel(word, np.zeros(len(word)), np.zeros(1), markers)
 
     def vocabulary_hits(batches):
         for rows, data, offsets in ta.text_slices(batches, "text"):
-            row, hit = model.hits(*text_words(data, offsets))
-            ends = np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32)
+            row, hit, value = model.hits(data, offsets)
+            ends = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(rows.schema.get_field_index("grade")),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(hit.astype(np.int32)))], names=["grade", "hits"])
+                 pa.ListArray.from_arrays(ends, pa.array(hit.astype(np.int32))),
+                 pa.ListArray.from_arrays(ends, pa.array(value))], names=["grade", "hits", "rates"])
 
-    rows = sample.select("text", "grade").mapInArrow(vocabulary_hits, "grade int, hits array<int>").collect()
+    rows = (sample.select("text", "grade")
+            .mapInArrow(vocabulary_hits, "grade int, hits array<int>, rates array<double>").collect())
     grade = np.array([r["grade"] for r in rows], dtype=np.int64)
-    hits = [np.asarray(r["hits"], dtype=np.int64) for r in rows]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in hits])
-    hit = np.concatenate(hits) if hits else np.empty(0, np.int64)
+    row = np.repeat(np.arange(len(rows)), [len(r["hits"]) for r in rows])
+    hit = np.array([h for r in rows for h in r["hits"]], dtype=np.int64)
+    value = np.array([v for r in rows for v in r["rates"]], dtype=float)
     if not graded:
-        is_marker = np.isin(word, markers)
-        strong = np.bincount(row[is_marker[hit]], minlength=len(rows)) if len(row) else np.zeros(len(rows))
-        grade = np.where(grade > 0, np.where(strong >= 2, 2, 1), 0)
+        strength = np.bincount(row, weights=value * markers[hit], minlength=len(rows)) if len(row) else np.zeros(len(rows))
+        middle = np.median(strength[grade > 0])
+        grade = np.where(grade > 0, np.where(strength > middle, 2, 1), 0)
     present = np.unique(grade)  # grades without rows have no threshold of their own
     level = np.searchsorted(present, grade)
     if not len(word):
         return SeverityModel(word, np.zeros(0), np.array([np.log(n_clean / n_toxic)]), markers)
-    weights, thresholds = fit_ordinal(row, hit, level, len(word), len(present))
+    weights, thresholds = fit_ordinal(row, hit, value, level, len(word), len(present))
     return SeverityModel(word, weights, thresholds, markers)
 
 

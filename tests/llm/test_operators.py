@@ -527,7 +527,7 @@ def test_ordinal_fit_recovers_the_order():
     score = x @ np.array([3.0, 1.5, 0.0, -2.0, 0.0])
     grade = np.digitize(score + rng.logistic(size=3000), [0.5, 2.5])
     row, word = np.nonzero(x)
-    w, cut = toxicity.fit_ordinal(row, word, grade, 5, 3)
+    w, cut = toxicity.fit_ordinal(row, word, np.ones(len(row)), grade, 5, 3)
     assert w[0] > w[1] > max(w[2], w[4]) > w[3] and cut[0] < cut[1]
 
 
