@@ -75,7 +75,7 @@ def cube_key(x: Column, side: float) -> Column:
 # Vincenty (1975) inverse on the WGS84 ellipsoid, vectorised with numpy.
 
 
-def _vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
+def vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
     a, f = WGS84_A, WGS84_F
     b = (1 - f) * a
     L = np.radians(lon2 - lon1)
@@ -115,7 +115,7 @@ def _vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
 @F.pandas_udf(DoubleType())
 def vincenty_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """WGS84 ellipsoidal distance in metres (Arrow batches, numpy inside)."""
-    return pd.Series(_vincenty_np(lat1.to_numpy(float), lon1.to_numpy(float),
+    return pd.Series(vincenty_np(lat1.to_numpy(float), lon1.to_numpy(float),
                                   lat2.to_numpy(float), lon2.to_numpy(float)))
 
 

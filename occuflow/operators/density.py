@@ -23,12 +23,17 @@ of cells at a given resolution, independent of the record count.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
-from occuflow.session import cut_lineage, spread
+from occuflow.operators import knn
+from occuflow.session import cut_lineage, ship_package, spread
+
+# Edge cubes of at most this many points are tested point by point.
+EDGE_POINTS = 8
 
 
 def _check(eps_m, minpts):
@@ -117,6 +122,48 @@ def _partners(probe: DataFrame, target: DataFrame, tag: str, eps_m: float, geomo
     return probe.join(t, cond).select("_k", "_id", f"_{tag}id", f"_{tag}w")
 
 
+def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: str) -> DataFrame:
+    """(_k, _id, _nw): summed ``_w`` of the target points within ``eps`` of each probe point.
+
+    Works on the target's cube pyramid: cubes whose box lies wholly within
+    ``eps`` of a point add their sum, cubes wholly outside go, and cubes on
+    the edge are split; only the points of the last edge cubes (sum
+    ``EDGE_POINTS`` or less) are tested one by one.  The work follows the edge
+    of the neighbourhood, not its content.  Points without any are left out.
+    """
+    band = SPHEROID_BAND if geomodel == "wgs84" else 0.0
+    inner = chord_for_arc(eps_m * (1 - band)) * (1 - 1e-9) - knn.SLACK_M
+    outer = chord_for_arc(eps_m * (1 + band)) * (1 + 1e-9) + knn.SLACK_M
+    if geomodel == "wgs84":
+        ship_package(probe.sparkSession)
+    lv = knn.cube_levels(target.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z", "_w"))
+    boxes = knn.cube_boxes(lv, "_w")
+    children = knn.cube_children(boxes)
+    query = ["_k", "_id", "_lat", "_lon", "_x", "_y", "_z"]
+    level = max(0, min(int(math.log(knn.top_side() / outer, 2 ** knn.STEP)), knn.LEVELS - 1))
+    frontier = (knn.cubes_in_reach(probe.select(*query, F.lit(level).alias("_lv")), F.lit(outer))
+                .select(*query, *knn.NODE[1:]).join(boxes, knn.NODE))
+    whole, edge = [], []
+    for _ in range(knn.LEVELS):
+        touched = frontier.withColumn("_near", knn.box_distance(False)).where(F.col("_near") <= outer)
+        state = (F.when(knn.box_distance(True) <= inner, F.lit("in"))
+                  .when((F.col("_n") <= EDGE_POINTS) | (F.col("_lv") == knn.LEVELS - 1), F.lit("edge"))
+                  .otherwise(F.lit("split")))
+        step = cut_lineage(touched.select(*query, *knn.NODE[1:], "_n", state.alias("_state")))
+        whole.append(step.where("_state = 'in'").select("_k", "_id", "_n"))
+        edge.append(step.where("_state = 'edge'").select("_k", "_id", "_lat", "_lon", *knn.NODE[1:]))
+        split = step.where("_state = 'split'")
+        if split.isEmpty():
+            break
+        frontier = knn.into_children(split, children, query)
+    members = lv.select(*knn.NODE, F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"), "_w")
+    tested = (reduce(DataFrame.unionByName, edge).join(members, knn.NODE)
+              .where(within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
+              .select("_k", "_id", F.col("_w").alias("_n")))
+    return (reduce(DataFrame.unionByName, [*whole, tested])
+            .groupBy("_k", "_id").agg(F.sum("_n").alias("_nw")))
+
+
 def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: float,
                 minpts: int, geomodel: str):
     """Per point: cube weight, core flag; plus sparse-sparse neighbour pairs.
@@ -131,8 +178,8 @@ def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: f
     sparse = flagged.where(F.col("_cn") < minpts)
     probe = neighbour_cubes(sparse, side, reach, search).select(
         "_k", "_id", "_lat", "_lon", "_ncx", "_ncy", "_ncz")
-    n_dense = (_partners(probe, dense, "d", eps_m, geomodel)
-               .groupBy("_k", "_id").agg(F.sum("_dw").alias("_nd")))
+    # dense cubes are counted whole: no pair is formed with their inner points
+    n_dense = count_within(sparse, dense, eps_m, geomodel).withColumnRenamed("_nw", "_nd")
     ss = _partners(probe, sparse, "s", eps_m, geomodel)
     n_sparse = ss.groupBy("_k", "_id").agg(F.sum("_sw").alias("_ns"))
     sp_state = (sparse.select("_k", "_id")
@@ -176,32 +223,17 @@ def neighbour_counts(points: DataFrame, eps_m: float, key: str = "Species", pid:
                      include_self: bool = True) -> DataFrame:
     """Exact number of points within ``eps`` of each point, same group.
 
-    Counts within one cube come from the cube count (no pairs); only
-    cross-cube pairs are formed, via the neighbour-cube join.
+    See :func:`count_within`: whole cubes are counted, not their points.
     """
-    side, reach, search = _geometry(eps_m, geomodel)
-    base = points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
-                         F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    cubed = cut_lineage(with_cubes(base, side, "_lat", "_lon"))
-    cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.count(F.lit(1)).alias("_cn"))
-    probe = neighbour_cubes(cubed, side, reach, search).where(
-        ~((F.col("_ncx") == F.col("_cx")) & (F.col("_ncy") == F.col("_cy"))
-          & (F.col("_ncz") == F.col("_cz"))))
-    probe = spread(probe, "_k", "_ncx", "_ncy", "_ncz")
-    t = spread(cubed.select(F.col("_k").alias("_tk"), F.col("_lat").alias("_tlat"),
-                            F.col("_lon").alias("_tlon"), F.col("_cx").alias("_tcx"),
-                            F.col("_cy").alias("_tcy"), F.col("_cz").alias("_tcz")),
-               "_tk", "_tcx", "_tcy", "_tcz")
-    cond = ((probe["_k"] == t["_tk"]) & (probe["_ncx"] == t["_tcx"])
-            & (probe["_ncy"] == t["_tcy"]) & (probe["_ncz"] == t["_tcz"]))
-    cross = (probe.join(t, cond)
-                  .where(within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
-                  .groupBy("_k", "_id").agg(F.count(F.lit(1)).alias("_x")))
-    own = cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"]).select("_k", "_id", "_cn")
-    n = (own.join(cross, ["_k", "_id"], "left")
-            .select(F.col("_k").alias("_nk"), F.col("_id").alias("_nid"),
-                    (F.col("_cn") + F.coalesce("_x", F.lit(0))
-                     - F.lit(0 if include_self else 1)).alias("n_neighbours")))
+    _check(eps_m, 1)
+    x, y, z = ecef("_lat", "_lon")
+    pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
+                                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+                            .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z)
+                            .withColumn("_w", F.lit(1).cast("long")))
+    n = (count_within(pts, pts, eps_m, geomodel)
+         .select(F.col("_k").alias("_nk"), F.col("_id").alias("_nid"),
+                 (F.col("_nw") - F.lit(0 if include_self else 1)).alias("n_neighbours")))
     out = points.join(n, (points[key] == n["_nk"]) & (points[pid] == n["_nid"]), "left")
     return out.drop("_nk", "_nid")
 

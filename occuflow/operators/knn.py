@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from occuflow.functions.geo import EARTH_RADIUS_M, ecef, haversine_m
+from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef, haversine_m, vincenty_m, vincenty_np
 from occuflow.session import cut_lineage, ship_package
 
 # Cube edges shrink by 2 ** STEP a level: about 2.02 R_earth down to 0.8 m.
@@ -45,25 +45,29 @@ STEP, LEVELS = 2, 13
 # Absolute slack on chord bounds (m): ranks compare distances in whole
 # millimetres, and haversine and chord differ by rounding.
 SLACK_M = 0.01
+GEOMODELS = ("sphere", "wgs84")
 
 
-def _top_side() -> float:
+def top_side() -> float:
     return 2.02 * EARTH_RADIUS_M
 
 
 def _side(level) -> F.Column:
-    return F.lit(_top_side()) / F.pow(F.lit(2.0 ** STEP), level)
+    return F.lit(top_side()) / F.pow(F.lit(2.0 ** STEP), level)
 
 
-def _dist_mm(lat1, lon1, lat2, lon2):
-    return F.floor(haversine_m(lat1, lon1, lat2, lon2) * F.lit(1000.0) + F.lit(0.5)).cast("long")
+def _dist_mm(lat1, lon1, lat2, lon2, geomodel: str = "sphere"):
+    metres = haversine_m if geomodel == "sphere" else vincenty_m
+    return F.floor(metres(lat1, lon1, lat2, lon2) * F.lit(1000.0) + F.lit(0.5)).cast("long")
 
 
 _CUBE = ("_cx", "_cy", "_cz")
 _AXES = ("_x", "_y", "_z")
+NODE = ["_k", "_lv", *_CUBE]
+BOX = [f"{a}{i}" for a in _AXES for i in (0, 1)]
 
 
-def _box_distance(far: bool) -> F.Column:
+def box_distance(far: bool) -> F.Column:
     """Chord from the point (_x, _y, _z) to the nearest or farthest spot of a box."""
     total = F.lit(0.0)
     for a in _AXES:
@@ -74,85 +78,115 @@ def _box_distance(far: bool) -> F.Column:
     return F.sqrt(total)
 
 
+def cube_levels(pts: DataFrame) -> DataFrame:
+    """The points (with _x, _y, _z) once per pyramid level, with their cube."""
+    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    for c, a in zip(_CUBE, _AXES):
+        lv = lv.withColumn(c, F.floor(F.col(a) / _side(F.col("_lv"))).cast("long"))
+    return lv
+
+
+def cube_boxes(lv: DataFrame, weight: str | None = None) -> DataFrame:
+    """Count (or weight sum) and tight box of every cube that holds points (cut)."""
+    return cut_lineage(lv.groupBy(*NODE).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"),
+        *[f(a).alias(f"{a}{i}") for a in _AXES for i, f in ((0, F.min), (1, F.max))]))
+
+
+def cube_children(boxes: DataFrame) -> DataFrame:
+    """Cubes keyed by their parent, their own columns with a trailing ``c``."""
+    return boxes.select("_k", F.col("_lv").alias("_clv"), *[F.col(c).alias(f"{c}c") for c in _CUBE],
+                        *[F.floor(F.col(c) / 2 ** STEP).cast("long").alias(c) for c in _CUBE],
+                        (F.col("_lv") - 1).alias("_lv"), F.col("_n").alias("_cn"),
+                        *[F.col(b).alias(f"{b}c") for b in BOX])
+
+
+def into_children(rows: DataFrame, children: DataFrame, carry: list[str]) -> DataFrame:
+    """Replace each (row, cube) by the row with the cube's children."""
+    return (rows.select(*carry, "_lv", *_CUBE).join(children, NODE)
+                .select(*carry, F.col("_clv").alias("_lv"), *[F.col(f"{c}c").alias(c) for c in _CUBE],
+                        F.col("_cn").alias("_n"), *[F.col(f"{b}c").alias(b) for b in BOX]))
+
+
+def cubes_in_reach(rows: DataFrame, reach: F.Column) -> DataFrame:
+    """Each row once per cube of its ``_lv`` that a ball of ``reach`` around it can touch."""
+    for c, a in zip(_CUBE, _AXES):
+        side, top = _side(F.col("_lv")), F.lit(EARTH_RADIUS_M)
+        rows = rows.withColumn(c, F.explode(F.sequence(
+            F.floor(F.greatest(F.col(a) - reach, -top) / side).cast("long"),
+            F.floor(F.least(F.col(a) + reach, top) / side).cast("long"))))
+    return rows
+
+
 def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
-                   lat: str = "LAT", lon: str = "LON") -> DataFrame:
+                   lat: str = "LAT", lon: str = "LON", geomodel: str = "sphere") -> DataFrame:
     """Pairs ``(_k, _id, _nid, _dmm)`` that hold every point's k nearest and their ties."""
+    if geomodel not in GEOMODELS:
+        raise ValueError(f"geomodel must be one of {GEOMODELS}")
     if k is None or int(k) != k or k < 1:
         raise ValueError("k must be a positive integer")
+    # the bound holds for spherical distances; the spheroid's differ by the band
+    wider = 1.0 if geomodel == "sphere" else (1 + SPHEROID_BAND) / (1 - SPHEROID_BAND)
+    if geomodel != "sphere":
+        ship_package(points.sparkSession)
     x, y, z = ecef("_lat", "_lon")
     pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
                                     F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
                             .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z))
-    node = ["_k", "_lv", *_CUBE]
-    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
-    for c, a in zip(_CUBE, _AXES):
-        lv = lv.withColumn(c, F.floor(F.col(a) / _side(F.col("_lv"))).cast("long"))
-    boxes = cut_lineage(lv.groupBy(*node).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[f(a).alias(f"{a}{i}") for a in _AXES for i, f in ((0, F.min), (1, F.max))]))
-    box_cols = [f"{a}{i}" for a in _AXES for i in (0, 1)]
+    lv = cube_levels(pts)
+    boxes = cube_boxes(lv)
 
     # 2. the finest own cube of k + 1 points and the bound it gives.
-    own = (lv.select("_id", *node, *_AXES).join(boxes.where(F.col("_n") > k), node)
-             .groupBy("_k", "_id").agg(F.max(F.struct("_lv", _box_distance(True).alias("_far"))).alias("_m")))
+    own = (lv.select("_id", *NODE, *_AXES).join(boxes.where(F.col("_n") > k), NODE)
+             .groupBy("_k", "_id").agg(F.max(F.struct("_lv", box_distance(True).alias("_far"))).alias("_m")))
     start = (pts.join(own, ["_k", "_id"], "left")
-                .withColumn("_ub", F.coalesce(F.col("_m._far") + F.lit(SLACK_M), F.lit(math.inf)))
+                .withColumn("_ub", F.coalesce(F.col("_m._far") * wider + F.lit(SLACK_M), F.lit(math.inf)))
                 .withColumn("_lv", F.greatest(F.coalesce(F.col("_m._lv"), F.lit(0)) - 1, F.lit(0)))
                 .drop("_m"))
 
     # 3. the cubes around the bound's ball at the level above.
-    reach = F.least(F.col("_ub"), F.lit(_top_side()))
-    first = start
-    for c, a in zip(_CUBE, _AXES):
-        side, top = _side(F.col("_lv")), F.lit(EARTH_RADIUS_M)
-        first = first.withColumn(c, F.explode(F.sequence(
-            F.floor(F.greatest(F.col(a) - reach, -top) / side).cast("long"),
-            F.floor(F.least(F.col(a) + reach, top) / side).cast("long"))))
+    first = cubes_in_reach(start, F.least(F.col("_ub"), F.lit(top_side())))
     query = ["_k", "_id", "_lat", "_lon", *_AXES, "_ub"]
-    frontier = first.select(*query, "_lv", *_CUBE).join(boxes, node)
-    parents = boxes.select("_k", F.col("_lv").alias("_clv"), *[F.col(c).alias(f"{c}c") for c in _CUBE],
-                           *[F.floor(F.col(c) / 2 ** STEP).cast("long").alias(c) for c in _CUBE],
-                           (F.col("_lv") - 1).alias("_lv"), F.col("_n").alias("_cn"),
-                           *[F.col(b).alias(f"{b}c") for b in box_cols])
+    frontier = first.select(*query, "_lv", *_CUBE).join(boxes, NODE)
+    parents = cube_children(boxes)
     last = None
     for _ in range(LEVELS + 1):
         inside = F.lit(True)
         for c, a in zip(_CUBE, _AXES):
             inside = inside & (F.col(c) == F.floor(F.col(a) / _side(F.col("_lv"))))
-        near = (frontier.withColumn("_near", _box_distance(False)).where(F.col("_near") <= F.col("_ub"))
-                        .withColumn("_far", _box_distance(True)))
+        near = (frontier.withColumn("_near", box_distance(False)).where(F.col("_near") <= F.col("_ub"))
+                        .withColumn("_far", box_distance(True)))
         w = Window.partitionBy("_k", "_id")
         held = F.sum(F.col("_n") - F.when(inside, 1).otherwise(0)).over(w.orderBy("_far", "_lv", *_CUBE))
         near = (near.withColumn("_held", held)
                     .withColumn("_ub", F.least("_ub", F.coalesce(
-                        F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(w) + F.lit(SLACK_M), F.col("_ub"))))
+                        F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(w) * wider + F.lit(SLACK_M),
+                        F.col("_ub"))))
                     .where(F.col("_near") <= F.col("_ub"))
                     .withColumn("_split", (F.col("_n") > k + 1) & (F.col("_lv") < LEVELS - 1)))
-        step = cut_lineage(near.select(*query, "_lv", *_CUBE, "_n", *box_cols, "_split"))
+        step = cut_lineage(near.select(*query, "_lv", *_CUBE, "_n", *BOX, "_split"))
         if step.where("_split").isEmpty():
             last = step
             break
-        children = (step.where("_split").select(*query, "_lv", *_CUBE).join(parents, node)
-                        .select(*query, F.col("_clv").alias("_lv"), *[F.col(f"{c}c").alias(c) for c in _CUBE],
-                                F.col("_cn").alias("_n"), *[F.col(f"{b}c").alias(b) for b in box_cols]))
-        frontier = step.where("NOT _split").drop("_split").unionByName(children)
+        frontier = step.where("NOT _split").drop("_split").unionByName(
+            into_children(step.where("_split"), parents, query))
 
     # 4. the points of the last cubes.
     ends = last.select("_k", "_id", "_lat", "_lon", "_lv", *_CUBE)
-    members = lv.select(*node, F.col("_id").alias("_nid"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"))
-    return (ends.join(members, node).where(F.col("_id") != F.col("_nid"))
-                .select("_k", "_id", "_nid", _dist_mm("_lat", "_lon", "_nlat", "_nlon").alias("_dmm")))
+    members = lv.select(*NODE, F.col("_id").alias("_nid"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"))
+    return (ends.join(members, NODE).where(F.col("_id") != F.col("_nid"))
+                .select("_k", "_id", "_nid", _dist_mm("_lat", "_lon", "_nlat", "_nlon", geomodel).alias("_dmm")))
 
 
 def knn(points: DataFrame, k: int, key: str = "Species", pid: str = "H3",
-        lat: str = "LAT", lon: str = "LON") -> DataFrame:
+        lat: str = "LAT", lon: str = "LON", geomodel: str = "sphere") -> DataFrame:
     """Neighbour rows ``(key, pid, nid, dist_m, rank)`` for every point.
 
     Holds every neighbour within the k-distance (ties included), ranked by
     (distance, neighbour id); ``rank`` <= k for the k nearest.  Points that
     are alone in their group get no rows.
     """
-    cand = knn_candidates(points, k, key, pid, lat, lon)
+    cand = knn_candidates(points, k, key, pid, lat, lon, geomodel)
     w = Window.partitionBy("_k", "_id").orderBy("_dmm", "_nid")
     kth = F.max(F.when(F.col("_rank") == k, F.col("_dmm"))).over(Window.partitionBy("_k", "_id"))
     ranked = cand.withColumn("_rank", F.row_number().over(w)).withColumn("_kdmm", kth)
@@ -185,42 +219,46 @@ def _kstats(nb: DataFrame, k: int, key: str, pid: str) -> DataFrame:
         F.sum("dist_m").alias("nsum"))
 
 
-def knn_outlier(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def knn_outlier(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """KNNOutlier (D8): distance to the k-th nearest neighbour."""
-    st = _kstats(knn(points, k, key, pid, lat, lon), k, key, pid)
+    st = _kstats(knn(points, k, key, pid, lat, lon, geomodel), k, key, pid)
     return _attach(points, st.select(key, pid, F.col("kdist").alias("OutlierScore")), key, pid)
 
 
-def knn_weight(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def knn_weight(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """KNNWeightOutlier (D9): sum of the distances to the k nearest."""
-    st = _kstats(knn(points, k, key, pid, lat, lon), k, key, pid)
+    st = _kstats(knn(points, k, key, pid, lat, lon, geomodel), k, key, pid)
     return _attach(points, st.select(key, pid, F.col("ksum").alias("OutlierScore")), key, pid)
 
 
-def odin(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def odin(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """ODIN (D10): in-degree in the kNN graph divided by k (low = outlier)."""
-    nb = knn(points, k, key, pid, lat, lon)
+    nb = knn(points, k, key, pid, lat, lon, geomodel)
     indeg = nb.groupBy(key, F.col("nid").alias(pid)).agg(F.count(F.lit(1)).alias("_in"))
     out = _attach(points, indeg, key, pid)
     return out.withColumn("OutlierScore", F.coalesce("_in", F.lit(0)) / F.lit(float(k))).drop("_in")
 
 
-def local_isolation(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def local_isolation(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Local isolation coefficient (D20): k-distance plus mean kNN distance."""
-    st = _kstats(knn(points, k, key, pid, lat, lon), k, key, pid)
+    st = _kstats(knn(points, k, key, pid, lat, lon, geomodel), k, key, pid)
     sc = st.select(key, pid, (F.col("kdist") + F.col("ksum") / F.lit(float(k))).alias("OutlierScore"))
     return _attach(points, sc, key, pid)
 
 
 def lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
-        simplified: bool = False):
+        simplified: bool = False, geomodel: str = "sphere"):
     """LOF (D12), or SimplifiedLOF (D13) without the reachability distance.
 
     reach(p, o) = max(k-distance(o), d(p, o)); lrd(p) = 1 / mean over
     N_k(p) of reach(p, o); LOF(p) = mean over N_k(p) of lrd(o) / lrd(p).
     Simplified: density(p) = 1 / mean over N_k(p) of d(p, o).
     """
-    nb = cut_lineage(knn(points, k, key, pid, lat, lon))
+    nb = cut_lineage(knn(points, k, key, pid, lat, lon, geomodel))
     st = _kstats(nb, k, key, pid)
     if simplified:
         dens = st.select(key, pid, _ratio("nk", "nsum").alias("_lrd"))
@@ -237,12 +275,13 @@ def lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     return _attach(points, ratio, key, pid)
 
 
-def ldof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def ldof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """LDOF (D15): mean distance to the k nearest over their mean pairwise distance.
 
     Pairs among each point's k nearest: k(k-1) per point, bounded by k.
     """
-    nb = cut_lineage(knn(points, k, key, pid, lat, lon).where(F.col("rank") <= k))
+    nb = cut_lineage(knn(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k))
     coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                            F.col(lat).alias("_nlat"), F.col(lon).alias("_nlon"))
     nbc = nb.join(coords, [key, "nid"])
@@ -251,7 +290,7 @@ def ldof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON
     b = nbc.select(key, pid, F.col("nid").alias("_b"), F.col("_nlat").alias("_blat"),
                    F.col("_nlon").alias("_blon"))
     inner = (a.join(b, [key, pid]).where(F.col("_a") != F.col("_b"))
-              .select(key, pid, (_dist_mm("_alat", "_alon", "_blat", "_blon") / F.lit(1000.0))
+              .select(key, pid, (_dist_mm("_alat", "_alon", "_blat", "_blon", geomodel) / F.lit(1000.0))
                       .alias("_d"))
               .groupBy(key, pid).agg(F.avg("_d").alias("_inner")))
     outer = nb.groupBy(key, pid).agg(F.avg("dist_m").alias("_outer"))
@@ -266,7 +305,7 @@ def trivial_average(points: DataFrame, lat: str = "LAT", lon: str = "LON") -> Da
 
 
 def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pid="H3",
-                  lat="LAT", lon="LON") -> DataFrame:
+                  lat="LAT", lon="LON", geomodel: str = "sphere") -> DataFrame:
     """Multi-eps DBSCAN sweep (D6, re-aimed from OPTICS) from one kNN join.
 
     ``core_dist`` = distance to the (minpts - 1)-th neighbour (the point
@@ -282,7 +321,7 @@ def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pi
         out = points.withColumn("core_dist", F.lit(0.0)).withColumn("reach_dist", F.lit(0.0))
     else:
         k = minpts - 1
-        nb = cut_lineage(knn(points, k, key, pid, lat, lon))
+        nb = cut_lineage(knn(points, k, key, pid, lat, lon, geomodel))
         # A group with fewer than minpts points has no core point.
         core = (nb.groupBy(key, pid)
                   .agg(F.max(F.when(F.col("rank") <= k, F.col("dist_m"))).alias("_kd"),
@@ -305,14 +344,15 @@ def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pi
     return out
 
 
-def _knn_rows(points, k, key, pid, lat, lon):
+def _knn_rows(points, k, key, pid, lat, lon, geomodel="sphere"):
     """Cut neighbour rows limited to the k nearest (rank <= k)."""
-    return cut_lineage(knn(points, k, key, pid, lat, lon))
+    return cut_lineage(knn(points, k, key, pid, lat, lon, geomodel))
 
 
-def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """KNNDD (D11): k-distance over the mean k-distance of the k nearest."""
-    nb = _knn_rows(points, k, key, pid, lat, lon)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     kd = _kstats(nb, k, key, pid).select(key, pid, "kdist")
     nkd = kd.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_nkd"))
     m = (nb.where(F.col("rank") <= k).join(nkd, [key, "nid"])
@@ -321,10 +361,11 @@ def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LO
     return _attach(points, sc, key, pid)
 
 
-def inflo(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def inflo(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """INFLO (D16): influence space = kNN ∪ reverse kNN; density 1 / k-distance;
     score = mean density over the influence space / own density."""
-    nb = _knn_rows(points, k, key, pid, lat, lon)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     den = (_kstats(nb, k, key, pid)
            .select(key, pid, _ratio(F.lit(1.0), F.col("kdist")).alias("_den")))
     fwd = nb.where(F.col("rank") <= k).select(key, pid, "nid")
@@ -349,14 +390,14 @@ def erf(x) -> F.Column:
 
 
 def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", lat="LAT",
-         lon="LON"):
+         lon="LON", geomodel: str = "sphere"):
     """LoOP (D17, Kriegel et al. 2009) with the k nearest as context set.
 
     pdist(o) = lam * sqrt(mean d(o, s)^2); PLOF(o) = pdist(o) / mean pdist(s)
     - 1; nPLOF = lam * sqrt(mean PLOF^2) per group; LoOP = max(0, erf(PLOF /
     (nPLOF * sqrt 2))).
     """
-    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
     pd_ = (nb.groupBy(key, pid)
              .agg((F.lit(lam) * F.sqrt(F.avg(F.col("dist_m") * F.col("dist_m")))).alias("_pd")))
     npd = pd_.select(key, F.col(pid).alias("nid"), F.col("_pd").alias("_npd"))
@@ -374,11 +415,11 @@ def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", l
 
 
 def variance_of_volume(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
-                       unit_m: float = 1_000_000.0):
+                       unit_m: float = 1_000_000.0, geomodel: str = "sphere"):
     """VOV (D19, Hu & Sung 2003): sample variance of the k-distance disc areas
     (pi * (kdist / unit)^2) over the point and its k nearest; ``unit_m``
     scales distances (default 1000 km) to keep the variance well-conditioned."""
-    nb = _knn_rows(points, k, key, pid, lat, lon)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     r = F.col("kdist") / F.lit(float(unit_m))
     vol = _kstats(nb, k, key, pid).select(key, pid, (F.lit(math.pi) * r * r).alias("_v"))
     nvol = vol.select(key, F.col(pid).alias("nid"), F.col("_v").alias("_nv"))
@@ -388,7 +429,8 @@ def variance_of_volume(points: DataFrame, k: int, key="Species", pid="H3", lat="
     return _attach(points, sc, key, pid)
 
 
-def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """COF (D18, Tang et al. 2002): connectivity-based outlier factor.
 
     For each point the set-based-nearest trail over itself and its k nearest
@@ -398,7 +440,7 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     small per-row computation (k+1 points) in an Arrow UDF over arrays.
     """
     ship_package(points.sparkSession)
-    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
     coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                            F.col(lat).alias("_nlat"), F.col(lon).alias("_nlon"))
     own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
@@ -416,9 +458,14 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
         for a, b, nla, nlo in zip(plat, plon, las, los):
             la = np.radians(np.concatenate([[a], np.asarray(nla, dtype=float)]))
             lo = np.radians(np.concatenate([[b], np.asarray(nlo, dtype=float)]))
-            h = (np.sin((la[:, None] - la[None, :]) / 2) ** 2
-                 + np.cos(la[:, None]) * np.cos(la[None, :]) * np.sin((lo[:, None] - lo[None, :]) / 2) ** 2)
-            d = np.floor(2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, h))) * 1000 + 0.5) / 1000
+            if geomodel == "sphere":
+                h = (np.sin((la[:, None] - la[None, :]) / 2) ** 2
+                     + np.cos(la[:, None]) * np.cos(la[None, :]) * np.sin((lo[:, None] - lo[None, :]) / 2) ** 2)
+                d = 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, h)))
+            else:
+                i, j = np.indices((len(la), len(la))).reshape(2, -1)
+                d = vincenty_np(*np.degrees((la[i], lo[i], la[j], lo[j]))).reshape(len(la), -1)
+            d = np.floor(d * 1000 + 0.5) / 1000
             n = len(la) - 1
             if n == 0:
                 out.append(None)
@@ -444,14 +491,15 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     return _attach(points, sc, key, pid)
 
 
-def kernel_density_lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"):
+def kernel_density_lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Simple kernel-density LOF.
 
     density(p) = mean over N_k(p) of a 2-D Gaussian kernel of the
     reachability distance max(d(p, o), k-distance(o)) scaled by the
     bandwidth k-distance(p); score = mean neighbour density / own density.
     """
-    nb = _knn_rows(points, k, key, pid, lat, lon)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     st = _kstats(nb, k, key, pid).select(key, pid, "kdist")
     okd = st.select(key, F.col(pid).alias("nid"), F.col("kdist").alias("_okd"))
     own = st.select(key, pid, F.col("kdist").alias("_h"))
@@ -492,7 +540,8 @@ def _binding_probabilities(d: np.ndarray, perplexity: float, iters: int = 60) ->
 
 
 def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Species", pid="H3",
-            lat="LAT", lon="LON"):
+            lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """KNNSOS (D21): stochastic outlier selection restricted to the k nearest.
 
     Each point binds to its k nearest with Gaussian affinities whose
@@ -505,7 +554,7 @@ def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Spe
     if not 1.0 <= h < k:
         raise ValueError("perplexity must be in [1, k)")
     ship_package(points.sparkSession)
-    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
     rows = (nb.groupBy(key, pid)
               .agg(F.sort_array(F.collect_list(F.struct("rank", "dist_m", "nid"))).alias("_l"))
               .withColumn("_d", F.transform("_l", lambda r: r["dist_m"]))
@@ -539,14 +588,15 @@ def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Spe
 
 
 def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid="H3",
-                        lat="LAT", lon="LON"):
+                        lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Scatterplot spatial outlier (D24, Shekhar, Lu & Zhang 2003).
 
     The neighbourhood mean of ``attr`` over the k nearest is regressed on
     ``attr`` per group (``regr_slope``/``regr_intercept`` aggregates); the
     score is the standardised absolute residual |e - mean(e)| / sd(e).
     """
-    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
     na = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                        F.col(attr).cast("double").alias("_na"))
     own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
@@ -565,7 +615,8 @@ def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid
 
 
 def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species", pid="H3",
-               lat="LAT", lon="LON"):
+               lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Simple correlation outlier score (D22, after Kriegel et al. 2012).
 
     Local PCA of the k nearest (planar lat, lon; population covariance)
@@ -575,7 +626,7 @@ def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species"
     point from the neighbourhood mean along it; otherwise no weak subspace
     exists and the score is 0.
     """
-    nb = _knn_rows(points, k, key, pid, lat, lon).where(F.col("rank") <= k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
     coords = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                            F.col(lat).cast("double").alias("_nx"), F.col(lon).cast("double").alias("_ny"))
     mom = (nb.join(coords, [key, "nid"]).groupBy(key, pid)
@@ -603,9 +654,9 @@ def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species"
     return _attach(points, sc, key, pid)
 
 
-def _attr_diffs(points, k, attr, key, pid, lat, lon):
+def _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel="sphere"):
     """Neighbour rows with |attr(p) - attr(o)| over N_k(p) (ties included)."""
-    nb = _knn_rows(points, k, key, pid, lat, lon)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     na = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                        F.col(attr).cast("double").alias("_na"))
     own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
@@ -614,12 +665,13 @@ def _attr_diffs(points, k, attr, key, pid, lat, lon):
               .withColumn("_ad", F.abs(F.col("_a") - F.col("_na"))))
 
 
-def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON"):
+def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Spatial outlier factor (D24): LOF with spatial kNN neighbourhoods and
     attribute differences as distances.  lrd = 1 / mean |attr difference|
     (NULL when all neighbours share the attribute); SOF = mean neighbour lrd
     / own lrd."""
-    d = _attr_diffs(points, k, attr, key, pid, lat, lon)
+    d = _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel)
     lrd = d.groupBy(key, pid).agg(F.try_divide(F.lit(1.0), F.avg("_ad")).alias("_lrd"))
     nl = lrd.select(key, F.col(pid).alias("nid"), F.col("_lrd").alias("_nl"))
     sc = (d.select(key, pid, "nid").join(nl, [key, "nid"]).groupBy(key, pid)
@@ -628,7 +680,8 @@ def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT"
     return _attach(points, sc, key, pid)
 
 
-def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON"):
+def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON",
+    geomodel: str = "sphere"):
     """Spatial local outlier measure (D24, Chawla & Sun 2006).
 
     d~(p) = mean |attr difference| over N_k(p) without its largest value;
@@ -637,7 +690,7 @@ def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT
     (max(n+, n-) - min(n+, n-)) / (|N| - 2) (0 when |N| <= 2); SLOM = d~(p)
     * beta / (1 + avg).
     """
-    d = _attr_diffs(points, k, attr, key, pid, lat, lon)
+    d = _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel)
     dt = (d.groupBy(key, pid)
            .agg(F.when(F.count(F.lit(1)) > 1,
                        (F.sum("_ad") - F.max("_ad")) / (F.count(F.lit(1)) - F.lit(1)))

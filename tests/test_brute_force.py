@@ -242,7 +242,7 @@ def test_isolation_forest_separates_and_is_deterministic(spark):
 
 def test_wgs84_band_predicate_matches_vincenty(spark):
     from pyspark.sql import functions as F
-    from occuflow.functions.geo import _vincenty_np, within_eps
+    from occuflow.functions.geo import vincenty_np, within_eps
     rng = np.random.default_rng(5)
     a = rng.uniform(-80, 80, (400, 2))
     b = a + rng.normal(0, 6, (400, 2))
@@ -250,7 +250,7 @@ def test_wgs84_band_predicate_matches_vincenty(spark):
     df = spark.createDataFrame(rows, "la1 double, lo1 double, la2 double, lo2 double")
     eps = 600_000.0
     got = [r[0] for r in df.select(within_eps("la1", "lo1", "la2", "lo2", eps, "wgs84")).collect()]
-    exp = _vincenty_np(a[:, 0], a[:, 1], b[:, 0], b[:, 1]) <= eps
+    exp = vincenty_np(a[:, 0], a[:, 1], b[:, 0], b[:, 1]) <= eps
     assert got == list(exp)
 
 

@@ -121,3 +121,75 @@ def test_stage_tables_go_with_their_scope(spark):
         assert cut_lineage(spark.range(5)).count() == 5
         assert len(fs.listStatus(base)) == before + 1
     assert len(fs.listStatus(base)) == before
+
+
+def test_neighbourhood_counts_follow_the_edge_not_the_content(spark, monkeypatch):
+    """Four times the points in the same patch, 16 times the neighbours: about as many edge rows a point."""
+    rng = np.random.default_rng(5)
+    cuts = []
+    plain = density.cut_lineage
+    monkeypatch.setattr(density, "cut_lineage", lambda df: cuts.append(plain(df)) or cuts[-1])
+    rows, tested = {}, {}
+    for n in (2_000, 8_000):
+        cuts.clear()
+        xy = rng.random((n, 2)) * 2
+        pts = points(spark, xy)
+        got = density.neighbour_counts(pts, 50_000.0).agg({"n_neighbours": "sum"}).first()[0]
+        la, lo = np.radians(xy[:, 0]), np.radians(xy[:, 1])
+        total = 0
+        for i in range(0, n, 500):
+            h = (np.sin((la[i:i + 500, None] - la) / 2) ** 2
+                 + np.cos(la[i:i + 500, None]) * np.cos(la) * np.sin((lo[i:i + 500, None] - lo) / 2) ** 2)
+            total += int((2 * 6371008.8 * np.arcsin(np.sqrt(h)) <= 50_000).sum())
+        assert got == total
+        rows[n] = total
+        tested[n] = sum(c.where("_state = 'edge'").count() for c in cuts if "_state" in c.columns)
+    assert rows[8_000] > 10 * rows[2_000] and tested[8_000] < 10 * tested[2_000]
+
+
+def test_one_hot_cube_forms_no_pairs_with_its_points(spark):
+    rng = np.random.default_rng(6)
+    hot = rng.random((50_000, 2)) * 0.5
+    around = np.column_stack([rng.random(30) * 4 - 2, 2 + rng.random(30) * 3])
+    pts = points(spark, np.concatenate([hot, around, [[50.0, 50.0], [50.0, 50.1]]]))
+    got = {r["H3"] for r in density.dbscan_noise(pts, 300_000.0, 5).where("OutlierScore = 1").collect()}
+    assert got == {"p50030", "p50031"}
+
+
+def test_dispatcher_checks_and_spheroid(spark):
+    from occuflow.operators.scores import METHODS, outlier_scores
+
+    rng = np.random.default_rng(7)
+    pts = points(spark, rng.random((60, 2)) * [120, 300] - [60, 150])
+    for bad in ({"method": "Nope"}, {"method": "LOF"}, {"method": "LOF", "k": 0}, {"method": "DBOutlierScore", "k": 3},
+                {"method": "DBOutlierScore", "d": -1.0}, {"method": "LOF", "k": 3, "geomodel": "flat"}, {"method": "SLOM", "k": 3}):
+        with pytest.raises(ValueError):
+            outlier_scores(pts, **bad)
+    with pytest.raises(NotImplementedError):
+        outlier_scores(pts, "SOS")
+    from occuflow.functions.geo import vincenty_np
+
+    got = {r["H3Index"]: r["OutlierScore"] for r in outlier_scores(pts, "KNNOutlier", k=3).collect()}
+    xy = np.array([(r["LAT"], r["LON"]) for r in pts.orderBy("H3").collect()])
+    for i in range(60):
+        d = np.sort(vincenty_np(np.full(60, xy[i, 0]), np.full(60, xy[i, 1]), xy[:, 0], xy[:, 1]))
+        assert abs(got[f"p{i:05d}"] - d[3]) < 2e-3
+    assert len(METHODS) >= 25
+
+
+def test_known_geodesic_distances():
+    """Published WGS84 values (degrees, metres)."""
+    from occuflow.functions.geo import vincenty_np
+
+    one = lambda *a: float(vincenty_np(*[np.array([v], dtype=float) for v in a])[0])
+    assert abs(one(0, 0, 0, 1) - 111319.4908) < 1e-3  # a degree of the equator
+    assert abs(one(0, 0, 90, 0) - 10001965.7293) < 1e-2  # a quarter meridian
+    assert abs(one(0, 0, 1, 0) - 110574.3886) < 1e-3  # the first degree of latitude
+    assert 19_900_000 < one(0, 0, 0.5, 179.7) < 20_010_000
+
+
+def test_dbscan_on_the_spheroid(spark):
+    """At 45 N, 1 degree of latitude is 111.13 km on the spheroid and 111.19 km on the sphere."""
+    pts = points(spark, [(45, 10), (46, 10)])
+    noise = lambda m: density.dbscan_noise(pts, 111_160.0, 2, geomodel=m).where("OutlierScore = 1").count()
+    assert noise("wgs84") == 0 and noise("sphere") == 2
