@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occuflow.functions.cells import Graticule, with_cells
+from occuflow.functions.cells import HexCells, with_cells
 from occuflow.operators.binning import bin_counts, species_cells
 from occuflow.operators.counts import species_counts
 from occuflow.operators.density import dbscan_noise
@@ -28,9 +28,10 @@ from occuflow.session import broadcast_if_small, cut_lineage
 class Params:
     """Run parameters with the reference's defaults.
 
-    Cells default to graticules (0.25° for outlier detection, 1° for the
-    final bins) because H3 ids need the ``h3`` package; pass ``H3Cells(6)``
-    and ``H3Cells(4)`` where it is installed.
+    Cells default to hexagons of H3's resolutions 6 (outlier detection) and 4
+    (final bins) with ids of their own; pass ``H3Cells(6)`` and ``H3Cells(4)``
+    where the ``h3`` package is installed, or ``Graticule`` cells, which are
+    plain SQL.  Distances default to the WGS84 spheroid.
     """
 
     basis: tuple[str, ...] | None = DEFAULT_BASIS
@@ -38,9 +39,9 @@ class Params:
     dbscan_minpts: int = 3
     dbscan_eps_m: float = 1_000_000.0
     nodbscan: bool = False
-    outlier_cells: object = field(default_factory=lambda: Graticule(4))
-    final_cells: object = field(default_factory=lambda: Graticule(1))
-    geomodel: str = "sphere"
+    outlier_cells: object = field(default_factory=lambda: HexCells(6))
+    final_cells: object = field(default_factory=lambda: HexCells(4))
+    geomodel: str = "wgs84"
     summary_threshold: float = 0.5
     overlap: str = "both"
 

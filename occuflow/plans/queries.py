@@ -201,6 +201,7 @@ def _pipeline(nodbscan: bool) -> Builder:
     def build(spark, d):
         fx = _fx(spark, d)
         params = Params(nodbscan=nodbscan, outlier_cells=OUTLIER_GRID, final_cells=FINAL_GRID,
+                        geomodel="sphere",
                         dbscan_eps_m=EPS_M, dbscan_minpts=MINPTS,
                         occurrence_threshold=THRESHOLD)
         return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], params)["binned"]

@@ -15,6 +15,10 @@ from occuflow.plans.pipeline import Params, run
 from occuflow.sources.fixtures import load_fixture
 
 
+# Cells and distances that plain SQL can repeat.
+PLAIN = {"basis": None, "outlier_cells": Graticule(4), "final_cells": Graticule(1), "geomodel": "sphere"}
+
+
 @pytest.fixture(scope="module")
 def fx(spark):
     return load_fixture(spark, SF_SMALL)
@@ -22,7 +26,7 @@ def fx(spark):
 
 @pytest.fixture(scope="module")
 def results(spark, fx):
-    return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], Params(basis=None))
+    return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], Params(**PLAIN))
 
 
 def test_binned_counts_cover_every_located_record(spark, fx):
@@ -50,7 +54,7 @@ def test_removal_partitions_the_records(spark, fx, results):
 
 def test_no_dbscan_run_bins_more_records_than_cleaned_run(spark, fx, results):
     raw = run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"],
-              Params(basis=None, nodbscan=True))["binned"]
+              Params(**PLAIN, nodbscan=True))["binned"]
     n_clean = results["binned"].agg(F.sum("record_count")).first()[0]
     n_raw = raw.agg(F.sum("record_count")).first()[0]
     assert n_raw > n_clean
@@ -58,7 +62,7 @@ def test_no_dbscan_run_bins_more_records_than_cleaned_run(spark, fx, results):
 
 def test_overlap_large_bins_each_name_once(spark, fx):
     res = run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"],
-              Params(basis=None, overlap="large"))
+              Params(**PLAIN, overlap="large"))
     b = res["binned"]
     assert b.count() == b.select("H3", "species", "year").distinct().count()
 
@@ -79,3 +83,17 @@ def test_write_outputs_layout(spark, results, tmp_path):
     assert glob.glob(os.path.join(paths["tree_stats"], "trees", "lists", "tree=*", "OccGroup=*"))
     names = spark.read.text(os.path.join(paths["tree_stats"], "pooled_large")).count()
     assert names == results["pooled"].where("occ_group = 'Large'").count()
+
+
+def test_default_run_uses_hexagons_and_the_spheroid(spark, fx, tmp_path):
+    from occuflow.functions import hexgrid
+    from occuflow.plans.outputs import run_and_write
+
+    paths = run_and_write(fx["occurrences"], fx["tree_tips"], str(tmp_path), fx["extinct_taxa"], Params(basis=None))
+    binned = spark.read.parquet(paths["filtered"]).collect()
+    cells = {int(r["H3"], 16) for r in binned}
+    assert {c >> 59 for c in cells} == {4}
+    lat, lon = hexgrid.decode(list(cells))
+    assert (hexgrid.encode(lat, lon, 4) == list(cells)).all()
+    located = fx["occurrences"].where("decimallatitude IS NOT NULL AND species IS NOT NULL").count()
+    assert 0 < sum(r["record_count"] for r in binned) <= 2 * located

@@ -193,3 +193,34 @@ def test_dbscan_on_the_spheroid(spark):
     pts = points(spark, [(45, 10), (46, 10)])
     noise = lambda m: density.dbscan_noise(pts, 111_160.0, 2, geomodel=m).where("OutlierScore = 1").count()
     assert noise("wgs84") == 0 and noise("sphere") == 2
+
+
+def test_hexagons_tile_the_globe():
+    from occuflow.functions import hexgrid
+
+    rng = np.random.default_rng(8)
+    n = 300_000
+    lat, lon = np.degrees(np.arcsin(rng.uniform(-1, 1, n))), rng.uniform(-180, 180, n)
+    for r in range(3):
+        cells = hexgrid.encode(lat, lon, r)
+        have = np.unique(cells)
+        assert len(have) == 2 + 120 * 7 ** r
+        la, lo = hexgrid.decode(have)
+        assert (hexgrid.encode(la, lo, r) == have).all()
+    la, lo = hexgrid.decode(hexgrid.encode(lat, lon, 6))
+    h = (np.sin(np.radians(la - lat) / 2) ** 2
+         + np.cos(np.radians(la)) * np.cos(np.radians(lat)) * np.sin(np.radians(lo - lon) / 2) ** 2)
+    assert 2 * 6371.0088 * np.arcsin(np.sqrt(h)).max() < 4.5
+
+
+def test_hexagons_at_the_poles_and_the_date_line(spark):
+    from occuflow.functions.cells import HexCells, make_indexer
+
+    hexes = make_indexer("hex", 6)
+    assert isinstance(hexes, HexCells)
+    df = spark.createDataFrame([(90.0, 0.0), (90.0, 123.0), (10.0, 180.0), (10.0, -180.0), (None, 1.0), (1.0, None)],
+                               "decimallatitude double, decimallongitude double")
+    from occuflow.functions.cells import with_cells
+
+    got = [r["cell"] for r in with_cells(df, hexes).collect()]
+    assert got[0] == got[1] and got[2] == got[3] and got[4] is None and got[5] is None
