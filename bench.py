@@ -28,6 +28,13 @@ HEADLINE = (
     "binned_no_dbscan",
     "quality_filter",
     "db_outlier",
+    "knn_distance",
+    "lof",
+    "loop",
+    "simple_cop",
+    "isolation_forest",
+    "kmeans_minus_minus",
+    "em_outlier",
 )
 
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from occuflow.session import cut_lineage
+
 # The basis-of-record names the reference accepts.
 BASIS_OF_RECORD_NAMES = (
     "OBSERVATION", "OCCURRENCE", "MACHINE_OBSERVATION", "MATERIAL_SAMPLE",
@@ -214,17 +216,44 @@ EXTINCT_COLUMNS = ("specieskey", "highertaxon_key", "kingdom", "phylum", "order"
                    "family", "genus", "species")
 
 
+def taxon_descendants(taxonomy: DataFrame, roots, key: str = "taxonkey", parent: str = "parentkey") -> DataFrame:
+    """(taxonkey, root) of every taxon at or below each listed root.
+
+    Level by level: each round joins the last level's keys to their children,
+    so rounds grow with the depth of the taxonomy.  A cycle ends it, as a pair
+    found before is not followed again.
+    """
+    spark = taxonomy.sparkSession
+    links = cut_lineage(taxonomy.select(F.col(key).cast("long").alias("child"), F.col(parent).cast("long").alias("above"))
+                        .where("child IS NOT NULL AND above IS NOT NULL AND child <> above").distinct())
+    found = spark.createDataFrame([(int(r), int(r)) for r in dict.fromkeys(roots)], "taxonkey long, root long")
+    level = found
+    while True:
+        level = cut_lineage(links.join(level, F.col("above") == F.col("taxonkey"))
+                            .select(F.col("child").alias("taxonkey"), "root").distinct()
+                            .join(found, ["taxonkey", "root"], "left_anti"))
+        if level.isEmpty():
+            return found
+        found = found.unionByName(level)
+
+
 def select_extinct(taxonomy: DataFrame, higher_taxa=DEFAULT_HIGHER_TAXA,
                    dataset_key: str | None = None) -> DataFrame:
     """Accepted, extinct species under any listed higher taxon.
 
+    With a ``parentkey`` column every descendant of a listed taxon counts, once
+    per listed taxon it lies under; otherwise ``highertaxonkey`` is compared.
+
     Output fields follow the reference's TSV; a field the backbone lacks or
     leaves NULL becomes ''.  ``higher_taxa`` is a fixed parameter list
     (an IN literal, no join).
     """
-    df = taxonomy.where((F.col("taxonrank") == "SPECIES") & (F.col("status") == "ACCEPTED")
-                        & F.col("isextinct")
-                        & F.col("highertaxonkey").isin(*[int(k) for k in higher_taxa]))
+    df = taxonomy.where((F.col("taxonrank") == "SPECIES") & (F.col("status") == "ACCEPTED") & F.col("isextinct"))
+    if "parentkey" in taxonomy.columns:
+        under = taxon_descendants(taxonomy, higher_taxa)
+        df = df.drop("highertaxonkey").join(under.withColumnRenamed("root", "highertaxonkey"), "taxonkey")
+    else:
+        df = df.where(F.col("highertaxonkey").isin(*[int(k) for k in higher_taxa]))
     if dataset_key is not None:
         if "datasetkey" not in taxonomy.columns:
             raise ValueError("dataset_key given, but the taxonomy has no datasetkey column")

@@ -246,6 +246,28 @@ register("extinct_selection", _EXTINCT_SQL)(
     lambda spark, d: predicates.select_extinct(_fx(spark, d)["taxonomy"]))
 
 
+# A backbone with parents: seven children a taxon.
+_BACKBONE = """SELECT p_partkey AS taxonkey, CAST(floor(p_partkey / 7) AS BIGINT) AS parentkey,
+  CASE WHEN p_partkey % 9 = 0 THEN 'GENUS' ELSE 'SPECIES' END AS taxonrank,
+  CASE WHEN p_partkey % 5 = 0 THEN 'SYNONYM' ELSE 'ACCEPTED' END AS status,
+  p_partkey % 4 = 0 AS isextinct, p_brand AS family, p_name AS species FROM part"""
+_ROOTS = (1, 3, 24, 30)
+
+
+@register("extinct_descendants", f"""
+WITH RECURSIVE backbone AS ({_BACKBONE}),
+under AS (SELECT unnest({list(_ROOTS)}) AS root, unnest({list(_ROOTS)}) AS taxonkey
+  UNION SELECT u.root, b.taxonkey FROM under u JOIN backbone b ON b.parentkey = u.taxonkey AND b.taxonkey <> b.parentkey)
+SELECT CAST(b.taxonkey AS VARCHAR) AS specieskey, CAST(u.root AS VARCHAR) AS highertaxon_key,
+  '' AS kingdom, '' AS phylum, '' AS "order", COALESCE(family, '') AS family, '' AS genus, COALESCE(species, '') AS species
+FROM backbone b JOIN under u ON u.taxonkey = b.taxonkey
+WHERE taxonrank = 'SPECIES' AND status = 'ACCEPTED' AND isextinct""")
+def _extinct_descendants(spark, d):
+    """F13 on a backbone: every descendant of the listed taxa."""
+    _fx(spark, d)
+    return predicates.select_extinct(spark.sql(_BACKBONE), _ROOTS)
+
+
 # ---------------------------------------------------------------- score reports
 
 def _db_scores(fx) -> DataFrame:
