@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.session import ship_package
+from occuflow.llm.workers import prepare
+
 
 K, W = 16, 64
 
@@ -81,7 +82,7 @@ def as_text(hashes: np.ndarray) -> str:
 
 def fingerprints(docs: DataFrame, text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """``docs`` without the text, plus ``fingerprint``: array of (position, hash), by position."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     carry = [c for c in docs.columns if c != text and c.lower() != "fingerprint"]
     source = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = source.select(*[F.col(f"`{c}`") for c in carry],
@@ -134,7 +135,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list,
 def neighbour_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """Per document: digests of its text and edited text, and the likenesses (see module)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # Range bounds: as many ids as there are partitions, never more.

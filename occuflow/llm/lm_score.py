@@ -40,7 +40,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from occuflow.llm.workers import prepare
+from occuflow.session import cut_lineage, ensure_checkpoint_dir
 
 U64 = np.uint64
 END, START = U64(0xE5D0F7A2C4B39681), U64(0x51A7E0B6D38C2F94)
@@ -356,7 +357,7 @@ def train(docs: DataFrame, text: str = "text", flush_tokens: int = FLUSH_TOKENS,
           n_buckets: int | None = None) -> KneserNey:
     """Count the model over all rows of ``docs``; arrays go to the shared folder."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     n = n_buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n_words = max(1, round(2 * n ** 0.5))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/occuflow-lm-{uuid.uuid4().hex}"
@@ -390,7 +391,7 @@ def _pair_files(model: KneserNey) -> list[int]:
 def score(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
     """``docs`` without the text, plus token counts, ``base_score`` and ``score`` (log10)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     carry = [c for c in docs.columns if c != text and c.lower() not in RESULTS]
     source = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = source.select(

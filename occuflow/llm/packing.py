@@ -35,7 +35,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from occuflow.llm.secret_scan import load_encoder
-from occuflow.session import cut_lineage, ship_package
+from occuflow.llm.workers import prepare
+from occuflow.session import cut_lineage
 
 WINDOW, END_ID = 2048, 1
 LONG_RUN = 4096
@@ -67,7 +68,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, do
                  text: str = "text", ranks: str = "byte_bpe_50k.tiktoken",
                  model: str = "byte_bpe_50k.json") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) per piece of at most ``window`` ids."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     source = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").cast("string").alias("__text"))
     names = [doc_id, "start", "length", "ids_crc32", "doc_tokens"]
     schema = source.select(F.col(f"`{doc_id}`"), *[F.lit(0).cast("long").alias(c) for c in names[1:]]).schema

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.session import ship_package
+from occuflow.llm.workers import prepare
+
 
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
@@ -158,7 +159,7 @@ def failure_bits(m: dict[str, np.ndarray]) -> np.ndarray:
 
 def quality_ledger(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns (default: all but the text) plus measurements and ``fail_bits``."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     results = [*MEASURES, "fail_bits"]
     carry = [c for c in (carry if carry is not None else docs.columns)
              if c != text and c.lower() not in results]

@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occuflow.session import ship_package
+from occuflow.llm.workers import prepare
+
 
 KINDS = ["assign", "access", "hex", "token"]
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -131,7 +132,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", vocabulary: str = "byte_bp
 
     Without ``redact`` the text column itself is left out of the result.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     carry = [c for c in docs.columns if c != text and c.lower() != "secret_spans"]
     source = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias("__text"))
     result = source.select(*[F.col(f"`{c}`") for c in carry],

@@ -20,7 +20,7 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = (np.random.Generator(np.random.PCG64(20240607))
                .integers(0, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1))
 # Work is done on slices of about this many bytes, whatever the Arrow batch size.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 WORD_SPACE = np.zeros(256, dtype=bool)
 WORD_SPACE[[0x20, *range(0x09, 0x0E)]] = True

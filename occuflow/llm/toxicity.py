@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.session import cut_lineage, ship_package
+from occuflow.llm.workers import prepare
+from occuflow.session import cut_lineage
 
 MAX_ROWS, MAX_FEATURES = 20_000, 2048
 MIN_TEXTS, MIN_LLR, MARKER_LIFT = 4, 15.0, 5.0
@@ -155,7 +156,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     ``labels`` has doc_id and either ``grade`` (0, 1, ...) or ``toxic`` (0/1).
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     graded = "grade" in labels.columns
     grade = F.col("grade" if graded else "toxic").cast("int")
     chosen = labels.select("doc_id", grade.alias("grade")).filter("doc_id IS NOT NULL AND grade IS NOT NULL")
@@ -176,9 +177,14 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
         for rows, data, offsets in ta.text_slices(batches, "text"):
             owner, hashes, _ = text_features(data, offsets)
             toxic = rows.column(rows.schema.get_field_index("grade")).to_numpy() > 0
-            pair = np.unique(np.stack([hashes, owner.astype(np.uint64)], axis=1), axis=0) if len(hashes) else np.empty((0, 2), np.uint64)
-            word, at = np.unique(pair[:, 0], return_inverse=True)
-            flag = toxic[pair[:, 1].astype(np.int64)]
+            order = np.lexsort((owner, hashes))
+            owner, hashes = owner[order], hashes[order]
+            fresh = np.ones(len(owner), dtype=bool)  # a feature counts once a text
+            fresh[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+            owner, hashes = owner[fresh], hashes[fresh]
+            first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, np.int64)
+            word, at = hashes[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes))))
+            flag = toxic[owner]
             yield pa.RecordBatch.from_arrays([
                 pa.array(word.view(np.int64)),
                 pa.array(np.bincount(at[flag], minlength=len(word)).astype(np.int64)),
@@ -235,7 +241,7 @@ def score_severity(docs: DataFrame, model: SeverityModel, threshold: float = 0.5
 
     The model is bounded by ``max_features`` and travels with the task.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     carry = [c for c in docs.columns if c.lower() not in RESULTS and (keep_text or c != "text")]
     source = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__text"))
     schema = source.select(*[F.col(f"`{c}`") for c in carry], F.lit(0.0).alias("severity"),
