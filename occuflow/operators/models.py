@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from functools import reduce
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -70,33 +70,40 @@ def _c_factor(n):
     return out
 
 
+def _digits(*parts) -> tuple[float, float]:
+    """Two uniforms in [0, 1) from an MD5 of the parts (the same on every engine)."""
+    h = hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+    return int(h[:8], 16) / 2.0 ** 32, int(h[8:16], 16) / 2.0 ** 32
+
+
 def _build_tree(pdf: pd.DataFrame, sample_size: int, seed: int) -> pd.DataFrame:
+    """One isolation tree; a node's split is drawn by a hash of its path of L and R."""
     pdf = pdf.sort_values(["_u", "_id"]).head(sample_size)
     k, t = pdf["_k"].iloc[0], int(pdf["_t"].iloc[0])
-    rng = np.random.default_rng([seed, t, zlib.crc32(str(k).encode())])
     x = pdf[["_lat", "_lon"]].to_numpy(float)
     limit = int(math.ceil(math.log2(max(len(x), 2))))
     nodes = []
 
-    def grow(idx, depth):
+    def grow(idx, path):
         me = len(nodes)
-        nodes.append([me, -1, 0.0, -1, -1, len(idx), depth])
-        if depth >= limit or len(idx) <= 1:
+        nodes.append([me, -1, 0.0, -1, -1, len(idx), len(path)])
+        if len(path) >= limit or len(idx) <= 1:
             return me
         lo, hi = x[idx].min(axis=0), x[idx].max(axis=0)
         feats = np.where(hi > lo)[0]
         if len(feats) == 0:
             return me
-        f = int(rng.choice(feats))
-        s = float(rng.uniform(lo[f], hi[f]))
+        which, where = _digits(seed, t, k, path)
+        f = int(feats[int(which * len(feats))])
+        s = float(lo[f] + where * (hi[f] - lo[f]))
         left = idx[x[idx, f] < s]
         right = idx[x[idx, f] >= s]
         nodes[me][1], nodes[me][2] = f, s
-        nodes[me][3] = grow(left, depth + 1)
-        nodes[me][4] = grow(right, depth + 1)
+        nodes[me][3] = grow(left, path + "L")
+        nodes[me][4] = grow(right, path + "R")
         return me
 
-    grow(np.arange(len(x)), 0)
+    grow(np.arange(len(x)), "")
     out = pd.DataFrame(nodes, columns=["node", "feat", "split", "left", "right", "size", "depth"])
     out.insert(0, "_t", t)
     out.insert(0, "_k", k)
@@ -149,7 +156,9 @@ def isolation_forest(points: DataFrame, n_trees: int = 100, sample_size: int = 2
       a group with a third of all points still spreads over many tasks.
 
     Score = 2^(-E[h(x)] / c(psi)).  A seeded random model: scores match
-    other implementations in distribution, not value by value.
+    other implementations in distribution, not value by value.  All draws are
+    MD5 digits of the seed, tree, group and point or path, so any engine can
+    repeat them.
     """
     ship_package(points.sparkSession)
     pts = cut_lineage(points.select(F.col(key).cast("string").alias("_k"),
@@ -159,15 +168,16 @@ def isolation_forest(points: DataFrame, n_trees: int = 100, sample_size: int = 2
     sizes = pts.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     rate = F.least(F.lit(1.0), F.lit(4.0 * sample_size) / F.col("_n"))
 
-    def u01(t):
-        h = F.xxhash64(F.lit(seed), t, F.col("_k"), F.col("_id"))
-        return (F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30)))
+    # One MD5 serves four trees: a uniform from each of its 32-bit words.
+    def draw(t):
+        word = F.substring(F.element_at("_hs", F.floor(t / 4).cast("int") + 1), (t % 4) * 8 + 1, F.lit(8))
+        return F.struct(t.alias("t"), (F.conv(word, 16, 10).cast("double") / F.lit(2.0 ** 32)).alias("u"))
 
-    cand = (pts.join(sizes, "_k")
-               .withColumn("_ts", F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                           lambda t: u01(t) < rate))
-               .select("_k", "_id", "_lat", "_lon", F.explode("_ts").alias("_t"))
-               .withColumn("_u", u01(F.col("_t"))))
+    hashes = F.array(*[F.md5(F.concat_ws("|", F.lit(seed), F.lit(i), "_k", "_id")) for i in range(-(-n_trees // 4))])
+    cand = (pts.join(sizes, "_k").withColumn("_hs", hashes)
+               .withColumn("_d", F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), draw),
+                                                    lambda d: d["u"] < rate)))
+               .select("_k", "_id", "_lat", "_lon", F.col("_d.t").alias("_t"), F.col("_d.u").alias("_u")))
     trees = cut_lineage(cand.groupBy("_k", "_t").applyInPandas(
         lambda pdf: _build_tree(pdf, sample_size, seed), _NODE_SCHEMA))
 
@@ -231,7 +241,7 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, s
     pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).cast("string").alias("_id"),
                                     F.col(lat).cast("double").alias("_x"),
                                     F.col(lon).cast("double").alias("_y")))
-    init = top_n_per_group(pts.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_k"), F.col("_id"))),
+    init = top_n_per_group(pts.withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), "_k", "_id"))),
                            "_k", [F.col("_h")], k, "_id")
     centres = init.select("_k", (F.col("_rank") - 1).alias("c"), "_x", "_y")
 
@@ -315,7 +325,7 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
                                     F.col(lon).cast("double").alias("_y")))
     cov = pts.groupBy("_k").agg(F.var_pop("_x").alias("_vx"), F.var_pop("_y").alias("_vy"),
                                 F.covar_pop("_x", "_y").alias("_cxy"))
-    init = top_n_per_group(pts.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_k"), F.col("_id"))),
+    init = top_n_per_group(pts.withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), "_k", "_id"))),
                            "_k", [F.col("_h")], k, "_id")
     comps = (init.join(cov, "_k")
                  .select("_k", (F.col("_rank") - 1).alias("c"), F.lit(1.0 / k).alias("w"),

@@ -614,22 +614,136 @@ QUERIES["knn_sos"] = (
                         .withColumn("OutlierScore", F.round("OutlierScore", 6)),
     _sos_sql())
 
-# Iterative (rounds until no centre moves): checked by the fixed-point test.
+def _recursive(ctes: list[str], select: str) -> str:
+    sql = with_ctes(S.compose(_CELLS_SQL + ctes, select), "occurrences")
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
+# The first k points of a species by a hash both engines share.
+_FIRST = """first AS (SELECT * FROM (SELECT Species, H3, LAT, LON, row_number() OVER (
+  PARTITION BY Species ORDER BY md5('42|' || Species || '|' || H3), H3) AS r FROM cells) WHERE r <= {k})"""
+
+
+def _kmeans_sql(k: int, l: int) -> str:
+    """One row a species and round: its centres, and whether any of them moved."""
+    near = ("list_min(list_transform(cs, lambda s: struct_pack(d := sqrt(pow(s.x - p.LAT, 2) + pow(s.y - p.LON, 2)), "
+            "c := s.c)))")
+    pick = "list_filter(news, lambda n: n.c = s.c)[1]"
+    return _recursive([_FIRST.format(k=k), f"""fit AS (
+  SELECT Species, 0 AS it, list(struct_pack(c := r - 1, x := LAT, y := LON) ORDER BY r) AS cs, true AS moving
+  FROM first GROUP BY Species
+  UNION ALL
+  SELECT Species, it + 1, after, list_bool_or(list_transform(range(1, len(cs) + 1), lambda i:
+    abs(after[i].x - cs[i].x) > 1e-9 OR abs(after[i].y - cs[i].y) > 1e-9))
+  FROM (SELECT *, list_transform(cs, lambda s: struct_pack(c := s.c, x := coalesce({pick}.x, s.x),
+          y := coalesce({pick}.y, s.y))) AS after
+    FROM (SELECT Species, it, any_value(cs) AS cs, list(struct_pack(c := c, x := x, y := y)) AS news
+      FROM (SELECT Species, it, any_value(cs) AS cs, best.c AS c,
+              avg(LAT) FILTER (far > {l}) AS x, avg(LON) FILTER (far > {l}) AS y
+        FROM (SELECT *, row_number() OVER (PARTITION BY Species ORDER BY best.d DESC, H3) AS far
+          FROM (SELECT p.Species, p.H3, p.LAT, p.LON, f.it, f.cs, {near} AS best
+            FROM fit f JOIN cells p ON p.Species = f.Species WHERE f.moving AND f.it < 200))
+        GROUP BY Species, it, best.c)
+      GROUP BY Species, it)))""",
+        "last AS (SELECT Species, arg_max(cs, it) AS cs, NOT arg_max(moving, it) AS converged FROM fit GROUP BY Species)",
+        f"scored AS (SELECT p.LAT, p.LON, p.H3, p.Species, f.converged, {near} AS best "
+        "FROM last f JOIN cells p ON p.Species = f.Species)"],
+        f"""SELECT LAT, LON, H3, Species, CAST(best.c AS INT) AS cluster, ROUND(best.d, 6) AS OutlierScore,
+  row_number() OVER (PARTITION BY Species ORDER BY best.d DESC, H3) <= {l} AS is_outlier, converged FROM scored""")
+
+
+def _em_sql(k: int) -> str:
+    """One row a species and round: its components, the log-likelihood before them, and whether it still changed."""
+    det = "(s.sxx * s.syy - s.sxy * s.sxy)"
+    dx, dy = "(p.LAT - s.mx)", "(p.LON - s.my)"
+    ld = (f"list_transform(cs, lambda s: ln(s.w) - (s.syy * {dx} * {dx} - 2.0 * s.sxy * {dx} * {dy} + s.sxx * {dy} * {dy})"
+          f" / {det} / 2.0 - ln(2.0 * pi()) - ln({det}) / 2.0)")
+    return _recursive([_FIRST.format(k=k),
+        """spread AS (SELECT Species, var_pop(LAT) AS vx, var_pop(LON) AS vy, covar_pop(LAT, LON) AS cxy
+  FROM cells GROUP BY Species)""",
+        f"""fit AS (
+  SELECT Species, 0 AS it, list(struct_pack(c := r - 1, w := {1.0 / k!r}::DOUBLE, mx := LAT, my := LON, sxx := vx + 1e-6,
+    sxy := cxy, syy := vy + 1e-6) ORDER BY r) AS cs, NULL::DOUBLE AS ll, true AS moving
+  FROM first JOIN spread USING (Species) GROUP BY Species
+  UNION ALL
+  SELECT Species, it + 1, cs, ll, it = 0 OR abs(ll - before) > 1e-3
+  FROM (SELECT Species, it, any_value(before) AS before, sum(ll0) / sum(n0) AS ll,
+      list(struct_pack(c := c, w := n / total, mx := sx / n, my := sy / n,
+        sxx := sxx / n - (sx / n) * (sx / n) + 1e-6, sxy := sxy / n - (sx / n) * (sy / n),
+        syy := syy / n - (sy / n) * (sy / n) + 1e-6) ORDER BY c) AS cs
+    FROM (SELECT *, sum(n) OVER (PARTITION BY Species) AS total
+      FROM (SELECT Species, it, any_value(before) AS before, c, sum(r) AS n, sum(r * LAT) AS sx, sum(r * LON) AS sy,
+          sum(r * LAT * LAT) AS sxx, sum(r * LAT * LON) AS sxy, sum(r * LON * LON) AS syy,
+          sum(CASE WHEN c = 0 THEN lt END) AS ll0, sum(CASE WHEN c = 0 THEN 1 END) AS n0
+        FROM (SELECT Species, it, before, LAT, LON, lt, unnest(range(0, len(ld))) AS c,
+            unnest(list_transform(ld, lambda v: exp(v - lt))) AS r
+          FROM (SELECT *, list_max(ld) + ln(list_sum(list_transform(ld, lambda v: exp(v - list_max(ld))))) AS lt
+            FROM (SELECT p.Species, p.LAT, p.LON, f.it, f.ll AS before, {ld} AS ld
+              FROM fit f JOIN cells p ON p.Species = f.Species WHERE f.moving AND f.it < 100)))
+        GROUP BY Species, it, c))
+    GROUP BY Species, it))""",
+        "last AS (SELECT Species, arg_max(cs, it) AS cs, NOT arg_max(moving, it) AS converged FROM fit GROUP BY Species)"],
+        f"""SELECT p.LAT, p.LON, p.H3, p.Species, ROUND(-list_max({ld}), 6) AS OutlierScore, f.converged
+FROM last f JOIN cells p ON p.Species = f.Species""")
+
+
 QUERIES["kmeans_minus_minus"] = (
     lambda spark, d: models.kmeans_minus_minus(_cells(_fx(spark, d)).drop("cell"), k=K, l=K)
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
-    None)
+    _kmeans_sql(K, K))
 
 QUERIES["em_outlier"] = (
     lambda spark, d: models.em_outlier(_cells(_fx(spark, d)).drop("cell"), k=3)
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
-    None)
+    _em_sql(3))
+
+def _forest_sql(n_trees: int = 100, sample: int = 256, seed: int = 42) -> str:
+    """Trees grow level by level over the sampled points; every cell then walks down each tree."""
+    word = lambda h, i: f"('0x' || substr({h}, {i}, 8))::BIGINT / 4294967296.0"
+    leaf = ("CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} "
+            "WHEN {n} = 2 THEN 1.0 ELSE 0.0 END")
+    return _recursive([
+        f"""draw AS (SELECT c.Species, c.H3, c.LAT, c.LON, t.t, {word("md5(concat_ws('|', " + str(seed) + ", t.t // 4, c.Species, c.H3))", "(t.t % 4) * 8 + 1")} AS u,
+    count(*) OVER (PARTITION BY c.Species, t.t) AS total FROM cells c, range({n_trees}) t(t))""",
+        f"""sampled AS (SELECT *, count(*) OVER (PARTITION BY Species, t) AS psi FROM (
+    SELECT *, row_number() OVER (PARTITION BY Species, t ORDER BY u, H3) AS r FROM draw
+    WHERE u < least(1.0, {4.0 * sample!r} / total)) WHERE r <= {sample})""",
+        f"""grown AS (
+  SELECT Species, t, H3, LAT, LON, '' AS path, CAST(ceil(log2(greatest(psi, 2))) AS INT) AS lim FROM sampled
+  UNION ALL
+  SELECT Species, t, H3, LAT, LON, path || CASE WHEN (CASE WHEN f = 0 THEN LAT ELSE LON END) <
+      (CASE WHEN f = 0 THEN la0 + w * (la1 - la0) ELSE lo0 + w * (lo1 - lo0) END) THEN 'L' ELSE 'R' END, lim
+  FROM (SELECT *, CASE WHEN la1 > la0 AND lo1 > lo0 THEN CAST(floor({word("h", 1)} * 2) AS INT)
+      WHEN la1 > la0 THEN 0 ELSE 1 END AS f, {word("h", 9)} AS w
+    FROM (SELECT *, md5(concat_ws('|', {seed}, t, Species, '') || path) AS h, count(*) OVER q AS n,
+        min(LAT) OVER q AS la0, max(LAT) OVER q AS la1, min(LON) OVER q AS lo0, max(LON) OVER q AS lo1
+      FROM grown WINDOW q AS (PARTITION BY Species, t, path))
+    WHERE length(path) < lim AND n > 1 AND (la1 > la0 OR lo1 > lo0)))""",
+        f"""node AS (SELECT Species, t, path, n, length(path) < lim AND n > 1 AND (la1 > la0 OR lo1 > lo0) AS inner_node,
+    CASE WHEN la1 > la0 AND lo1 > lo0 THEN CAST(floor({word("h", 1)} * 2) AS INT) WHEN la1 > la0 THEN 0 ELSE 1 END AS f,
+    {word("h", 9)} AS w, la0, la1, lo0, lo1
+  FROM (SELECT Species, t, path, any_value(lim) AS lim, count(*) AS n, min(LAT) AS la0, max(LAT) AS la1,
+      min(LON) AS lo0, max(LON) AS lo1, md5(concat_ws('|', {seed}, t, Species, '') || path) AS h
+    FROM grown GROUP BY Species, t, path))""",
+        """walk AS (
+  SELECT c.Species, c.H3, c.LAT, c.LON, r.t, '' AS path FROM cells c JOIN (SELECT DISTINCT Species, t FROM sampled) r USING (Species)
+  UNION ALL
+  SELECT k.Species, k.H3, k.LAT, k.LON, k.t, k.path || CASE WHEN (CASE WHEN f = 0 THEN k.LAT ELSE k.LON END) <
+      (CASE WHEN f = 0 THEN la0 + w * (la1 - la0) ELSE lo0 + w * (lo1 - lo0) END) THEN 'L' ELSE 'R' END
+  FROM walk k JOIN node o ON o.Species = k.Species AND o.t = k.t AND o.path = k.path AND o.inner_node)""",
+        f"""ended AS (SELECT k.Species, k.H3, avg(length(k.path) + {leaf.format(n="coalesce(o.n, 0)")}) AS h
+  FROM walk k LEFT JOIN node o ON o.Species = k.Species AND o.t = k.t AND o.path = k.path
+  WHERE o.path IS NULL OR NOT o.inner_node GROUP BY k.Species, k.H3)""",
+        f"""psis AS (SELECT Species, CASE WHEN {leaf.format(n="max(psi)")} = 0 THEN 1.0 ELSE {leaf.format(n="max(psi)")} END AS c
+  FROM sampled GROUP BY Species)"""],
+        """SELECT p.LAT, p.LON, p.H3, p.Species, ROUND(pow(2.0, -e.h / s.c), 6) AS OutlierScore
+FROM cells p JOIN ended e ON e.Species = p.Species AND e.H3 = p.H3 JOIN psis s ON s.Species = p.Species""")
+
 
-# Seeded random model: checked by tests (determinism, separation), no SQL form.
 QUERIES["isolation_forest"] = (
     lambda spark, d: models.isolation_forest(_cells(_fx(spark, d)).drop("cell"))
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
-    None)
+    _forest_sql())
 
 ALOCI_NMIN, ALOCI_ALPHA, ALOCI_DEPTH = 20, 4, 10
 

@@ -15,25 +15,12 @@ def con():
     return duck(SF_SMALL)
 
 
-# Checked against numpy and by properties (test_brute_force.py, test_robustness.py)
-# instead of SQL: a seeded random model, and iterative k-means-- and EM.
-NO_SQL = {"isolation_forest", "kmeans_minus_minus", "em_outlier"}
-
-
-def test_every_query_has_an_oracle_or_brute_force_test():
-    assert set(registry.queries()) == set(ORACLES) | NO_SQL
+def test_every_query_has_an_oracle():
+    assert set(registry.queries()) == set(ORACLES)
     assert set(registry.queries()) <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(NO_SQL))
-def test_query_without_sql_runs_over_all_cells(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    cells = con.sql(ORACLES["cells_distinct"]).fetchall()
-    assert df.count() == len(cells)
-    assert df.where("OutlierScore IS NULL").count() == 0
-
-
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
