@@ -25,6 +25,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": suffix_dedup.OP2_SQL,
     "op3_url_filter": url_filter.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op9_jaccard_join": jaccard_join.OP9_SQL,
 }

@@ -39,7 +39,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.session import cut_lineage, ship_package
+from occuflow.llm.workers import prepare
+from occuflow.session import cut_lineage
 
 LENGTH, GRAM = 400, 16
 # Digits settled together inside a task.
@@ -205,10 +206,11 @@ def _open_nodes(found: DataFrame) -> DataFrame:
     union = found.filter("node % 2 = 1").select("uid", (F.col("node") - 1).alias("node"), F.col("key").alias("union"))
     both = common.join(union, ["uid", "node"], "left")
     undecided = both.filter("union IS NULL")
+    # summed before the join: a passage that many texts share is one row there
     others = (both.filter("union IS NOT NULL")
-              .join(undecided.select("common").distinct(), "common", "left_semi")
-              .groupBy("common", "union").agg(F.min(F.struct("uid", "node")).alias("one")))
-    return undecided.select("uid", "node").union(others.select("one.uid", "one.node"))
+              .groupBy("common", "union").agg(F.min("uid").alias("u"), F.min_by("node", "uid").alias("n"))
+              .join(undecided.select("common").distinct(), "common", "left_semi"))
+    return undecided.select("uid", "node").union(others.select("u", "n"))
 
 
 def _spans(length: int, sizes: list[int]):
@@ -250,7 +252,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     into positions.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select("doc_id", text.alias("__text")).withColumn("uid", F.xxhash64("__text"))
     facts = cut_lineage(base.select("doc_id", "uid", F.octet_length("__text").cast("long").alias("n_bytes"),
@@ -304,3 +306,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, octet_length(encode(coalesce(text, ''))) AS n,
+         hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+), starts AS (
+  SELECT rid, h, unnest(range(0, n - 399)) AS p FROM d WHERE n >= 400
+), key AS (
+  SELECT rid, p, md5(substr(h, 2 * p + 1, 800)) AS k FROM starts
+), repeated AS (
+  SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY k) AS c FROM key) WHERE c > 1
+), marked AS (
+  SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM repeated
+), runs AS (
+  SELECT rid, min(p) AS s, max(p) + 400 AS e
+  FROM (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS run FROM marked) GROUP BY rid, run
+), pieces AS (
+  SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS a, s AS b FROM runs
+  UNION ALL SELECT d.rid, coalesce(max(e), 0), any_value(n) FROM d LEFT JOIN runs USING (rid) GROUP BY d.rid
+), kept AS (
+  SELECT rid, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k FROM pieces JOIN d USING (rid) GROUP BY rid
+), gone AS (
+  SELECT rid, sum(e - s) AS n_removed, count(*) AS n_spans FROM runs GROUP BY rid
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (rid) LEFT JOIN gone USING (rid)
+"""
