@@ -24,11 +24,12 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
@@ -132,6 +133,14 @@ def _pairs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list,
         yield ids, texts, nexts
 
 
+def _ranges_above(bounds: np.ndarray) -> Column:
+    """How many of the descending ``bounds`` exceed doc_id: a search of two short steps."""
+    step = max(1, math.isqrt(len(bounds)))
+    coarse = bounds[step - 1::step]
+    skip = F.size(F.filter(F.lit(coarse), lambda b: b > F.col("doc_id"))) * step if len(coarse) else F.lit(0)
+    return skip + F.size(F.filter(F.slice(F.lit(bounds), skip + 1, F.lit(step)), lambda b: b > F.col("doc_id")))
+
+
 def neighbour_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """Per document: digests of its text and edited text, and the likenesses (see module)."""
     spark = docs.sparkSession
@@ -141,10 +150,9 @@ def neighbour_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame
     # Range bounds: as many ids as there are partitions, never more.
     cuts = sorted(set(base.filter("doc_id IS NOT NULL").approxQuantile(
         "doc_id", [i / n_parts for i in range(1, n_parts)], 0.2 / n_parts)))
-    bounds = F.array(*[F.lit(int(c)).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
     # descending: range 0 holds the largest ids, null ids form the last range
     part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(
-        F.size(F.filter(bounds, lambda b: b > F.col("doc_id"))))
+        _ranges_above(np.array(cuts[::-1], dtype=np.int64)) if cuts else F.lit(0))
     # The first document of each range (one row a range): the largest id, then the least text.
     heads = {r["p"]: r["doc_id"] for r in base.select(part.alias("p"), "doc_id")
              .groupBy("p").agg(F.max("doc_id").alias("doc_id")).collect()}
@@ -153,11 +161,12 @@ def neighbour_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame
     if not order:
         order, before, heads = [0], {0: 0}, {0: None}
     home = base.withColumn("part", part.cast("int"))
-    # One entry a range: its first id (unused for the null range) and the range before it.
-    starts = F.create_map(*[F.lit(x) for p in order for x in (p, -1 if heads[p] is None else heads[p])])
-    goes = F.create_map(*[F.lit(x) for p in order for x in (p, before[p])])
-    is_head = F.col("doc_id").isNull() | (F.col("doc_id") == starts[F.col("part")])
-    target = goes[F.col("part")]
+    # By range: its first id (unused for the null range) and the range before it.
+    starts, goes = (np.zeros(len(cuts) + 2, dtype=np.int64) for _ in range(2))
+    for p in order:
+        starts[p], goes[p] = -1 if heads[p] is None else heads[p], before[p]
+    is_head = F.col("doc_id").isNull() | (F.col("doc_id") == F.element_at(F.lit(starts), F.col("part") + 1))
+    target = F.element_at(F.lit(goes), F.col("part") + 1).cast("int")
     dealt = (home.withColumn("to", F.when(is_head, F.array(
         F.struct(F.col("part").alias("p"), F.lit(False).alias("guest")),
         F.struct(target.alias("p"), F.lit(True).alias("guest")))).otherwise(
