@@ -72,25 +72,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _SCOPES: list[list[str]] = []
 
 
-def _write_stage(df: DataFrame) -> str:
+def _write_stage(df: DataFrame, outlive: bool = False) -> str:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/occuflow-stage-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = _SCOPES[:-1] if outlive else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
     Used between the stages of iterative or multi-reuse plans: a lost
     executor re-reads the table instead of recomputing the whole lineage.
     One job writes it (``DataFrame.checkpoint`` on an unpersisted frame
     computes it twice), and the re-read carries file statistics that AQE
-    uses for its join choices.
+    uses for its join choices.  With ``outlive`` the table belongs to the scope
+    around the innermost :func:`stage_scope`, so a result can leave it.
     """
-    return df.sparkSession.read.parquet(_write_stage(df))
+    return df.sparkSession.read.parquet(_write_stage(df, outlive))
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -102,8 +104,8 @@ def _hadoop_path(spark: SparkSession, path: str):
 def stage_scope(spark: SparkSession):
     """Delete the stage tables written inside the block when it ends.
 
-    For runs that write their results themselves: frames built inside must
-    not be used after the block.
+    Frames built inside must not be used after the block, but for what
+    ``cut_lineage(..., outlive=True)`` returned.
     """
     _SCOPES.append([])
     try:
