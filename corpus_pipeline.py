@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from occuflow.llm import jaccard_join, mixing, packing, secret_scan, toxicity
-from occuflow.session import cut_lineage
+from occuflow.session import cut_lineage, stage_scope
 
 
 def _boxed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -42,7 +42,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays (operator 9)."""
-    groups = cut_lineage(jaccard_join.jaccard_groups(docs.select("doc_id", "text")))
+    with stage_scope(spark):
+        groups = cut_lineage(jaccard_join.jaccard_groups(docs.select("doc_id", "text")), outlive=True)
     keep = (groups.filter("size > 0").groupBy("label")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cls")).alias("k"))
             .select(F.col("k.doc_id").alias("k_id"), F.col("k.cls").alias("k_cls")))

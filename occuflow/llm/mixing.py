@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from occuflow.session import broadcast_if_small, cut_lineage
+from occuflow.session import broadcast_if_small, cut_lineage, stage_scope
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -255,5 +255,7 @@ def arranged(mixed: DataFrame, seed: int = 17) -> DataFrame:
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     keys = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix(keys).select("doc_id", "size", "source_size", "target",
-                            (F.col("size") * F.size("placements")).cast("long").alias("taken"))
+    with stage_scope(spark):
+        return cut_lineage(mix(keys).select(
+            "doc_id", "size", "source_size", "target",
+            (F.col("size") * F.size("placements")).cast("long").alias("taken")), outlive=True)

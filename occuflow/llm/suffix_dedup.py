@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
 from occuflow.llm.workers import prepare
-from occuflow.session import cut_lineage
+from occuflow.session import cut_lineage, stage_scope
 
 LENGTH, GRAM = 400, 16
 # Digits settled together inside a task.
@@ -305,7 +305,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    with stage_scope(spark):
+        return cut_lineage(remove_repeats(docs), outlive=True)
 
 
 OP2_SQL = r"""

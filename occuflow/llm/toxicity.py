@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
 from occuflow.llm.workers import prepare
-from occuflow.session import cut_lineage
+from occuflow.session import cut_lineage, stage_scope
 
 MAX_ROWS, MAX_FEATURES = 20_000, 2048
 MIN_TEXTS, MIN_LLR, MARKER_LIFT = 4, 15.0, 5.0
@@ -155,6 +155,11 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
 
     ``labels`` has doc_id and either ``grade`` (0, 1, ...) or ``toxic`` (0/1).
     """
+    with stage_scope(docs.sparkSession):  # the sample goes once the model is fitted
+        return _fit(docs, labels, max_rows, max_features)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, max_rows: int, max_features: int) -> SeverityModel:
     spark = docs.sparkSession
     prepare(spark)
     graded = "grade" in labels.columns
