@@ -311,16 +311,34 @@ def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Spec
         flagged.join(sp_state.select("_k", "_id", "_core"), ["_k", "_id"], "left")
                .withColumn("_core", F.coalesce("_core", F.col("_cn") >= minpts))
                .where("_core").withColumn("_node", _cube_node()))
-    # Cube-graph edges: a core point probes neighbouring cubes for a core point
-    # within eps; existence is enough, so this is a semi-join.
-    probe = (neighbour_cubes(core, side, reach, search)
-             .where(~((F.col("_ncx") == F.col("_cx")) & (F.col("_ncy") == F.col("_cy"))
-                      & (F.col("_ncz") == F.col("_cz"))))
-             .select("_k", "_id", "_node", "_lat", "_lon", "_ncx", "_ncy", "_ncz"))
+    # Cube-graph edges.  The boxes of two cubes' core points decide most pairs:
+    # wholly within eps is an edge, wholly outside none.  Only for the others
+    # do the core points of one cube look for one of the other's.
+    boxes = cut_lineage(core.groupBy("_k", "_node", "_cx", "_cy", "_cz").agg(
+        *[f(c).alias(f"{c}{i}") for c in ("_x", "_y", "_z") for i, f in ((0, F.min), (1, F.max))]))
+    near2, far2 = F.lit(0.0), F.lit(0.0)
+    for c in ("_x", "_y", "_z"):
+        gap = F.greatest(F.col(f"t{c}0") - F.col(f"{c}1"), F.col(f"{c}0") - F.col(f"t{c}1"), F.lit(0.0))
+        span = F.greatest(F.col(f"t{c}1") - F.col(f"{c}0"), F.col(f"{c}1") - F.col(f"t{c}0"))
+        near2, far2 = near2 + gap * gap, far2 + span * span
+    inner = side * math.sqrt(3)
+    around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"), F.lit(l).alias("dz"))
+                       for i, j, l in _offsets(reach) if (i, j, l) > (0, 0, 0)])
+    there = boxes.select("_k", F.col("_node").alias("dst"), *[F.col(f"_c{v}").alias(f"_nc{v}") for v in "xyz"],
+                         *[F.col(f"{c}{i}").alias(f"t{c}{i}") for c in ("_x", "_y", "_z") for i in (0, 1)])
+    pairs = cut_lineage(
+        boxes.withColumn("_o", F.explode(around))
+             .withColumns({f"_nc{v}": F.col(f"_c{v}") + F.col(f"_o.d{v}") for v in "xyz"})
+             .join(there, ["_k", "_ncx", "_ncy", "_ncz"])
+             .where(near2 <= F.lit(search * search))
+             .select("_k", "_node", "dst", "_ncx", "_ncy", "_ncz", (far2 <= F.lit(inner * inner)).alias("_sure")))
+    probe = (core.join(pairs.where("NOT _sure").select("_k", "_node", "_ncx", "_ncy", "_ncz"), ["_k", "_node"])
+                 .select("_k", "_id", "_node", "_lat", "_lon", "_ncx", "_ncy", "_ncz"))
     hit = _partners(probe, core, "c", eps_m, geomodel, how="left_semi")
-    edges = hit.select("_k", F.col("_node").alias("src"),
-                       F.concat_ws(":", F.col("_ncx").cast("string"), F.col("_ncy").cast("string"),
-                                   F.col("_ncz").cast("string")).alias("dst")).distinct()
+    edges = (hit.select("_k", F.col("_node").alias("src"),
+                        F.concat_ws(":", F.col("_ncx").cast("string"), F.col("_ncy").cast("string"),
+                                    F.col("_ncz").cast("string")).alias("dst"))
+             .unionByName(pairs.where("_sure").select("_k", F.col("_node").alias("src"), "dst")).distinct())
     nodes = core.select("_k", F.col("_node").alias("src"), F.col("_node").alias("dst")).distinct()
     comp = connected_components(edges.unionByName(nodes))
     core_lab = (core.join(comp.withColumnRenamed("node", "_node"), ["_k", "_node"])

@@ -393,7 +393,7 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
     return out.join(final, ["_k", "_id"], "left").drop("_k", "_id")
 
 
-def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int = 16,
+def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int = 10,
           key: str = "Species", pid: str = "H3", lat: str = "LAT", lon: str = "LON") -> DataFrame:
     """Approximate LOCI (D25, Papadimitriou et al. 2003) on planar (lat, lon).
 

@@ -224,3 +224,26 @@ def test_hexagons_at_the_poles_and_the_date_line(spark):
 
     got = [r["cell"] for r in with_cells(df, hexes).collect()]
     assert got[0] == got[1] and got[2] == got[3] and got[4] is None and got[5] is None
+
+
+def test_cluster_labels_of_touching_and_separate_patches(spark):
+    """Labels against plain DBSCAN on patches that touch, nearly touch and stand apart."""
+    rng = np.random.default_rng(9)
+    xy = np.concatenate([rng.random((150, 2)) * [4, 4], rng.random((150, 2)) * [4, 4] + [0, 4.5],
+                         rng.random((60, 2)) * [1, 1] + [20, 20], rng.random((25, 2)) * [30, 30] + [-40, 60]])
+    eps, minpts = 80_000.0, 4
+    la, lo = np.radians(xy[:, 0]), np.radians(xy[:, 1])
+    h = (np.sin((la[:, None] - la) / 2) ** 2
+         + np.cos(la)[:, None] * np.cos(la) * np.sin((lo[:, None] - lo) / 2) ** 2)
+    close = 2 * 6371008.8 * np.arcsin(np.sqrt(np.minimum(1, h))) <= eps
+    core = close.sum(1) >= minpts
+    label = np.where(core, np.arange(len(xy)), -1)
+    for _ in range(len(xy)):
+        new = np.array([min([label[i], *label[close[i] & core]]) if core[i] else -1 for i in range(len(xy))])
+        if (new == label).all():
+            break
+        label = new
+    want = {i: (min(label[close[i] & core]) if (close[i] & core).any() else None) for i in range(len(xy))}
+    got = {int(r["H3"][1:]): r["cluster_rep"] for r in density.dbscan_labels(points(spark, xy), eps, minpts).collect()}
+    assert {i: None if v is None else int(v[1:]) for i, v in got.items()} == want
+    assert len({v for v in want.values() if v is not None}) >= 2
