@@ -40,12 +40,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.llm.workers import prepare
+from occuflow.llm.workers import lean_heap, prepare
 from occuflow.session import cut_lineage, ensure_checkpoint_dir
 
 U64 = np.uint64
 END, START = U64(0xE5D0F7A2C4B39681), U64(0x51A7E0B6D38C2F94)
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 1_000_000
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 # Key layout: this many high bits from (context, 4 bits of the token).
 _HIGH = U64(((1 << 24) - 1) << 40)
@@ -159,6 +159,7 @@ def _count_pairs(n_buckets: int, flush_tokens: int):
                 names=["bucket", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         contexts, toks, n = [], [], 0
         for _, data, offsets in ta.text_slices(batches, "__text"):
             _, context, token = tokens(data, offsets)
@@ -188,6 +189,7 @@ _STATS = "array<bigint>"
 def _merge_pairs(folder: str, n_words: int):
     """Sum a bucket's pairs, store them sorted, and send on the sums per word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         parts, held, bucket = [], 0, None
         for batch in batches:
             for b, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -234,6 +236,7 @@ def _merge_pairs(folder: str, n_words: int):
 def _merge_words(folder: str):
     """Store a word bucket: hash, token count, followers by count 1, 2, 3+, distinct contexts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         left, right, pair_stats, bucket = [], [], np.zeros(4, np.int64), None
         for batch in batches:
             for b, c, t, s in zip(*(x.to_pylist() for x in batch.columns)):
@@ -399,6 +402,7 @@ def score(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
         *[F.lit(0.0).alias(c) for c in RESULTS[3:]]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         model.pair_files = _pair_files(model)
         lookup = Lookup(model)
         floor = model.n_tokens + 0.5 * (model.n_types + 1)
