@@ -34,6 +34,8 @@ from occuflow.session import cut_lineage, ship_package, spread
 
 # Edge cubes of at most this many points are tested point by point.
 EDGE_POINTS = 8
+# No further round for this many pairs in all.
+EDGE_PAIRS = 200_000
 
 
 def _check(eps_m, minpts):
@@ -153,7 +155,9 @@ def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: st
         whole.append(step.where("_state = 'in'").select("_k", "_id", "_n"))
         edge.append(step.where("_state = 'edge'").select("_k", "_id", "_lat", "_lon", *knn.NODE[1:]))
         split = step.where("_state = 'split'")
-        if split.isEmpty():
+        pairs = split.agg(F.sum("_n")).first()[0] or 0
+        if pairs <= EDGE_PAIRS:  # few in all: test their points at once
+            edge.append(split.select("_k", "_id", "_lat", "_lon", *knn.NODE[1:]))
             break
         frontier = knn.into_children(split, children, query)
     members = lv.select(*knn.NODE, F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"), "_w")
