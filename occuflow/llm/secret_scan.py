@@ -7,16 +7,15 @@ length test are dropped and still use up their characters):
 * ``access`` – ``AKIA...`` of 18+ characters;
 * ``hex``    – ``[0-9a-f]`` runs of 16+ characters.
 
-The method adds kind ``token``: runs of 16+ key characters that mix letters
-and digits, are no known digest or identifier, overlap no pattern span, and
-that a byte-pair vocabulary compresses badly (fewer than ``max_ratio``
-characters a token) — ordinary words and names merge into long tokens, random
-strings do not.
-
-Known digests are hexadecimal strings of the usual digest lengths and UUIDs;
-identifiers are strings whose parts between ``_ - / + =`` or case changes are
-each letters only or digits only with at most ``_MAX_SWITCHES`` changes
-between letters and digits.
+The method adds kind ``token``: runs of 16+ key characters with a letter that a
+byte-pair vocabulary compresses badly (fewer than ``max_ratio`` characters a
+token) — ordinary words and names merge into long tokens, random strings do
+not.  Pattern spans and known values (UUIDs, hexadecimal strings of the usual
+digest lengths) are cut out of a run; each piece left of 16+ characters is
+judged as a whole, between ``=``, between ``/ + =`` (base64url), between
+``_ - =`` (base64) and between all of them, so words joined to a secret do not
+hide it.  Overlapping hits are one span.  Tokens are counted in blocks of
+``_BLOCK`` characters, so very long runs take linear time.
 
 Spans are code points ``[start, end)`` of the whole text, ordered by start,
 then kind as listed above.  Defined cases: null or empty text has no span;
@@ -46,14 +45,15 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # the runs are maximal, so a short one cannot hide a long one.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-# A key-like run that holds a digit (looked for first: most runs of prose hold none).
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 # Lengths of common digests in hexadecimal.
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
-_SWITCH = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
-_MAX_SWITCHES = 1
+_KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|"
+                    + "|".join(f"[0-9a-fA-F]{{{n}}}" for n in sorted(DIGEST_LENGTHS)) + r")(?![A-Za-z0-9])")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# The parts of a run, coarse to fine; the first is the run itself.
+_PARTS = [_RUN, *(re.compile(rf"[{c}]{{16,}}") for c in ("A-Za-z0-9+/_-", "A-Za-z0-9_-", "A-Za-z0-9+/", "A-Za-z0-9"))]
+_LETTER = re.compile(r"[A-Za-z]")
+_BLOCK = 4096
 MIN_LENGTH, MAX_RATIO = 16, 2.2
 
 _encoders: dict[str, object] = {}
@@ -83,24 +83,47 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], _ORDER[s[2]]))
 
 
-def is_known(run: str) -> bool:
-    """A digest, UUID or identifier rather than a secret."""
-    if _UUID.fullmatch(run) or (_ALL_HEX.fullmatch(run) and len(run) in DIGEST_LENGTHS):
-        return True
-    return all(len(_SWITCH.findall(part)) <= _MAX_SWITCHES for part in re.split(r"[_/+=-]+", run))
+def _is_random(run: str, encoder, max_ratio: float) -> bool:
+    """Fewer than ``max_ratio`` characters a token; numbers are not judged."""
+    if not _LETTER.search(run):
+        return False
+    tokens = sum(len(encoder.encode_ordinary(run[i:i + _BLOCK])) for i in range(0, len(run), _BLOCK))
+    return len(run) < max_ratio * tokens
+
+
+def _free_pieces(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """The runs of a text without taken spans and known values, in order."""
+    at = until = 0  # the next taken span; how far those before it reach
+    for m in _RUN.finditer(text):
+        holes = [(k.start() + m.start(), k.end() + m.start()) for k in _KNOWN.finditer(m.group())]
+        if until > m.start():
+            holes.append((m.start(), until))
+        while at < len(taken) and taken[at][0] < m.end():
+            holes.append(taken[at][:2])
+            until = max(until, taken[at][1])
+            at += 1
+        start = m.start()
+        for s, e in sorted(holes):
+            if s > start:
+                yield start, s
+            start = max(start, e)
+        if m.end() > start:
+            yield start, m.end()
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]], encoder, max_ratio: float) -> list[tuple[int, int, str]]:
-    """Key-like runs that the vocabulary compresses badly and that overlap no taken span."""
+    """Runs and parts of runs that the vocabulary compresses badly, outside the taken spans (sorted by start)."""
     out = []
-    for m in _RUN.finditer(text):
-        run = m.group()
-        if run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-            continue
-        if any(s < m.end() and m.start() < e for s, e, _ in taken) or is_known(run):
-            continue
-        if len(run) < max_ratio * len(encoder.encode_ordinary(run)):
-            out.append((m.start(), m.end(), "token"))
+    for begin, end in _free_pieces(text, taken):
+        judged = {at: _is_random(text[slice(*at)], encoder, max_ratio)
+                  for at in {m.span() for part in _PARTS for m in part.finditer(text, begin, end)}}
+        until = begin
+        for s, e in sorted(at for at, random in judged.items() if random):
+            if s >= until:
+                out.append((s, e, "token"))
+            elif e > until:
+                out[-1] = (out[-1][0], e, "token")
+            until = max(until, e)
     return out
 
 

@@ -241,6 +241,36 @@ def test_redaction_removes_every_span_and_nothing_else(spark):
         assert r["text"].replace("[SECRET]", "") == "".join(c for c, h in zip(text, hidden) if not h)
 
 
+def test_random_strings_are_found_whatever_they_are_made_of_and_joined_to():
+    import random
+    import string
+
+    encoder = secret_scan.load_encoder("byte_bpe_50k.tiktoken")
+    rng = random.Random(4)
+    letters, alnum = string.ascii_letters, string.ascii_letters + string.digits
+    for alphabet, n in [(letters, 16), (letters, 24), (letters, 40), (alnum, 16), (alnum + "+/", 16), (alnum + "-_", 24)]:
+        for _ in range(200):
+            secret = "".join(rng.choice(alphabet) for _ in range(n))
+            for before, after in [("", ""), ("the word ", " here"), ("CONFIGURATION=", ""),
+                                  ("international/information=", "=department")]:
+                _, spans = secret_scan.scan_text(before + secret + after, encoder)
+                hidden = set().union(*(range(s, e) for s, e, _ in spans))
+                # a separator at an end of the secret may count as the words'
+                core = secret.strip("+/-_")
+                at = len(before) + secret.index(core)
+                if len(core) == n:
+                    assert set(range(at, at + n)) <= hidden, (before, secret, after)
+    # A pattern span or a known value in the run does not shield the rest of it.
+    text = "sK9xQ2vLr8TzW4mNb7Yc1HdFg5/deadbeefdeadbeef/123e4567-e89b-12d3-a456-426614174000"
+    _, spans = secret_scan.scan_text(text, encoder)
+    assert [k for _, _, k in spans] == ["token", "hex"]
+    assert (spans[0][0], spans[1][:2]) == (0, (27, 43)) and spans[0][1] in (26, 27)
+    # Words, names and numbers are no secrets; long runs take linear time.
+    for t in ["internationalization getElementsByTagName", "some_long_identifier_name_2024", "application/json-patch",
+              "responsabilidades anticonstitutionnellement", "1234-5678-1234-5678", "-" * 40, "A" * 300_000]:
+        assert secret_scan.scan_text(t, encoder)[1] == []
+
+
 # 5 ------------------------------------------------------------------------
 
 def test_policies_and_ablation_agree_with_the_rules(spark, edge_dir):
