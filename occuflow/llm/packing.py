@@ -20,11 +20,14 @@ columns are ignored, the id column's name is a parameter.
 ``tiktoken`` reads the rank file of the same vocabulary as the ``tokenizers``
 file and gives the same ids several times faster; texts with a very long run
 without space go to ``tokenizers``, whose time does not grow with the square
-of the run.
+of the run.  The literal of an added token (``<|endoftext|>``) in a text is
+that token, as ``tokenizers`` reads it by default; ``added=False`` reads it as
+ordinary text.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -44,24 +47,41 @@ LONG_RUN = 4096
 SHARD_PIECES = 10_000
 NNLS_ROUNDS = 120
 
-_slow: dict[str, object] = {}
+_slow: dict[tuple[str, bool], object] = {}
+_added: dict[str, tuple[tuple[tuple[str, int], ...], list[str]]] = {}
 
 
-def _slow_encoder(path: str):
-    if path not in _slow:
+def _slow_encoder(path: str, added: bool):
+    if (path, added) not in _slow:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        _slow[path] = Tokenizer.from_file(public_tokenizers.path(path))
-        _slow[path].encode_special_tokens = True
-    return _slow[path]
+        _slow[path, added] = Tokenizer.from_file(public_tokenizers.path(path))
+        if not added:
+            _slow[path, added].encode_special_tokens = True
+    return _slow[path, added]
 
 
-def encode(text: str, ranks: str, model: str) -> np.ndarray:
-    """Ids of a text, without special ones."""
-    if len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN:
-        return np.asarray(_slow_encoder(model).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-    return load_encoder(ranks).encode_to_numpy(text, disallowed_special=())
+def _added_tokens(model: str) -> tuple[tuple[tuple[str, int], ...], list[str]]:
+    """(literal, id) of the model's added tokens, and the literals ``tiktoken`` cannot read as ``tokenizers`` does."""
+    if model not in _added:
+        import public_tokenizers
+
+        with open(public_tokenizers.path(model), encoding="utf-8") as f:
+            tokens = json.load(f).get("added_tokens") or []
+        plain = lambda t: not any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        _added[model] = (tuple((t["content"], t["id"]) for t in tokens if plain(t)),
+                         [t["content"] for t in tokens if not plain(t)])
+    return _added[model]
+
+
+def encode(text: str, ranks: str, model: str, added: bool = False) -> np.ndarray:
+    """Ids of a text, no special ones put around it; with ``added``, literals of added tokens are these tokens."""
+    known, other = _added_tokens(model) if added else ((), [])
+    if (len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN) or any(t in text for t in other):
+        return np.asarray(_slow_encoder(model, added).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    return load_encoder(ranks, known).encode_to_numpy(
+        text, allowed_special="all" if added else set(), disallowed_special=())
 
 
 def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, doc_id: str = "doc_id",
@@ -80,7 +100,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, do
                 part = batch.slice(at, 500)
                 row, start, length, crc, tokens = [], [], [], [], []
                 for i, value in enumerate(part.column(1).to_pylist()):
-                    ids = np.concatenate([encode(value or "", ranks, model).astype("<u4"), end])
+                    ids = np.concatenate([encode(value or "", ranks, model, added=True).astype("<u4"), end])
                     for s in range(0, len(ids), window):
                         piece = ids[s:s + window]
                         row.append(i)

@@ -56,20 +56,20 @@ _LETTER = re.compile(r"[A-Za-z]")
 _BLOCK = 4096
 MIN_LENGTH, MAX_RATIO = 16, 2.2
 
-_encoders: dict[str, object] = {}
+_encoders: dict[tuple, object] = {}
 
 
-def load_encoder(vocabulary: str):
-    """A byte-pair encoder over a ``.tiktoken`` rank file (kept per process)."""
-    if vocabulary not in _encoders:
+def load_encoder(vocabulary: str, added: tuple[tuple[str, int], ...] = ()):
+    """A byte-pair encoder over a ``.tiktoken`` rank file and (literal, id) of added tokens (kept per process)."""
+    if (vocabulary, added) not in _encoders:
         import public_tokenizers
         import tiktoken
 
         with open(public_tokenizers.path(vocabulary), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[vocabulary] = tiktoken.Encoding(
-            vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[vocabulary]
+        _encoders[vocabulary, added] = tiktoken.Encoding(
+            vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(added))
+    return _encoders[vocabulary, added]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:

@@ -406,6 +406,21 @@ def test_both_encoders_give_the_same_ids():
         assert packing.encode(t, "byte_bpe_50k.tiktoken", "byte_bpe_50k.json").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_literals_of_added_tokens_are_these_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|>\n\n  b", "a  <|endoftext|>  <|endoftext|", "é <|endoftext|>é",
+             "don<|endoftext|>'t", "y" * 9000 + "<|endoftext|> z", "<|endoftext", prose(3, 900) + "<|endoftext|>" + prose(4, 900)]
+    want = {i: np.array([*tok.encode(t, add_special_tokens=False).ids, 1], dtype="<u4") for i, t in enumerate(texts)}
+    assert want[0].tolist() == [64, 50256, 2124, 1]
+    rows = packing.pack(documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert {(r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows} == {
+        (i, s, len(v[s:s + 2048]), zlib.crc32(v[s:s + 2048].tobytes()), len(v))
+        for i, v in want.items() for s in range(0, len(v), 2048)}
+
+
 # 8 ------------------------------------------------------------------------
 
 def lm_tokens(text):
