@@ -393,21 +393,30 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
     return out.join(final, ["_k", "_id"], "left").drop("_k", "_id")
 
 
-def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int = 10,
+# aLOCI: sampling levels of a pass; finest level whose boxes doubles in [0, 1] still tell apart.
+_ALOCI_LEVELS, _ALOCI_DEEPEST = 7, 52
+
+
+def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int | None = None,
           key: str = "Species", pid: str = "H3", lat: str = "LAT", lon: str = "LON") -> DataFrame:
     """Approximate LOCI (D25, Papadimitriou et al. 2003) on planar (lat, lon).
 
     Coordinates are min-max scaled per group into the unit square and
     counted in a quad-tree of box grids (level l: 2^l x 2^l boxes; one
-    aggregate over all levels).  For each level l the sampling box of a
-    point is its level-l box, the counting box its level-(l + alpha) box.
+    aggregate over the levels of a pass).  For each level l the sampling box
+    of a point is its level-l box, the counting box its level-(l + alpha) box.
     n = counting box count; over the sampling box's sub-boxes c at level
     l + alpha: n_hat = sum c^2 / sum c, sigma = sqrt(sum c^3 / sum c -
     n_hat^2); MDEF = 1 - n / n_hat, score = max over levels with sum c >=
     nmin of MDEF / (sigma / n_hat).  One unshifted grid (the paper's g = 1).
+
+    Levels end with the points: a pass takes on only points whose sampling box
+    holds nmin points that are not all in one place, as no other box is ever
+    scored.  ``depth`` (the finest counting level) cuts this short.
     """
-    if alpha < 1 or depth <= alpha:
-        raise ValueError("need 1 <= alpha < depth")
+    deepest = _ALOCI_DEEPEST if depth is None else depth
+    if not 1 <= alpha < deepest <= _ALOCI_DEEPEST:
+        raise ValueError(f"need 1 <= alpha < depth <= {_ALOCI_DEEPEST}")
     ext = points.groupBy(key).agg(F.min(lat).alias("_la0"), F.max(lat).alias("_la1"),
                                   F.min(lon).alias("_lo0"), F.max(lon).alias("_lo1"))
 
@@ -424,31 +433,48 @@ def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int = 10,
         n = F.pow(F.lit(2.0), level)
         return F.least(F.floor(F.col(col) * n), n - 1).cast("long")
 
-    lv = (base.select("_k", "_id", "_u", "_v",
-                      F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("_l"))
-              .withColumn("_bi", box("_u", F.col("_l"))).withColumn("_bj", box("_v", F.col("_l"))))
-    counts = cut_lineage(lv.groupBy("_k", "_l", "_bi", "_bj").agg(F.count(F.lit(1)).alias("_c")))
-    # Sub-box moments of each sampling box: level l + alpha boxes grouped by parent.
-    sub = (counts.where(F.col("_l") >= alpha)
-                 .select("_k", (F.col("_l") - alpha).alias("_l"),
-                         F.shiftright("_bi", alpha).alias("_bi"), F.shiftright("_bj", alpha).alias("_bj"),
-                         "_c")
-                 .groupBy("_k", "_l", "_bi", "_bj")
-                 .agg(F.sum("_c").alias("_s1"), F.sum(F.col("_c") * F.col("_c")).alias("_s2"),
-                      F.sum(F.pow("_c", 3)).alias("_s3")))
-    mine = (lv.where(F.col("_l") <= depth - alpha)
-              .join(sub, ["_k", "_l", "_bi", "_bj"])
-              .withColumn("_cl", F.col("_l") + alpha))
-    fine = counts.select("_k", F.col("_l").alias("_cl"), F.col("_bi").alias("_ci"),
-                         F.col("_bj").alias("_cj"), F.col("_c").alias("_n"))
-    per_level = (mine.withColumn("_ci", box("_u", F.col("_cl"))).withColumn("_cj", box("_v", F.col("_cl")))
-                     .join(fine, ["_k", "_cl", "_ci", "_cj"])
-                     .where(F.col("_s1") >= nmin)
-                     .withColumn("_nh", F.col("_s2") / F.col("_s1"))
-                     .withColumn("_sd", F.sqrt(F.greatest(F.lit(0.0),
-                                                         F.col("_s3") / F.col("_s1") - F.col("_nh") * F.col("_nh"))))
-                     .where(F.col("_sd") > 0)
-                     .withColumn("_r", (F.lit(1.0) - F.col("_n") / F.col("_nh")) / (F.col("_sd") / F.col("_nh"))))
+    active, first, scored = base, 0, []
+    while True:
+        until = min(first + _ALOCI_LEVELS, deepest - alpha + 1)  # sampling levels first .. until - 1
+        lv = (active.select("_k", "_id", "_u", "_v",
+                            F.explode(F.sequence(F.lit(first), F.lit(until - 1 + alpha))).alias("_l"))
+                    .withColumn("_bi", box("_u", F.col("_l"))).withColumn("_bj", box("_v", F.col("_l"))))
+        counts = cut_lineage(lv.groupBy("_k", "_l", "_bi", "_bj").agg(F.count(F.lit(1)).alias("_c")))
+        # Sub-box moments of each sampling box: level l + alpha boxes grouped by parent.
+        sub = (counts.where(F.col("_l") >= first + alpha)
+                     .select("_k", (F.col("_l") - alpha).alias("_l"),
+                             F.shiftright("_bi", alpha).alias("_bi"), F.shiftright("_bj", alpha).alias("_bj"),
+                             "_c")
+                     .groupBy("_k", "_l", "_bi", "_bj")
+                     .agg(F.sum("_c").alias("_s1"), F.sum(F.col("_c") * F.col("_c")).alias("_s2"),
+                          F.sum(F.pow("_c", 3)).alias("_s3")))
+        mine = (lv.where(F.col("_l") < until)
+                  .join(sub, ["_k", "_l", "_bi", "_bj"])
+                  .withColumn("_cl", F.col("_l") + alpha))
+        fine = counts.select("_k", F.col("_l").alias("_cl"), F.col("_bi").alias("_ci"),
+                             F.col("_bj").alias("_cj"), F.col("_c").alias("_n"))
+        scored.append(mine.withColumn("_ci", box("_u", F.col("_cl"))).withColumn("_cj", box("_v", F.col("_cl")))
+                          .join(fine, ["_k", "_cl", "_ci", "_cj"])
+                          .where(F.col("_s1") >= nmin)
+                          .withColumn("_nh", F.col("_s2") / F.col("_s1"))
+                          .withColumn("_sd", F.sqrt(F.greatest(F.lit(0.0),
+                                                              F.col("_s3") / F.col("_s1") - F.col("_nh") * F.col("_nh"))))
+                          .where(F.col("_sd") > 0)
+                          .select("_k", "_id",
+                                  ((F.lit(1.0) - F.col("_n") / F.col("_nh")) / (F.col("_sd") / F.col("_nh"))).alias("_r")))
+        if until > deepest - alpha:
+            break
+        at = (active.withColumn("_bi", box("_u", F.lit(until).cast("double")))
+                    .withColumn("_bj", box("_v", F.lit(until).cast("double"))))
+        full = (at.groupBy("_k", "_bi", "_bj")
+                  .agg(F.count(F.lit(1)).alias("_c"), (F.max("_u") - F.min("_u")).alias("_du"),
+                       (F.max("_v") - F.min("_v")).alias("_dv"))
+                  .where((F.col("_c") >= nmin) & ((F.col("_du") > 0) | (F.col("_dv") > 0))))
+        active = cut_lineage(at.join(full, ["_k", "_bi", "_bj"], "left_semi").select("_k", "_id", "_u", "_v"))
+        if active.isEmpty():
+            break
+        first = until
+    per_level = reduce(DataFrame.unionByName, scored)
     sc = per_level.groupBy("_k", "_id").agg(F.max("_r").alias("OutlierScore"))
     out = points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid))
     return (out.join(sc, ["_k", "_id"], "left")

@@ -4,11 +4,14 @@ The sets include a tight hot cluster (a third of the points), isolated
 points, poles and the antimeridian.
 """
 
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
 
+from conftest import SF_SMALL
 from occuflow.functions.geo import EARTH_RADIUS_M
-from occuflow.operators import density, knn
+from occuflow.operators import density, knn, models
 
 R = EARTH_RADIUS_M
 
@@ -324,3 +327,53 @@ def test_em_outlier_ranks_planted_outliers_highest(spark):
     s = sorted((v, k) for k, v in res.items() if k.startswith("p"))
     assert {s[-1][1], s[-2][1]} == {"p400", "p401"}
     assert all(np.isfinite(v) for v in res.values())
+
+
+def _aloci_scores(lat, lon, depth, nmin=20, alpha=4):
+    unit = [(v - v.min()) / (v.max() - v.min()) if v.max() > v.min() else np.zeros(len(v)) for v in (lat, lon)]
+
+    def boxes(level):
+        return list(zip(*(np.minimum(np.floor(u * 2.0 ** level), 2.0 ** level - 1).astype(np.int64).tolist() for u in unit)))
+
+    best = np.full(len(lat), -np.inf)
+    for level in range(depth - alpha + 1):
+        fine = boxes(level + alpha)
+        count, inside = Counter(fine), defaultdict(list)
+        for (i, j), c in count.items():
+            inside[i >> alpha, j >> alpha].append(c)
+        for p, b in enumerate(boxes(level)):
+            c = np.array(inside[b], float)
+            nh = (c ** 2).sum() / c.sum()
+            sd = np.sqrt(max(0.0, (c ** 3).sum() / c.sum() - nh * nh))
+            if c.sum() >= nmin and sd > 0:
+                best[p] = max(best[p], (1 - count[fine[p]] / nh) / (sd / nh))
+    return np.where(np.isinf(best), 0.0, best)
+
+
+def test_aloci_splits_as_far_as_the_points_go(spark):
+    rng = np.random.default_rng(5)
+    wide = rng.uniform(-60, 60, (80, 2))
+    dense = np.array([10.0, 20.0]) + rng.normal(0, 2e-5, (150, 2))
+    near = np.array([[10.0, 20.0004], [10.0003, 20.0]])
+    groups = {"s": np.concatenate([wide, dense, near]), "same": np.tile([[1.0, 2.0]], (30, 1)),
+              "two places": np.concatenate([np.tile([[1.0, 2.0]], (30, 1)), [[5.0, 5.0]]])}
+    rows = [(s, str(i), float(x), float(y)) for s, p in groups.items() for i, (x, y) in enumerate(p)]
+    points = spark.createDataFrame(rows, "Species string, H3 string, LAT double, LON double")
+    got = {(r["Species"], int(r["H3"])): r["OutlierScore"] for r in models.aloci(points).collect()}
+    assert len(got) == len(rows)
+    for s, p in groups.items():
+        want = _aloci_scores(p[:, 0], p[:, 1], 52)
+        assert np.allclose([got[s, i] for i in range(len(p))], want, rtol=1e-9, atol=1e-9), s
+    # The old default ended at level 10.
+    s = groups["s"]
+    assert (np.abs(_aloci_scores(s[:, 0], s[:, 1], 10) - [got["s", i] for i in range(len(s))]) > 0.1).any()
+
+
+def test_aloci_query_depth_reaches_the_cells(spark):
+    from occuflow.plans import queries
+
+    cells = queries._cells(queries._fx(spark, SF_SMALL)).drop("cell")
+    whole = {(r["Species"], r["H3"]): r["OutlierScore"] for r in models.aloci(cells).collect()}
+    cut = {(r["Species"], r["H3"]): r["OutlierScore"] for r in
+           models.aloci(cells, queries.ALOCI_NMIN, queries.ALOCI_ALPHA, queries.ALOCI_DEPTH).collect()}
+    assert whole == cut and any(v > 0 for v in whole.values())
