@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, quality_rules, secret_scan,
+from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, periodic, quality_rules, secret_scan,
                           suffix_dedup, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op8_kneser_ney": lm_score.op8_kneser_ney,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -29,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": url_filter.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op9_jaccard_join": jaccard_join.OP9_SQL,
+    "op11_periodic_runs": periodic.OP11_SQL,
 }
