@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, periodic, quality_rules, secret_scan,
-                          suffix_dedup, toxicity, url_filter)
+from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, periodic, quality_rules, relative_lz,
+                          secret_scan, suffix_dedup, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_relative_lz": relative_lz.op12_relative_lz,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +32,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op9_jaccard_join": jaccard_join.OP9_SQL,
     "op11_periodic_runs": periodic.OP11_SQL,
+    "op12_relative_lz": relative_lz.OP12_SQL,
 }
