@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from occuflow.llm import (fingerprint, jaccard_join, lm_score, mixing, packing, periodic, quality_rules, relative_lz,
-                          secret_scan, suffix_dedup, toxicity, url_filter)
+                          secret_scan, suffix_dedup, token_alignment,
+                          toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_periodic_runs": periodic.op11_periodic_runs,
     "op12_relative_lz": relative_lz.op12_relative_lz,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
