@@ -18,8 +18,7 @@ Every text is parsed into factors that copy from an earlier place:
    an earlier copy of it), so nothing else has to be compared.
 4. Factors of at least ``length`` words are the removed spans.
 
-An anchor stands for six windows on average, so the index holds one row for
-six words.  Within a task equal blocks (or windows) are settled and one of them
+The index holds one row for about seven words.  Within a task equal blocks (or windows) are settled and one of them
 goes on; blocks of one anchor that differ are dealt by their content.  So a
 passage or a copy that a third of all texts share is one row per task and key,
 and no text is compared with another one by one.  Copies of whole texts need no
@@ -65,8 +64,8 @@ FACTORS = "array<struct<start: long, length: long, ref_doc_id: long, ref_start:
 
 
 def gram_words(length: int) -> int:
-    """Words of an anchor: half of the window, which makes one anchor for length / 3 words."""
-    return length // 2
+    """Words of an anchor: three tenths of the window, which makes one anchor for seven words of prose."""
+    return max(2, length * 3 // 10)
 
 
 class _Sums(ta.Rolling):
@@ -250,13 +249,16 @@ def _repeated(rows: DataFrame) -> DataFrame:
 def _judged(found: DataFrame) -> DataFrame:
     """The same rows, each with the earliest equal block (``from_*``) if there is an earlier one."""
     start = F.shiftright("place", TAG_BITS)
-    first = F.min(F.struct("doc", start.alias("start"), "place")).over(W.partitionBy("key", "block"))
+    # rows settled in their task are groups of their own
+    settled = F.col("state") == COPY
+    groups = W.partitionBy(F.when(settled, F.xxhash64("doc", "place")).otherwise(F.col("key")),
+                           F.when(settled, F.col("place")).otherwise(F.col("block")))
+    first = F.min(F.struct("doc", start.alias("start"), "place")).over(groups)
     later = (F.col("doc") != F.col("first.doc")) | (start != F.col("first.start"))
-    settled = found.filter(F.col("state") == COPY)
-    rest = (found.filter(F.col("state") != COPY).withColumn("first", first)
-            .withColumn("from_doc", F.when(later, F.col("first.doc")))
-            .withColumn("from_place", F.when(later, F.col("first.place"))).drop("first"))
-    return rest.union(settled.select(rest.columns))
+    return (found.withColumn("first", first)
+            .withColumn("from_doc", F.when(settled, F.col("from_doc")).when(later, F.col("first.doc")))
+            .withColumn("from_place", F.when(settled, F.col("from_place")).when(later, F.col("first.place")))
+            .drop("first"))
 
 
 def _tag() -> F.Column:
@@ -367,8 +369,7 @@ def remove_repeated_windows(docs: DataFrame, length: int = LENGTH, doc_id: str =
     prepare(spark)
     base = _base(docs, doc_id, text)
     facts = cut_lineage(base.mapInArrow(_facts, "doc long, tag long, n_words long, sha string"))
-    found = cut_lineage(_repeated(base.mapInArrow(_index_rows(length), _BLOCK_ROWS)))
-    judged = cut_lineage(_judged(found))
+    judged = cut_lineage(_judged(_repeated(base.mapInArrow(_index_rows(length), _BLOCK_ROWS))))
 
     # First blocks of each content, where other blocks have the same anchor words.
     first = judged.filter("from_doc IS NULL")
