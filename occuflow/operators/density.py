@@ -372,7 +372,8 @@ def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Spec
 
 def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
                          method: str = "DBSCAN", lat_col: str = "decimallatitude",
-                         lon_col: str = "decimallongitude", by: str | None = None):
+                         lon_col: str = "decimallongitude", by: str | None = None,
+                         min_cluster_size: int = 5):
     """Cluster raw records and drop noise (D3): returns (retained, outliers).
 
     Records are collapsed to distinct coordinates with a multiplicity weight
@@ -380,12 +381,12 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
     back.  Distances are haversine on R = 6371.0088 km; ``by`` clusters each
     group separately (the reference runs on one file, i.e. ``by=None``).
     Records without coordinates cannot be clustered and are returned as
-    outliers.  Only DBSCAN is available: HDBSCAN and OPTICS label
-    extraction are not built (README).
+    outliers.  ``HDBSCAN`` needs no ``eps_km`` and takes ``min_cluster_size``;
+    OPTICS label extraction is not built (README).
     """
-    if method != "DBSCAN":
-        raise NotImplementedError(f"{method} labels are not built; use DBSCAN")
-    if eps_km is None:
+    if method not in ("DBSCAN", "HDBSCAN"):
+        raise NotImplementedError(f"{method} labels are not built; use DBSCAN or HDBSCAN")
+    if method == "DBSCAN" and eps_km is None:
         raise ValueError(f"epsilon_km must be provided for {method}")
     # a NULL group is a group of its own
     grp = (F.when(F.col(by).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(by).cast("string")))
@@ -396,9 +397,15 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
              .agg(F.count(F.lit(1)).alias("_w"))
              .withColumn("_pid", F.concat_ws("|", F.col("_la").cast("string"),
                                              F.col("_lo").cast("string"))))
-    scored = dbscan_noise(pts, eps_km * 1000.0, min_samples, key="_g", pid="_pid", lat="_la",
-                          lon="_lo", weight="_w")
-    noise = scored.where(F.col("OutlierScore") == 1.0).select("_g", "_la", "_lo")
+    spots = dict(key="_g", pid="_pid", lat="_la", lon="_lo", weight="_mult")
+    pts = pts.withColumnRenamed("_w", "_mult")
+    if method == "DBSCAN":
+        noise = dbscan_noise(pts, eps_km * 1000.0, min_samples, **spots).where(F.col("OutlierScore") == 1.0)
+    else:
+        from occuflow.operators import hierarchy
+
+        noise = hierarchy.hdbscan_labels(pts, min_samples, min_cluster_size, **spots).where("cluster = -1")
+    noise = noise.select("_g", "_la", "_lo")
     tagged = df.withColumn("_g", grp)
     cond = ((tagged["_g"] == noise["_g"]) & (tagged[lat_col] == noise["_la"])
             & (tagged[lon_col] == noise["_lo"]))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occuflow.operators import density, knn, models
+from occuflow.operators import density, hierarchy, knn, models
 
 # Earth model names and what they compute here.  The two
 # spherical formulas give the same distance.
@@ -62,6 +62,7 @@ METHODS: dict[str, Method] = {
     "DBOutlierScore": Method(lambda p, k, d, attr, geo: density.db_outlier_score(p, d, geomodel=geo), ("d",)),
     "DBSCANOutlierDetection": Method(
         lambda p, k, d, attr, geo: density.dbscan_noise(p, d, k, geomodel=geo), ("k", "d")),
+    "GLOSH": _on_neighbours(hierarchy.glosh),
     "EMOutlier": Method(lambda p, k, d, attr, geo: models.em_outlier(p, k)),
     "KMeansMinusMinusOutlierDetection": Method(
         lambda p, k, d, attr, geo: models.kmeans_minus_minus(p, k, k)),
@@ -76,7 +77,6 @@ METHODS: dict[str, Method] = {
 
 NOT_BUILT = {
     "SOS": "needs every pair of a species; KNNSOS is the scalable form",
-    "GLOSH": "the density hierarchy is not built",
     "DWOF": "the growing windows are not built",
     "COP": "the probabilistic subspaces are not built; SimpleCOP is",
     "OPTICSOF": "the OPTICS order is sequential; the density sweep covers its cuts",

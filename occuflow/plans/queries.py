@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.functions.cells import Graticule
-from occuflow.operators import (binning, counts, density, knn, models, outliers, pool,
-                                predicates, trees)
+from occuflow.operators import (binning, counts, density, hierarchy, knn, models, outliers,
+                                pool, predicates, trees)
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
 from occuflow.session import broadcast_if_small, ensure_checkpoint_dir
@@ -789,6 +789,110 @@ QUERIES["trivial_average"] = (
 
 # ---------------------------------------------------------------- clusters, sweep
 
+HIERARCHY_K, HIERARCHY_MIN = 3, 5
+
+
+def _prim_sql(k: int) -> list[str]:
+    """Cells in Prim's order over mutual reachability: the components at a level are the
+    runs in which every cell but the first was added within it."""
+    return [
+        f"""away AS (SELECT a.Species, a.H3 AS a, b.H3 AS b, CAST(floor({S.haversine_sql("a", "b")} * 1000.0 + 0.5) AS BIGINT) AS mm
+  FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)""",
+        f"""core AS (SELECT Species, a AS H3, mm AS core FROM (SELECT *, row_number() OVER (PARTITION BY Species, a ORDER BY mm) AS r FROM away)
+  WHERE r = {k - 1})""",
+        """reach AS (SELECT w.Species, w.a, w.b, greatest(w.mm, x.core, y.core) AS w FROM away w
+  JOIN core x ON x.Species = w.Species AND x.H3 = w.a JOIN core y ON y.Species = w.Species AND y.H3 = w.b)""",
+        """prim AS (
+  SELECT Species, 0 AS step, H3, CAST(4611686018427387904 AS BIGINT) AS best FROM core
+  UNION ALL
+  SELECT r.Species, r.step + 1, r.H3, least(r.best, e.w) FROM (
+    SELECT *, first_value(H3) OVER (PARTITION BY Species ORDER BY best, H3) AS taken FROM prim) r
+  JOIN reach e ON e.Species = r.Species AND e.a = r.taken AND e.b = r.H3)""",
+        """placed AS (SELECT p.Species, p.pos, p.H3, p.w, c.core FROM (
+    SELECT Species, step AS pos, arg_min(H3, (best, H3)) AS H3, min(best) AS w FROM prim GROUP BY Species, step) p
+  JOIN core c USING (Species, H3))""",
+    ]
+
+
+def _runs_sql(level: str) -> str:
+    """The run around each placed cell ``p`` at a level: its first and last place."""
+    return f"""(SELECT max(j.pos) FROM placed j WHERE j.Species = p.Species AND j.pos <= p.pos AND j.w > {level}) AS l,
+    coalesce((SELECT min(j.pos) FROM placed j WHERE j.Species = p.Species AND j.pos > p.pos AND j.w > {level}),
+             (SELECT max(j.pos) + 1 FROM placed j WHERE j.Species = p.Species)) - 1 AS r"""
+
+
+def _glosh_sql() -> str:
+    return _recursive(_prim_sql(HIERARCHY_K) + [
+        f"around AS (SELECT p.*, {_runs_sql('p.core')} FROM placed p)",
+        """low AS (SELECT a.Species, a.H3, a.core, min(b.core) AS low FROM around a
+  JOIN placed b ON b.Species = a.Species AND b.pos BETWEEN a.l AND a.r GROUP BY ALL)"""],
+        """SELECT c.LAT, c.LON, c.H3, c.Species,
+  ROUND(CASE WHEN core > 0 THEN 1.0 - CAST(low AS DOUBLE) / core ELSE 0.0 END, 6) AS OutlierScore
+FROM cells c LEFT JOIN low USING (Species, H3)""")
+
+
+QUERIES["glosh"] = (
+    lambda spark, d: _round6(hierarchy.glosh(_cells(_fx(spark, d)).drop("cell"), HIERARCHY_K), "OutlierScore"),
+    _glosh_sql())
+
+
+def _hdbscan_ctes() -> list[str]:
+    m = HIERARCHY_MIN
+    unit = lambda w: f"CASE WHEN {w} = 0 THEN {2 * hierarchy.DENSITY_UNIT} ELSE {hierarchy.DENSITY_UNIT} // {w} END"
+    return _prim_sql(HIERARCHY_K) + [
+        f"""part AS (SELECT DISTINCT Species, l, r, w FROM (SELECT p.Species, p.w, {_runs_sql('p.w')} FROM placed p WHERE p.pos > 0)
+  WHERE r - l + 1 >= {m})""",
+        # the least part around a part, and whether several meet there
+        """within_part AS (SELECT a.*, arg_min(struct_pack(l := b.l, r := b.r, w := b.w), b.r - b.l) AS up
+  FROM part a LEFT JOIN part b ON b.Species = a.Species AND b.l <= a.l AND b.r >= a.r AND b.r - b.l > a.r - a.l GROUP BY ALL)""",
+        """headed AS (SELECT *, up IS NULL OR count(*) OVER (PARTITION BY Species, up.l, up.r) > 1 AS head FROM within_part)""",
+        f"""clust AS (SELECT Species, l, r, up, CASE WHEN up IS NULL THEN 0 ELSE {unit('up.w')} END AS birth,
+  row_number() OVER (PARTITION BY Species ORDER BY r - l, l) AS i FROM headed WHERE head)""",
+        """owner AS (SELECT p.Species, p.l, p.r, p.w, arg_min(c.i, c.r - c.l) AS i FROM part p
+  JOIN clust c ON c.Species = p.Species AND c.l <= p.l AND c.r >= p.r GROUP BY ALL)""",
+        """host AS (SELECT p.Species, p.pos, p.H3, arg_min(struct_pack(w := o.w, i := o.i), o.r - o.l) AS h FROM placed p
+  JOIN owner o ON o.Species = p.Species AND p.pos BETWEEN o.l AND o.r GROUP BY ALL)""",
+        f"""ended AS (SELECT Species, h.i AS i, CAST({unit('h.w')} AS HUGEINT) AS lev, 1 AS n FROM host
+  UNION ALL SELECT c.Species, o.i, CAST({unit('c.up.w')} AS HUGEINT), c.r - c.l + 1 FROM clust c
+  JOIN owner o ON o.Species = c.Species AND o.l = c.up.l AND o.r = c.up.r)""",
+        """mass AS (SELECT e.Species, e.i, sum(n * (lev - c.birth)) AS own FROM ended e JOIN clust c USING (Species, i) GROUP BY ALL)""",
+        """kin AS (SELECT m.Species, m.i, any_value(m.own) AS own, coalesce(list(k.i) FILTER (k.i IS NOT NULL), []) AS kids FROM mass m
+  LEFT JOIN (SELECT c.Species, c.i, o.i AS p FROM clust c JOIN owner o ON o.Species = c.Species AND o.l = c.up.l AND o.r = c.up.r) k
+  ON k.Species = m.Species AND k.p = m.i GROUP BY m.Species, m.i)""",
+        """eom AS (
+  SELECT DISTINCT Species, CAST(0 AS BIGINT) AS i, CAST([] AS HUGEINT[]) AS best, CAST([] AS BOOLEAN[]) AS sel FROM kin
+  UNION ALL
+  SELECT e.Species, e.i + 1, list_append(e.best, greatest(CAST(k.own AS HUGEINT), k.below)), list_append(e.sel, k.own >= k.below)
+  FROM eom e JOIN LATERAL (SELECT own, CAST(coalesce(list_sum(list_transform(kids, lambda j: e.best[j])), 0) AS HUGEINT) AS below
+    FROM kin WHERE kin.Species = e.Species AND kin.i = e.i + 1) k ON TRUE)""",
+        """chosen AS (SELECT c.Species, c.l, c.r FROM clust c JOIN (SELECT Species, arg_max(sel, i) AS sel FROM eom GROUP BY Species) s
+  USING (Species) WHERE c.up IS NOT NULL AND s.sel[c.i])""",
+        """member AS (SELECT p.Species, p.H3, arg_max(struct_pack(l := c.l, r := c.r), c.r - c.l) AS c FROM placed p
+  JOIN chosen c ON c.Species = p.Species AND p.pos BETWEEN c.l AND c.r GROUP BY p.Species, p.H3)""",
+        """labelled AS (SELECT *, min(H3) OVER (PARTITION BY Species, c.l, c.r) AS rep FROM member)""",
+    ]
+
+
+QUERIES["hdbscan_clusters"] = (
+    lambda spark, d: hierarchy.hdbscan_labels(_cells(_fx(spark, d)).drop("cell"), HIERARCHY_K, HIERARCHY_MIN)
+                              .drop("cluster"),
+    _recursive(_hdbscan_ctes(), "SELECT c.LAT, c.LON, c.H3, c.Species, m.rep AS cluster_rep "
+                                "FROM cells c LEFT JOIN labelled m USING (Species, H3)"))
+
+
+def _removed_by_hdbscan(spark, d):
+    """Cells as records, HDBSCAN noise per species removed (D3)."""
+    kept, gone = density.remove_by_clustering(_cells(_fx(spark, d)).select("Species", "H3", "LAT", "LON"), None, HIERARCHY_K,
+                                              "HDBSCAN", "LAT", "LON", "Species", HIERARCHY_MIN)
+    return (kept.select("Species", "H3", F.lit(0).alias("removed"))
+            .unionByName(gone.select("Species", "H3", F.lit(1).alias("removed"))))
+
+
+QUERIES["record_hdbscan"] = (
+    _removed_by_hdbscan,
+    _recursive(_hdbscan_ctes(), "SELECT c.Species, c.H3, CASE WHEN m.rep IS NULL THEN 1 ELSE 0 END AS removed "
+                                "FROM cells c LEFT JOIN labelled m USING (Species, H3)"))
+
 SWEEP_EPS = (250_000.0, 500_000.0, 1_000_000.0)
 
 
