@@ -1,4 +1,4 @@
-"""Density hierarchy of points: HDBSCAN labels (D4) and GLOSH scores.
+"""Hierarchies of points: HDBSCAN labels (D4), GLOSH scores (D5), DWOF scores.
 
 Two points of a group are as far apart as their mutual reachability: the
 largest of their distance and their core distances (to the ``k``-th nearest
@@ -26,6 +26,10 @@ points within a falling distance form the hierarchy.
    those below it goes up level by level, the choice of the topmost chosen one
    down by pointer jumping.
 
+DWOF grows windows around all points by one factor a step; its components are
+those of the same tree over "the step at which two points meet" instead of the
+mutual reachability.
+
 No group is in one task, and nothing but counts reaches the driver.
 
 Densities are whole numbers (10^18 / millimetres), so stabilities are exact.
@@ -33,7 +37,9 @@ Densities are whole numbers (10^18 / millimetres), so stabilities are exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,6 +115,67 @@ def core_distances(numbered: DataFrame, k: int, geomodel: str) -> tuple[DataFram
 _EDGE = ("_w", "_a", "_b")
 
 
+class Reachability:
+    """Edges weigh the mutual reachability (mm); ``_core`` is the core distance."""
+
+    def __init__(self, geomodel: str):
+        self.geomodel = geomodel
+        self.band = SPHEROID_BAND if geomodel == "wgs84" else 0.0
+
+    def reach(self) -> F.Column:
+        """Metres within which an edge below the bound ``_best`` lies."""
+        return F.col("_best") / 1000.0 * (1 + 2 * self.band) + 1.0
+
+    def unknown(self) -> F.Column:
+        """What an unknown edge of a point weighs at least."""
+        return F.greatest("_radius", "_core")
+
+    def least(self) -> F.Column:
+        """What an edge from the point into the box weighs at least."""
+        return F.greatest("_core", "_low", F.floor(knn.box_distance(False) * (1000.0 * (1 - self.band)) - 20).cast("long"))
+
+    def _far(self) -> F.Column:
+        chord = F.least(knn.box_distance(True) / (2 * EARTH_RADIUS_M), F.lit(1.0))
+        return F.asin(chord) * (2 * EARTH_RADIUS_M * (1 + self.band)) + 0.02
+
+    def most(self) -> F.Column:
+        """What the least edge from the point to a point of the box weighs at most."""
+        return F.greatest("_core", "_high", F.ceil(self._far() * 1000.0).cast("long"))
+
+    def weight(self, mm, other: str) -> F.Column:
+        return F.greatest(mm, "_core", other)
+
+
+class Meeting(Reachability):
+    """Edges weigh the step at which the larger of two growing windows holds both points.
+
+    ``_core`` is a point's first radius (m), ``_span`` the largest of its group.
+    """
+
+    def __init__(self, geomodel: str, delta: float):
+        super().__init__(geomodel)
+        self.delta = delta
+
+    def step(self, metres, radius) -> F.Column:
+        grown = F.ceil(F.log(metres / radius) / F.lit(math.log(self.delta)) - F.lit(1e-9))
+        return F.when(metres > 0, F.greatest(grown.cast("long"), F.lit(1).cast("long"))).otherwise(F.lit(1).cast("long"))
+
+    def reach(self) -> F.Column:
+        return F.col("_span") * F.pow(F.lit(self.delta), F.col("_best")) * (1 + 2 * self.band) + 1.0
+
+    def unknown(self) -> F.Column:
+        return F.col("_radius")
+
+    def least(self) -> F.Column:
+        return self.step(knn.box_distance(False) * (1 - self.band) - 0.02, F.greatest("_core", "_high"))
+
+    def most(self) -> F.Column:
+        return self.step(self._far(), F.greatest("_core", "_low"))
+
+    def weight(self, mm, other: str) -> F.Column:
+        return self.step(mm / F.lit(1000.0), F.greatest("_core", other))
+
+
 def _pyramid(state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(points per level, boxes, boxes by parent), each box with its components and core distances."""
     lv = knn.cube_levels(state.select("_k", "_n", "_c", "_core", "_lat", "_lon", "_x", "_y", "_z"))
@@ -123,17 +190,16 @@ def _pyramid(state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return lv, boxes, below
 
 
-def _search(need: DataFrame, state: DataFrame, geomodel: str) -> DataFrame:
-    """The least edge ``(_k, _c, _w, _a, _b, _o)`` to another component below the bound ``_best`` (mm).
+def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFrame:
+    """The least edge ``(_k, _c, _w, _a, _b, _o)`` to another component below the bound ``_best``.
 
     ``need``: points of ``state`` with their component's bound; every one of
     them that could have a shorter edge looks for it.
     """
-    band = SPHEROID_BAND if geomodel == "wgs84" else 0.0
     lv, boxes, below = _pyramid(state)
     query = ["_k", "_n", "_c", "_core", "_lat", "_lon", "_x", "_y", "_z"]
     facts = ["_m", "_c0", "_c1", "_low", "_high", *knn.BOX]
-    reach = F.least(F.col("_best") / 1000.0 * (1 + 2 * band) + 1.0, F.lit(knn.top_side()))
+    reach = F.least(measure.reach(), F.lit(knn.top_side()))
     level = F.least(F.greatest(F.floor(F.log(F.lit(knn.top_side()) / reach) / F.log(F.lit(2.0 ** knn.STEP))),
                                F.lit(0)), F.lit(knn.LEVELS - 1)).cast("int")
     frontier = (knn.cubes_in_reach(need.withColumn("_lv", level), reach)
@@ -141,12 +207,8 @@ def _search(need: DataFrame, state: DataFrame, geomodel: str) -> DataFrame:
     found = []
     for _ in range(knn.LEVELS + 1):
         foreign = (F.col("_c0") != F.col("_c")) | (F.col("_c1") != F.col("_c"))
-        least = F.greatest("_core", "_low", F.floor(knn.box_distance(False) * (1000.0 * (1 - band)) - 20).cast("long"))
-        chord = F.least(knn.box_distance(True) / (2 * EARTH_RADIUS_M), F.lit(1.0))
-        most = F.greatest("_core", "_high",
-                          F.ceil(F.asin(chord) * (2 * EARTH_RADIUS_M * 1000.0 * (1 + band)) + 20).cast("long"))
-        step = cut_lineage(frontier.where(foreign).withColumn("_least", least).withColumn("_most", most + 1)
-                           .where(F.col("_least") < F.col("_best")))
+        step = cut_lineage(frontier.where(foreign).withColumn("_least", measure.least())
+                           .withColumn("_most", measure.most() + 1).where(F.col("_least") < F.col("_best")))
         # the bound of a component: an edge into the box that is nearest by its far corner
         bound = step.groupBy("_k", "_c").agg(F.min("_most").alias("_bound"))
         live = (step.join(bound, ["_k", "_c"]).withColumn("_best", F.least("_best", "_bound"))
@@ -165,9 +227,9 @@ def _search(need: DataFrame, state: DataFrame, geomodel: str) -> DataFrame:
         ends = ends.unionByName(f)
     members = lv.select(*knn.NODE, F.col("_n").alias("_o_n"), F.col("_c").alias("_o"), F.col("_core").alias("_o_core"),
                         F.col("_lat").alias("_o_lat"), F.col("_lon").alias("_o_lon"))
-    metres = knn._dist_mm("_lat", "_lon", "_o_lat", "_o_lon", geomodel)
+    mm = knn._dist_mm("_lat", "_lon", "_o_lat", "_o_lon", measure.geomodel)
     pairs = (ends.join(members, knn.NODE).where(F.col("_c") != F.col("_o"))
-             .select("_k", "_c", F.greatest(metres, "_core", "_o_core").alias("_w"),
+             .select("_k", "_c", measure.weight(mm, "_o_core").alias("_w"),
                      F.least("_n", "_o_n").alias("_a"), F.greatest("_n", "_o_n").alias("_b"), "_o"))
     return _least_edges(pairs)
 
@@ -194,8 +256,8 @@ def _joined_components(chosen: DataFrame) -> DataFrame:
             return up.withColumnRenamed("_up", "_root")
 
 
-def spanning_edges(points: DataFrame, known: DataFrame, geomodel: str = "sphere") -> DataFrame:
-    """(_k, _a, _b, _w): a minimum spanning tree of mutual reachability per group.
+def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -> DataFrame:
+    """(_k, _a, _b, _w): a minimum spanning tree per group.
 
     ``points`` and ``known`` as :func:`core_distances` returns them; points
     without a core distance take no part.
@@ -217,10 +279,10 @@ def spanning_edges(points: DataFrame, known: DataFrame, geomodel: str = "sphere"
         best = _least_edges(both)
         need = cut_lineage(state.join(best.select("_k", "_c", F.col("_w").alias("_best")), ["_k", "_c"], "left")
                            .withColumn("_best", F.coalesce("_best", F.lit(_FAR)))
-                           .where(F.greatest("_radius", "_core") < F.col("_best")))
+                           .where(measure.unknown() < F.col("_best")))
         if not need.isEmpty():
             searched = need.select("_k").distinct()
-            more = _search(need, state.join(searched, "_k", "left_semi"), geomodel)
+            more = _search(need, state.join(searched, "_k", "left_semi"), measure)
             best = _least_edges(both.unionByName(more))
         best = cut_lineage(best)
         if best.isEmpty():
@@ -243,9 +305,9 @@ def spanning_edges(points: DataFrame, known: DataFrame, geomodel: str = "sphere"
 def _halves(nodes: DataFrame, edges: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """Cut pieces of more than ``limit`` edges at their median edge until none is left.
 
-    ``nodes``: (_g, _k, _node, _size, _least, _core, _inner); ``edges``: (_g, _a,
-    _b, _w).  ``_inner`` names the piece that a node stands for.  Returns the
-    nodes and edges of all pieces.
+    ``nodes``: (_g, _k, _node, _size, _least, _core, _top, _inner); ``edges``:
+    (_g, _a, _b, _w).  ``_inner`` names the piece that a node stands for, ``_top``
+    is its longest edge.  Returns the nodes and edges of all pieces.
     """
     while True:
         facts = edges.groupBy("_g").agg(
@@ -263,32 +325,51 @@ def _halves(nodes: DataFrame, edges: DataFrame, limit: int) -> tuple[DataFrame,
         piece = F.concat("_g", F.lit("/"), F.col("_label"))
         touched = nodes.join(label, ["_g", "_node"], "left").join(pivot, "_g", "left")
         inside = touched.where("_label IS NOT NULL")
-        lower = inside.select(piece.alias("_g"), "_k", "_node", "_size", "_least", "_core", "_inner")
-        merged = (inside.groupBy("_g", "_k", "_label").agg(F.sum("_size").alias("_size"), F.min("_least").alias("_least"))
+        lower = inside.select(piece.alias("_g"), "_k", "_node", "_size", "_least", "_core", "_top", "_inner")
+        at = lambda c: label.select("_g", F.col("_node").alias(c), F.col("_label").alias(f"{c}_l"))
+        labelled = light.join(at("_a"), ["_g", "_a"])
+        longest = labelled.groupBy("_g", F.col("_a_l").alias("_label")).agg(F.max("_w").alias("_top"))
+        merged = (inside.groupBy("_g", "_k", "_label").agg(
+                      F.sum("_size").alias("_size"), F.min("_least").alias("_least"), F.max("_core").alias("_core"))
+                  .join(longest, ["_g", "_label"])
                   .select(F.concat("_g", F.lit("^")).alias("_g"), "_k", F.col("_label").alias("_node"), "_size", "_least",
-                          F.lit(None).cast("long").alias("_core"), piece.alias("_inner")))
+                          "_core", "_top", piece.alias("_inner")))
         alone = touched.where("_label IS NULL AND _t IS NOT NULL").select(
-            F.concat("_g", F.lit("^")).alias("_g"), "_k", "_node", "_size", "_least", "_core", "_inner")
-        rest = touched.where("_t IS NULL").select("_g", "_k", "_node", "_size", "_least", "_core", "_inner")
+            F.concat("_g", F.lit("^")).alias("_g"), "_k", "_node", "_size", "_least", "_core", "_top", "_inner")
+        rest = touched.where("_t IS NULL").select("_g", "_k", "_node", "_size", "_least", "_core", "_top", "_inner")
         nodes = cut_lineage(lower.unionByName(merged).unionByName(alone).unionByName(rest))
-        at = lambda c: label.select("_g", F.col("_node").alias(c), F.col("_label").alias(f"{c}_l"))
-        low = light.join(at("_a"), ["_g", "_a"]).select(F.concat("_g", F.lit("/"), "_a_l").alias("_g"), *_EDGE)
+        low = labelled.select(F.concat("_g", F.lit("/"), "_a_l").alias("_g"), *_EDGE)
         high = (part.where("_w > _t").join(at("_a"), ["_g", "_a"], "left").join(at("_b"), ["_g", "_b"], "left")
                 .select(F.concat("_g", F.lit("^")).alias("_g"), "_w", F.coalesce("_a_l", "_a").alias("_a"),
                         F.coalesce("_b_l", "_b").alias("_b")))
         edges = cut_lineage(low.unionByName(high).unionByName(part.where("_t IS NULL").select("_g", *_EDGE)))
 
 
+def _whole(piece: str = "_g") -> F.Column:
+    """The name by which the pieces above know a piece, whichever of its halves is meant."""
+    return F.regexp_replace(piece, r"\^+$", "")
+
+
 def components(edges: DataFrame) -> DataFrame:
     from occuflow.operators.density import connected_components
 
     return connected_components(edges)
 
 
+class Node(NamedTuple):
+    """A point of a piece, or the piece ``inner`` that stands for its points."""
+
+    size: int
+    least: int
+    core: float
+    top: int
+    inner: str | None
+
+
 class _Walk:
     """Union-find over the nodes of a piece, a level (edges of equal length) at a time."""
 
-    def __init__(self, nodes: dict[int, tuple]):
+    def __init__(self, nodes: dict[int, Node]):
         self.nodes = nodes
         self.up = {n: n for n in nodes}
 
@@ -318,51 +399,47 @@ class _Walk:
             i = j
 
 
-def _glosh_walk(g: str, k: str, nodes: dict[int, tuple], edges: list, m: int) -> Iterator[tuple]:
+def _glosh_walk(g: str, k: str, nodes: dict[int, Node], edges: list, m: int) -> Iterator[tuple]:
     """A row per point that first joins others at its own core distance: the least one there."""
     walk = _Walk(nodes)
-    least = {n: v[1] for n, v in nodes.items()}
+    least = {n: v.least for n, v in nodes.items()}
     for w, joined in walk.levels(edges):
         for root, parts in joined.items():
             low = min(least[p] for p in parts)
             for p in parts:
-                if nodes[p][2] == w and walk_single(p, nodes):
-                    yield g, k, "least", str(p), None, low, 0
+                if nodes[p].core == w and nodes[p].inner is None:
+                    yield g, k, "least", str(p), None, low, 0, 0.0
             least[root] = low
 
 
-def walk_single(p: int, nodes: dict[int, tuple]) -> bool:
-    """Whether a node is a point (with a core distance) and not a piece."""
-    return nodes[p][2] is not None
-
-
-def _condense_walk(g: str, k: str, nodes: dict[int, tuple], edges: list, m: int) -> Iterator[tuple]:
+def _condense_walk(g: str, k: str, nodes: dict[int, Node], edges: list, m: int) -> Iterator[tuple]:
     """Rows (g, k, kind, what, cluster, w, size): points and pieces that fall, clusters that join, the one on top."""
     walk = _Walk(nodes)
-    size = {n: v[0] for n, v in nodes.items()}
+    size = {n: v.size for n, v in nodes.items()}
     cluster: dict[int, str | None] = {}
     members: dict[int, list[int]] = {n: [n] for n in nodes}
-    for n, (s, _, core, inner) in nodes.items():
+    for n, v in nodes.items():
         # a piece of enough records has a cluster of its own; so have enough records of one place
-        cluster[n] = None if s < m else "s" + inner if inner is not None else f"c{g}.{n}"
+        cluster[n] = None if v.size < m else "s" + v.inner if v.inner is not None else f"c{g}.{n}"
     count = 0
 
     def fall(part: int, into: str, w: int) -> Iterator[tuple]:
         for n in members.pop(part):
-            yield g, k, "fall", (nodes[n][3] if nodes[n][3] is not None else str(n)), into, w, nodes[n][0]
+            v = nodes[n]
+            yield g, k, "fall", (v.inner if v.inner is not None else str(n)), into, w, v.size, 0.0
 
     def own(part: int, w: int) -> bool:
         """Whether a part is a cluster already below level ``w``."""
-        core = nodes[part][2] if len(members.get(part, ())) == 1 and part in nodes else None
-        return cluster[part] is not None and not (core is not None and core >= w and nodes[part][3] is None)
+        place = len(members.get(part, ())) == 1 and nodes[part].inner is None
+        return cluster[part] is not None and not (place and nodes[part].core >= w)
 
     began = set()
 
     def begun(part: int) -> Iterator[tuple]:
         """The records of one place fall out of their cluster at its core distance."""
-        if nodes[part][3] is None and cluster[part] == f"c{g}.{part}" and part not in began:
+        if nodes[part].inner is None and cluster[part] == f"c{g}.{part}" and part not in began:
             began.add(part)
-            yield g, k, "fall", str(part), cluster[part], nodes[part][2], nodes[part][0]
+            yield g, k, "fall", str(part), cluster[part], nodes[part].core, nodes[part].size, 0.0
             members.pop(part, None)
 
     for w, joined in walk.levels(edges):
@@ -383,7 +460,7 @@ def _condense_walk(g: str, k: str, nodes: dict[int, tuple], edges: list, m: int)
                     count += 1
                     into = f"c{g}#{count}"
                     for p in big:
-                        yield g, k, "link", cluster[p], into, w, size[p]
+                        yield g, k, "link", cluster[p], into, w, size[p], 0.0
                 for p in small:
                     yield from fall(p, into, w)
                 for p in big:
@@ -392,24 +469,24 @@ def _condense_walk(g: str, k: str, nodes: dict[int, tuple], edges: list, m: int)
             size[root], cluster[root] = total, into
     tops = {walk.root(n) for n in nodes}
     for t in tops:
-        if len(nodes) == 1 and nodes[t][3] is None and cluster[t] is not None:
+        if len(nodes) == 1 and nodes[t].inner is None and cluster[t] is not None:
             yield from begun(t)
-        yield g, k, "top", g, cluster[t], 0, size[t]
+        yield g, k, "top", g.rstrip("^"), cluster[t], 0, size[t], 0.0
 
 
-_EVENTS = "_g string, _k string, kind string, what string, cluster string, w long, size long"
+_EVENTS = "_g string, _k string, kind string, what string, cluster string, w long, size long, value double"
 
 
 def _walked(nodes: DataFrame, edges: DataFrame, walk: Callable, m: int) -> DataFrame:
     """Events of all pieces; a piece's nodes, then its edges in order, pass through one task."""
     none = F.lit(None).cast("long")
     rows = nodes.select("_g", "_k", F.lit(0).alias("_kind"), "_size", F.col("_node").alias("_a"), none.alias("_b"),
-                        "_least", "_core", "_inner").unionByName(
-        edges.select("_g", F.lit(None).cast("string").alias("_k"), F.lit(1).alias("_kind"), F.col("_w").alias("_size"),
-                     "_a", "_b", none.alias("_least"), none.alias("_core"), F.lit(None).cast("string").alias("_inner")))
+                        "_least", "_core", "_top", "_inner").unionByName(
+        edges.select("_g", F.lit(None).cast("string").alias("_k"), F.lit(1).alias("_kind"), F.col("_w").alias("_size"), "_a", "_b",
+                     *[none.alias(c) for c in ("_least", "_core", "_top")], F.lit(None).cast("string").alias("_inner")))
     dealt = rows.repartition("_g").sortWithinPartitions("_g", "_kind", "_size")
-    names = ["_g", "_k", "kind", "what", "cluster", "w", "size"]
-    kinds = [pa.string()] * 5 + [pa.int64()] * 2
+    names = ["_g", "_k", "kind", "what", "cluster", "w", "size", "value"]
+    kinds = [pa.string()] * 5 + [pa.int64()] * 2 + [pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, key, held, lines, out = None, None, {}, [], []
@@ -420,13 +497,13 @@ def _walked(nodes: DataFrame, edges: DataFrame, walk: Callable, m: int) -> DataF
             out.clear()
 
         for batch in batches:
-            for g, k, kind, size, a, b, least, core, inner in zip(*[c.to_pylist() for c in batch.columns]):
+            for g, k, kind, size, a, b, *facts in zip(*[c.to_pylist() for c in batch.columns]):
                 if g != at:
                     if at is not None:
                         out.extend(walk(at, key, held, lines, m))
                     at, key, held, lines = g, k, {}, []
                 if kind == 0:
-                    held[a] = (size, least, core, inner)
+                    held[a] = Node(size, *facts)
                 else:
                     lines.append((size, a, b))
             yield from flush()
@@ -441,8 +518,8 @@ def _pieces(points: DataFrame, tree: DataFrame, limit: int) -> tuple[DataFrame,
     # hexadecimal, so that no group's name looks like a piece of another
     whole = F.concat(F.lit("g"), F.hex("_k"))
     nodes = points.where("_core IS NOT NULL").select(
-        whole.alias("_g"), "_k", F.col("_n").alias("_node"), F.col("_w").alias("_size"),
-        F.col("_core").alias("_least"), "_core", F.lit(None).cast("string").alias("_inner"))
+        whole.alias("_g"), "_k", F.col("_n").alias("_node"), F.col("_w").alias("_size"), F.col("_core").alias("_least"),
+        "_core", F.lit(0).cast("long").alias("_top"), F.lit(None).cast("string").alias("_inner"))
     return _halves(nodes, tree.select(whole.alias("_g"), *_EDGE), limit)
 
 
@@ -454,7 +531,7 @@ def _hierarchy(points: DataFrame, k: int, key: str, lat: str, lon: str, geomodel
     ship_package(points.sparkSession)
     numbered = _numbered(points, key, lat, lon, weight)
     sites, known = core_distances(numbered, k, geomodel)
-    return numbered, sites, spanning_edges(sites, known, geomodel)
+    return numbered, sites, spanning_edges(sites, known, Reachability(geomodel))
 
 
 # ------------------------------------------------------------------ GLOSH
@@ -505,7 +582,7 @@ def _flat_events(nodes: DataFrame, level: DataFrame, m: int) -> DataFrame:
     rows = flat.join(total, "_g")
     cols = lambda kind, what, cluster, w, size: [
         F.col("_g"), F.col("_k"), F.lit(kind).alias("kind"), what.alias("what"), cluster.alias("cluster"),
-        w.alias("w"), size.alias("size")]
+        w.alias("w"), size.alias("size"), F.lit(0.0).alias("value")]
     falls = rows.where("_into IS NOT NULL AND _own IS NULL").select(*cols(
         "fall", F.coalesce("_inner", F.col("_node").cast("string")), F.col("_into"), F.col("_level"), F.col("_size")))
     places = rows.where("_own IS NOT NULL AND _inner IS NULL").select(*cols(
@@ -513,7 +590,7 @@ def _flat_events(nodes: DataFrame, level: DataFrame, m: int) -> DataFrame:
     links = rows.where("_own IS NOT NULL AND _big > 1").select(*cols(
         "link", F.col("_own"), F.col("_into"), F.col("_level"), F.col("_size")))
     tops = total.join(flat.select("_g", "_k").distinct(), "_g").select(*cols(
-        "top", F.col("_g"), F.col("_into"), F.lit(0).cast("long"), F.col("_total")))
+        "top", _whole(), F.col("_into"), F.lit(0).cast("long"), F.col("_total")))
     return falls.unionByName(places).unionByName(links).unionByName(tops)
 
 
@@ -533,7 +610,7 @@ def _resolved(events: DataFrame) -> DataFrame:
 
 def _fallen_points(falls: DataFrame, nodes: DataFrame) -> DataFrame:
     """(_k, _n, cluster, w): pieces that fell replaced by their points."""
-    inside = nodes.select("_g", F.coalesce("_inner", F.col("_node").cast("string")).alias("_member"))
+    inside = nodes.select(_whole().alias("_g"), F.coalesce("_inner", F.col("_node").cast("string")).alias("_member"))
     done, rows = None, falls.select("_k", "what", "cluster", "w")
     while True:
         rows = cut_lineage(rows)
@@ -619,3 +696,146 @@ def condensed_clusters(sites: DataFrame, tree: DataFrame, m: int, piece_edges: i
         .cast("decimal(38,0)").alias("stability"))
     top = _chosen(clusters.join(mass, "cluster").select("cluster", "parent", "stability"))
     return fallen.join(top.where("top IS NOT NULL"), "cluster").select("_n", "top")
+
+
+# ------------------------------------------------------------------ DWOF
+
+def first_radii(points: DataFrame, k: int, geomodel: str) -> tuple[DataFrame, DataFrame]:
+    """(points with ``_core`` (m), ``_span``, ``_radius``; known edges by metres).
+
+    A first radius is the mean distance among the ``k`` nearest (and their ties)
+    of a point, scaled so that the least of a group is its least distance.
+    ``_core`` is NULL in groups in which no point has two neighbours.
+    """
+    sites = points.select("_k", "_n", "_lat", "_lon")
+    pairs = cut_lineage(knn.knn(sites, k, "_k", "_n", "_lat", "_lon", geomodel).select(
+        "_k", "_n", "nid", F.floor(F.col("dist_m") * 1000.0 + 0.5).cast("long").alias("_dmm"), "rank"))
+    place = sites.select("_k", F.col("_n").alias("nid"), "_lat", "_lon")
+    around = pairs.select("_k", "_n", "nid").join(place, ["_k", "nid"])
+    other = around.select("_k", "_n", F.col("nid").alias("_o"), F.col("_lat").alias("_o_lat"), F.col("_lon").alias("_o_lon"))
+    among = (around.join(other, ["_k", "_n"]).where(F.col("nid") < F.col("_o"))
+             .select("_k", "_n", knn._dist_mm("_lat", "_lon", "_o_lat", "_o_lon", geomodel).alias("_mm")))
+    mean = cut_lineage(among.groupBy("_k", "_n").agg((F.sum("_mm") / F.count(F.lit(1)) / 1000.0).alias("_mean"),
+                                                     F.min(F.when(F.col("_mm") > 0, F.col("_mm"))).alias("_near")))
+    scale = mean.groupBy("_k").agg(F.min("_mean").alias("_low"), (F.min("_near") / 1000.0).alias("_unit"))
+    radius = (F.when(F.col("_unit").isNull(), F.lit(1.0))  # all coincide
+              .when(F.col("_low") > 0, F.col("_mean") * F.col("_unit") / F.col("_low")).otherwise(F.col("_unit")))
+    radii = mean.join(scale, "_k").select("_k", "_n", radius.alias("_core"))
+    span = radii.groupBy("_k").agg(F.max("_core").alias("_span"))
+    known = pairs.groupBy("_k", "_n").agg(F.max(F.when(F.col("rank") >= k, F.col("_dmm"))).alias("_kth"))
+    x, y, z = ecef("_lat", "_lon")
+    return (sites.join(radii, ["_k", "_n"], "left").join(span, "_k", "left").join(known, ["_k", "_n"], "left")
+            .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z)), pairs
+
+
+def _dwof_walk(g: str, k: str, nodes: dict[int, Node], edges: list, m: int) -> Iterator[tuple]:
+    """What every node gathers in its piece; ``core`` is the last step of the group."""
+    walk = _Walk(nodes)
+    size = {n: v.size for n, v in nodes.items()}
+    born = {n: v.top for n, v in nodes.items()}
+    members = {n: [n] for n in nodes}
+    value, shared = dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, 0.0)
+    for w, joined in walk.levels(edges):
+        for root, parts in joined.items():
+            total = sum(size[p] for p in parts)
+            for p in parts:
+                shared[p] += gathered(size[p], born[p], w, total, nodes[p].core)
+            # the longest list takes the others, whose own sums are set off against its
+            parts.sort(key=lambda p: len(members[p]))
+            largest, base = members.pop(parts[-1]), shared[parts[-1]]
+            for p in parts[:-1]:
+                for n in members.pop(p):
+                    value[n] += shared[p] - base
+                    largest.append(n)
+            members[root], shared[root] = largest, base
+            size[root], born[root] = total, w
+    whole = "/" not in g
+    for root, held in members.items():
+        last = gathered(size[root], born[root], nodes[root].core + 1, None, nodes[root].core) if whole else 0.0
+        for n in held:
+            inner = nodes[n].inner
+            yield g, k, "value", inner if inner is not None else str(n), None, 0, 0, value[n] + shared[root] + last
+
+
+def gathered(size: int, born: int, w: int, total: int | None, last: int) -> float:
+    """What the members of a component gather from its birth until it joins others at step ``w``."""
+    if size <= 1 or born >= min(w, last + 1):
+        return 0.0
+    steps = min(w - 1, last) - born
+    return steps * (size - 1) / size + ((size - 1) / total if total and w <= last else 0.0)
+
+
+def _flat_values(nodes: DataFrame, level: DataFrame) -> DataFrame:
+    """:func:`_dwof_walk` of pieces whose edges are all equal."""
+    flat = nodes.join(level, "_g")
+    total = flat.groupBy("_g").agg(F.sum("_size").alias("_total"))
+    size, last, w = F.col("_size"), F.col("_core"), F.col("_level")
+    own = F.when((size > 1) & (F.col("_top") < F.least(w, last + 1)),
+                 (F.least(w - 1, last) - F.col("_top")) * (size - 1) / size
+                 + F.when(w <= last, (size - 1) / F.col("_total")).otherwise(0.0)).otherwise(0.0)
+    after = F.when(~F.col("_g").contains("/") & (w <= last),
+                   (last - w) * (F.col("_total") - 1) / F.col("_total")).otherwise(0.0)
+    return flat.join(total, "_g").select("_g", F.coalesce("_inner", F.col("_node").cast("string")).alias("what"),
+                                         (own + after).alias("value"))
+
+
+def growth_sums(sites: DataFrame, tree: DataFrame, piece_edges: int = PIECE_EDGES) -> DataFrame:
+    """(_n, value): sums over the steps until no point of a group is alone.
+
+    ``tree`` weighs the steps at which points meet; a step adds (size before -
+    1) / (size now) of a point's component.
+    """
+    ends = tree.select("_k", F.col("_a").alias("_n"), "_w").unionByName(tree.select("_k", F.col("_b").alias("_n"), "_w"))
+    last = ends.groupBy("_k", "_n").agg(F.min("_w").alias("_w")).groupBy("_k").agg(F.max("_w").alias("_last"))
+    single = (sites.where("_core IS NOT NULL").join(last, "_k")
+              .select("_k", "_n", F.lit(1).cast("long").alias("_w"), F.col("_last").alias("_core")))
+    nodes, edges = _pieces(single, tree, piece_edges)
+    facts = edges.groupBy("_g").agg(F.count(F.lit(1)).alias("_m"), F.min("_w").alias("_level"))
+    large = facts.where(F.col("_m") > piece_edges).select("_g", "_level")
+    walked = _walked(nodes.join(large, "_g", "left_anti"), edges.join(large, "_g", "left_anti"), _dwof_walk, 1)
+    values = cut_lineage(walked.select("_g", "what", "value").unionByName(_flat_values(nodes, large))
+                         .withColumn("_g", _whole()))
+    digits = F.col("what").rlike("^[0-9]+$")
+    # what a piece gathered as a node of the piece above it, summed up to the top
+    up = cut_lineage(values.where(~digits).select(F.col("what").alias("_piece"), F.col("_g").alias("_above"), "value"))
+    while True:
+        above = up.select(F.col("_piece").alias("_above"), F.col("_above").alias("_next"), F.col("value").alias("_more"))
+        step = cut_lineage(up.join(above, "_above", "left").select(
+            "_piece", F.col("_next").alias("_above"), (F.col("value") + F.coalesce("_more", F.lit(0.0))).alias("value"),
+            F.col("_more").isNotNull().alias("_moved")))
+        up = step.drop("_moved")
+        if step.where("_moved").isEmpty():
+            break
+    return (values.where(digits).join(up.select(F.col("_piece").alias("_g"), F.col("value").alias("_more")), "_g", "left")
+            .select(F.col("what").cast("long").alias("_n"), (F.col("value") + F.coalesce("_more", F.lit(0.0))).alias("value")))
+
+
+def dwof(points: DataFrame, k: int, delta: float = 1.1, key: str = "Species", pid: str = "H3", lat: str = "LAT",
+         lon: str = "LON", geomodel: str = "sphere", piece_edges: int = PIECE_EDGES) -> DataFrame:
+    """Dynamic window outlier factor (D23, Momtaz et al. 2013); low scores are outliers.
+
+    A point's window begins with the mean distance among its ``k`` nearest (see
+    :func:`first_radii`) and grows by ``delta`` a step.  Points within the
+    window of one of the two are in one component; at every step a point gains
+    (size of its component before - 1) / (size now), until no point of the group
+    is alone.  Groups in which no point has two neighbours score 0.
+    """
+    if k is None or isinstance(k, bool) or int(k) != k or k < 2:
+        raise ValueError("the windows need two neighbours or more")
+    if not delta > 1:
+        raise ValueError("delta must be above 1")
+    ship_package(points.sparkSession)
+    measure = Meeting(geomodel, delta)
+    numbered = _numbered(points, key, lat, lon, None)
+    sites, pairs = first_radii(numbered, k, geomodel)
+    sites = cut_lineage(sites.withColumn("_radius", F.when(F.col("_kth").isNull(), F.lit(_FAR)).otherwise(
+        measure.step(F.col("_kth") / 1000.0, F.col("_span")))).drop("_kth"))
+    own = sites.where("_core IS NOT NULL").select("_k", "_n", "_core")
+    known = cut_lineage(
+        pairs.join(own, ["_k", "_n"])
+        .join(own.select("_k", F.col("_n").alias("nid"), F.col("_core").alias("_o_core")), ["_k", "nid"])
+        .select("_k", F.least("_n", "nid").alias("_a"), F.greatest("_n", "nid").alias("_b"),
+                measure.weight(F.col("_dmm"), "_o_core").alias("_w")).distinct())
+    sums = growth_sums(sites, spanning_edges(sites, known, measure), piece_edges)
+    return (numbered.join(sums, "_n", "left").withColumn("OutlierScore", F.coalesce("value", F.lit(0.0)))
+            .select(*points.columns, "OutlierScore"))

@@ -397,26 +397,40 @@ def em_outlier(points: DataFrame, k: int = 3, max_iter: int = 100, tol: float =
 _ALOCI_LEVELS, _ALOCI_DEEPEST = 7, 52
 
 
-def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int | None = None,
+# Steps of the grid shifts, which spread evenly over the unit square.
+_SHIFT_U, _SHIFT_V = 0.7548776662466927, 0.5698402909980532
+
+
+def grid_shifts(grids: int) -> list[tuple[float, float]]:
+    """Shift of every box hierarchy; the first is not shifted."""
+    return [(i * _SHIFT_U % 1.0, i * _SHIFT_V % 1.0) for i in range(grids)]
+
+
+def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int | None = None, grids: int = 1,
           key: str = "Species", pid: str = "H3", lat: str = "LAT", lon: str = "LON") -> DataFrame:
     """Approximate LOCI (D25, Papadimitriou et al. 2003) on planar (lat, lon).
 
     Coordinates are min-max scaled per group into the unit square and
-    counted in a quad-tree of box grids (level l: 2^l x 2^l boxes; one
-    aggregate over the levels of a pass).  For each level l the sampling box
-    of a point is its level-l box, the counting box its level-(l + alpha) box.
-    n = counting box count; over the sampling box's sub-boxes c at level
-    l + alpha: n_hat = sum c^2 / sum c, sigma = sqrt(sum c^3 / sum c -
-    n_hat^2); MDEF = 1 - n / n_hat, score = max over levels with sum c >=
-    nmin of MDEF / (sigma / n_hat).  One unshifted grid (the paper's g = 1).
-
-    Levels end with the points: a pass takes on only points whose sampling box
-    holds nmin points that are not all in one place, as no other box is ever
+    counted in ``grids`` quad-trees of boxes, each shifted by its own vector
+    (level l: boxes of side 2^-l; one aggregate over the levels of a pass).
+    For each sampling level l a point's counting box is, of its level-(l +
+    alpha) boxes in all grids, the one whose centre is nearest to it; its
+    sampling box is, of the level-l boxes that hold this centre, the one whose
+    centre is nearest to it (ties: the first grid).  With n the counting box's
+    count and c the sub-boxes of the sampling box at level l + alpha: n_hat =
+    sum c^2 / sum c, sigma = sqrt(sum c^3 / sum c - n_hat^2); MDEF = 1 - n /
+    n_hat, score = max over levels with sum c >= nmin of MDEF / (sigma / n_hat).
+
+    Levels end with the points: a pass takes on only points in or beside a box
+    of nmin points that are not all in one place, as no other box is ever
     scored.  ``depth`` (the finest counting level) cuts this short.
     """
     deepest = _ALOCI_DEEPEST if depth is None else depth
     if not 1 <= alpha < deepest <= _ALOCI_DEEPEST:
         raise ValueError(f"need 1 <= alpha < depth <= {_ALOCI_DEEPEST}")
+    if isinstance(grids, bool) or int(grids) != grids or grids < 1:
+        raise ValueError("grids must be a positive integer")
+    shifts = grid_shifts(grids)
     ext = points.groupBy(key).agg(F.min(lat).alias("_la0"), F.max(lat).alias("_la1"),
                                   F.min(lon).alias("_lo0"), F.max(lon).alias("_lo1"))
 
@@ -429,33 +443,57 @@ def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int | None =
                                      unit(lat, "_la0", "_la1").alias("_u"),
                                      unit(lon, "_lo0", "_lo1").alias("_v")))
 
-    def box(col: str, level) -> F.Column:
+    def box(c: F.Column, level, shift: float) -> F.Column:
+        # the far edge of the unit square belongs to the last box of the unshifted grid
         n = F.pow(F.lit(2.0), level)
-        return F.least(F.floor(F.col(col) * n), n - 1).cast("long")
+        return (F.least(F.floor(c * n), n - 1) if shift == 0 else F.floor((c + F.lit(shift)) * n)).cast("long")
+
+    def in_grid(i: int, u, v, level) -> tuple[F.Column, F.Column]:
+        return box(u, level, shifts[i][0]), box(v, level, shifts[i][1])
+
+    def centred(u, v, level) -> F.Column:
+        """The (distance, grid, box, box's centre) around a place that is best centred on it."""
+        side = F.pow(F.lit(2.0), -level)
+        out = []
+        for i, (su, sv) in enumerate(shifts):
+            bi, bj = in_grid(i, u, v, level)
+            cu, cv = (bi + 0.5) * side - su, (bj + 0.5) * side - sv
+            # rounded: equal distances must not be told apart by their last digit
+            d = F.round(F.pow((cu - u) / side, 2) + F.pow((cv - v) / side, 2), 9)
+            out.append(F.struct(d.alias("d"), F.lit(i).alias("g"), bi.alias("i"), bj.alias("j"), cu.alias("u"), cv.alias("v")))
+        return F.array_min(F.array(*out)) if len(out) > 1 else out[0]
 
     active, first, scored = base, 0, []
     while True:
         until = min(first + _ALOCI_LEVELS, deepest - alpha + 1)  # sampling levels first .. until - 1
-        lv = (active.select("_k", "_id", "_u", "_v",
-                            F.explode(F.sequence(F.lit(first), F.lit(until - 1 + alpha))).alias("_l"))
-                    .withColumn("_bi", box("_u", F.col("_l"))).withColumn("_bj", box("_v", F.col("_l"))))
-        counts = cut_lineage(lv.groupBy("_k", "_l", "_bi", "_bj").agg(F.count(F.lit(1)).alias("_c")))
+        at = F.col("_l").cast("double")
+        lv = active.select("_k", "_id", "_u", "_v", F.explode(F.sequence(F.lit(first), F.lit(until - 1 + alpha))).alias("_l"))
+        every = F.array(*[F.struct(F.lit(i).alias("g"), *[c.alias(n) for c, n in zip(
+            in_grid(i, F.col("_u"), F.col("_v"), at), ("i", "j"))]) for i in range(grids)])
+        counts = cut_lineage(lv.select("_k", "_l", F.explode(every).alias("_b"))
+                               .select("_k", "_l", F.col("_b.g").alias("_g"), F.col("_b.i").alias("_bi"), F.col("_b.j").alias("_bj"))
+                               .groupBy("_k", "_l", "_g", "_bi", "_bj").agg(F.count(F.lit(1)).alias("_c")))
         # Sub-box moments of each sampling box: level l + alpha boxes grouped by parent.
         sub = (counts.where(F.col("_l") >= first + alpha)
-                     .select("_k", (F.col("_l") - alpha).alias("_l"),
+                     .select("_k", "_g", (F.col("_l") - alpha).alias("_l"),
                              F.shiftright("_bi", alpha).alias("_bi"), F.shiftright("_bj", alpha).alias("_bj"),
                              "_c")
-                     .groupBy("_k", "_l", "_bi", "_bj")
+                     .groupBy("_k", "_l", "_g", "_bi", "_bj")
                      .agg(F.sum("_c").alias("_s1"), F.sum(F.col("_c") * F.col("_c")).alias("_s2"),
                           F.sum(F.pow("_c", 3)).alias("_s3")))
-        mine = (lv.where(F.col("_l") < until)
-                  .join(sub, ["_k", "_l", "_bi", "_bj"])
-                  .withColumn("_cl", F.col("_l") + alpha))
-        fine = counts.select("_k", F.col("_l").alias("_cl"), F.col("_bi").alias("_ci"),
+        fine = counts.select("_k", F.col("_l").alias("_cl"), F.col("_g").alias("_cg"), F.col("_bi").alias("_ci"),
                              F.col("_bj").alias("_cj"), F.col("_c").alias("_n"))
-        scored.append(mine.withColumn("_ci", box("_u", F.col("_cl"))).withColumn("_cj", box("_v", F.col("_cl")))
-                          .join(fine, ["_k", "_cl", "_ci", "_cj"])
-                          .where(F.col("_s1") >= nmin)
+        counting = centred(F.col("_u"), F.col("_v"), F.col("_cl").cast("double"))
+        # inline makes plain columns of the chosen box, computed once
+        mine = (lv.where(F.col("_l") < until).withColumn("_cl", F.col("_l") + alpha)
+                  .select("_k", "_id", "_l", "_cl", F.inline(F.array(counting)))
+                  .withColumnsRenamed({"g": "_cg", "i": "_ci", "j": "_cj", "u": "_cu", "v": "_cv"}).drop("d")
+                  .join(fine, ["_k", "_cl", "_cg", "_ci", "_cj"]))
+        sampling = centred(F.col("_cu"), F.col("_cv"), at) if grids > 1 else F.struct(
+            F.lit(0).alias("g"), F.shiftright("_ci", alpha).alias("i"), F.shiftright("_cj", alpha).alias("j"))
+        scored.append(mine.select("_k", "_id", "_l", "_n", F.inline(F.array(sampling)))
+                          .withColumnsRenamed({"g": "_g", "i": "_bi", "j": "_bj"})
+                          .join(sub.where(F.col("_s1") >= nmin), ["_k", "_l", "_g", "_bi", "_bj"])
                           .withColumn("_nh", F.col("_s2") / F.col("_s1"))
                           .withColumn("_sd", F.sqrt(F.greatest(F.lit(0.0),
                                                               F.col("_s3") / F.col("_s1") - F.col("_nh") * F.col("_nh"))))
@@ -464,13 +502,23 @@ def aloci(points: DataFrame, nmin: int = 20, alpha: int = 4, depth: int | None =
                                   ((F.lit(1.0) - F.col("_n") / F.col("_nh")) / (F.col("_sd") / F.col("_nh"))).alias("_r")))
         if until > deepest - alpha:
             break
-        at = (active.withColumn("_bi", box("_u", F.lit(until).cast("double")))
-                    .withColumn("_bj", box("_v", F.lit(until).cast("double"))))
-        full = (at.groupBy("_k", "_bi", "_bj")
-                  .agg(F.count(F.lit(1)).alias("_c"), (F.max("_u") - F.min("_u")).alias("_du"),
-                       (F.max("_v") - F.min("_v")).alias("_dv"))
-                  .where((F.col("_c") >= nmin) & ((F.col("_du") > 0) | (F.col("_dv") > 0))))
-        active = cut_lineage(at.join(full, ["_k", "_bi", "_bj"], "left_semi").select("_k", "_id", "_u", "_v"))
+        # Full boxes of the next level; a counting box's centre is less than its side away
+        # from the point, so a point's sampling box holds one of the places around it.
+        level, off = F.lit(float(until)), 2.0 ** -(until + alpha)
+        places = [(F.col("_u"), F.col("_v"))] if grids == 1 else [
+            (F.col("_u") + a, F.col("_v") + b) for a in (-off, off) for b in (-off, off)]
+
+        def boxes(around) -> F.Column:
+            return F.array_distinct(F.array(*[F.struct(F.lit(i).alias("g"), *[c.alias(n) for c, n in zip(
+                in_grid(i, u, v, level), ("i", "j"))]) for i in range(grids) for u, v in around]))
+
+        held = active.select("*", F.explode(boxes([(F.col("_u"), F.col("_v"))])).alias("_b"))
+        full = (held.groupBy("_k", "_b").agg(
+                    F.count(F.lit(1)).alias("_c"), (F.max("_u") - F.min("_u")).alias("_du"),
+                    (F.max("_v") - F.min("_v")).alias("_dv"))
+                  .where((F.col("_c") >= nmin) & ((F.col("_du") > 0) | (F.col("_dv") > 0))).select("_k", "_b"))
+        near = active.select("*", F.explode(boxes(places)).alias("_b")).join(full, ["_k", "_b"], "left_semi")
+        active = cut_lineage(near.select("_k", "_id", "_u", "_v").distinct())
         if active.isEmpty():
             break
         first = until

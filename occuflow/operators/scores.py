@@ -42,6 +42,9 @@ def _on_attribute(fn) -> Method:
     return Method(lambda p, k, d, attr, geo: fn(p, k, attr, geomodel=geo), ("k", "attr"))
 
 
+# Shifted box hierarchies of aLOCI.
+ALOCI_GRIDS = 4
+
 METHODS: dict[str, Method] = {
     "LOF": _on_neighbours(knn.lof),
     "SimplifiedLOF": _on_neighbours(knn.lof, simplified=True),
@@ -63,10 +66,11 @@ METHODS: dict[str, Method] = {
     "DBSCANOutlierDetection": Method(
         lambda p, k, d, attr, geo: density.dbscan_noise(p, d, k, geomodel=geo), ("k", "d")),
     "GLOSH": _on_neighbours(hierarchy.glosh),
+    "DWOF": _on_neighbours(hierarchy.dwof),
     "EMOutlier": Method(lambda p, k, d, attr, geo: models.em_outlier(p, k)),
     "KMeansMinusMinusOutlierDetection": Method(
         lambda p, k, d, attr, geo: models.kmeans_minus_minus(p, k, k)),
-    "ALOCI": Method(lambda p, k, d, attr, geo: models.aloci(p), ()),
+    "ALOCI": Method(lambda p, k, d, attr, geo: models.aloci(p, grids=ALOCI_GRIDS), ()),
     "SLOM": _on_attribute(knn.slom),
     "SOF": _on_attribute(knn.sof),
     "CTLuScatterplotOutlier": _on_attribute(knn.scatterplot_outlier),
@@ -77,7 +81,6 @@ METHODS: dict[str, Method] = {
 
 NOT_BUILT = {
     "SOS": "needs every pair of a species; KNNSOS is the scalable form",
-    "DWOF": "the growing windows are not built",
     "COP": "the probabilistic subspaces are not built; SimpleCOP is",
     "OPTICSOF": "the OPTICS order is sequential; the density sweep covers its cuts",
     "LOCI": "needs every pair of a species; ALOCI is the scalable form",

@@ -781,6 +781,55 @@ QUERIES["aloci"] = (
                            .withColumn("OutlierScore", F.round("OutlierScore", 6)),
     _aloci_sql())
 
+ALOCI_GRIDS = 4
+
+
+def _aloci_shifted_sql() -> str:
+    """Several grids: the box best centred on a place is the least (distance, grid) of all."""
+    al, dp, nm = ALOCI_ALPHA, ALOCI_DEPTH, ALOCI_NMIN
+    grids = ", ".join(f"({i}, {u!r}, {v!r})" for i, (u, v) in enumerate(models.grid_shifts(ALOCI_GRIDS)))
+    unit = "CASE WHEN e.{hi} - e.{lo} > 0 THEN (c.{c} - e.{lo}) / (e.{hi} - e.{lo}) ELSE 0.0 END"
+
+    def box(c: str, s: str, level: str) -> str:
+        return (f"CAST(CASE WHEN {s} = 0 THEN least(floor({c} * pow(2.0, {level})), pow(2.0, {level}) - 1) "
+                f"ELSE floor(({c} + {s}) * pow(2.0, {level})) END AS BIGINT)")
+
+    dist = ("round(pow(((bi + 0.5) * pow(2.0, -{l}) - su - {u}) / pow(2.0, -{l}), 2) "
+            "+ pow(((bj + 0.5) * pow(2.0, -{l}) - sv - {v}) / pow(2.0, -{l}), 2), 9)")
+    return _q("""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND(COALESCE(s.r, 0.0), 6) AS OutlierScore
+FROM cells c LEFT JOIN (SELECT Species, H3, MAX(r) AS r FROM per GROUP BY Species, H3) s
+  ON s.Species = c.Species AND s.H3 = c.H3""", _CELLS_SQL + [
+        """ext AS (SELECT Species, MIN(LAT) AS la0, MAX(LAT) AS la1, MIN(LON) AS lo0, MAX(LON) AS lo1
+  FROM cells GROUP BY Species)""",
+        f"grid AS (SELECT * FROM (VALUES {grids}) t(g, su, sv))",
+        f"""base AS (SELECT c.Species, c.H3, {unit.format(c='LAT', lo='la0', hi='la1')} AS u,
+  {unit.format(c='LON', lo='lo0', hi='lo1')} AS v FROM cells c JOIN ext e ON e.Species = c.Species)""",
+        f"""lv AS (SELECT b.Species, b.H3, b.u, b.v, t.l, g.*, {box('b.u', 'g.su', 't.l')} AS bi,
+  {box('b.v', 'g.sv', 't.l')} AS bj FROM base b, grid g, range(0, {dp + 1}) t(l))""",
+        """cnt AS (SELECT Species, l, g, bi, bj, COUNT(*) AS c FROM lv GROUP BY ALL)""",
+        f"""sub AS (SELECT Species, l - {al} AS l, g, bi >> {al} AS bi, bj >> {al} AS bj, SUM(c) AS s1,
+  SUM(c * c) AS s2, SUM(CAST(c AS DOUBLE) * c * c) AS s3 FROM cnt WHERE l >= {al} GROUP BY ALL)""",
+        f"""counting AS (SELECT * FROM lv WHERE l >= {al} QUALIFY row_number() OVER (
+    PARTITION BY Species, H3, l ORDER BY {dist.format(l='l', u='u', v='v')}, g) = 1)""",
+        f"""centre AS (SELECT Species, H3, l, l - {al} AS sl, g, bi, bj, (bi + 0.5) * pow(2.0, -l) - su AS cu,
+  (bj + 0.5) * pow(2.0, -l) - sv AS cv FROM counting)""",
+        f"""around AS (SELECT c.Species, c.H3, c.l, c.sl, c.g AS cg, c.bi AS ci, c.bj AS cj, c.cu, c.cv, g.*,
+  {box('c.cu', 'g.su', 'c.sl')} AS bi, {box('c.cv', 'g.sv', 'c.sl')} AS bj FROM centre c, grid g)""",
+        f"""sampling AS (SELECT * FROM around QUALIFY row_number() OVER (
+    PARTITION BY Species, H3, l ORDER BY {dist.format(l='sl', u='cu', v='cv')}, g) = 1)""",
+        f"""per AS (SELECT Species, H3, (1.0 - n / nh) / (sd / nh) AS r FROM (
+    SELECT m.Species, m.H3, k.c AS n, s.s2 / s.s1 AS nh, sqrt(greatest(0.0, s.s3 / s.s1 - (s.s2 / s.s1) * (s.s2 / s.s1))) AS sd
+    FROM sampling m JOIN sub s ON s.Species = m.Species AND s.l = m.sl AND s.g = m.g AND s.bi = m.bi AND s.bj = m.bj
+    JOIN cnt k ON k.Species = m.Species AND k.l = m.l AND k.g = m.cg AND k.bi = m.ci AND k.bj = m.cj WHERE s.s1 >= {nm})
+  WHERE sd > 0)""",
+    ], "occurrences")
+
+
+QUERIES["aloci_shifted"] = (
+    lambda spark, d: _round6(models.aloci(_cells(_fx(spark, d)).drop("cell"), ALOCI_NMIN, ALOCI_ALPHA, ALOCI_DEPTH,
+                                          ALOCI_GRIDS), "OutlierScore"),
+    _aloci_shifted_sql())
+
 QUERIES["trivial_average"] = (
     lambda spark, d: _round6(knn.trivial_average(_cells(_fx(spark, d)).drop("cell")), "OutlierScore"),
     _q("SELECT LAT, LON, H3, Species, ROUND((LAT + LON) / 2.0, 6) AS OutlierScore FROM cells",
@@ -792,25 +841,33 @@ QUERIES["trivial_average"] = (
 HIERARCHY_K, HIERARCHY_MIN = 3, 5
 
 
-def _prim_sql(k: int) -> list[str]:
-    """Cells in Prim's order over mutual reachability: the components at a level are the
-    runs in which every cell but the first was added within it."""
-    return [
-        f"""away AS (SELECT a.Species, a.H3 AS a, b.H3 AS b, CAST(floor({S.haversine_sql("a", "b")} * 1000.0 + 0.5) AS BIGINT) AS mm
-  FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)""",
-        f"""core AS (SELECT Species, a AS H3, mm AS core FROM (SELECT *, row_number() OVER (PARTITION BY Species, a ORDER BY mm) AS r FROM away)
-  WHERE r = {k - 1})""",
-        """reach AS (SELECT w.Species, w.a, w.b, greatest(w.mm, x.core, y.core) AS w FROM away w
-  JOIN core x ON x.Species = w.Species AND x.H3 = w.a JOIN core y ON y.Species = w.Species AND y.H3 = w.b)""",
-        """prim AS (
+_AWAY_SQL = f"""away AS (SELECT a.Species, a.H3 AS a, b.H3 AS b, CAST(floor({S.haversine_sql("a", "b")} * 1000.0 + 0.5) AS BIGINT) AS mm
+  FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)"""
+
+# Cells in Prim's order over the edges of ``reach``: the components at a level are
+# the runs in which every cell but the first was added within it.
+_ORDER_SQL = [
+    """prim AS (
   SELECT Species, 0 AS step, H3, CAST(4611686018427387904 AS BIGINT) AS best FROM core
   UNION ALL
   SELECT r.Species, r.step + 1, r.H3, least(r.best, e.w) FROM (
     SELECT *, first_value(H3) OVER (PARTITION BY Species ORDER BY best, H3) AS taken FROM prim) r
   JOIN reach e ON e.Species = r.Species AND e.a = r.taken AND e.b = r.H3)""",
-        """placed AS (SELECT p.Species, p.pos, p.H3, p.w, c.core FROM (
+    """placed AS (SELECT p.Species, p.pos, p.H3, p.w, c.core FROM (
     SELECT Species, step AS pos, arg_min(H3, (best, H3)) AS H3, min(best) AS w FROM prim GROUP BY Species, step) p
   JOIN core c USING (Species, H3))""",
+]
+
+
+def _prim_sql(k: int) -> list[str]:
+    """The order over mutual reachability."""
+    return [
+        _AWAY_SQL,
+        f"""core AS (SELECT Species, a AS H3, mm AS core FROM (SELECT *, row_number() OVER (PARTITION BY Species, a ORDER BY mm) AS r FROM away)
+  WHERE r = {k - 1})""",
+        """reach AS (SELECT w.Species, w.a, w.b, greatest(w.mm, x.core, y.core) AS w FROM away w
+  JOIN core x ON x.Species = w.Species AND x.H3 = w.a JOIN core y ON y.Species = w.Species AND y.H3 = w.b)""",
+        *_ORDER_SQL,
     ]
 
 
@@ -836,6 +893,38 @@ QUERIES["glosh"] = (
     _glosh_sql())
 
 
+DWOF_K, DWOF_DELTA = 3, 1.1
+
+
+def _dwof_sql() -> str:
+    k, delta = DWOF_K, DWOF_DELTA
+    return _recursive([
+        _AWAY_SQL,
+        f"""hood AS (SELECT Species, a, b FROM (SELECT *, rank() OVER (PARTITION BY Species, a ORDER BY mm) AS r FROM away) WHERE r <= {k})""",
+        """among AS (SELECT x.Species, x.a AS H3, w.mm FROM hood x JOIN hood y ON y.Species = x.Species AND y.a = x.a AND x.b < y.b
+  JOIN away w ON w.Species = x.Species AND w.a = x.b AND w.b = y.b)""",
+        """first_mean AS (SELECT Species, H3, CAST(sum(mm) AS DOUBLE) / count(*) / 1000.0 AS mean, min(mm) AS near FROM among GROUP BY ALL)""",
+        """core AS (SELECT Species, H3, mean * (CAST(min(near) OVER s AS DOUBLE) / 1000.0) / min(mean) OVER s AS core
+  FROM first_mean WINDOW s AS (PARTITION BY Species))""",
+        f"""reach AS (SELECT w.Species, w.a, w.b,
+    greatest(1, CAST(ceil(ln(w.mm / 1000.0 / greatest(x.core, y.core)) / ln({delta}) - 1e-9) AS BIGINT)) AS w FROM away w
+  JOIN core x ON x.Species = w.Species AND x.H3 = w.a JOIN core y ON y.Species = w.Species AND y.H3 = w.b)""",
+        *_ORDER_SQL,
+        """until AS (SELECT Species, max(w) AS last FROM (SELECT Species, a, min(w) AS w FROM reach GROUP BY Species, a) GROUP BY Species)""",
+        """steps AS (SELECT p.Species, p.H3, t.t, sum(CASE WHEN p.w > t.t THEN 1 ELSE 0 END) OVER (PARTITION BY p.Species, t.t ORDER BY p.pos) AS run
+  FROM placed p JOIN until u ON u.Species = p.Species, LATERAL (SELECT unnest(range(1, u.last + 1)) AS t) t)""",
+        """sized AS (SELECT Species, H3, t, count(*) OVER (PARTITION BY Species, t, run) AS n FROM steps)""",
+        """gained AS (SELECT Species, H3, (coalesce(lag(n) OVER (PARTITION BY Species, H3 ORDER BY t), 1) - 1.0) / n AS g FROM sized)""",
+        """score AS (SELECT Species, H3, sum(g) AS s FROM gained GROUP BY ALL)"""],
+        """SELECT c.LAT, c.LON, c.H3, c.Species, ROUND(coalesce(s, 0.0), 6) AS OutlierScore
+FROM cells c LEFT JOIN score USING (Species, H3)""")
+
+
+QUERIES["dwof"] = (
+    lambda spark, d: _round6(hierarchy.dwof(_cells(_fx(spark, d)).drop("cell"), DWOF_K, DWOF_DELTA), "OutlierScore"),
+    _dwof_sql())
+
+
 def _hdbscan_ctes() -> list[str]:
     m = HIERARCHY_MIN
     unit = lambda w: f"CASE WHEN {w} = 0 THEN {2 * hierarchy.DENSITY_UNIT} ELSE {hierarchy.DENSITY_UNIT} // {w} END"

@@ -174,7 +174,7 @@ def check_labels(got, k, m):
         assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values())), s
 
 
-@pytest.mark.parametrize("m,limit", [(5, 200_000), (5, 30), (2, 45)])
+@pytest.mark.parametrize("m,limit", [(5, 200_000), (5, 8), (2, 25)])
 def test_condensed_tree_in_pieces(tree, m, limit):
     numbered, points, edges = tree
     member = hierarchy.condensed_clusters(points, edges, m, limit)
@@ -194,7 +194,7 @@ def test_hdbscan_labels(frame):
     assert all(k is None or k == v for k, v in least.items())
 
 
-@pytest.mark.parametrize("limit", [200_000, 25])
+@pytest.mark.parametrize("limit", [200_000, 8])
 def test_glosh_scores(tree, limit):
     numbered, points, edges = tree
     low = {r["_n"]: r["_low"] for r in hierarchy.least_cores(points, edges, limit).collect()}
@@ -224,6 +224,79 @@ def test_spanning_tree_is_least(tree):
         assert sorted(r["_w"] for r in rows if where[r["_a"]] == s) == sorted(total)
 
 
+def windows(records, k, delta):
+    """DWOF by literally growing the windows of all records."""
+    n = len(records)
+    d = [[mm(a, b) for b in records] for a in records]
+    mean, near = [], []
+    for i in range(n):
+        order = sorted((d[i][j], j) for j in range(n) if j != i)
+        hood = [j for x, j in order if len(order) < k or x <= order[k - 1][0]]
+        pairs = [d[a][b] for a in hood for b in hood if a < b]
+        mean.append(sum(pairs) / len(pairs) / 1000.0 if pairs else None)
+        near += [x for x in pairs if x > 0]
+    out = [0.0] * n
+    if any(x is None for x in mean):
+        return out
+    unit_m = min(near) / 1000.0 if near else None
+    radius = [1.0 if unit_m is None else x * unit_m / min(mean) if min(mean) > 0 else unit_m for x in mean]
+    size, t = [1] * n, 0
+    while True:
+        t += 1
+        grown = [r * delta ** t * (1 + 1e-12) for r in radius]
+        now, left = [0] * n, set(range(n))
+        while left:
+            todo = [left.pop()]
+            part = set(todo)
+            while todo:
+                i = todo.pop()
+                hit = [j for j in left if d[i][j] / 1000.0 <= max(grown[i], grown[j])]
+                left.difference_update(hit)
+                part.update(hit)
+                todo += hit
+            for i in part:
+                now[i] = len(part)
+        out = [x + (a - 1) / b for x, a, b in zip(out, size, now)]
+        size = now
+        if 1 not in size:
+            return out
+
+
+def test_growing_windows(spark):
+    rows = [(s, i, la, lo) for s, i, la, lo, _ in sites(6) if s in ("a", "c", "d", "f")] + [("g", "g1", 5.0, 5.0)]
+    rows += [("h", f"h{i}", 5.0, 5.0) for i in range(4)]
+    points = spark.createDataFrame(rows, "Species string, H3 string, LAT double, LON double").repartition(3)
+    got = {r["H3"]: r["OutlierScore"] for r in hierarchy.dwof(points, 3).collect()}
+    groups = {}
+    for s, i, la, lo in rows:
+        groups.setdefault(s, []).append((la, lo, i))
+    assert len(got) == len(rows)
+    for s, records in groups.items():
+        for r, x in zip(records, windows(records, 3, 1.1)):
+            assert math.isclose(got[r[2]], x, rel_tol=1e-9, abs_tol=1e-9), (s, r)
+
+
+@pytest.mark.parametrize("limit", [3, 10, 1000])
+def test_growth_sums_in_pieces(spark, limit):
+    """A path of meeting steps with ties, walked whole, in pieces, and in pieces of equal steps."""
+    rng = random.Random(9)
+    steps = [rng.choice([1, 1, 1, 2, 3, 5, 8, 8, 9]) for _ in range(60)]
+    tree = spark.createDataFrame([("=a", w, i, i + 1) for i, w in enumerate(steps)], "_k string, _w long, _a long, _b long")
+    points = spark.createDataFrame([("=a", i, 1.0) for i in range(61)], "_k string, _n long, _core double")
+    got = {r["_n"]: r["value"] for r in hierarchy.growth_sums(points, tree, limit).collect()}
+    ends = [min(([steps[i - 1]] if i else []) + ([steps[i]] if i < 60 else [])) for i in range(61)]
+    size, want = [1] * 61, [0.0] * 61
+    for t in range(1, max(ends) + 1):
+        part = [0]
+        for w in steps:
+            part.append(part[-1] + (w > t))
+        now = [part.count(p) for p in part]
+        want = [x + (a - 1) / b for x, a, b in zip(want, size, now)]
+        size = now
+    assert len(got) == 61
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-12, abs_tol=1e-12) for i in range(61))
+
+
 def test_removal_by_hdbscan_keeps_every_record(spark, frame):
     from pyspark.sql import functions as F
 
