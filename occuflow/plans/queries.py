@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from occuflow.functions.cells import Graticule
 from occuflow.operators import (binning, counts, density, hierarchy, knn, models, outliers,
                                 pool, predicates, trees)
+from occuflow.plans import outputs
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
-from occuflow.session import broadcast_if_small, ensure_checkpoint_dir
+from occuflow.session import broadcast_if_small, cut_lineage, ensure_checkpoint_dir
 from occuflow.sources import readers, sinks
 from occuflow.sources.fixtures import load_fixture, with_ctes
 
@@ -180,7 +182,8 @@ register("binned_counts",
     lambda spark, d: binning.bin_counts(_fx(spark, d)["occurrences"], FINAL_GRID))
 
 
-def _pipeline_sql(nodbscan: bool) -> str:
+def _pipeline_parts(nodbscan: bool) -> tuple[list[str], str]:
+    """The tables of a run and the select of its bins."""
     basis = predicates.DEFAULT_BASIS
     ctes = (S.counts_ctes(basis) + S.split_ctes(THRESHOLD) + S.pooled_ctes(True)
             + ["large AS (SELECT species FROM pooled WHERE occ_group = 'Large')",
@@ -194,17 +197,25 @@ def _pipeline_sql(nodbscan: bool) -> str:
                  + ["scores AS (SELECT H3 AS H3Index, Species, OutlierScore FROM scored)"]
                  + S.removed_ctes(OUTLIER_GRID, "scores", "large", basis))
         large_sel = S.bin_select(FINAL_GRID, "cleaned", "large", basis)
-    return _q(f"{small_sel} UNION ALL {large_sel}", ctes, "occurrences", "tree_tips", "extinct_taxa")
+    return ctes, f"{small_sel} UNION ALL {large_sel}"
+
+
+def _pipeline_sql(nodbscan: bool) -> str:
+    ctes, select = _pipeline_parts(nodbscan)
+    return _q(select, ctes, "occurrences", "tree_tips", "extinct_taxa")
+
+
+def _plain_params(nodbscan: bool) -> Params:
+    return Params(nodbscan=nodbscan, outlier_cells=OUTLIER_GRID, final_cells=FINAL_GRID,
+                  geomodel="sphere",
+                  dbscan_eps_m=EPS_M, dbscan_minpts=MINPTS,
+                  occurrence_threshold=THRESHOLD)
 
 
 def _pipeline(nodbscan: bool) -> Builder:
     def build(spark, d):
         fx = _fx(spark, d)
-        params = Params(nodbscan=nodbscan, outlier_cells=OUTLIER_GRID, final_cells=FINAL_GRID,
-                        geomodel="sphere",
-                        dbscan_eps_m=EPS_M, dbscan_minpts=MINPTS,
-                        occurrence_threshold=THRESHOLD)
-        return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], params)["binned"]
+        return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], _plain_params(nodbscan))["binned"]
     return build
 
 
@@ -1092,6 +1103,101 @@ def _files_pooled(spark, d):
     return readers.read_occurrences(spark, path)
 
 
+@register("files_trees", _q(S.stats_select(), S.counts_ctes() + S.tips_ctes(), "occurrences", "tree_tips"))
+def _files_trees(spark, d):
+    """Trees as Newick and Nexus files, read through a manifest with a missing tree."""
+    path, fx = _out(spark), _fx(spark, d)
+    tips = fx["tree_tips"]
+    manifest = (sinks.export_trees(tips.where("tree = 'TreeA'"), path, "nwk")
+                + sinks.export_trees(tips.where("tree <> 'TreeA'"), path, "nex")
+                + [("Lost", None, f"{path}/lost.nwk")])
+    return trees.tree_stats(counts.species_counts(fx["occurrences"]), readers.read_trees(spark, manifest))
+
+
+@register("files_lists", _q("""SELECT concat(tree, '_', lower(OccGroup)) AS FileID, species, OccGroup, NumUniqCoordsRounded2dp
+FROM split""", S.counts_ctes() + S.split_ctes(THRESHOLD), "occurrences", "tree_tips"))
+def _files_lists(spark, d):
+    """Lists named after their tree (S19), read back with the file they come from."""
+    path = _out(spark)
+    sinks.export_species_lists(_split(spark, d), path)
+    both = readers.read_species_lists(spark, path, "large").unionByName(readers.read_species_lists(spark, path, "small"))
+    return both.select("FileID", "species", "OccGroup", "NumUniqCoordsRounded2dp")
+
+
+@register("files_extinct", with_ctes(f"""
+SELECT CAST(specieskey AS VARCHAR) AS specieskey, species, NumRecords FROM (
+  SELECT c.specieskey, c.species, c.NumRecords FROM ({S.compose(S.counts_ctes(), 'SELECT * FROM counts')}) c
+  WHERE EXISTS (SELECT 1 FROM extinct_taxa e WHERE e.species = c.species))""", "occurrences", "extinct_taxa"))
+def _files_extinct(spark, d):
+    """The extinct table as TSV with header, read back (S8) and matched with the counts."""
+    path, fx = _out(spark), _fx(spark, d)
+    table = fx["extinct_taxa"].select(F.col("specieskey").cast("string").alias("specieskey"), *[
+        F.lit(None).cast("string").alias(c) for c in ("highertaxon_key", "kingdom", "phylum", "order", "family", "genus")], "species")
+    sinks.write_tsv(table, path)
+    found = readers.read_extinct(spark, path).select("species").distinct()
+    return (counts.species_counts(fx["occurrences"]).join(found, "species", "left_semi")
+            .select(F.col("specieskey").cast("string").alias("specieskey"), "species", "NumRecords"))
+
+
+@register("files_cells", _q("SELECT LAT, LON, H3, Species FROM cells", _CELLS_SQL, "occurrences"))
+def _files_cells(spark, d):
+    """Cells as headerless gzip CSV (S15), read back."""
+    path = _out(spark)
+    sinks.export_cells(_cells(_fx(spark, d)), path)
+    return readers.read_cells(spark, path)
+
+
+@register("files_summary", _q(S.summary_select("scores"), _SCORES_SQL, "occurrences"))
+def _files_summary(spark, d):
+    """The ten-row summary as one TSV (S17), read back."""
+    path = _out(spark)
+    sinks.export_summary(outliers.outlier_summary(_scores(_fx(spark, d))), path)
+    return readers.read_summary(spark, path)
+
+
+@register("files_clusters", _q("SELECT Species, H3, CAST(1.0 - OutlierScore AS INT) AS kept FROM scored", _SCORED_SQL, "occurrences"))
+def _files_clusters(spark, d):
+    """Members of clusters as Parquet (S22), those of the noise as TSV (S21), read back."""
+    path = _out(spark)
+    labelled = cut_lineage(density.dbscan_labels(_cells(_fx(spark, d)), EPS_M, MINPTS).drop("cell", "cluster_rep", "is_core"))
+    kept, _ = sinks.split_by_label(labelled)
+    sinks.write_parquet_zstd(kept, f"{path}/retained", 10)
+    sinks.write_tsv(sinks.noise_members(labelled).select("Species", "H3"), f"{path}/noise")
+    noise = spark.read.schema("Species string, H3 string").option("sep", "\t").option("header", True).csv(f"{path}/noise")
+    return (spark.read.parquet(f"{path}/retained").select("Species", "H3", F.lit(1).alias("kept"))
+            .unionByName(noise.select("Species", "H3", F.lit(0).alias("kept"))))
+
+
+def _files_run_sql() -> str:
+    ctes, bins = _pipeline_parts(False)
+    return _q("""SELECT 'counts' AS output, count(*) AS n, CAST(sum(NumRecords) AS BIGINT) AS total FROM counts
+UNION ALL SELECT 'filtered', count(*), CAST(sum(record_count) AS BIGINT) FROM binned
+UNION ALL SELECT 'scores', count(*), CAST(sum(OutlierScore) AS BIGINT) FROM scores
+UNION ALL SELECT 'cells', count(*), count(DISTINCT Species) FROM cells
+UNION ALL SELECT 'large', count(*), count(*) FROM large
+UNION ALL SELECT 'small', count(*), count(*) FROM small""", ctes + [f"binned AS ({bins})"],
+              "occurrences", "tree_tips", "extinct_taxa")
+
+
+@register("files_run", _files_run_sql())
+def _files_run(spark, d):
+    """A whole run written in its layout (S11, S12, S20) and read back table by table."""
+    fx = _fx(spark, d)
+    at = outputs.run_and_write(fx["occurrences"], fx["tree_tips"], _out(spark), fx["extinct_taxa"], _plain_params(False), "user")
+    stats, out = at["tree_stats"], at["outliers"]
+    rows = [
+        ("counts", spark.read.parquet(f"{stats}/occurrence_counts.parquet"), F.sum("NumRecords")),
+        ("filtered", readers.read_occurrences(spark, at["filtered"]), F.sum("record_count")),
+        ("scores", readers.read_scores(spark, f"{out}/outlier_scores", header=True), F.sum("OutlierScore")),
+        ("cells", readers.read_cells(spark, f"{out}/cells"), F.countDistinct("Species")),
+        ("large", readers.read_species_list(spark, f"{stats}/pooled_large"), F.count(F.lit(1))),
+        ("small", readers.read_species_list(spark, f"{stats}/pooled_small"), F.count(F.lit(1))),
+    ]
+    tables = [df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n"), total.cast("long").alias("total"))
+              for name, df, total in rows]
+    return reduce(DataFrame.unionByName, tables)
+
+
 CLUSTER_EPS_KM, CLUSTER_MIN = 20.0, 4
 
 

@@ -18,6 +18,18 @@ SCORE_SCHEMA = StructType([
     StructField("OutlierScore", DoubleType()),
 ])
 
+CELLS_SCHEMA = StructType([
+    StructField("LAT", DoubleType()),
+    StructField("LON", DoubleType()),
+    StructField("H3", StringType()),
+    StructField("Species", StringType()),
+])
+
+SUMMARY_SCHEMA = StructType([
+    StructField("Variable", StringType()),
+    StructField("Value", StringType()),
+])
+
 COUNTS_SCHEMA = StructType([
     StructField("specieskey", LongType()),
     StructField("kingdom", StringType()),
@@ -81,6 +93,16 @@ def read_scores(spark: SparkSession, path: str, header: bool = False) -> DataFra
                  .option("mode", "FAILFAST").csv(path))
 
 
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Exported cells: headerless CSV of LAT, LON, H3, Species."""
+    return spark.read.schema(CELLS_SCHEMA).option("mode", "FAILFAST").csv(path)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """An exported outlier summary: Variable and Value, tab-separated with header."""
+    return spark.read.schema(SUMMARY_SCHEMA).option("sep", "\t").option("header", True).csv(path)
+
+
 def read_species_list(spark: SparkSession, path: str) -> DataFrame:
     """One species name per line (S5), trimmed; names with commas or quotes survive."""
     return (spark.read.text(path).select(F.trim(F.col("value").cast("string")).alias("species"))

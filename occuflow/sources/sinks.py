@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occuflow.operators.counts import sorted_counts
-from occuflow.session import cut_lineage
+from occuflow.session import _hadoop_path, cut_lineage
 
 
 def check_zstd_level(level) -> int:
@@ -98,6 +98,57 @@ def export_tree_tables(stats: DataFrame, split: DataFrame, path: str) -> None:
           .option("header", True).csv(f"{path}/lists"))
 
 
+def export_species_lists(split: DataFrame, directory: str) -> None:
+    """Per-tree lists as single files ``<tree>_large.txt`` and ``<tree>_small.txt`` (S19, read by S7).
+
+    One job writes all lists, one task per list (bounded by the species of a
+    tree); each file then gets its name in place.
+    """
+    from urllib.parse import unquote
+
+    spark, base = split.sparkSession, directory.rstrip("/")
+    parts = f"{base}/.parts"
+    (split.select(F.col("tree").alias("_tree"), F.lower("OccGroup").alias("_group"), "species", "OccGroup", "NumUniqCoordsRounded2dp")
+          .repartition("_tree", "_group").sortWithinPartitions("_tree", "_group", "species")
+          .write.mode("overwrite").partitionBy("_tree", "_group").option("sep", "\t").option("header", True).csv(parts))
+    fs, top = _hadoop_path(spark, parts)
+    for tree in fs.listStatus(top):
+        for group in (fs.listStatus(tree.getPath()) if tree.isDirectory() else []):
+            label = [unquote(x.getPath().getName().split("=", 1)[1]) for x in (tree, group)]
+            for part in fs.listStatus(group.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    _, target = _hadoop_path(spark, f"{base}/{label[0]}_{label[1]}.txt")
+                    fs.delete(target, False)
+                    fs.rename(part.getPath(), target)
+    fs.delete(top, True)
+
+
+def export_trees(tips: DataFrame, directory: str, form: str = "nwk") -> list[tuple[str, str | None, str]]:
+    """Star trees of the tips, one folder per (tree, stage) (inverse of S9); returns their manifest.
+
+    ``form``: ``nwk`` or ``nex``.  The number of trees is small; a tree's labels
+    make one text.
+    """
+    if form not in ("nwk", "nex"):
+        raise ValueError("form must be 'nwk' or 'nex'")
+    quoted = F.concat(F.lit("'"), F.regexp_replace("tip_label", "'", "''"), F.lit("'"))
+    label = F.when(F.col("tip_label").rlike(r"[\s(),:;\[\]']"), quoted).otherwise(F.col("tip_label"))
+    if form == "nwk":
+        text = F.concat(F.lit("("), F.array_join(F.sort_array(F.collect_list(F.concat(label, F.lit(":1.0")))), ","), F.lit(");"))
+    else:
+        names = F.sort_array(F.collect_list(label))
+        listed = F.transform(names, lambda x, i: F.concat((i + 1).cast("string"), F.lit(" "), x))
+        text = F.concat(F.lit("#NEXUS\nBEGIN TREES;\n TRANSLATE\n"), F.array_join(listed, ",\n"), F.lit("\n ;\nEND;\n"))
+    texts = cut_lineage(tips.groupBy("tree", "stage").agg(text.alias("value")))
+    manifest: dict[str, dict[str, str]] = {}
+    for r in texts.select("tree", "stage").collect():
+        path = f"{directory.rstrip('/')}/{r['tree']}_{r['stage']}.{form}.gz"
+        (texts.where((F.col("tree") == r["tree"]) & (F.col("stage") == r["stage"])).select("value")
+              .coalesce(1).write.mode("overwrite").option("compression", "gzip").text(path))
+        manifest.setdefault(r["tree"], {})[r["stage"]] = path
+    return [(t, m.get("source"), m.get("processed", f"{directory}/{t}.missing")) for t, m in sorted(manifest.items())]
+
+
 def noise_members(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     """Members of the noise "cluster" (label -1)."""
     return labelled.where(F.col(label) == -1)
