@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occuflow.functions.cells import Graticule
+from occuflow.functions.cells import Graticule, HexCells
 from occuflow.operators import (binning, counts, density, hierarchy, knn, models, outliers,
                                 pool, predicates, trees)
-from occuflow.plans import outputs
+from occuflow.plans import geo_sql, outputs
 from occuflow.plans import sql as S
 from occuflow.plans.pipeline import Params, run
 from occuflow.session import broadcast_if_small, cut_lineage, ensure_checkpoint_dir
@@ -1050,6 +1050,87 @@ QUERIES["density_sweep"] = (
     _sweep_sql())
 
 
+# ---------------------------------------------------------------- a run's own cells and Earth model
+
+HEX_OUTLIER, HEX_FINAL = 6, 4
+
+
+def _hex_cells_sql(species: str | None, basis, final: bool = False) -> list[str]:
+    """Hexagons of the located records, and the cells of the listed species."""
+    at = geo_sql.face_ctes() + geo_sql.hex_ctes("fine", "occurrences", HEX_OUTLIER)
+    if final:
+        at += geo_sql.hex_ctes("coarse", "occurrences", HEX_FINAL)
+    listed = f"o.species IN (SELECT species FROM {species})" if species else "o.species IS NOT NULL"
+    return at + [f"""cells AS (SELECT DISTINCT f.clat AS LAT, f.clon AS LON, printf('%x', f.cell) AS H3, o.species AS Species
+  FROM occurrences o JOIN fine f ON f.lat = o.decimallatitude AND f.lon = o.decimallongitude
+  WHERE {listed}{S.basis_sql(basis).replace('basisofrecord', 'o.basisofrecord')})""",
+                 # one centre per cell: its coordinates differ in the last digit between the points it is reached from
+                 """hexed AS (SELECT any_value(LAT) AS LAT, any_value(LON) AS LON, H3, Species FROM cells GROUP BY H3, Species)"""]
+
+
+@register("hex_cells", _q("SELECT ROUND(LAT, 6) AS LAT, ROUND(LON, 6) AS LON, H3, Species FROM hexed",
+                          S.counts_ctes() + _LARGE_SQL + _hex_cells_sql("large", None), "occurrences"))
+def _hex_cells(spark, d):
+    """Distinct hexagons of resolution 6 and their centres."""
+    fx = _fx(spark, d)
+    return _round6(binning.species_cells(fx["occurrences"], HexCells(HEX_OUTLIER), _large_by_counts(fx)).drop("cell"), "LAT", "LON")
+
+
+@register("hex_bins", _q("""SELECT printf('%x', f.cell) AS H3, species, year, count(*) AS record_count,
+  list_sort(list(DISTINCT datasetkey), 'ASC', 'NULLS FIRST') AS dataset_keys
+FROM occurrences o JOIN coarse f ON f.lat = o.decimallatitude AND f.lon = o.decimallongitude
+WHERE species IS NOT NULL GROUP BY f.cell, species, year""",
+                         geo_sql.face_ctes() + geo_sql.hex_ctes("coarse", "occurrences", HEX_FINAL), "occurrences"))
+def _hex_bins(spark, d):
+    """Final bins in hexagons of resolution 4 (A3)."""
+    return binning.bin_counts(_fx(spark, d)["occurrences"], HexCells(HEX_FINAL))
+
+
+@register("dbscan_wgs84", _q("SELECT Species, H3, LAT, LON, OutlierScore FROM scored",
+                             _CELLS_SQL + geo_sql.noise_ctes("cells", EPS_M, MINPTS), "occurrences"))
+def _dbscan_wgs84(spark, d):
+    """D1 on the spheroid."""
+    return (density.dbscan_noise(_cells(_fx(spark, d)), EPS_M, MINPTS, geomodel="wgs84")
+            .select("Species", "H3", "LAT", "LON", "OutlierScore"))
+
+
+KNN_WGS84_M = 3_000_000.0
+
+
+@register("within_wgs84", _q(f"""SELECT c.LAT, c.LON, c.H3, c.Species, count(g.b) AS n_neighbours
+FROM cells c LEFT JOIN geo g ON g.Species = c.Species AND g.a = c.H3 AND g.metres <= {KNN_WGS84_M!r} GROUP BY ALL""",
+                             _CELLS_SQL + [geo_sql.near_pairs_cte("near", "cells", KNN_WGS84_M * 1.01)]
+                             + geo_sql.vincenty_ctes("geo", "near"), "occurrences"))
+def _within_wgs84(spark, d):
+    """Neighbour counts on the spheroid."""
+    return density.neighbour_counts(_cells(_fx(spark, d)).drop("cell"), KNN_WGS84_M, geomodel="wgs84", include_self=False)
+
+
+def _default_run_sql() -> str:
+    basis = predicates.DEFAULT_BASIS
+    ctes = (S.counts_ctes(basis) + S.split_ctes(THRESHOLD) + S.pooled_ctes(True)
+            + ["large AS (SELECT species FROM pooled WHERE occ_group = 'Large')",
+               "small AS (SELECT species FROM pooled WHERE occ_group = 'Small')"]
+            + _hex_cells_sql("large", basis, final=True) + geo_sql.noise_ctes("hexed", EPS_M, MINPTS)
+            + [f"""kept AS (SELECT o.*, 'Small' AS occ_group, printf('%x', c.cell) AS H3 FROM occurrences o
+    JOIN coarse c ON c.lat = o.decimallatitude AND c.lon = o.decimallongitude WHERE o.species IN (SELECT species FROM small)
+  UNION ALL SELECT o.*, 'Large', printf('%x', c.cell) FROM occurrences o
+    JOIN coarse c ON c.lat = o.decimallatitude AND c.lon = o.decimallongitude
+    JOIN fine f ON f.lat = o.decimallatitude AND f.lon = o.decimallongitude
+    LEFT JOIN scored s ON s.Species = o.species AND s.H3 = printf('%x', f.cell)
+  WHERE o.species IN (SELECT species FROM large) AND coalesce(s.OutlierScore, 0.0) < 0.5)"""])
+    return _q(f"""SELECT H3, species, year, count(*) AS record_count,
+  list_sort(list(DISTINCT datasetkey), 'ASC', 'NULLS FIRST') AS dataset_keys
+FROM kept WHERE true{S.basis_sql(basis)} GROUP BY occ_group, H3, species, year""", ctes, "occurrences", "tree_tips", "extinct_taxa")
+
+
+@register("pipeline_default", _default_run_sql())
+def _pipeline_default(spark, d):
+    """W1 with the parameters a run has by itself: hexagons of resolutions 6 and 4, distances on the spheroid."""
+    fx = _fx(spark, d)
+    return run(fx["occurrences"], fx["tree_tips"], fx["extinct_taxa"], Params())["binned"]
+
+
 # ---------------------------------------------------------------- files and record clustering
 
 def _out(spark: SparkSession) -> str:
