@@ -20,7 +20,6 @@ EARTH_RADIUS_M = 6371008.8
 # WGS84 ellipsoid.
 WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
-HALF_MERIDIAN_M = 20003931.4586
 # Sphere vs. spheroid distances differ by less than this relative amount.
 SPHEROID_BAND = 0.007
 
@@ -107,9 +106,60 @@ def vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
     dsig = B * sin_sigma * (cos2_sm + B / 4 * (cos_sigma * (-1 + 2 * cos2_sm ** 2)
                                                - B / 6 * cos2_sm * (-3 + 4 * sin_sigma ** 2)
                                                * (-3 + 4 * cos2_sm ** 2)))
-    # The iteration only fails for nearly antipodal pairs; their distance is
-    # within 0.2 % of the half meridian.
-    return np.where(unsettled, HALF_MERIDIAN_M, b * A * (sigma - dsig))
+    out = b * A * (sigma - dsig)
+    if unsettled.any():  # nearly antipodal
+        out[unsettled] = _antipodal(L[unsettled], U1[unsettled], U2[unsettled])
+    return out
+
+
+def _antipodal(L: np.ndarray, U1: np.ndarray, U2: np.ndarray) -> np.ndarray:
+    """Distances of nearly antipodal pairs, where the fixed point of the longitude does not attract.
+
+    The longitude on the auxiliary sphere is bracketed between L and pi and
+    bisected in its distance from pi, which keeps its digits.  Points that are
+    opposite each other there (pi itself) are joined by the great circle whose
+    azimuth makes up the rest of the longitude.
+    """
+    a, f = WGS84_A, WGS84_F
+    b = (1 - f) * a
+    L = np.abs(np.remainder(L + np.pi, 2 * np.pi) - np.pi)
+    s1, k1, s2, k2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
+    slant = np.sin(U1 + U2)
+
+    def sphere(gap):
+        across, along = k2 * np.sin(gap), slant - 2 * s1 * k2 * np.sin(gap / 2) ** 2
+        ss, cs = np.hypot(across, along), s1 * s2 - k1 * k2 * np.cos(gap)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            sa = np.where(ss > 0, k1 * k2 * np.sin(gap) / ss, 0.0)
+            c2a = 1 - sa ** 2
+            cm = np.where(c2a > 0, cs - 2 * s1 * s2 / c2a, 0.0)
+        return ss, cs, np.arctan2(ss, cs), sa, c2a, cm
+
+    def turn(sa, c2a, ss, cs, sg, cm):
+        C = f / 16 * c2a * (4 + f * (4 - 3 * c2a))
+        return (1 - C) * f * sa * (sg + C * ss * (cm + C * cs * (-1 + 2 * cm ** 2)))
+
+    low, high = np.zeros_like(L), np.pi - L  # of the gap to pi
+    for _ in range(90):
+        mid = (low + high) / 2
+        ss, cs, sg, sa, c2a, cm = sphere(mid)
+        beyond = (np.pi - mid) - L - turn(sa, c2a, ss, cs, sg, cm) > 0
+        low, high = np.where(beyond, mid, low), np.where(beyond, high, mid)
+    ss, cs, sg, sa, c2a, cm = sphere((low + high) / 2)
+    # opposite on the sphere: no longitude below pi is enough
+    opposite = high < 1e-12
+    azimuth = np.clip((np.pi - L) / (f * np.pi), 0.0, 1.0)
+    for _ in range(50):
+        c = 1 - azimuth ** 2
+        C = f / 16 * c * (4 + f * (4 - 3 * c))
+        azimuth = np.clip((np.pi - L) / ((1 - C) * f * np.pi), 0.0, 1.0)
+    c2a = np.where(opposite, 1 - azimuth ** 2, c2a)
+    ss, cs, sg = np.where(opposite, 0.0, ss), np.where(opposite, -1.0, cs), np.where(opposite, np.pi, sg)
+    u2 = c2a * (a * a - b * b) / (b * b)
+    A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
+    B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
+    dsig = B * ss * (cm + B / 4 * (cs * (-1 + 2 * cm ** 2) - B / 6 * cm * (-3 + 4 * ss ** 2) * (-3 + 4 * cm ** 2)))
+    return b * A * (sg - dsig)
 
 
 @F.pandas_udf(DoubleType())

@@ -29,6 +29,7 @@ cubes within its bound, not with the group.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef, haversine_m, vincenty_m, vincenty_np
+from occuflow.functions.tails import chi_square_tail, gamma_tail
 from occuflow.session import cut_lineage, ship_package
 
 # Cube edges shrink by 2 ** STEP a level: about 2.02 R_earth down to 0.8 m.
@@ -654,6 +656,119 @@ def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species"
     return _attach(points, sc, key, pid)
 
 
+# Subsets of a neighbourhood that are tried for its covariance.
+COP_SUBSETS = 2_000
+# Share of a neighbourhood that its covariance leaves out, and share of the largest
+# deviations that the fitted distribution leaves out.
+COP_TRIM = 0.15
+# Relative floor of the variances, so that points in a line have a deviation at all.
+_COP_FLOOR = 1e-6
+# Deviations that are as good as equal have no gamma distribution of their own.
+_COP_SPREAD = 0.005
+
+
+def cop_trims(k: int) -> list[list[int]]:
+    """Neighbours (by rank from 0) left out together; farther ones first."""
+    t = max(1, math.floor(COP_TRIM * k))
+    if math.comb(k, t) > COP_SUBSETS:
+        raise ValueError(f"{math.comb(k, t)} subsets of {k} neighbours are too many")
+    return [list(c) for c in itertools.combinations(range(k - 1, -1, -1), t)]
+
+
+def cop(points: DataFrame, k: int, expect: float = 0.001, key="Species", pid="H3", lat="LAT", lon="LON",
+        geomodel: str = "sphere", distribution: str = "gamma"):
+    """Correlation outlier probability (D22, Kriegel et al. 2012).
+
+    The k nearest neighbours (planar offsets in degrees, the short way round)
+    give a robust mean and covariance: of all subsets without 15 % of them (one
+    at least) that of the least determinant (to nine digits; ties: the farthest
+    left out).  The point's squared deviations, weakest direction first and both
+    together, divided by the variances, are compared with those of the
+    neighbours: a gamma distribution fitted to the lower 85 % (Choi and Wette's
+    closed form) or, where these hardly differ and for ``distribution =
+    "chisquared"``, a chi-square distribution.  With q the least tail
+    probability the score is expect * (1 - q) / (expect + q).  Points with fewer
+    than k neighbours use all of them; fewer than three give 0.
+    """
+    if distribution not in ("gamma", "chisquared"):
+        raise ValueError("distribution must be 'gamma' or 'chisquared'")
+    if not 0 < expect < 1:
+        raise ValueError("expect must lie between 0 and 1")
+    if k is None or isinstance(k, bool) or int(k) != k or k < 3:
+        raise ValueError("three neighbours or more are needed")
+    trims = cop_trims(k)
+    nb = _knn_rows(points, k, key, pid, lat, lon, geomodel).where(F.col("rank") <= k)
+    other = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
+                          F.col(lat).cast("double").alias("_nx"), F.col(lon).cast("double").alias("_ny"))
+    own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
+                        F.col(lat).cast("double").alias("_px"), F.col(lon).cast("double").alias("_py"))
+    across = F.col("_ny") - F.col("_py")
+    offset = F.struct("rank", (F.col("_nx") - F.col("_px")).alias("x"),
+                      (across - F.lit(360.0) * F.floor((across + 180.0) / 360.0)).alias("y"))
+    hood = (nb.join(other, [key, "nid"]).join(own, [key, pid]).groupBy(key, pid)
+              .agg(F.sort_array(F.collect_list(offset)).alias("_hood")))
+
+    # moments of the subset of least determinant, around the point
+    terms = lambda v: [v["x"], v["y"], v["x"] * v["x"], v["x"] * v["y"], v["y"] * v["y"]]
+    names = ("sx", "sy", "sxx", "sxy", "syy")
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
+    plus = lambda s, v: F.struct(*[(s[n] + t).alias(n) for n, t in zip(names, terms(v))])
+    whole = F.aggregate("_hood", zero, plus)
+    drops = F.when(F.size("_hood") == k, F.array(*[F.array(*map(F.lit, t)) for t in trims])).otherwise(
+        F.array(F.array().cast("array<int>")))
+
+    def subset(drop, at):
+        gone = F.aggregate(drop, zero, lambda s, i: plus(s, F.get("_hood", i)))
+        h = F.size("_hood") - F.size(drop)
+        x, y = (F.col("_all.sx") - gone["sx"]) / h, (F.col("_all.sy") - gone["sy"]) / h
+        a = (F.col("_all.sxx") - gone["sxx"]) / h - x * x
+        b = (F.col("_all.sxy") - gone["sxy"]) / h - x * y
+        c = (F.col("_all.syy") - gone["syy"]) / h - y * y
+        return F.struct(F.round(a * c - b * b, 9).alias("det"), at.alias("at"), x.alias("mx"), y.alias("my"),
+                        a.alias("a"), b.alias("b"), c.alias("c"))
+
+    picked = (hood.where(F.size("_hood") >= 3).withColumn("_all", whole)
+              .select(key, pid, "_hood", F.inline(F.array(F.array_min(F.transform(drops, subset))))))
+    half, rad = (F.col("a") + F.col("c")) / 2.0, F.sqrt(F.pow((F.col("a") - F.col("c")) / 2.0, 2) + F.col("b") * F.col("b"))
+    floor = F.col("a") + F.col("c")
+    axes = picked.withColumn("l2", half - rad).withColumn("l1", half + rad).withColumn("_floor", floor * _COP_FLOOR + 1e-12)
+    one, two = (F.col("l2") - F.col("c"), F.col("b")), (F.col("b"), F.col("l2") - F.col("a"))
+    first = one[0] * one[0] + one[1] * one[1] >= two[0] * two[0] + two[1] * two[1]
+    axes = (axes.withColumn("ex", F.when(first, one[0]).otherwise(two[0])).withColumn("ey", F.when(first, one[1]).otherwise(two[1]))
+                .withColumn("_len", F.sqrt(F.col("ex") * F.col("ex") + F.col("ey") * F.col("ey")))
+                .withColumn("ex", F.when(F.col("_len") > 0, F.col("ex") / F.col("_len")).otherwise(1.0))
+                .withColumn("ey", F.when(F.col("_len") > 0, F.col("ey") / F.col("_len")).otherwise(0.0)))
+
+    def deviation(x, y, both: bool):
+        dx, dy = x - F.col("mx"), y - F.col("my")
+        weak = F.pow(dx * F.col("ex") + dy * F.col("ey"), 2) / (F.greatest("l2", F.lit(0.0)) + F.col("_floor"))
+        strong = F.pow(dy * F.col("ex") - dx * F.col("ey"), 2) / (F.col("l1") + F.col("_floor"))
+        return weak + strong if both else weak
+
+    tails = []
+    for both in (False, True):
+        n = f"_{int(both)}"
+        kept = F.slice(F.array_sort(F.transform("_hood", lambda v: deviation(v["x"], v["y"], both))), 1,
+                       F.greatest(F.floor(F.size("_hood") * (1 - COP_TRIM)), F.lit(1)).cast("int"))
+        axes = (axes.withColumn(f"x{n}", deviation(F.lit(0.0), F.lit(0.0), both))
+                    .withColumn(f"d{n}", F.filter(kept, lambda v: v > 0)))
+        total = F.aggregate(f"d{n}", F.lit(0.0), lambda s, v: s + v)
+        logs = F.aggregate(f"d{n}", F.lit(0.0), lambda s, v: s + F.log(v))
+        axes = (axes.withColumn(f"m{n}", total / F.nullif(F.size(f"d{n}"), F.lit(0)))
+                    .withColumn(f"s{n}", F.log(f"m{n}") - logs / F.nullif(F.size(f"d{n}"), F.lit(0))))
+        spread = F.col(f"s{n}")
+        shape = (3.0 - spread + F.sqrt(F.pow(spread - 3.0, 2) + 24.0 * spread)) / (12.0 * spread)
+        fits = (F.size(f"d{n}") >= 2) & (spread >= _COP_SPREAD) if distribution == "gamma" else F.lit(False)
+        axes = axes.withColumn(f"k{n}", F.when(fits, shape))
+        # plain columns for the tails, whose steps use them many times
+        tails.append(F.when(F.col(f"k{n}").isNull(), chi_square_tail(1 + both, F.col(f"x{n}")))
+                     .otherwise(gamma_tail(F.col(f"k{n}"), F.col(f"x{n}") * F.col(f"k{n}") / F.col(f"m{n}"))))
+    plain = axes.select(key, pid, F.inline(F.array(F.struct("x_0", "x_1", "m_0", "m_1", "k_0", "k_1"))))
+    q = plain.select(key, pid, F.least(*tails).alias("_q"))
+    sc = q.select(key, pid, (F.lit(expect) * (1.0 - F.col("_q")) / (F.lit(expect) + F.col("_q"))).alias("OutlierScore"))
+    return _attach(points, sc, key, pid).withColumn("OutlierScore", F.coalesce("OutlierScore", F.lit(0.0)))
+
+
 def _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel="sphere"):
     """Neighbour rows with |attr(p) - attr(o)| over N_k(p) (ties included)."""
     nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)

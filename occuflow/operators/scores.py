@@ -66,6 +66,7 @@ METHODS: dict[str, Method] = {
     "DBSCANOutlierDetection": Method(
         lambda p, k, d, attr, geo: density.dbscan_noise(p, d, k, geomodel=geo), ("k", "d")),
     "GLOSH": _on_neighbours(hierarchy.glosh),
+    "COP": _on_neighbours(knn.cop),
     "DWOF": _on_neighbours(hierarchy.dwof),
     "EMOutlier": Method(lambda p, k, d, attr, geo: models.em_outlier(p, k)),
     "KMeansMinusMinusOutlierDetection": Method(
@@ -81,7 +82,6 @@ METHODS: dict[str, Method] = {
 
 NOT_BUILT = {
     "SOS": "needs every pair of a species; KNNSOS is the scalable form",
-    "COP": "the probabilistic subspaces are not built; SimpleCOP is",
     "OPTICSOF": "the OPTICS order is sequential; the density sweep covers its cuts",
     "LOCI": "needs every pair of a species; ALOCI is the scalable form",
     "FlexibleLOF": "not run by the reference", "KDEOS": "not run by the reference",

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occuflow.functions import tails
 from occuflow.functions.cells import Graticule, HexCells
 from occuflow.operators import (binning, counts, density, hierarchy, knn, models, outliers,
                                 pool, predicates, trees)
@@ -849,12 +850,61 @@ QUERIES["trivial_average"] = (
 
 # ---------------------------------------------------------------- clusters, sweep
 
-HIERARCHY_K, HIERARCHY_MIN = 3, 5
-
-
 _AWAY_SQL = f"""away AS (SELECT a.Species, a.H3 AS a, b.H3 AS b, CAST(floor({S.haversine_sql("a", "b")} * 1000.0 + 0.5) AS BIGINT) AS mm
   FROM cells a JOIN cells b ON a.Species = b.Species AND a.H3 <> b.H3)"""
 
+COP_K, COP_EXPECT = 5, 0.001
+
+
+def _cop_sql(k: int = COP_K, expect: float = COP_EXPECT) -> str:
+    trims = ", ".join(f"({i}, {t})" for i, t in enumerate(knn.cop_trims(k)))
+    sums = ", ".join(f"sum({e}) AS {n}" for e, n in (("x", "sx"), ("y", "sy"), ("x * x", "sxx"), ("x * y", "sxy"), ("y * y", "syy")))
+    tail = []
+    for both in (0, 1):
+        chi = "exp(-x1 / 2.0)" if both else tails.gamma_tail_sql("0.5", "(x0 / 2.0)")
+        tail.append(f"CASE WHEN k{both} IS NULL THEN {chi} ELSE "
+                    f"{tails.gamma_tail_sql(f'k{both}', f'(x{both} * k{both} / m{both})')} END")
+    dev = "pow(({x} - mx) * ex + ({y} - my) * ey, 2) / (greatest(l2, 0.0) + fl)"
+    both_dev = dev + " + pow(({y} - my) * ex - ({x} - mx) * ey, 2) / (l1 + fl)"
+    fit = """CASE WHEN n{i} >= 2 AND s{i} >= """ + repr(knn._COP_SPREAD) + """ THEN
+    (3.0 - s{i} + sqrt(pow(s{i} - 3.0, 2) + 24.0 * s{i})) / (12.0 * s{i}) END AS k{i}"""
+    return _recursive([
+        _AWAY_SQL,
+        f"""hood AS (SELECT w.Species, w.a, w.r, o.LAT - p.LAT AS x, o.LON - p.LON - 360.0 * floor((o.LON - p.LON + 180.0) / 360.0) AS y
+  FROM (SELECT *, row_number() OVER (PARTITION BY Species, a ORDER BY mm, b) AS r FROM away) w
+  JOIN cells p ON p.Species = w.Species AND p.H3 = w.a JOIN cells o ON o.Species = w.Species AND o.H3 = w.b WHERE w.r <= {k})""",
+        f"trims AS (SELECT * FROM (VALUES {trims}) t(nr, gone))",
+        f"""part AS (SELECT h.Species, h.a, t.nr, count(*) AS n, {sums} FROM hood h JOIN trims t ON NOT list_contains(t.gone, h.r - 1) GROUP BY ALL)""",
+        """cov AS (SELECT Species, a, nr, sx / n AS mx, sy / n AS my, sxx / n - pow(sx / n, 2) AS ca, sxy / n - (sx / n) * (sy / n) AS cb,
+    syy / n - pow(sy / n, 2) AS cc FROM part)""",
+        "picked AS (SELECT * FROM cov QUALIFY row_number() OVER (PARTITION BY Species, a ORDER BY round(ca * cc - cb * cb, 9), nr) = 1)",
+        f"""axes AS (SELECT *, (ca + cc) / 2.0 - sqrt(pow((ca - cc) / 2.0, 2) + cb * cb) AS l2,
+    (ca + cc) / 2.0 + sqrt(pow((ca - cc) / 2.0, 2) + cb * cb) AS l1, (ca + cc) * {knn._COP_FLOOR!r} + 1e-12 AS fl FROM picked)""",
+        """dirs AS (SELECT *, CASE WHEN pow(l2 - cc, 2) + cb * cb >= cb * cb + pow(l2 - ca, 2) THEN l2 - cc ELSE cb END AS ux,
+    CASE WHEN pow(l2 - cc, 2) + cb * cb >= cb * cb + pow(l2 - ca, 2) THEN cb ELSE l2 - ca END AS uy FROM axes)""",
+        """unit AS (SELECT *, CASE WHEN ux * ux + uy * uy > 0 THEN ux / sqrt(ux * ux + uy * uy) ELSE 1.0 END AS ex,
+    CASE WHEN ux * ux + uy * uy > 0 THEN uy / sqrt(ux * ux + uy * uy) ELSE 0.0 END AS ey FROM dirs)""",
+        f"""dev AS (SELECT u.*, h.r, {dev.format(x='h.x', y='h.y')} AS d0, {both_dev.format(x='h.x', y='h.y')} AS d1
+  FROM unit u JOIN hood h ON h.Species = u.Species AND h.a = u.a)""",
+        f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY Species, a ORDER BY d0) AS r0,
+    row_number() OVER (PARTITION BY Species, a ORDER BY d1) AS r1, count(*) OVER (PARTITION BY Species, a) AS n FROM dev)""",
+        f"""fitted AS (SELECT Species, a, """ + ", ".join(
+            f"""count(*) FILTER ({c}) AS n{i}, avg(d{i}) FILTER ({c}) AS m{i}, ln(avg(d{i}) FILTER ({c})) - avg(CASE WHEN d{i} > 0 THEN ln(d{i}) END) FILTER ({c}) AS s{i}"""
+            for i in (0, 1) for c in [f"r{i} <= floor(n * {1 - knn.COP_TRIM!r}) AND d{i} > 0"]) + f""",
+    any_value({dev.format(x='0.0', y='0.0')}) AS x0, any_value({both_dev.format(x='0.0', y='0.0')}) AS x1 FROM ranked GROUP BY Species, a)""",
+        f"shaped AS (SELECT *, {fit.format(i=0)}, {fit.format(i=1)} FROM fitted)",
+        f"tailed AS (SELECT Species, a, least({tail[0]}, {tail[1]}) AS q FROM shaped)"],
+        f"""SELECT c.LAT, c.LON, c.H3, c.Species, ROUND(coalesce({expect} * (1.0 - q) / ({expect} + q), 0.0), 6) AS OutlierScore
+FROM cells c LEFT JOIN tailed t ON t.Species = c.Species AND t.a = c.H3""")
+
+
+QUERIES["cop"] = (
+    lambda spark, d: _round6(knn.cop(_cells(_fx(spark, d)).drop("cell"), COP_K, COP_EXPECT), "OutlierScore"),
+    _cop_sql())
+
+HIERARCHY_K, HIERARCHY_MIN = 3, 5
+
+
 # Cells in Prim's order over the edges of ``reach``: the components at a level are
 # the runs in which every cell but the first was added within it.
 _ORDER_SQL = [
