@@ -83,7 +83,7 @@ def vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
     sinU1, cosU1, sinU2, cosU2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
     lam = L.copy()
     sin_sigma = cos_sigma = sigma = cos2_alpha = cos2_sm = np.zeros_like(L)
-    unsettled = np.zeros(len(L), dtype=bool)
+    unsettled = np.ones(len(L), dtype=bool)
     for _ in range(iters):
         sin_lam, cos_lam = np.sin(lam), np.cos(lam)
         sin_sigma = np.sqrt((cosU2 * sin_lam) ** 2 + (cosU1 * sinU2 - sinU1 * cosU2 * cos_lam) ** 2)
@@ -94,10 +94,11 @@ def vincenty_np(lat1, lon1, lat2, lon2, iters: int = 200) -> np.ndarray:
             cos2_alpha = 1 - sin_alpha ** 2
             cos2_sm = np.where(cos2_alpha == 0, 0.0, cos_sigma - 2 * sinU1 * sinU2 / cos2_alpha)
         C = f / 16 * cos2_alpha * (4 + f * (4 - 3 * cos2_alpha))
-        lam_prev = lam
-        lam = L + (1 - C) * f * sin_alpha * (
+        step = L + (1 - C) * f * sin_alpha * (
             sigma + C * sin_sigma * (cos2_sm + C * cos_sigma * (-1 + 2 * cos2_sm ** 2)))
-        unsettled = ~(np.abs(lam - lam_prev) < 1e-12)
+        # a settled pair stays: further rounds for others could drive it off again
+        unsettled &= ~(np.abs(step - lam) < 1e-12)
+        lam = np.where(unsettled, step, lam)
         if not unsettled.any():
             break
     u2 = cos2_alpha * (a * a - b * b) / (b * b)
@@ -147,7 +148,7 @@ def _antipodal(L: np.ndarray, U1: np.ndarray, U2: np.ndarray) -> np.ndarray:
         low, high = np.where(beyond, mid, low), np.where(beyond, high, mid)
     ss, cs, sg, sa, c2a, cm = sphere((low + high) / 2)
     # opposite on the sphere: no longitude below pi is enough
-    opposite = high < 1e-12
+    opposite = (high < 1e-12) & (np.abs(slant) < 1e-12)
     azimuth = np.clip((np.pi - L) / (f * np.pi), 0.0, 1.0)
     for _ in range(50):
         c = 1 - azimuth ** 2

@@ -184,7 +184,8 @@ def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: f
         "_k", "_id", "_lat", "_lon", "_ncx", "_ncy", "_ncz")
     # dense cubes are counted whole: no pair is formed with their inner points
     n_dense = count_within(sparse, dense, eps_m, geomodel).withColumnRenamed("_nw", "_nd")
-    ss = _partners(probe, sparse, "s", eps_m, geomodel)
+    # read for the counts and again for the rescued points
+    ss = cut_lineage(_partners(probe, sparse, "s", eps_m, geomodel))
     n_sparse = ss.groupBy("_k", "_id").agg(F.sum("_sw").alias("_ns"))
     sp_state = (sparse.select("_k", "_id")
                       .join(n_sparse, ["_k", "_id"], "left")

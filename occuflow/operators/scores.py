@@ -93,6 +93,8 @@ def outlier_scores(cells: DataFrame, method: str, k: int | None = None, d: float
                    geomodel: str = "wgs84", attr: str | None = None) -> DataFrame:
     """Score cells (LAT, LON, H3, Species) by a named method.
 
+    Iterative methods also say whether a species' fit has ``converged``.
+
     ``k``: neighbours, components or minimum points; ``d``: distance in
     metres; ``attr``: the column the attribute scores compare.
     """
@@ -112,4 +114,5 @@ def outlier_scores(cells: DataFrame, method: str, k: int | None = None, d: float
     if d is not None and not d > 0:
         raise ValueError("d must be a positive distance in metres")
     out = m.run(cells, k, d, attr, GEOMODELS[geomodel])
-    return out.select(F.col("H3").alias("H3Index"), "Species", "OutlierScore")
+    told = [c for c in ("converged",) if c in out.columns]
+    return out.select(F.col("H3").alias("H3Index"), "Species", "OutlierScore", *told)

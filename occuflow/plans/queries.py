@@ -74,7 +74,8 @@ def _scored(fx) -> DataFrame:
 
 
 def _scores(fx) -> DataFrame:
-    return _scored(fx).select(F.col("H3").alias("H3Index"), "Species", "OutlierScore")
+    """The scores, written once: reports read them several times."""
+    return cut_lineage(_scored(fx).select(F.col("H3").alias("H3Index"), "Species", "OutlierScore"))
 
 
 _CELLS_SQL = S.counts_ctes() + _LARGE_SQL + S.cells_ctes(OUTLIER_GRID, "large")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -68,15 +69,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
-# Open stage scopes: stage paths written since each began (see stage_scope).
-_SCOPES: list[list[str]] = []
+class _Scopes(threading.local):
+    """Open stage scopes of a thread: stage paths written since each began (see stage_scope)."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_SCOPES = _Scopes()
 
 
 def _write_stage(df: DataFrame, outlive: bool = False) -> str:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/occuflow-stage-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    scopes = _SCOPES[:-1] if outlive else _SCOPES
+    scopes = _SCOPES.open[:-1] if outlive else _SCOPES.open
     if scopes:
         scopes[-1].append(path)
     return path
@@ -107,11 +114,11 @@ def stage_scope(spark: SparkSession):
     Frames built inside must not be used after the block, but for what
     ``cut_lineage(..., outlive=True)`` returned.
     """
-    _SCOPES.append([])
+    _SCOPES.open.append([])
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        for path in _SCOPES.open.pop():
             fs, p = _hadoop_path(spark, path)
             fs.delete(p, True)
 
