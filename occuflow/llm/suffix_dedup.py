@@ -20,7 +20,8 @@ ever smaller groups, and only as long as a group is undecided:
 Digits are compared as 64-bit hashes with their length.  Within a task equal
 digits are settled and sent on as one row, so a passage that half of all texts
 share does not pile up anywhere.  Texts equal as a whole are one occurrence;
-if there are several, every one of at least ``length`` bytes is removed whole.
+if there are several (by SHA-256), every one of at least ``length`` bytes is
+removed whole.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all;
 repeated rows are copies of each other; an empty table gives an empty result;
@@ -294,10 +295,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
               .select("uid", *[f"n{i}" for i in range(len(sizes))], "__text")
               .mapInArrow(_spans(length, sizes), "uid long, n_removed long, n_spans long, kept_sha256 string"))
     judged = judged.dropDuplicates(["uid"]).withColumnRenamed("uid", "j_uid")
-    copies = facts.groupBy("uid").agg((F.count("*") > 1).alias("copied")).withColumnRenamed("uid", "c_uid")
+    copies = facts.groupBy(F.col("sha").alias("c_sha")).agg((F.count("*") > 1).alias("copied"))
     whole = F.col("copied") & (F.col("n_bytes") >= length)
     nothing = hashlib.sha256(b"").hexdigest()
-    return (facts.join(copies, F.col("uid") == F.col("c_uid")).join(judged, F.col("uid") == F.col("j_uid"), "left")
+    return (facts.join(copies, F.col("sha") == F.col("c_sha")).join(judged, F.col("uid") == F.col("j_uid"), "left")
             .select("doc_id", "n_bytes",
                     F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                     F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
