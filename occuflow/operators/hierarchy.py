@@ -8,7 +8,8 @@ points within a falling distance form the hierarchy.
 1. *Core distances* come from the exact kNN join (J11); its pairs are also the
    first known edges.
 2. *Spanning tree* by Borůvka rounds: every component takes its least outgoing
-   edge (a grouped minimum), components are joined by pointer jumping.  A known
+   edge (a grouped minimum), chosen edges join components (connected components with
+   pointer jumping).  A known
    edge is taken as it is if no point of the component could have a shorter
    unknown one; only the others search, by branch and bound over the cube
    pyramid.  Boxes of one component are dropped whole, and bounds are shared by
@@ -235,30 +236,28 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
 
 
 def _least_edges(edges: DataFrame) -> DataFrame:
-    """The least edge of each component, ties by the ends: a total order, so only pairs can choose each other."""
+    """The least edge of each component, ties by the ends."""
     return (edges.groupBy("_k", "_c").agg(F.min(F.struct(*_EDGE, "_o")).alias("_e"))
             .select("_k", "_c", *[F.col(f"_e.{c}").alias(c) for c in (*_EDGE, "_o")]))
 
 
 def _joined_components(chosen: DataFrame) -> DataFrame:
-    """(_k, _c, _root): the components that the chosen edges join, by pointer jumping."""
-    up = chosen.select("_k", "_c", F.col("_o").alias("_up"))
-    back = up.select("_k", F.col("_c").alias("_up"), F.col("_up").alias("_back"))
-    up = cut_lineage(up.join(back, ["_k", "_up"], "left").select(
-        "_k", "_c", F.when((F.col("_back") == F.col("_c")) & (F.col("_c") < F.col("_up")), F.col("_c"))
-        .otherwise(F.col("_up")).alias("_up")))
-    while True:
-        jump = cut_lineage(up.join(up.select("_k", F.col("_c").alias("_up"), F.col("_up").alias("_next")), ["_k", "_up"], "left")
-                           .select("_k", "_c", F.coalesce("_next", "_up").alias("_up"),
-                                   (F.coalesce("_next", "_up") != F.col("_up")).alias("_moved")))
-        up = jump.drop("_moved")
-        if jump.where("_moved").isEmpty():
-            return up.withColumnRenamed("_up", "_root")
+    """(_k, _c, _root): the components that the chosen edges join.
+
+    Searches stop at the bound, so components may choose different ones of
+    several equally long edges and chase each other in a ring; the joins make no
+    use of the order of choice.
+    """
+    label = components(chosen.select("_k", F.col("_c").alias("src"), F.col("_o").alias("dst")))
+    return label.select("_k", F.col("node").alias("_c"), F.col("label").alias("_root"))
 
 
 def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -> DataFrame:
     """(_k, _a, _b, _w): a minimum spanning tree per group.
 
+    Among equally long edges a ring may be left in it, which joins nothing that
+    is not joined at that length anyway.
+
     ``points`` and ``known`` as :func:`core_distances` returns them; points
     without a core distance take no part.
     """
