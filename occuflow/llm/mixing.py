@@ -258,4 +258,5 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     with stage_scope(spark):
         return cut_lineage(mix(keys).select(
             "doc_id", "size", "source_size", "target",
-            (F.col("size") * F.size("placements")).cast("long").alias("taken")), outlive=True)
+            (F.col("size") * F.size("placements")).cast("long").alias("taken"),
+            F.transform("placements", lambda p: p["shard"]).alias("shards")), outlive=True)
