@@ -11,7 +11,8 @@ each operator defines it:
   on word 5-grams, linked directly or through others) the row with the least
   id stays, one row even if it is repeated; texts without words all stay;
 * secrets: every span is replaced by a mark; no row goes;
-* mixing: a row appears once per copy that the mix takes, perhaps never;
+* mixing: a row appears once per copy that the mix takes, perhaps never; a
+  shard's copies lie together, in an order of its own;
 * packing: one row per piece of each remaining row.
 
 No stage has a DuckDB form as a whole (model fit, recall-target join,
@@ -71,9 +72,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it (operator 1)."""
+    """Each row as often as the mix takes it, shard by shard in its order (operator 1)."""
     sized = _boxed(docs, "doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    return mixing.copies(mixing.mix(sized)).select("__row.*")
+    return mixing.arranged(mixing.mix(sized)).select("__row.*")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
