@@ -9,15 +9,13 @@ one cube are within ``eps``:
 
 * a cube holding ``>= minpts`` points is *dense*: all its points are core,
   none is noise, and no pair is formed for them;
-* points of sparse cubes look at the (at most 125) cubes that can hold
-  neighbours; a bounding-box test drops cubes that cannot, then an
-  equi-join on (group, cube) plus the distance predicate yields neighbours.
-  A sparse cube has fewer than ``minpts`` points, so sparse-sparse pairs
-  per point are bounded by 125 * (minpts - 1) whatever the data volume.
-
-Sparse-to-dense candidate pairs are bounded by the cell geometry: points are
-distinct cells, and a cube (edge about 0.58 * eps) holds a bounded number
-of cells at a given resolution, independent of the record count.
+* points of sparse cubes meet in tiles of ``TILE`` cubes a side: a point is
+  sent to the tiles that its search radius touches (three on average, at most
+  eight), not to each of the 125 cubes that can hold neighbours.  A sparse cube
+  has fewer than ``minpts`` points and a tile a fixed number of cubes, so the
+  pairs per point are bounded by ``minpts`` whatever the data volume;
+* sparse points count dense neighbours by the cube pyramid, and only the cubes
+  of either kind that lie near the other take part.
 """
 
 from __future__ import annotations
@@ -30,12 +28,14 @@ from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
 from occuflow.operators import knn
-from occuflow.session import cut_lineage, ship_package, spread
+from occuflow.session import broadcast_if_small, cut_lineage, ship_package, spread
 
 # Edge cubes of at most this many points are tested point by point.
 EDGE_POINTS = 8
 # No further round for this many pairs in all.
 EDGE_PAIRS = 200_000
+# Cubes along the edge of a tile: sparse points are joined by tile.
+TILE = 8
 
 
 def _check(eps_m, minpts):
@@ -124,6 +124,55 @@ def _partners(probe: DataFrame, target: DataFrame, tag: str, eps_m: float, geomo
     return probe.join(t, cond).select("_k", "_id", f"_{tag}id", f"_{tag}w")
 
 
+def _tiles(rows: DataFrame, low, high) -> DataFrame:
+    """Each row once per tile ``_tx, _ty, _tz`` from ``low(axis)`` to ``high(axis)``."""
+    for v in "xyz":
+        rows = rows.withColumn(f"_t{v}", F.explode(F.sequence(low(v), high(v))))
+    return rows
+
+
+def _tile_of(cube) -> F.Column:
+    return F.floor(cube / F.lit(float(TILE))).cast("long")
+
+
+_TILES = ("_tx", "_ty", "_tz")
+
+
+def _sparse_pairs(sparse: DataFrame, side: float, search: float, eps_m: float, geomodel: str) -> DataFrame:
+    """(_k, _id, _sid, _sw): the sparse points within eps of each sparse point, itself included."""
+    def tile(metres) -> F.Column:
+        return F.floor(metres / F.lit(side * TILE)).cast("long")
+
+    wide = F.lit(search + knn.SLACK_M)
+    cubes = [f"_c{v}" for v in "xyz"]
+    probe = _tiles(sparse.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z"),
+                   lambda v: tile(F.col(f"_{v}") - wide), lambda v: tile(F.col(f"_{v}") + wide))
+    target = sparse.select(F.col("_k"), F.col("_id").alias("_sid"), F.col("_w").alias("_sw"), F.col("_lat").alias("_tlat"),
+                           F.col("_lon").alias("_tlon"), *[F.col(f"_{v}").alias(f"_s{v}") for v in "xyz"],
+                           *[_tile_of(F.col(c)).alias(t) for c, t in zip(cubes, _TILES)])
+    close = reduce(lambda a, b: a & b, [F.abs(F.col(f"_{v}") - F.col(f"_s{v}")) <= wide for v in "xyz"])
+    return (spread(probe.drop(*cubes), "_k", *_TILES).join(spread(target, "_k", *_TILES), ["_k", *_TILES])
+            .where(close & within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
+            .select("_k", "_id", "_sid", "_sw"))
+
+
+def _near_each_other(sparse: DataFrame, dense: DataFrame, reach: int) -> tuple[DataFrame, DataFrame]:
+    """The points of sparse cubes near a dense one, and of dense cubes near a sparse one."""
+    cubes = [f"_c{v}" for v in "xyz"]
+    has_dense = broadcast_if_small(dense.select("_k").distinct())
+    sparse = sparse.join(has_dense, "_k", "left_semi")
+    probe = _tiles(sparse.select("_k", *cubes).distinct(), lambda v: _tile_of(F.col(f"_c{v}") - reach),
+                   lambda v: _tile_of(F.col(f"_c{v}") + reach))
+    target = dense.select("_k", *cubes).distinct().select(
+        "_k", *[F.col(c).alias(f"_d{c}") for c in cubes], *[_tile_of(F.col(c)).alias(t) for c, t in zip(cubes, _TILES)])
+    close = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"_d{c}")) <= reach for c in cubes])
+    pairs = cut_lineage(probe.join(target, ["_k", *_TILES]).where(close)
+                        .select("_k", *cubes, *[f"_d{c}" for c in cubes]))
+    by = ["_k", *cubes]
+    return (sparse.join(pairs.select(*by).distinct(), by, "left_semi"),
+            dense.join(pairs.select("_k", *[F.col(f"_d{c}").alias(c) for c in cubes]).distinct(), by, "left_semi"))
+
+
 def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: str) -> DataFrame:
     """(_k, _id, _nw): summed ``_w`` of the target points within ``eps`` of each probe point.
 
@@ -138,11 +187,11 @@ def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: st
     outer = chord_for_arc(eps_m * (1 + band)) * (1 + 1e-9) + knn.SLACK_M
     if geomodel == "wgs84":
         ship_package(probe.sparkSession)
-    lv = knn.cube_levels(target.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z", "_w"))
+    level = max(0, min(int(math.log(knn.top_side() / outer, 2 ** knn.STEP)), knn.LEVELS - 1))
+    lv = knn.cube_levels(cut_lineage(target.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z", "_w")), level)
     boxes = knn.cube_boxes(lv, "_w")
     children = knn.cube_children(boxes)
     query = ["_k", "_id", "_lat", "_lon", "_x", "_y", "_z"]
-    level = max(0, min(int(math.log(knn.top_side() / outer, 2 ** knn.STEP)), knn.LEVELS - 1))
     frontier = (knn.cubes_in_reach(probe.select(*query, F.lit(level).alias("_lv")), F.lit(outer))
                 .select(*query, *knn.NODE[1:]).join(boxes, knn.NODE))
     whole, edge = [], []
@@ -177,15 +226,13 @@ def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: f
     """
     cubed = pts.select("_k", "_id", "_w", "_lat", "_lon", "_x", "_y", "_z", "_cx", "_cy", "_cz")
     cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.sum("_w").alias("_cn"))
-    flagged = cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"])
+    flagged = cut_lineage(cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"]))
     dense = flagged.where(F.col("_cn") >= minpts)
     sparse = flagged.where(F.col("_cn") < minpts)
-    probe = neighbour_cubes(sparse, side, reach, search).select(
-        "_k", "_id", "_lat", "_lon", "_ncx", "_ncy", "_ncz")
     # dense cubes are counted whole: no pair is formed with their inner points
-    n_dense = count_within(sparse, dense, eps_m, geomodel).withColumnRenamed("_nw", "_nd")
+    n_dense = count_within(*_near_each_other(sparse, dense, reach), eps_m, geomodel).withColumnRenamed("_nw", "_nd")
     # read for the counts and again for the rescued points
-    ss = cut_lineage(_partners(probe, sparse, "s", eps_m, geomodel))
+    ss = cut_lineage(_sparse_pairs(sparse, side, search, eps_m, geomodel))
     n_sparse = ss.groupBy("_k", "_id").agg(F.sum("_sw").alias("_ns"))
     sp_state = (sparse.select("_k", "_id")
                       .join(n_sparse, ["_k", "_id"], "left")
@@ -390,8 +437,7 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
     if method == "DBSCAN" and eps_km is None:
         raise ValueError(f"epsilon_km must be provided for {method}")
     # a NULL group is a group of its own
-    grp = (F.when(F.col(by).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(by).cast("string")))
-           if by else F.lit(""))
+    grp = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")) if by else F.lit("")
     valid = F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
     pts = (df.where(valid).groupBy(grp.alias("_g"), F.col(lat_col).alias("_la"),
                                    F.col(lon_col).alias("_lo"))
@@ -407,10 +453,11 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
 
         noise = hierarchy.hdbscan_labels(pts, min_samples, min_cluster_size, **spots).where("cluster = -1")
     noise = noise.select("_g", "_la", "_lo")
-    tagged = df.withColumn("_g", grp)
+    # the same rows on the left of both joins: they are shuffled once
+    tagged = df.where(valid).withColumn("_g", grp)
     cond = ((tagged["_g"] == noise["_g"]) & (tagged[lat_col] == noise["_la"])
             & (tagged[lon_col] == noise["_lo"]))
-    retained = tagged.join(noise, cond, "left_anti").where(valid).drop("_g")
+    retained = tagged.join(noise, cond, "left_anti").drop("_g")
     out_noise = tagged.join(noise, cond, "left_semi").drop("_g")
     outliers = out_noise.unionByName(df.where(~valid))
     return retained, outliers

@@ -80,9 +80,9 @@ def box_distance(far: bool) -> F.Column:
     return F.sqrt(total)
 
 
-def cube_levels(pts: DataFrame) -> DataFrame:
-    """The points (with _x, _y, _z) once per pyramid level, with their cube."""
-    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+def cube_levels(pts: DataFrame, first: int = 0) -> DataFrame:
+    """The points (with _x, _y, _z) once per pyramid level from ``first`` on, with their cube."""
+    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(first), F.lit(LEVELS - 1))))
     for c, a in zip(_CUBE, _AXES):
         lv = lv.withColumn(c, F.floor(F.col(a) / _side(F.col("_lv"))).cast("long"))
     return lv

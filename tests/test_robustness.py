@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from occuflow.operators import density, knn, models
 from occuflow.operators.outliers import flag_outliers
@@ -247,3 +248,20 @@ def test_cluster_labels_of_touching_and_separate_patches(spark):
     got = {int(r["H3"][1:]): r["cluster_rep"] for r in density.dbscan_labels(points(spark, xy), eps, minpts).collect()}
     assert {i: None if v is None else int(v[1:]) for i, v in got.items()} == want
     assert len({v for v in want.values() if v is not None}) >= 2
+
+
+def test_sparse_points_meet_by_tile(spark):
+    """A scattered point is sent to a few tiles, not to every cube around it; no pair is lost on tile edges."""
+    rng = np.random.default_rng(5)
+    xy = np.concatenate([rng.random((400, 2)) * 4 - 2, [[0.0, 179.999], [0.0, -179.999], [89.99, 10.0], [89.99, -170.0]]])
+    eps = 20_000.0
+    side, reach, search = density._geometry(eps, "sphere")
+    sparse = cut_lineage(density._cubed_points(points(spark, xy), side, "Species", "H3", "LAT", "LON", None))
+    got = {(r["_id"], r["_sid"]) for r in density._sparse_pairs(sparse, side, search, eps, "sphere").collect()}
+    la, lo = np.radians(xy[:, 0]), np.radians(xy[:, 1])
+    h = np.sin((la[:, None] - la) / 2) ** 2 + np.cos(la)[:, None] * np.cos(la) * np.sin((lo[:, None] - lo) / 2) ** 2
+    close = 2 * density.knn.EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(h, 1))) <= eps
+    assert got == {(f"p{i:05d}", f"p{j:05d}") for i, j in zip(*np.nonzero(close))}
+    cubes = density.neighbour_cubes(sparse, side, reach, search).count()
+    tile = lambda sign: lambda v: F.floor((F.col(f"_{v}") + sign * search) / (side * density.TILE)).cast("long")
+    assert 5 * density._tiles(sparse, tile(-1), tile(1)).count() < cubes
