@@ -12,7 +12,8 @@
    one-permutation sketches, with a bound that a true pair fails with
    probability below 1e-5.  Larger buckets are split again on further sampled
    shingles (``kids`` a level, ``depth`` levels); what is still large then is
-   near-identical and is searched by pivots.
+   dealt as pairs of blocks to many tasks, so that the same search meets all
+   pairs there too.
 4. Buckets give only a spanning forest of their likely pairs.  Its components
    hold every true pair; in each, all pairs are verified exactly on the whole
    shingle sets.  Large components are cut into pairs of blocks, so no task
@@ -184,17 +185,16 @@ def bucket_forest(size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return root
 
 
-def pivot_forest(size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """Root index of each member by pivots: each one not yet attached meets all others."""
-    a, b, attached = [], [], np.zeros(len(size), dtype=bool)
-    for i in range(len(size)):
-        if attached[i]:
-            continue
-        near = np.flatnonzero(_alike(sketch[i][None, :], sketch))
-        attached[near] = True
-        a.append(np.full(len(near), i))
-        b.append(near)
-    return _roots(len(size), np.concatenate(a), np.concatenate(b))
+def block_pairs(size: np.ndarray, block: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(i, j, members) of the pairs of blocks, by size, that hold all likely pairs of a bucket of two blocks or more."""
+    order = np.argsort(size, kind="stable")
+    parts = [order[s:s + block] for s in range(0, len(order), block)]
+    for i, low in enumerate(parts):
+        for j in range(i + 1, len(parts)):
+            # neighbouring blocks meet anyway, each with itself as well
+            if j > i + 1 and size[parts[j][0]] > np.floor(size[low[-1]] / THRESHOLD + 1e-9):
+                break
+            yield i, j, np.concatenate([low, parts[j]])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -233,7 +233,10 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def _search(level: int, depth: int, small: int):
-    """Forest edges of small buckets; members of large ones with their next paths."""
+    """Forest edges of small buckets; members of large ones with their next paths.
+
+    After ``depth`` a large bucket is dealt as pairs of blocks, whose pairs are all searched at the level after.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["path"]):
             path, cls = table.column("path").to_numpy(), table.column("cls").to_numpy()
@@ -266,8 +269,17 @@ def _search(level: int, depth: int, small: int):
                         [empty, empty, pa.array(new.view(np.int64)), *(part.column(c) for c in ("cls", "size", "sketch", "kids"))],
                         names=["a", "b", "path", "cls", "size", "sketch", "kids"]).to_batches()
                     continue
-                find = pivot_forest if len(one) > small else bucket_forest
-                root = find(size[one], sketch[one])
+                if len(one) > small and level == depth:
+                    for i, j, at in block_pairs(size[one], max(small // 2, 1)):
+                        part = table.take(pa.array(one[at], pa.int64()))
+                        empty = pa.nulls(len(at), pa.int64())
+                        new = ta.mix(path[s:s + 1].view(np.uint64) + ta.mix(np.array([(i << 32) + j], np.uint64)))
+                        yield from pa.table(
+                            [empty, empty, pa.array(np.repeat(new.view(np.int64), len(at))),
+                             *(part.column(c) for c in ("cls", "size", "sketch")), pa.nulls(len(at), pa.binary())],
+                            names=["a", "b", "path", "cls", "size", "sketch", "kids"]).to_batches()
+                    continue
+                root = bucket_forest(size[one], sketch[one])
                 member = np.flatnonzero(root != np.arange(len(one)))
                 a.append(cls[one[root[member]]])
                 b.append(cls[one[member]])
@@ -406,14 +418,14 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, recall: float = RECALL, br
     runs = runs_for(recall, branch)
     rows = base.select(F.col("text").alias("__text")).mapInArrow(_paths(runs, branch, kids, depth, n), _PATH_SCHEMA)
     edges = None
-    for level in range(depth + 1):
+    for level in range(depth + 2):
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         found = cut_lineage(rows.repartition(parts, "path").sortWithinPartitions("path")
                             .mapInArrow(_search(level, depth, small), _FOUND_SCHEMA))
         new = found.filter("a IS NOT NULL").select("a", "b")
         edges = new if edges is None else edges.union(new)
         rows = found.filter("path IS NOT NULL").select("path", "cls", "size", "sketch", "kids")
-        if level == depth or rows.isEmpty():
+        if level > depth or rows.isEmpty():
             break
     cluster = components(edges).select(F.col("node").alias("cls"), F.col("label").alias("cluster"))
     sized = cluster.join(cluster.groupBy("cluster").agg(F.count("*").alias("m")), "cluster")

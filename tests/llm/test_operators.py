@@ -596,3 +596,30 @@ def test_extra_columns_with_clashing_names(spark):
         np.empty(0, np.uint64), np.empty(0), np.array([1.0]))).count() == 1
     assert lm_score.score(docs, lm_score.train(docs)).count() == 1
     assert SCHEMA
+
+
+def test_large_buckets_lose_no_likely_pair():
+    """Past the last depth a bucket over the limit is searched whole: a link between two texts that others lead to counts."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+    n = 9
+    sketch = np.full((n, jaccard_join.BINS), 1, dtype=np.uint8)
+    for i, cut in zip((0, 2, 3, 1), (0, 20, 40, 60)):  # a chain 0 - 2 - 3 - 1; 0 and 1 have nothing in common
+        sketch[i, :cut] = 2
+    sketch[4:] = np.arange(10, 15)[:, None]  # alone
+    size = np.array([100, 101, 102, 103, 100, 120, 200, 400, 90], dtype=np.int32)
+    rows = pa.table([pa.array(np.full(n, 7)), pa.array(np.arange(n)), pa.array(size), pa.array([s.tobytes() for s in sketch]),
+                     pa.array([b""] * n)], names=["path", "cls", "size", "sketch", "kids"])
+
+    def edges(small, depth=2):
+        found, left, level = set(), rows, depth
+        while left.num_rows:
+            out = pa.Table.from_batches(list(jaccard_join._search(level, depth, small)(iter(left.sort_by("path").to_batches()))))
+            found |= {(r["a"], r["b"]) for r in out.to_pylist() if r["a"] is not None}
+            left, level = out.filter(pa.compute.is_valid(out["path"])).select(rows.column_names), level + 1
+        ends = np.array(sorted(found))
+        return jaccard_join._roots(n, ends[:, 0], ends[:, 1]).tolist()
+
+    whole = edges(100)
+    assert whole == [0, 0, 0, 0, 4, 5, 6, 7, 8]
+    assert edges(2) == edges(4) == edges(5) == edges(8) == whole
