@@ -364,10 +364,12 @@ def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Spec
                .withColumn("_core", F.coalesce("_core", F.col("_cn") >= minpts))
                .where("_core").withColumn("_node", _cube_node()))
     # Cube-graph edges.  The boxes of two cubes' core points decide most pairs:
-    # wholly within eps is an edge, wholly outside none.  Only for the others
-    # do the core points of one cube look for one of the other's.
+    # wholly within eps is an edge, wholly outside none.  Only for the others,
+    # and only where these edges leave two components, do the core points of
+    # one cube look for one of the other's.
     boxes = cut_lineage(core.groupBy("_k", "_node", "_cx", "_cy", "_cz").agg(
-        *[f(c).alias(f"{c}{i}") for c in ("_x", "_y", "_z") for i, f in ((0, F.min), (1, F.max))]))
+        *[f(c).alias(f"{c}{i}") for c in ("_x", "_y", "_z") for i, f in ((0, F.min), (1, F.max))],
+        F.array(*[f(F.struct("_lat", "_lon"), F.col(c)) for c in ("_x", "_y", "_z") for f in (F.min_by, F.max_by)]).alias("_ends")))
     near2, far2 = F.lit(0.0), F.lit(0.0)
     for c in ("_x", "_y", "_z"):
         gap = F.greatest(F.col(f"t{c}0") - F.col(f"{c}1"), F.col(f"{c}0") - F.col(f"t{c}1"), F.lit(0.0))
@@ -376,23 +378,32 @@ def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Spec
     inner = side * math.sqrt(3)
     around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"), F.lit(l).alias("dz"))
                        for i, j, l in _offsets(reach) if (i, j, l) > (0, 0, 0)])
-    there = boxes.select("_k", F.col("_node").alias("dst"), *[F.col(f"_c{v}").alias(f"_nc{v}") for v in "xyz"],
+    there = boxes.select("_k", F.col("_node").alias("dst"), F.col("_ends").alias("_dends"), *[F.col(f"_c{v}").alias(f"_nc{v}") for v in "xyz"],
                          *[F.col(f"{c}{i}").alias(f"t{c}{i}") for c in ("_x", "_y", "_z") for i in (0, 1)])
     pairs = cut_lineage(
         boxes.withColumn("_o", F.explode(around))
              .withColumns({f"_nc{v}": F.col(f"_c{v}") + F.col(f"_o.d{v}") for v in "xyz"})
              .join(there, ["_k", "_ncx", "_ncy", "_ncz"])
              .where(near2 <= F.lit(search * search))
-             .select("_k", "_node", "dst", "_ncx", "_ncy", "_ncz", (far2 <= F.lit(inner * inner)).alias("_sure")))
-    probe = (core.join(pairs.where("NOT _sure").select("_k", "_node", "_ncx", "_ncy", "_ncz"), ["_k", "_node"])
-                 .select("_k", "_id", "_node", "_lat", "_lon", "_ncx", "_ncy", "_ncz"))
-    hit = _partners(probe, core, "c", eps_m, geomodel, how="left_semi")
-    edges = (hit.select("_k", F.col("_node").alias("src"),
-                        F.concat_ws(":", F.col("_ncx").cast("string"), F.col("_ncy").cast("string"),
-                                    F.col("_ncz").cast("string")).alias("dst"))
-             .unionByName(pairs.where("_sure").select("_k", F.col("_node").alias("src"), "dst")).distinct())
+             .select("_k", "_node", "dst", "_ncx", "_ncy", "_ncz", "_ends", "_dends", (far2 <= F.lit(inner * inner)).alias("_sure")))
+    # the outermost points of two cubes (six each) settle nearly all others
+    met = (pairs.where("NOT _sure").select("_k", "_node", "dst", F.explode("_ends").alias("_p"), "_dends")
+                .select("_k", "_node", "dst", "_p", F.explode("_dends").alias("_q"))
+                .where(within_eps(F.col("_p._lat"), F.col("_p._lon"), F.col("_q._lat"), F.col("_q._lon"), eps_m, geomodel)))
+    edges = pairs.where("_sure").select("_k", "_node", "dst").unionByName(met.select("_k", "_node", "dst")).distinct()
     nodes = core.select("_k", F.col("_node").alias("src"), F.col("_node").alias("dst")).distinct()
-    comp = connected_components(edges.unionByName(nodes))
+    comp = connected_components(edges.withColumnRenamed("_node", "src").unionByName(nodes))
+    # A pair inside one component adds nothing: only points between two of them are looked at.
+    at = lambda c, label: comp.select("_k", F.col("node").alias(c), F.col("label").alias(label))
+    apart = cut_lineage(pairs.where("NOT _sure").join(at("_node", "_from"), ["_k", "_node"]).join(at("dst", "_to"), ["_k", "dst"])
+                        .where("_from <> _to").select("_k", "_node", "_ncx", "_ncy", "_ncz", "_from", "_to"))
+    if not apart.isEmpty():
+        probe = (core.join(apart, ["_k", "_node"])
+                     .select("_k", "_id", "_from", "_to", "_lat", "_lon", "_ncx", "_ncy", "_ncz"))
+        hit = _partners(probe, core, "c", eps_m, geomodel, how="left_semi")
+        over = connected_components(hit.select("_k", F.col("_from").alias("src"), F.col("_to").alias("dst")).distinct())
+        comp = (comp.join(over.select("_k", F.col("node").alias("label"), F.col("label").alias("_over")), ["_k", "label"], "left")
+                    .select("_k", "node", F.coalesce("_over", "label").alias("label")))
     core_lab = (core.join(comp.withColumnRenamed("node", "_node"), ["_k", "_node"])
                     .select("_k", "_id", "label"))
     # Canonical cluster id: the smallest core point id of the component.

@@ -265,3 +265,24 @@ def test_sparse_points_meet_by_tile(spark):
     cubes = density.neighbour_cubes(sparse, side, reach, search).count()
     tile = lambda sign: lambda v: F.floor((F.col(f"_{v}") + sign * search) / (side * density.TILE)).cast("long")
     assert 5 * density._tiles(sparse, tile(-1), tile(1)).count() < cubes
+
+
+def test_pairs_inside_a_component_are_not_probed(spark, monkeypatch):
+    """Cubes that sure edges join already send no points to each other; a component that needs a probe is found."""
+    rng = np.random.default_rng(6)
+    strip = np.column_stack([rng.random(400), np.linspace(0, 60, 400)])
+    near = np.column_stack([8.0 + rng.random(40) * 0.2, 20 + rng.random(40) * 0.2])  # within eps of the strip in its corner only
+    far = np.column_stack([60 + rng.random(40), 20 + rng.random(40)])
+    probed = []
+    plain = density._partners
+
+    def counted(probe, target, tag, eps_m, geomodel, how="inner"):
+        if how == "left_semi":
+            probed.append(probe.count())
+        return plain(probe, target, tag, eps_m, geomodel, how)
+
+    monkeypatch.setattr(density, "_partners", counted)
+    pts = points(spark, np.concatenate([strip, near, far]))
+    reps = [r["cluster_rep"] for r in density.dbscan_labels(pts, 1_000_000.0, 3).orderBy("H3").collect()]
+    assert reps == ["p00000"] * 440 + ["p00440"] * 40
+    assert sum(probed) < 400
