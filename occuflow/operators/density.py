@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
 from occuflow.operators import knn
-from occuflow.session import broadcast_if_small, cut_lineage, ship_package, spread
+from occuflow.session import broadcast_if_small, cut_lineage, keyed_join, ship_package, spread
 
 # Edge cubes of at most this many points are tested point by point.
 EDGE_POINTS = 8
@@ -317,26 +317,22 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     Returns ``(_k, node, label)`` with ``label`` the smallest node of the
     component.  Each round takes the minimum over neighbours, then jumps to
     the label's label (pointer jumping), and is checkpointed; the loop stops
-    when no label changes (one count per round reaches the driver).
+    when no label changes (one flag per round reaches the driver).
     """
     both = edges.unionByName(edges.select("_k", F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = cut_lineage(both.distinct())
     labels = cut_lineage(both.select("_k", F.col("src").alias("node"))
                              .distinct().withColumn("label", F.col("node")))
     for _ in range(max_rounds):
-        nb = (both.join(labels.select("_k", F.col("node").alias("dst"), F.col("label").alias("_nl")),
-                        ["_k", "dst"])
+        nb = (keyed_join(both, labels.select("_k", F.col("node").alias("dst"), F.col("label").alias("_nl")), ["_k", "dst"])
                   .groupBy("_k", F.col("src").alias("node")).agg(F.min("_nl").alias("_m")))
-        step = (labels.join(nb, ["_k", "node"], "left")
-                      .select("_k", "node", F.least("label", F.coalesce("_m", "label")).alias("label")))
-        jump = (step.join(step.select("_k", F.col("node").alias("label"),
-                                      F.col("label").alias("_ll")), ["_k", "label"], "left")
-                    .select("_k", "node", F.least("label", F.coalesce("_ll", "label")).alias("label")))
-        jump = cut_lineage(jump)
-        changed = (jump.join(labels.select("_k", "node", F.col("label").alias("_old")), ["_k", "node"])
-                       .where(F.col("label") != F.col("_old")).count())
-        labels = jump
-        if changed == 0:
+        step = (keyed_join(labels, nb, ["_k", "node"], "left")
+                      .select("_k", "node", F.col("label").alias("_old"), F.least("label", F.coalesce("_m", "label")).alias("label")))
+        jump = cut_lineage(
+            keyed_join(step, step.select("_k", F.col("node").alias("label"), F.col("label").alias("_ll")), ["_k", "label"], "left")
+            .select("_k", "node", F.least("label", F.coalesce("_ll", "label")).alias("label"), "_old"))
+        labels = jump.drop("_old")
+        if jump.where("label <> _old").isEmpty():
             return labels
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 

@@ -24,8 +24,9 @@ points within a falling distance form the hierarchy.
 4. *Condensed tree* (HDBSCAN): components below ``min_cluster_size`` records fall
    out of the cluster that they would join; joins of two or more clusters begin
    a new one.  Stabilities are grouped sums; the choice between a cluster and
-   those below it goes up level by level, the choice of the topmost chosen one
-   down by pointer jumping.
+   those below it goes up with chains of single clusters taken at once (pointer
+   jumping), so rounds grow with the logarithm of the tree, not with its depth; the
+   choice of the topmost chosen one comes down by pointer jumping.
 
 DWOF grows windows around all points by one factor a step; its components are
 those of the same tree over "the step at which two points meet" instead of the
@@ -49,7 +50,7 @@ from pyspark.sql import functions as F
 
 from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef
 from occuflow.operators import knn
-from occuflow.session import cut_lineage, ship_package
+from occuflow.session import cut_lineage, keyed_join, ship_package, spread
 
 # Edges of a piece that one task walks through.
 PIECE_EDGES = 200_000
@@ -89,23 +90,23 @@ def core_distances(numbered: DataFrame, k: int, geomodel: str) -> tuple[DataFram
     near = max(k - 1, 1)
     sites = numbered.select("_k", "_n", "_w", "_lat", "_lon")
     pairs = cut_lineage(
-        knn.knn_candidates(sites, near, "_k", "_n", "_lat", "_lon", geomodel)
-        .join(sites.select(F.col("_k"), F.col("_n").alias("_nid"), F.col("_w").alias("_nw")), ["_k", "_nid"])
+        keyed_join(knn.knn_candidates(sites, near, "_k", "_n", "_lat", "_lon", geomodel),
+                   sites.select(F.col("_k"), F.col("_n").alias("_nid"), F.col("_w").alias("_nw")), ["_k", "_nid"])
         .select("_k", F.col("_id").alias("_n"), "_nid", "_nw", "_dmm"))
     by = W.partitionBy("_k", "_n").orderBy("_dmm")
     ranked = (pairs.withColumn("_r", F.row_number().over(W.partitionBy("_k", "_n").orderBy("_dmm", "_nid")))
               .withColumn("_sum", F.sum("_nw").over(by)))
-    facts = (ranked.join(sites.select("_k", "_n", "_w"), ["_k", "_n"]).groupBy("_k", "_n").agg(
+    facts = (keyed_join(ranked, sites.select("_k", "_n", "_w"), ["_k", "_n"]).groupBy("_k", "_n").agg(
         F.min(F.when(F.col("_sum") + F.col("_w") >= k, F.col("_dmm"))).alias("_far"),
         F.min(F.when(F.col("_r") == near, F.col("_dmm"))).alias("_kth")))
     x, y, z = ecef("_lat", "_lon")
-    points = cut_lineage(sites.join(facts, ["_k", "_n"], "left")
+    points = cut_lineage(keyed_join(sites, facts, ["_k", "_n"], "left")
                          .withColumn("_core", F.when(F.col("_w") >= k, F.lit(0).cast("long")).otherwise(F.col("_far")))
                          .withColumn("_radius", F.coalesce("_kth", F.lit(_FAR)))
                          .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z).drop("_far", "_kth"))
     core = points.where("_core IS NOT NULL").select("_k", F.col("_n"), "_core", "_radius")
-    known = (pairs.join(core, ["_k", "_n"]).where(F.col("_dmm") <= F.col("_radius"))
-             .join(core.select("_k", F.col("_n").alias("_nid"), F.col("_core").alias("_ncore")), ["_k", "_nid"])
+    known = (keyed_join(keyed_join(pairs, core, ["_k", "_n"]).where(F.col("_dmm") <= F.col("_radius")),
+                        core.select("_k", F.col("_n").alias("_nid"), F.col("_core").alias("_ncore")), ["_k", "_nid"])
              .select("_k", F.least("_n", "_nid").alias("_a"), F.greatest("_n", "_nid").alias("_b"),
                      F.greatest("_dmm", "_core", "_ncore").alias("_w")).distinct())
     return points, cut_lineage(known)
@@ -203,8 +204,8 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
     reach = F.least(measure.reach(), F.lit(knn.top_side()))
     level = F.least(F.greatest(F.floor(F.log(F.lit(knn.top_side()) / reach) / F.log(F.lit(2.0 ** knn.STEP))),
                                F.lit(0)), F.lit(knn.LEVELS - 1)).cast("int")
-    frontier = (knn.cubes_in_reach(need.withColumn("_lv", level), reach)
-                .select(*query, "_best", *knn.NODE[1:]).join(boxes, knn.NODE))
+    frontier = keyed_join(knn.cubes_in_reach(need.withColumn("_lv", level), reach)
+                          .select(*query, "_best", *knn.NODE[1:]), boxes, knn.NODE)
     found = []
     for _ in range(knn.LEVELS + 1):
         foreign = (F.col("_c0") != F.col("_c")) | (F.col("_c1") != F.col("_c"))
@@ -212,7 +213,7 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
                            .withColumn("_most", measure.most() + 1).where(F.col("_least") < F.col("_best")))
         # the bound of a component: an edge into the box that is nearest by its far corner
         bound = step.groupBy("_k", "_c").agg(F.min("_most").alias("_bound"))
-        live = (step.join(bound, ["_k", "_c"]).withColumn("_best", F.least("_best", "_bound"))
+        live = (keyed_join(step, bound, ["_k", "_c"]).withColumn("_best", F.least("_best", "_bound"))
                 .where(F.col("_least") < F.col("_best")))
         small = (F.col("_m") <= LEAF_POINTS) | (F.col("_lv") == knn.LEVELS - 1)
         found.append(live.where(small).select(*query, "_best", *knn.NODE[1:]))
@@ -221,7 +222,7 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
         if pairs <= LEAF_PAIRS:  # few in all: test their points at once
             found.append(split.select(*query, "_best", *knn.NODE[1:]))
             break
-        frontier = (split.select(*query, "_best", *knn.NODE[1:]).join(below, knn.NODE)
+        frontier = (keyed_join(split.select(*query, "_best", *knn.NODE[1:]), below, knn.NODE)
                     .select(*query, "_best", *[F.col(f"_child.{c}").alias(c) for c in (*knn.NODE[1:], *facts)]))
     ends = found[0]
     for f in found[1:]:
@@ -229,7 +230,7 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
     members = lv.select(*knn.NODE, F.col("_n").alias("_o_n"), F.col("_c").alias("_o"), F.col("_core").alias("_o_core"),
                         F.col("_lat").alias("_o_lat"), F.col("_lon").alias("_o_lon"))
     mm = knn._dist_mm("_lat", "_lon", "_o_lat", "_o_lon", measure.geomodel)
-    pairs = (ends.join(members, knn.NODE).where(F.col("_c") != F.col("_o"))
+    pairs = (keyed_join(ends, members, knn.NODE).where(F.col("_c") != F.col("_o"))
              .select("_k", "_c", measure.weight(mm, "_o_core").alias("_w"),
                      F.least("_n", "_o_n").alias("_a"), F.greatest("_n", "_o_n").alias("_b"), "_o"))
     return _least_edges(pairs)
@@ -269,14 +270,14 @@ def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -
         state = state.join(open_groups, "_k", "left_semi")
         ends = state.select("_k", "_n", "_c")
         known = cut_lineage(
-            known.select("_k", *_EDGE)
-            .join(ends.select("_k", F.col("_n").alias("_a"), F.col("_c").alias("_ca")), ["_k", "_a"])
-            .join(ends.select("_k", F.col("_n").alias("_b"), F.col("_c").alias("_cb")), ["_k", "_b"])
+            keyed_join(keyed_join(known.select("_k", *_EDGE),
+                                  ends.select("_k", F.col("_n").alias("_a"), F.col("_c").alias("_ca")), ["_k", "_a"]),
+                       ends.select("_k", F.col("_n").alias("_b"), F.col("_c").alias("_cb")), ["_k", "_b"])
             .where("_ca <> _cb"))
         both = known.select("_k", F.col("_ca").alias("_c"), *_EDGE, F.col("_cb").alias("_o")).unionByName(
             known.select("_k", F.col("_cb").alias("_c"), *_EDGE, F.col("_ca").alias("_o")))
         best = _least_edges(both)
-        need = cut_lineage(state.join(best.select("_k", "_c", F.col("_w").alias("_best")), ["_k", "_c"], "left")
+        need = cut_lineage(keyed_join(state, best.select("_k", "_c", F.col("_w").alias("_best")), ["_k", "_c"], "left")
                            .withColumn("_best", F.coalesce("_best", F.lit(_FAR)))
                            .where(measure.unknown() < F.col("_best")))
         if not need.isEmpty():
@@ -291,7 +292,7 @@ def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -
         known = known.select("_k", *_EDGE).unionByName(new).distinct()
         roots = _joined_components(best)
         settled = best.select("_k", "_c", F.col("_w").alias("_upto"))
-        state = (state.join(settled, ["_k", "_c"]).join(roots, ["_k", "_c"])
+        state = (keyed_join(state, keyed_join(settled, roots, ["_k", "_c"]), ["_k", "_c"])
                  .withColumn("_radius", F.greatest("_radius", "_upto")).withColumn("_c", F.col("_root"))
                  .drop("_upto", "_root"))
     if tree is None:
@@ -322,11 +323,11 @@ def _halves(nodes: DataFrame, edges: DataFrame, limit: int) -> tuple[DataFrame,
         label = components(light.select(F.col("_g").alias("_k"), F.col("_a").alias("src"), F.col("_b").alias("dst")))
         label = label.select(F.col("_k").alias("_g"), F.col("node").alias("_node"), F.col("label").alias("_label"))
         piece = F.concat("_g", F.lit("/"), F.col("_label"))
-        touched = nodes.join(label, ["_g", "_node"], "left").join(pivot, "_g", "left")
+        touched = keyed_join(nodes, label, ["_g", "_node"], "left").join(pivot, "_g", "left")
         inside = touched.where("_label IS NOT NULL")
         lower = inside.select(piece.alias("_g"), "_k", "_node", "_size", "_least", "_core", "_top", "_inner")
         at = lambda c: label.select("_g", F.col("_node").alias(c), F.col("_label").alias(f"{c}_l"))
-        labelled = light.join(at("_a"), ["_g", "_a"])
+        labelled = keyed_join(light, at("_a"), ["_g", "_a"])
         longest = labelled.groupBy("_g", F.col("_a_l").alias("_label")).agg(F.max("_w").alias("_top"))
         merged = (inside.groupBy("_g", "_k", "_label").agg(
                       F.sum("_size").alias("_size"), F.min("_least").alias("_least"), F.max("_core").alias("_core"))
@@ -338,7 +339,7 @@ def _halves(nodes: DataFrame, edges: DataFrame, limit: int) -> tuple[DataFrame,
         rest = touched.where("_t IS NULL").select("_g", "_k", "_node", "_size", "_least", "_core", "_top", "_inner")
         nodes = cut_lineage(lower.unionByName(merged).unionByName(alone).unionByName(rest))
         low = labelled.select(F.concat("_g", F.lit("/"), "_a_l").alias("_g"), *_EDGE)
-        high = (part.where("_w > _t").join(at("_a"), ["_g", "_a"], "left").join(at("_b"), ["_g", "_b"], "left")
+        high = (keyed_join(keyed_join(part.where("_w > _t"), at("_a"), ["_g", "_a"], "left"), at("_b"), ["_g", "_b"], "left")
                 .select(F.concat("_g", F.lit("^")).alias("_g"), "_w", F.coalesce("_a_l", "_a").alias("_a"),
                         F.coalesce("_b_l", "_b").alias("_b")))
         edges = cut_lineage(low.unionByName(high).unionByName(part.where("_t IS NULL").select("_g", *_EDGE)))
@@ -483,7 +484,7 @@ def _walked(nodes: DataFrame, edges: DataFrame, walk: Callable, m: int) -> DataF
                         "_least", "_core", "_top", "_inner").unionByName(
         edges.select("_g", F.lit(None).cast("string").alias("_k"), F.lit(1).alias("_kind"), F.col("_w").alias("_size"), "_a", "_b",
                      *[none.alias(c) for c in ("_least", "_core", "_top")], F.lit(None).cast("string").alias("_inner")))
-    dealt = rows.repartition("_g").sortWithinPartitions("_g", "_kind", "_size")
+    dealt = spread(rows, "_g").sortWithinPartitions("_g", "_kind", "_size")
     names = ["_g", "_k", "kind", "what", "cluster", "w", "size", "value"]
     kinds = [pa.string()] * 5 + [pa.int64()] * 2 + [pa.float64()]
 
@@ -546,10 +547,10 @@ def glosh(points: DataFrame, k: int, key: str = "Species", pid: str = "H3", lat:
     of fewer than ``k`` records.  ``k`` counts the point itself.
     """
     numbered, sites, tree = _hierarchy(points, k, key, lat, lon, geomodel, weight)
-    scores = (sites.select("_n", "_core").join(least_cores(sites, tree, piece_edges), "_n", "left")
+    scores = (keyed_join(sites.select("_n", "_core"), least_cores(sites, tree, piece_edges), "_n", "left")
               .select("_n", F.when((F.col("_core") > 0) & F.col("_low").isNotNull(),
                                    F.lit(1.0) - F.col("_low") / F.col("_core")).otherwise(F.lit(0.0)).alias("OutlierScore")))
-    return numbered.join(scores, "_n").select(*points.columns, "OutlierScore")
+    return keyed_join(numbered, scores, "_n").select(*points.columns, "OutlierScore")
 
 
 def least_cores(sites: DataFrame, tree: DataFrame, piece_edges: int = PIECE_EDGES) -> DataFrame:
@@ -622,6 +623,29 @@ def _fallen_points(falls: DataFrame, nodes: DataFrame) -> DataFrame:
                 .select("_k", F.col("_member").alias("what"), "cluster", "w"))
 
 
+def _down_chains(left: DataFrame) -> DataFrame:
+    """Clusters with their value ``_a``: the larger of the stability and what the clusters below are worth.
+
+    A cluster above a single other one is worth ``greatest(_a, _b + value of
+    _next)``; these chains are followed by pointer jumping, so their length
+    costs rounds by its logarithm only.  ``_open``: two or more clusters are
+    unjudged below, here or at the end of the chain.
+    """
+    chain = F.col("_kids") == 1
+    path = cut_lineage(left.select(
+        "cluster", "parent", "stability", "_below", F.coalesce(F.col("_kids") > 1, F.lit(False)).alias("_open"),
+        F.when(chain, F.col("stability")).otherwise(F.greatest("stability", "_below")).alias("_a"),
+        F.when(chain, F.col("_below")).alias("_b"), F.when(chain, F.col("_only")).alias("_next")))
+    while not path.where("_next IS NOT NULL").isEmpty():
+        there = path.select(F.col("cluster").alias("_next"), F.col("_a").alias("_na"), F.col("_b").alias("_nb"),
+                            F.col("_next").alias("_nn"), F.col("_open").alias("_no"))
+        plus = lambda c: (F.col("_b") + F.col(c)).cast("decimal(38,0)")
+        path = cut_lineage(keyed_join(path, there, "_next", "left").select(
+            "cluster", "parent", "stability", "_below", (F.col("_open") | F.coalesce("_no", F.lit(False))).alias("_open"),
+            F.greatest("_a", plus("_na")).alias("_a"), plus("_nb").alias("_b"), F.col("_nn").alias("_next")))
+    return path
+
+
 def _chosen(clusters: DataFrame) -> DataFrame:
     """(cluster, top): the topmost chosen cluster at or above each, by excess of mass.
 
@@ -631,14 +655,15 @@ def _chosen(clusters: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("decimal(38,0)")
     left, done = cut_lineage(clusters.withColumn("_below", zero)), None
     while not left.isEmpty():
-        parents = left.where("parent IS NOT NULL").select(F.col("parent").alias("cluster")).distinct()
-        ready = cut_lineage(left.join(parents, "cluster", "left_anti"))
-        judged = ready.select("cluster", "parent",
-                              (F.col("parent").isNotNull() & (F.col("stability") >= F.col("_below"))).alias("chosen"))
+        kids = (left.where("parent IS NOT NULL").groupBy(F.col("parent").alias("cluster"))
+                    .agg(F.count(F.lit(1)).alias("_kids"), F.min("cluster").alias("_only")))
+        path = _down_chains(keyed_join(left, kids, "cluster", "left"))
+        judged = path.where("NOT _open").select("cluster", "parent",
+                                                (F.col("parent").isNotNull() & (F.col("_a") == F.col("stability"))).alias("chosen"))
         done = judged if done is None else done.unionByName(judged)
-        passed = (ready.where("parent IS NOT NULL").groupBy(F.col("parent").alias("cluster"))
-                  .agg(F.sum(F.greatest("stability", "_below")).cast("decimal(38,0)").alias("_more")))
-        left = cut_lineage(left.join(parents, "cluster", "left_semi").join(passed, "cluster", "left").select(
+        passed = (path.where("NOT _open AND parent IS NOT NULL").groupBy(F.col("parent").alias("cluster"))
+                      .agg(F.sum("_a").cast("decimal(38,0)").alias("_more")))
+        left = cut_lineage(keyed_join(path.where("_open"), passed, "cluster", "left").select(
             "cluster", "parent", "stability", (F.col("_below") + F.coalesce("_more", zero)).cast("decimal(38,0)").alias("_below")))
     if done is None:
         return clusters.select("cluster", F.col("cluster").alias("top"))
@@ -667,7 +692,7 @@ def hdbscan_labels(points: DataFrame, min_samples: int, min_cluster_size: int =
         raise ValueError("min_cluster_size must be an integer of 2 or more")
     numbered, sites, tree = _hierarchy(points, min_samples, key, lat, lon, geomodel, weight)
     member = condensed_clusters(sites, tree, m, piece_edges)
-    labelled = numbered.join(member, "_n", "left")
+    labelled = keyed_join(numbered, member, "_n", "left")
     rep = labelled.where("top IS NOT NULL").groupBy("top").agg(F.min(pid).alias("cluster_rep"))
     number = F.xxhash64(F.col("_k"), F.col("cluster_rep").cast("string")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
     return (labelled.join(rep, "top", "left")
@@ -710,9 +735,9 @@ def first_radii(points: DataFrame, k: int, geomodel: str) -> tuple[DataFrame, Da
     pairs = cut_lineage(knn.knn(sites, k, "_k", "_n", "_lat", "_lon", geomodel).select(
         "_k", "_n", "nid", F.floor(F.col("dist_m") * 1000.0 + 0.5).cast("long").alias("_dmm"), "rank"))
     place = sites.select("_k", F.col("_n").alias("nid"), "_lat", "_lon")
-    around = pairs.select("_k", "_n", "nid").join(place, ["_k", "nid"])
+    around = keyed_join(pairs.select("_k", "_n", "nid"), place, ["_k", "nid"])
     other = around.select("_k", "_n", F.col("nid").alias("_o"), F.col("_lat").alias("_o_lat"), F.col("_lon").alias("_o_lon"))
-    among = (around.join(other, ["_k", "_n"]).where(F.col("nid") < F.col("_o"))
+    among = (keyed_join(around, other, ["_k", "_n"]).where(F.col("nid") < F.col("_o"))
              .select("_k", "_n", knn._dist_mm("_lat", "_lon", "_o_lat", "_o_lon", geomodel).alias("_mm")))
     mean = cut_lineage(among.groupBy("_k", "_n").agg((F.sum("_mm") / F.count(F.lit(1)) / 1000.0).alias("_mean"),
                                                      F.min(F.when(F.col("_mm") > 0, F.col("_mm"))).alias("_near")))
@@ -723,7 +748,7 @@ def first_radii(points: DataFrame, k: int, geomodel: str) -> tuple[DataFrame, Da
     span = radii.groupBy("_k").agg(F.max("_core").alias("_span"))
     known = pairs.groupBy("_k", "_n").agg(F.max(F.when(F.col("rank") >= k, F.col("_dmm"))).alias("_kth"))
     x, y, z = ecef("_lat", "_lon")
-    return (sites.join(radii, ["_k", "_n"], "left").join(span, "_k", "left").join(known, ["_k", "_n"], "left")
+    return (keyed_join(keyed_join(sites, radii, ["_k", "_n"], "left").join(span, "_k", "left"), known, ["_k", "_n"], "left")
             .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z)), pairs
 
 
@@ -831,10 +856,10 @@ def dwof(points: DataFrame, k: int, delta: float = 1.1, key: str = "Species", pi
         measure.step(F.col("_kth") / 1000.0, F.col("_span")))).drop("_kth"))
     own = sites.where("_core IS NOT NULL").select("_k", "_n", "_core")
     known = cut_lineage(
-        pairs.join(own, ["_k", "_n"])
-        .join(own.select("_k", F.col("_n").alias("nid"), F.col("_core").alias("_o_core")), ["_k", "nid"])
+        keyed_join(keyed_join(pairs, own, ["_k", "_n"]),
+                   own.select("_k", F.col("_n").alias("nid"), F.col("_core").alias("_o_core")), ["_k", "nid"])
         .select("_k", F.least("_n", "nid").alias("_a"), F.greatest("_n", "nid").alias("_b"),
                 measure.weight(F.col("_dmm"), "_o_core").alias("_w")).distinct())
     sums = growth_sums(sites, spanning_edges(sites, known, measure), piece_edges)
-    return (numbered.join(sums, "_n", "left").withColumn("OutlierScore", F.coalesce("value", F.lit(0.0)))
+    return (keyed_join(numbered, sums, "_n", "left").withColumn("OutlierScore", F.coalesce("value", F.lit(0.0)))
             .select(*points.columns, "OutlierScore"))

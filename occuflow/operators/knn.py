@@ -40,7 +40,7 @@ from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef, haversine_m, vincenty_m, vincenty_np
 from occuflow.functions.tails import chi_square_tail, gamma_tail
-from occuflow.session import cut_lineage, ship_package
+from occuflow.session import cut_lineage, keyed_join, ship_package
 
 # Cube edges shrink by 2 ** STEP a level: about 2.02 R_earth down to 0.8 m.
 STEP, LEVELS = 2, 13
@@ -105,7 +105,7 @@ def cube_children(boxes: DataFrame) -> DataFrame:
 
 def into_children(rows: DataFrame, children: DataFrame, carry: list[str]) -> DataFrame:
     """Replace each (row, cube) by the row with the cube's children."""
-    return (rows.select(*carry, "_lv", *_CUBE).join(children, NODE)
+    return (keyed_join(rows.select(*carry, "_lv", *_CUBE), children, NODE)
                 .select(*carry, F.col("_clv").alias("_lv"), *[F.col(f"{c}c").alias(c) for c in _CUBE],
                         F.col("_cn").alias("_n"), *[F.col(f"{b}c").alias(b) for b in BOX]))
 
@@ -139,9 +139,9 @@ def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "
     boxes = cube_boxes(lv)
 
     # 2. the finest own cube of k + 1 points and the bound it gives.
-    own = (lv.select("_id", *NODE, *_AXES).join(boxes.where(F.col("_n") > k), NODE)
+    own = (keyed_join(lv.select("_id", *NODE, *_AXES), boxes.where(F.col("_n") > k), NODE)
              .groupBy("_k", "_id").agg(F.max(F.struct("_lv", box_distance(True).alias("_far"))).alias("_m")))
-    start = (pts.join(own, ["_k", "_id"], "left")
+    start = (keyed_join(pts, own, ["_k", "_id"], "left")
                 .withColumn("_ub", F.coalesce(F.col("_m._far") * wider + F.lit(SLACK_M), F.lit(math.inf)))
                 .withColumn("_lv", F.greatest(F.coalesce(F.col("_m._lv"), F.lit(0)) - 1, F.lit(0)))
                 .drop("_m"))
@@ -149,7 +149,7 @@ def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "
     # 3. the cubes around the bound's ball at the level above.
     first = cubes_in_reach(start, F.least(F.col("_ub"), F.lit(top_side())))
     query = ["_k", "_id", "_lat", "_lon", *_AXES, "_ub"]
-    frontier = first.select(*query, "_lv", *_CUBE).join(boxes, NODE)
+    frontier = keyed_join(first.select(*query, "_lv", *_CUBE), boxes, NODE)
     parents = cube_children(boxes)
     last = None
     for _ in range(LEVELS + 1):
@@ -176,7 +176,7 @@ def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "
     # 4. the points of the last cubes.
     ends = last.select("_k", "_id", "_lat", "_lon", "_lv", *_CUBE)
     members = lv.select(*NODE, F.col("_id").alias("_nid"), F.col("_lat").alias("_nlat"), F.col("_lon").alias("_nlon"))
-    return (ends.join(members, NODE).where(F.col("_id") != F.col("_nid"))
+    return (keyed_join(ends, members, NODE).where(F.col("_id") != F.col("_nid"))
                 .select("_k", "_id", "_nid", _dist_mm("_lat", "_lon", "_nlat", "_nlon", geomodel).alias("_dmm")))
 
 
