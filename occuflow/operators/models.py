@@ -199,15 +199,16 @@ def isolation_forest(points: DataFrame, n_trees: int = 100, sample_size: int = 2
 
 
 def top_n_per_group(df: DataFrame, group: str, order: list, n: int, uid: str,
-                    bucket_rows: int = 50_000) -> DataFrame:
+                    bucket_rows: int = 50_000, sizes: DataFrame | None = None) -> DataFrame:
     """Rows ranked 1..n per ``group`` by ``order`` (Columns, ties broken by ``uid``).
 
     Two levels: rows are salted into buckets of about ``bucket_rows`` per
     group and the top n of each bucket kept (windows over bounded buckets);
     the top n of a group is among those candidates (at most buckets x n
-    rows), ranked by a second window.  Exact.
+    rows), ranked by a second window.  Exact.  ``sizes`` (``group``, ``_gn``) spares
+    counting the groups again.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn")) if sizes is None else sizes
     salted = (df.join(sizes, group)
                 .withColumn("_salt", F.pmod(F.xxhash64(F.col(uid)),
                                             F.greatest(F.lit(1), F.ceil(F.col("_gn") / F.lit(bucket_rows))))))
@@ -218,6 +219,10 @@ def top_n_per_group(df: DataFrame, group: str, order: list, n: int, uid: str,
                 .drop("_salt", "_r1", "_gn"))
 
 
+# Centres that are sent to all tasks; of more, groups meet their centres by a shuffle.
+CENTRES_MAX = 1_000_000
+
+
 def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, seed: int = 42,
                        key: str = "Species", pid: str = "H3", lat: str = "LAT",
                        lon: str = "LON") -> DataFrame:
@@ -241,13 +246,16 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, s
     pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).cast("string").alias("_id"),
                                     F.col(lat).cast("double").alias("_x"),
                                     F.col(lon).cast("double").alias("_y")))
+    sizes = cut_lineage(pts.groupBy("_k").agg(F.count(F.lit(1)).alias("_gn")))
+    # groups only become fewer, so their number is checked once
+    few = sizes.count() * k <= CENTRES_MAX
     init = top_n_per_group(pts.withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), "_k", "_id"))),
-                           "_k", [F.col("_h")], k, "_id")
-    centres = init.select("_k", (F.col("_rank") - 1).alias("c"), "_x", "_y")
+                           "_k", [F.col("_h")], k, "_id", sizes=sizes)
+    centres = cut_lineage(init.select("_k", (F.col("_rank") - 1).alias("c"), "_x", "_y"))
 
     def as_arrays(c: DataFrame) -> DataFrame:
         arr = c.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("c", "_x", "_y"))).alias("_cs"))
-        return broadcast_if_small(arr, max_rows=1_000_000)
+        return F.broadcast(arr) if few else arr
 
     def nearest(arr: DataFrame) -> DataFrame:
         d2 = lambda s: F.pow(s["_x"] - F.col("_x"), 2) + F.pow(s["_y"] - F.col("_y"), 2)
@@ -262,13 +270,12 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, s
     arr, done, moving = as_arrays(centres), [], centres
     for _ in range(max_iter):
         assigned = cut_lineage(nearest(arr))
-        far = top_n_per_group(assigned, "_k", [F.col("_d").desc()], l, "_id") if l else None
+        far = top_n_per_group(assigned, "_k", [F.col("_d").desc()], l, "_id", sizes=sizes) if l else None
         kept = assigned.join(far.select("_k", "_id"), ["_k", "_id"], "left_anti") if l else assigned
         new = kept.groupBy("_k", F.col("cluster").alias("c")).agg(F.avg("_x").alias("_x"),
                                                                    F.avg("_y").alias("_y"))
         # centres that lost all points stay where they were
-        old = arr.select("_k", F.explode("_cs").alias("_s")).select(
-            "_k", F.col("_s.c").alias("c"), F.col("_s._x").alias("_ox"), F.col("_s._y").alias("_oy"))
+        old = moving.select("_k", "c", F.col("_x").alias("_ox"), F.col("_y").alias("_oy"))
         merged = (old.join(new, ["_k", "c"], "left")
                      .select("_k", "c", F.coalesce("_x", "_ox").alias("_x"),
                              F.coalesce("_y", "_oy").alias("_y"),
@@ -280,13 +287,13 @@ def kmeans_minus_minus(points: DataFrame, k: int, l: int, max_iter: int = 200, s
         done.append(merged.join(still, "_k", "left_anti").drop("_moved").withColumn("converged", F.lit(True)))
         moving = merged.join(still, "_k", "left_semi").drop("_moved")
         arr = as_arrays(moving)
-        if arr.isEmpty():
+        if moving.isEmpty():
             break
     settled = reduce(DataFrame.unionByName, [*done, moving.withColumn("converged", F.lit(False))])
     arr = as_arrays(settled.drop("converged"))
     converged = settled.select("_k", "converged").distinct()
     final = cut_lineage(nearest(arr))
-    far = (top_n_per_group(final, "_k", [F.col("_d").desc()], l, "_id")
+    far = (top_n_per_group(final, "_k", [F.col("_d").desc()], l, "_id", sizes=sizes)
            .select("_k", "_id", F.lit(True).alias("is_outlier")) if l else None)
     res = final.select("_k", "_id", "cluster", F.col("_d").alias("OutlierScore"))
     if far is not None:
