@@ -29,6 +29,7 @@ cubes within its bound, not with the group.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -40,7 +41,7 @@ from pyspark.sql.types import DoubleType
 
 from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef, haversine_m, vincenty_m, vincenty_np
 from occuflow.functions.tails import chi_square_tail, gamma_tail
-from occuflow.session import cut_lineage, keyed_join, ship_package
+from occuflow.session import cut_lineage, keyed_join, ship_package, spread
 
 # Cube edges shrink by 2 ** STEP a level: about 2.02 R_earth down to 0.8 m.
 STEP, LEVELS = 2, 13
@@ -208,8 +209,16 @@ def _ratio(a, b) -> F.Column:
              .when(b == 0, inf).otherwise(F.try_divide(a, b)))
 
 
+def _points_once(score):
+    """Write the points before the score reads them: each further read would count the records again."""
+    @functools.wraps(score)
+    def run(points: DataFrame, *args, **kwargs) -> DataFrame:
+        return score(cut_lineage(points), *args, **kwargs)
+    return run
+
+
 def _attach(points: DataFrame, scores: DataFrame, key: str, pid: str) -> DataFrame:
-    return points.join(scores, [key, pid], "left")
+    return keyed_join(points, scores, [key, pid], "left")
 
 
 def _kstats(nb: DataFrame, k: int, key: str, pid: str) -> DataFrame:
@@ -221,6 +230,7 @@ def _kstats(nb: DataFrame, k: int, key: str, pid: str) -> DataFrame:
         F.sum("dist_m").alias("nsum"))
 
 
+@_points_once
 def knn_outlier(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """KNNOutlier (D8): distance to the k-th nearest neighbour."""
@@ -228,6 +238,7 @@ def knn_outlier(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", l
     return _attach(points, st.select(key, pid, F.col("kdist").alias("OutlierScore")), key, pid)
 
 
+@_points_once
 def knn_weight(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """KNNWeightOutlier (D9): sum of the distances to the k nearest."""
@@ -235,6 +246,7 @@ def knn_weight(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lo
     return _attach(points, st.select(key, pid, F.col("ksum").alias("OutlierScore")), key, pid)
 
 
+@_points_once
 def odin(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """ODIN (D10): in-degree in the kNN graph divided by k (low = outlier)."""
@@ -244,6 +256,7 @@ def odin(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON
     return out.withColumn("OutlierScore", F.coalesce("_in", F.lit(0)) / F.lit(float(k))).drop("_in")
 
 
+@_points_once
 def local_isolation(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """Local isolation coefficient (D20): k-distance plus mean kNN distance."""
@@ -252,6 +265,7 @@ def local_isolation(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
         simplified: bool = False, geomodel: str = "sphere"):
     """LOF (D12), or SimplifiedLOF (D13) without the reachability distance.
@@ -277,6 +291,7 @@ def lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     return _attach(points, ratio, key, pid)
 
 
+@_points_once
 def ldof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """LDOF (D15): mean distance to the k nearest over their mean pairwise distance.
@@ -306,6 +321,7 @@ def trivial_average(points: DataFrame, lat: str = "LAT", lon: str = "LON") -> Da
     return points.withColumn("OutlierScore", (F.col(lat) + F.col(lon)) / F.lit(2.0))
 
 
+@_points_once
 def density_sweep(points: DataFrame, minpts: int, eps_list=(), key="Species", pid="H3",
                   lat="LAT", lon="LON", geomodel: str = "sphere") -> DataFrame:
     """Multi-eps DBSCAN sweep (D6, re-aimed from OPTICS) from one kNN join.
@@ -351,6 +367,7 @@ def _knn_rows(points, k, key, pid, lat, lon, geomodel="sphere"):
     return cut_lineage(knn(points, k, key, pid, lat, lon, geomodel))
 
 
+@_points_once
 def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """KNNDD (D11): k-distance over the mean k-distance of the k nearest."""
@@ -363,6 +380,7 @@ def knndd(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LO
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def inflo(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """INFLO (D16): influence space = kNN ∪ reverse kNN; density 1 / k-distance;
@@ -391,6 +409,7 @@ def erf(x) -> F.Column:
     return F.signum(x) * y
 
 
+@_points_once
 def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", lat="LAT",
          lon="LON", geomodel: str = "sphere"):
     """LoOP (D17, Kriegel et al. 2009) with the k nearest as context set.
@@ -416,6 +435,7 @@ def loop(points: DataFrame, k: int, lam: float = 2.0, key="Species", pid="H3", l
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def variance_of_volume(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
                        unit_m: float = 1_000_000.0, geomodel: str = "sphere"):
     """VOV (D19, Hu & Sung 2003): sample variance of the k-distance disc areas
@@ -431,6 +451,7 @@ def variance_of_volume(points: DataFrame, k: int, key="Species", pid="H3", lat="
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """COF (D18, Tang et al. 2002): connectivity-based outlier factor.
@@ -493,6 +514,7 @@ def cof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON"
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def kernel_density_lof(points: DataFrame, k: int, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """Simple kernel-density LOF.
@@ -541,6 +563,7 @@ def _binding_probabilities(d: np.ndarray, perplexity: float, iters: int = 60) ->
     return a / a.sum(axis=1, keepdims=True)
 
 
+@_points_once
 def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Species", pid="H3",
             lat="LAT", lon="LON",
     geomodel: str = "sphere"):
@@ -589,6 +612,7 @@ def knn_sos(points: DataFrame, k: int, perplexity: float | None = None, key="Spe
     return out.withColumn("OutlierScore", F.coalesce("OutlierScore", F.lit(1.0)))
 
 
+@_points_once
 def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid="H3",
                         lat="LAT", lon="LON",
     geomodel: str = "sphere"):
@@ -616,6 +640,7 @@ def scatterplot_outlier(points: DataFrame, k: int, attr: str, key="Species", pid
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def simple_cop(points: DataFrame, k: int, explained: float = 0.85, key="Species", pid="H3",
                lat="LAT", lon="LON",
     geomodel: str = "sphere"):
@@ -675,6 +700,7 @@ def cop_trims(k: int) -> list[list[int]]:
     return [list(c) for c in itertools.combinations(range(k - 1, -1, -1), t)]
 
 
+@_points_once
 def cop(points: DataFrame, k: int, expect: float = 0.001, key="Species", pid="H3", lat="LAT", lon="LON",
         geomodel: str = "sphere", distribution: str = "gamma"):
     """Correlation outlier probability (D22, Kriegel et al. 2012).
@@ -705,8 +731,10 @@ def cop(points: DataFrame, k: int, expect: float = 0.001, key="Species", pid="H3
     across = F.col("_ny") - F.col("_py")
     offset = F.struct("rank", (F.col("_nx") - F.col("_px")).alias("x"),
                       (across - F.lit(360.0) * F.floor((across + 180.0) / 360.0)).alias("y"))
-    hood = (nb.join(other, [key, "nid"]).join(own, [key, pid]).groupBy(key, pid)
+    hood = (keyed_join(keyed_join(nb, other, [key, "nid"]), own, [key, pid]).groupBy(key, pid)
               .agg(F.sort_array(F.collect_list(offset)).alias("_hood")))
+    # few bytes but long work a row: an explicit count keeps them from being merged into few tasks
+    hood = spread(cut_lineage(hood), key, pid)
 
     # moments of the subset of least determinant, around the point
     terms = lambda v: [v["x"], v["y"], v["x"] * v["x"], v["x"] * v["y"], v["y"] * v["y"]]
@@ -756,9 +784,9 @@ def cop(points: DataFrame, k: int, expect: float = 0.001, key="Species", pid="H3
         logs = F.aggregate(f"d{n}", F.lit(0.0), lambda s, v: s + F.log(v))
         axes = (axes.withColumn(f"m{n}", total / F.nullif(F.size(f"d{n}"), F.lit(0)))
                     .withColumn(f"s{n}", F.log(f"m{n}") - logs / F.nullif(F.size(f"d{n}"), F.lit(0))))
-        spread = F.col(f"s{n}")
-        shape = (3.0 - spread + F.sqrt(F.pow(spread - 3.0, 2) + 24.0 * spread)) / (12.0 * spread)
-        fits = (F.size(f"d{n}") >= 2) & (spread >= _COP_SPREAD) if distribution == "gamma" else F.lit(False)
+        excess = F.col(f"s{n}")
+        shape = (3.0 - excess + F.sqrt(F.pow(excess - 3.0, 2) + 24.0 * excess)) / (12.0 * excess)
+        fits = (F.size(f"d{n}") >= 2) & (excess >= _COP_SPREAD) if distribution == "gamma" else F.lit(False)
         axes = axes.withColumn(f"k{n}", F.when(fits, shape))
         # plain columns for the tails, whose steps use them many times
         tails.append(F.when(F.col(f"k{n}").isNull(), chi_square_tail(1 + both, F.col(f"x{n}")))
@@ -770,16 +798,17 @@ def cop(points: DataFrame, k: int, expect: float = 0.001, key="Species", pid="H3
 
 
 def _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel="sphere"):
-    """Neighbour rows with |attr(p) - attr(o)| over N_k(p) (ties included)."""
+    """Neighbour rows with |attr(p) - attr(o)| over N_k(p) (ties included), cut: they are read several times."""
     nb = _knn_rows(points, k, key, pid, lat, lon, geomodel)
     na = points.select(F.col(key).alias(key), F.col(pid).alias("nid"),
                        F.col(attr).cast("double").alias("_na"))
     own = points.select(F.col(key).alias(key), F.col(pid).alias(pid),
                         F.col(attr).cast("double").alias("_a"))
-    return (nb.join(na, [key, "nid"]).join(own, [key, pid])
-              .withColumn("_ad", F.abs(F.col("_a") - F.col("_na"))))
+    return cut_lineage(keyed_join(keyed_join(nb, na, [key, "nid"]), own, [key, pid])
+                       .select(key, pid, "nid", F.abs(F.col("_a") - F.col("_na")).alias("_ad")))
 
 
+@_points_once
 def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """Spatial outlier factor (D24): LOF with spatial kNN neighbourhoods and
@@ -795,6 +824,7 @@ def sof(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT"
     return _attach(points, sc, key, pid)
 
 
+@_points_once
 def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT", lon="LON",
     geomodel: str = "sphere"):
     """Spatial local outlier measure (D24, Chawla & Sun 2006).
@@ -806,13 +836,13 @@ def slom(points: DataFrame, k: int, attr: str, key="Species", pid="H3", lat="LAT
     * beta / (1 + avg).
     """
     d = _attr_diffs(points, k, attr, key, pid, lat, lon, geomodel)
-    dt = (d.groupBy(key, pid)
+    dt = cut_lineage(d.groupBy(key, pid)
            .agg(F.when(F.count(F.lit(1)) > 1,
                        (F.sum("_ad") - F.max("_ad")) / (F.count(F.lit(1)) - F.lit(1)))
                  .otherwise(F.max("_ad")).alias("_dt")))
-    members = (d.select(key, pid, "nid").unionByName(
-                  dt.select(key, pid, F.col(pid).alias("nid")))
-                .join(dt.select(key, F.col(pid).alias("nid"), F.col("_dt").alias("_ndt")), [key, "nid"]))
+    members = cut_lineage(keyed_join(
+        d.select(key, pid, "nid").unionByName(dt.select(key, pid, F.col(pid).alias("nid"))),
+        dt.select(key, F.col(pid).alias("nid"), F.col("_dt").alias("_ndt")), [key, "nid"]))
     avg = members.groupBy(key, pid).agg(F.avg("_ndt").alias("_avg"), F.count(F.lit(1)).alias("_n"))
     # Members equal to the mean count as neither above nor below it; the
     # tolerance absorbs summation-order rounding of the mean.
