@@ -39,9 +39,13 @@ def valid_coordinates(lat="decimallatitude", lon="decimallongitude") -> Column:
 
     Filter with this *before* computing cells: a filter on the derived cell
     would be pushed below the projection by inlining the whole cell
-    expression, while this one reaches the Parquet scan as ``IsNotNull``.
+    expression.  Each coordinate stands here once (NaN is the greatest double,
+    and ``coalesce`` keeps Spark from adding ``IsNotNull``): where it is itself
+    an expression, each further copy is inlined in the generated loop, which
+    the JVM leaves uncompiled above 8,000 bytes.
     """
-    return _valid(_c(lat), _c(lon))
+    valid = [F.coalesce(_c(x).cast("double") < F.lit(float("nan")), F.lit(False)) for x in (lat, lon)]
+    return valid[0] & valid[1]
 
 
 @dataclass(frozen=True)
