@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.llm.workers import prepare
+from occuflow.llm.workers import lean_heap, prepare
 from occuflow.session import cut_lineage, stage_scope
 
 U64 = np.uint64
@@ -105,6 +105,7 @@ def _picks(own, val, size, salt: int, rate: float) -> np.ndarray:
 def _paths(runs: int, branch: float, kids: int, depth: int, n: int):
     """Rows (path, cls, size, sketch, kids): one per picked shingle of each class, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         seen: set[int] = set()
         for _, data, offsets in ta.text_slices(batches, "__text"):
             n_texts = len(offsets) - 1
@@ -238,6 +239,7 @@ def _search(level: int, depth: int, small: int):
     After ``depth`` a large bucket is dealt as pairs of blocks, whose pairs are all searched at the level after.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         for table in _groups(batches, ["path"]):
             path, cls = table.column("path").to_numpy(), table.column("cls").to_numpy()
             size = table.column("size").to_numpy().astype(np.int64)
@@ -339,6 +341,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per class and block pair: linked documents and the root of its links."""
+    lean_heap()
     keys = ["cluster", "bi", "bj"]
     for table in _groups(batches, keys):
         bound = _bounds(table, keys)
@@ -385,6 +388,7 @@ def classify(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     schema = docs.select("*", F.lit(0).cast("long").alias("__cls"), F.lit(0).cast("int").alias("__size")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         for rows, data, offsets in ta.text_slices(batches, "text"):
             own, val = shingle_sets(data, offsets, n)
             cls, size = class_ids(own, val, len(offsets) - 1)
@@ -435,6 +439,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, recall: float = RECALL, br
         "cluster", "blocks", "want", "mult", "text")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         for part, data, offsets in ta.text_slices(batches, "text"):
             own, val = shingle_sets(data, offsets, n)
             cls, size = class_ids(own, val, len(offsets) - 1)

@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from occuflow.llm.secret_scan import load_encoder
-from occuflow.llm.workers import prepare
+from occuflow.llm.workers import lean_heap, prepare
 from occuflow.session import cut_lineage
 
 WINDOW, END_ID = 2048, 1
@@ -94,6 +94,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, do
     schema = source.select(F.col(f"`{doc_id}`"), *[F.lit(0).cast("long").alias(c) for c in names[1:]]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -240,6 +241,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, doc_id: st
                            F.lit(0).cast("long").alias("offset")).schema
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         t = table.value
         for batch in batches:
             if not batch.num_rows:

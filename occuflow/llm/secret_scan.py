@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occuflow.llm.workers import prepare
+from occuflow.llm.workers import lean_heap, prepare
 
 
 KINDS = ["assign", "access", "hex", "token"]
@@ -165,6 +165,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", vocabulary: str = "byte_bp
         ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("method", pa.bool_())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         encoder = load_encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

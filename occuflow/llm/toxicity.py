@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occuflow.llm import textarrays as ta
-from occuflow.llm.workers import prepare
+from occuflow.llm.workers import lean_heap, prepare
 from occuflow.session import cut_lineage, stage_scope
 
 MAX_ROWS, MAX_FEATURES = 20_000, 2048
@@ -179,6 +179,7 @@ def _fit(docs: DataFrame, labels: DataFrame, max_rows: int, max_features: int) -
         return nothing if not n_toxic else SeverityModel(np.empty(0, np.uint64), np.empty(0), np.array([-60.0, 60.0]))
 
     def count_words(batches):
+        lean_heap()
         for rows, data, offsets in ta.text_slices(batches, "text"):
             owner, hashes, _ = text_features(data, offsets)
             toxic = rows.column(rows.schema.get_field_index("grade")).to_numpy() > 0
@@ -215,6 +216,7 @@ def _fit(docs: DataFrame, labels: DataFrame, max_rows: int, max_features: int) -
     model = SeverityModel(word, np.zeros(len(word)), np.zeros(1), markers)
 
     def vocabulary_hits(batches):
+        lean_heap()
         for rows, data, offsets in ta.text_slices(batches, "text"):
             row, hit, value = model.hits(data, offsets)
             ends = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
@@ -253,6 +255,7 @@ def score_severity(docs: DataFrame, model: SeverityModel, threshold: float = 0.5
                            F.lit(0.0).alias("p_toxic"), F.lit(False).alias("toxic")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_heap()
         for rows, data, offsets in ta.text_slices(batches, "__text"):
             p = model.exceed(data, offsets)
             yield pa.RecordBatch.from_arrays(
