@@ -11,11 +11,16 @@ one cube are within ``eps``:
   none is noise, and no pair is formed for them;
 * points of sparse cubes meet in tiles of ``TILE`` cubes a side: a point is
   sent to the tiles that its search radius touches (three on average, at most
-  eight), not to each of the 125 cubes that can hold neighbours.  A sparse cube
-  has fewer than ``minpts`` points and a tile a fixed number of cubes, so the
-  pairs per point are bounded by ``minpts`` whatever the data volume;
-* sparse points count dense neighbours by the cube pyramid, and only the cubes
-  of either kind that lie near the other take part.
+  eight), not to each of the 125 cubes that can hold neighbours; groups of few
+  such points meet as a whole.  A sparse cube has fewer than ``minpts`` points
+  and a tile a fixed number of cubes, so the pairs per point are bounded by
+  ``minpts`` whatever the data volume;
+* sparse points count the parts of dense cubes that lie wholly within ``eps``;
+  one that has ``minpts`` by them is core.  The cube pyramid counts for the
+  others, over the points of the parts that they touch.
+
+Points of dense cubes are written once and, if the dense cubes are few enough to
+be broadcast, never shuffled by cube or id.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 
 from occuflow.functions.geo import SPHEROID_BAND, chord_for_arc, cube_key, ecef, within_eps
 from occuflow.operators import knn
-from occuflow.session import broadcast_if_small, cut_lineage, keyed_join, ship_package, spread
+from occuflow.session import broadcast_if_small, cut_lineage, keyed_join, ship_package, spread, stage_scope
 
 # Edge cubes of at most this many points are tested point by point.
 EDGE_POINTS = 8
@@ -36,6 +41,10 @@ EDGE_POINTS = 8
 EDGE_PAIRS = 200_000
 # Cubes along the edge of a tile: sparse points are joined by tile.
 TILE = 8
+# Sparse points of a group that meet without tiles.
+GROUP_POINTS = 256
+# Parts along the edge of a dense cube that are counted as a whole.
+PARTS = 4
 
 
 def _check(eps_m, minpts):
@@ -94,15 +103,25 @@ def _geometry(eps_m: float, geomodel: str):
     return side, reach, search
 
 
+def _cubed(points: DataFrame, side: float, lat: str, lon: str, outlive: bool = False) -> DataFrame:
+    """The points with their cube, written once: the plans below read them several times."""
+    return cut_lineage(points.withColumns({f"_c{v}": cube_key(c, side) for v, c in zip("xyz", ecef(lat, lon))}), outlive)
+
+
+def _named(cubed: DataFrame, key: str, pid: str, lat: str, lon: str, weight: str | None) -> DataFrame:
+    """Written points with ``_k, _id, _lat, _lon, _w`` and their Earth-centred coordinates, which are not written."""
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    return _located(cubed.withColumns({"_k": F.col(key), "_id": F.col(pid), "_lat": F.col(lat), "_lon": F.col(lon), "_w": w}))
+
+
 def _cubed_points(points: DataFrame, side: float, key: str, pid: str, lat: str, lon: str,
                   weight: str | None) -> DataFrame:
-    # The points are read several times by the plans below; materialise them
-    # once so a lost executor re-reads the checkpoint, not the whole lineage.
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    return cut_lineage(with_cubes(points.withColumn("_k", F.col(key)).withColumn("_id", F.col(pid))
-                                        .withColumn("_lat", F.col(lat)).withColumn("_lon", F.col(lon))
-                                        .withColumn("_w", w),
-                                  side, "_lat", "_lon"))
+    return _named(_cubed(points, side, lat, lon), key, pid, lat, lon, weight)
+
+
+def _located(points: DataFrame) -> DataFrame:
+    """The points with their Earth-centred coordinates."""
+    return points.withColumns(dict(zip(("_x", "_y", "_z"), ecef("_lat", "_lon"))))
 
 
 def _partners(probe: DataFrame, target: DataFrame, tag: str, eps_m: float, geomodel: str,
@@ -139,38 +158,96 @@ _TILES = ("_tx", "_ty", "_tz")
 
 
 def _sparse_pairs(sparse: DataFrame, side: float, search: float, eps_m: float, geomodel: str) -> DataFrame:
-    """(_k, _id, _sid, _sw): the sparse points within eps of each sparse point, itself included."""
+    """(_k, _id, _w, _sid, _sw): the sparse points within eps of each sparse point, itself included.
+
+    The points of a group of at most ``GROUP_POINTS`` meet as one; those of
+    larger groups by tile.  Only coordinates are shuffled.
+    """
     def tile(metres) -> F.Column:
         return F.floor(metres / F.lit(side * TILE)).cast("long")
 
     wide = F.lit(search + knn.SLACK_M)
-    cubes = [f"_c{v}" for v in "xyz"]
-    probe = _tiles(sparse.select("_k", "_id", "_lat", "_lon", "_x", "_y", "_z"),
-                   lambda v: tile(F.col(f"_{v}") - wide), lambda v: tile(F.col(f"_{v}") + wide))
-    target = sparse.select(F.col("_k"), F.col("_id").alias("_sid"), F.col("_w").alias("_sw"), F.col("_lat").alias("_tlat"),
-                           F.col("_lon").alias("_tlon"), *[F.col(f"_{v}").alias(f"_s{v}") for v in "xyz"],
-                           *[_tile_of(F.col(c)).alias(t) for c, t in zip(cubes, _TILES)])
-    close = reduce(lambda a, b: a & b, [F.abs(F.col(f"_{v}") - F.col(f"_s{v}")) <= wide for v in "xyz"])
-    return (spread(probe.drop(*cubes), "_k", *_TILES).join(spread(target, "_k", *_TILES), ["_k", *_TILES])
-            .where(close & within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
-            .select("_k", "_id", "_sid", "_sw"))
-
-
-def _near_each_other(sparse: DataFrame, dense: DataFrame, reach: int) -> tuple[DataFrame, DataFrame]:
-    """The points of sparse cubes near a dense one, and of dense cubes near a sparse one."""
+    rows = sparse.select("_k", "_id", "_w", "_lat", "_lon")
+    large = broadcast_if_small(rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > GROUP_POINTS).select("_k"))
+
+    def met(probe: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+        a = _located(spread(probe, *keys))
+        b = _located(spread(target, *keys)).select(
+            *keys, F.col("_id").alias("_sid"), F.col("_w").alias("_sw"), F.col("_lat").alias("_tlat"), F.col("_lon").alias("_tlon"),
+            *[F.col(f"_{v}").alias(f"_s{v}") for v in "xyz"])
+        close = reduce(lambda c, d: c & d, [F.abs(F.col(f"_{v}") - F.col(f"_s{v}")) <= wide for v in "xyz"])
+        return (a.join(b.hint("merge"), keys).where(close & within_eps("_lat", "_lon", "_tlat", "_tlon", eps_m, geomodel))
+                 .select("_k", "_id", "_w", "_sid", "_sw"))
+
+    few = rows.join(large, "_k", "left_anti")
+    many = _located(rows.join(large, "_k", "left_semi"))
+    probe = _tiles(many, lambda v: tile(F.col(f"_{v}") - wide), lambda v: tile(F.col(f"_{v}") + wide)).drop("_x", "_y", "_z")
+    target = many.select(*rows.columns, *[_tile_of(cube_key(F.col(f"_{v}"), side)).alias(t) for v, t in zip("xyz", _TILES)])
+    return met(few, few, ["_k"]).unionByName(met(probe, target, ["_k", *_TILES]))
+
+
+def _near_each_other(sparse: DataFrame, dense: DataFrame, reach: int) -> DataFrame:
+    """Pairs of a sparse point's cube and a dense cube (``_dcx, _dcy, _dcz``) in reach of it."""
     cubes = [f"_c{v}" for v in "xyz"]
     has_dense = broadcast_if_small(dense.select("_k").distinct())
-    sparse = sparse.join(has_dense, "_k", "left_semi")
-    probe = _tiles(sparse.select("_k", *cubes).distinct(), lambda v: _tile_of(F.col(f"_c{v}") - reach),
-                   lambda v: _tile_of(F.col(f"_c{v}") + reach))
-    target = dense.select("_k", *cubes).distinct().select(
-        "_k", *[F.col(c).alias(f"_d{c}") for c in cubes], *[_tile_of(F.col(c)).alias(t) for c, t in zip(cubes, _TILES)])
-    close = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"_d{c}")) <= reach for c in cubes])
-    pairs = cut_lineage(probe.join(target, ["_k", *_TILES]).where(close)
-                        .select("_k", *cubes, *[f"_d{c}" for c in cubes]))
-    by = ["_k", *cubes]
-    return (sparse.join(pairs.select(*by).distinct(), by, "left_semi"),
-            dense.join(pairs.select("_k", *[F.col(f"_d{c}").alias(c) for c in cubes]).distinct(), by, "left_semi"))
+    probe = _tiles(sparse.join(has_dense, "_k", "left_semi").select("_k", *cubes).distinct(),
+                   lambda v: _tile_of(F.col(f"_c{v}") - reach), lambda v: _tile_of(F.col(f"_c{v}") + reach))
+    target = dense.select("_k", *[F.col(c).alias(f"_d{c[1:]}") for c in cubes],
+                          *[_tile_of(F.col(c)).alias(t) for c, t in zip(cubes, _TILES)])
+    close = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"_d{c[1:]}")) <= reach for c in cubes])
+    return cut_lineage(probe.join(target, ["_k", *_TILES]).where(close).select("_k", *cubes, *[f"_d{c[1:]}" for c in cubes]))
+
+
+def _beside_dense(sparse: DataFrame, dense: DataFrame, dense_cubes: DataFrame, side: float, reach: int, eps_m: float,
+                  minpts: int, geomodel: str) -> DataFrame:
+    """(_k, _id, _w, _nd): how many (summed ``_w``) points of dense cubes lie within eps of sparse points that have any.
+
+    Dense cubes beside a sparse point are cut into ``PARTS`` parts along an
+    edge.  A part wholly within eps counts as a whole; a point with ``minpts``
+    in such parts is core and counted no further.  Points that need it are
+    counted exactly, in the parts that they touch only.
+    """
+    inner, outer = _chords(eps_m, geomodel)
+    mine, theirs = [f"_c{v}" for v in "xyz"], [f"_dc{v}" for v in "xyz"]
+    parts = [f"_p{v}" for v in "xyz"]
+    pairs = _near_each_other(sparse, dense_cubes, reach)
+    there = broadcast_if_small(pairs.select("_k", *[F.col(t).alias(c) for c, t in zip(mine, theirs)]).distinct())
+    beside = dense.join(there, ["_k", *mine], "left_semi").select(
+        "_k", "_id", "_w", "_lat", "_lon", "_x", "_y", "_z", *[F.col(c).alias(t) for c, t in zip(mine, theirs)],
+        *[cube_key(F.col(f"_{v}"), side / PARTS).alias(p) for v, p in zip("xyz", parts)])
+    boxes = cut_lineage(beside.groupBy("_k", *theirs, *parts).agg(
+        F.sum("_w").alias("_n"), *[f(a).alias(f"{a}{i}") for a in ("_x", "_y", "_z") for i, f in ((0, F.min), (1, F.max))]))
+    gap = F.lit(0.0)
+    for v in "xyz":
+        low = F.col(f"_dc{v}") * F.lit(side)
+        gap = gap + F.pow(F.greatest(low - F.col(f"_{v}"), F.col(f"_{v}") - (low + F.lit(side)), F.lit(0.0)), 2)
+
+    def touched(points: DataFrame) -> DataFrame:
+        """The points (with their cube) once per part that their radius touches."""
+        near = (_located(points.join(pairs, ["_k", *mine])).where(gap <= F.lit((outer + knn.SLACK_M) ** 2))
+                .select("_k", "_id", "_w", "_lat", "_lon", *theirs))
+        rows = _located(spread(near, "_k", *theirs)).join(spread(boxes, "_k", *theirs).hint("merge"), ["_k", *theirs])
+        return rows.where(knn.box_distance(False) <= outer)
+
+    probe = sparse.select("_k", "_id", "_w", "_lat", "_lon", *mine)
+    whole = knn.box_distance(True) <= inner
+    found = cut_lineage(touched(probe).groupBy("_k", "_id", "_w").agg(
+        F.sum(F.when(whole, F.col("_n")).otherwise(0)).alias("_nd"), F.min(whole).alias("_settled")))
+    open_ = ~F.col("_settled") & (F.col("_nd") < minpts)
+    counted = found.where(~open_).select("_k", "_id", "_w", "_nd")
+    rest = cut_lineage(probe.join(found.where(open_).select("_k", "_id"), ["_k", "_id"], "left_semi"))
+    if rest.isEmpty():
+        return counted
+    cells = broadcast_if_small(touched(rest).select("_k", *theirs, *parts).distinct())
+    exact = count_within(_located(rest), beside.join(cells, ["_k", *theirs, *parts], "left_semi"), eps_m, geomodel)
+    return counted.unionByName(rest.select("_k", "_id", "_w").join(exact.withColumnRenamed("_nw", "_nd"), ["_k", "_id"]))
+
+
+def _chords(eps_m: float, geomodel: str) -> tuple[float, float]:
+    """Chords within which two points surely, and beyond which they never, lie within ``eps``."""
+    band = SPHEROID_BAND if geomodel == "wgs84" else 0.0
+    return (chord_for_arc(eps_m * (1 - band)) * (1 - 1e-9) - knn.SLACK_M,
+            chord_for_arc(eps_m * (1 + band)) * (1 + 1e-9) + knn.SLACK_M)
 
 
 def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: str) -> DataFrame:
@@ -182,9 +259,7 @@ def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: st
     ``EDGE_POINTS`` or less) are tested one by one.  The work follows the edge
     of the neighbourhood, not its content.  Points without any are left out.
     """
-    band = SPHEROID_BAND if geomodel == "wgs84" else 0.0
-    inner = chord_for_arc(eps_m * (1 - band)) * (1 - 1e-9) - knn.SLACK_M
-    outer = chord_for_arc(eps_m * (1 + band)) * (1 + 1e-9) + knn.SLACK_M
+    inner, outer = _chords(eps_m, geomodel)
     if geomodel == "wgs84":
         ship_package(probe.sparkSession)
     level = max(0, min(int(math.log(knn.top_side() / outer, 2 ** knn.STEP)), knn.LEVELS - 1))
@@ -217,31 +292,35 @@ def count_within(probe: DataFrame, target: DataFrame, eps_m: float, geomodel: st
             .groupBy("_k", "_id").agg(F.sum("_n").alias("_nw")))
 
 
-def _core_state(pts: DataFrame, side: float, reach: int, search: float, eps_m: float,
-                minpts: int, geomodel: str):
-    """Per point: cube weight, core flag; plus sparse-sparse neighbour pairs.
+def _core_state(cubed: DataFrame, names, side: float, reach: int, search: float, eps_m: float,
+                minpts: int, geomodel: str, outlive: bool = False):
+    """(dense cubes, points in them, points of sparse cubes, pairs of these, (_k, _id, _nd, _core) of those that have neighbours).
 
     Dense cubes (total weight >= minpts) are all core with no pair formed;
-    sparse points count their neighbours' weights through the cube join.
+    sparse points count their neighbours' weights: other sparse points through
+    the tile join, points of dense cubes as far as ``minpts``.
     """
-    cubed = pts.select("_k", "_id", "_w", "_lat", "_lon", "_x", "_y", "_z", "_cx", "_cy", "_cz")
-    cube_n = cubed.groupBy("_k", "_cx", "_cy", "_cz").agg(F.sum("_w").alias("_cn"))
-    flagged = cut_lineage(cubed.join(cube_n, ["_k", "_cx", "_cy", "_cz"]))
-    dense = flagged.where(F.col("_cn") >= minpts)
-    sparse = flagged.where(F.col("_cn") < minpts)
-    # dense cubes are counted whole: no pair is formed with their inner points
-    n_dense = count_within(*_near_each_other(sparse, dense, reach), eps_m, geomodel).withColumnRenamed("_nw", "_nd")
-    # read for the counts and again for the rescued points
-    ss = cut_lineage(_sparse_pairs(sparse, side, search, eps_m, geomodel))
-    n_sparse = ss.groupBy("_k", "_id").agg(F.sum("_sw").alias("_ns"))
-    sp_state = (sparse.select("_k", "_id")
-                      .join(n_sparse, ["_k", "_id"], "left")
-                      .join(n_dense, ["_k", "_id"], "left")
-                      .select("_k", "_id",
-                              F.coalesce("_nd", F.lit(0)).alias("_nd"),
-                              ((F.coalesce("_ns", F.lit(0)) + F.coalesce("_nd", F.lit(0)))
-                               >= minpts).alias("_core")))
-    return flagged, dense, sparse, ss, sp_state
+    pts = names(cubed).where(_known())
+    cubes = broadcast_if_small(pts.groupBy(*_CUBE).agg(F.sum("_w").alias("_cn")).where(F.col("_cn") >= minpts).select(*_CUBE),
+                               outlive=outlive)
+    dense = pts.join(cubes, _CUBE, "left_semi")
+    sparse = names(cut_lineage(pts.join(cubes, _CUBE, "left_anti").select(*cubed.columns), outlive))
+    # read for the counts and again for the rescued points; a point without neighbours is in no pair
+    ss = cut_lineage(_sparse_pairs(sparse, side, search, eps_m, geomodel).where(F.col("_id") != F.col("_sid")))
+    nd = _beside_dense(sparse, dense, cubes, side, reach, eps_m, minpts, geomodel)
+    state = (ss.select("_k", "_id", "_w", F.col("_sw").alias("_n"), F.lit(0).cast("long").alias("_nd"))
+               .unionByName(nd.select("_k", "_id", "_w", F.col("_nd").alias("_n"), "_nd"))
+               .groupBy("_k", "_id").agg(F.max("_w").alias("_w"), F.sum("_n").alias("_n"), F.sum("_nd").alias("_nd")))
+    return cubes, dense, sparse, ss, cut_lineage(state.select(
+        "_k", "_id", "_nd", (F.col("_w") + F.col("_n") >= minpts).alias("_core")))
+
+
+_CUBE = ["_k", "_cx", "_cy", "_cz"]
+
+
+def _known() -> F.Column:
+    """Points with a group, an id and a place; others take no part."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*_CUBE, "_id")])
 
 
 def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
@@ -257,17 +336,23 @@ def dbscan_noise(points: DataFrame, eps_m: float = 1_000_000.0, minpts: int = 3,
     """
     _check(eps_m, minpts)
     side, reach, search = _geometry(eps_m, geomodel)
-    pts = _cubed_points(points, side, key, pid, lat, lon, weight)
-    flagged, dense, sparse, ss, sp_state = _core_state(pts, side, reach, search, eps_m,
-                                                       minpts, geomodel)
-    core_ids = sp_state.where("_core").select("_k", F.col("_id").alias("_sid"))
-    rescued = ss.join(core_ids, ["_k", "_sid"], "left_semi").select("_k", "_id").distinct()
-    noise = (sp_state.where(~F.col("_core") & (F.col("_nd") == 0))
-                     .join(rescued, ["_k", "_id"], "left_anti")
-                     .withColumn("_noise", F.lit(1.0)))
-    out = pts.join(noise, ["_k", "_id"], "left")
-    return (out.withColumn("OutlierScore", F.coalesce("_noise", F.lit(0.0)))
-               .select(*points.columns, "OutlierScore"))
+
+    def names(df: DataFrame) -> DataFrame:
+        # joins by number, not by name
+        return _named(df, key, "_number", lat, lon, weight)
+
+    with stage_scope(points.sparkSession):
+        number = F.when(F.col(pid).isNotNull(), F.monotonically_increasing_id())
+        cubed = _cubed(points.withColumn("_number", number), side, lat, lon, outlive=True)
+        cubes, _, sparse, ss, state = _core_state(cubed, names, side, reach, search, eps_m, minpts, geomodel, outlive=True)
+        beside_core = ss.join(state.where("_core").select("_k", F.col("_id").alias("_sid")), ["_k", "_sid"], "left_semi")
+        safe = cut_lineage(state.where("_core OR _nd > 0").select("_id").unionByName(beside_core.select("_id")).distinct()
+                           .withColumn("_safe", F.lit(0.0)), outlive=True)
+    # only points of sparse cubes can be noise; the others are not shuffled
+    pts, zero = names(cubed), F.lit(0.0).alias("OutlierScore")
+    scored = sparse.join(safe, "_id", "left").select(*points.columns, F.coalesce("_safe", F.lit(1.0)).alias("OutlierScore"))
+    return (scored.unionByName(pts.where(_known()).join(cubes, _CUBE, "left_semi").select(*points.columns, zero))
+                  .unionByName(pts.where(~_known()).select(*points.columns, zero)))
 
 
 def neighbour_counts(points: DataFrame, eps_m: float, key: str = "Species", pid: str = "H3",
@@ -352,13 +437,14 @@ def dbscan_labels(points: DataFrame, eps_m: float, minpts: int, key: str = "Spec
     """
     _check(eps_m, minpts)
     side, reach, search = _geometry(eps_m, geomodel)
-    pts = _cubed_points(points, side, key, pid, lat, lon, weight)
-    flagged, dense, sparse, ss, sp_state = _core_state(pts, side, reach, search, eps_m,
-                                                       minpts, geomodel)
+    cubed = _cubed(points, side, lat, lon)
+    names = lambda df: _named(df, key, pid, lat, lon, weight)
+    pts = names(cubed)
+    _, dense, sparse, _, state = _core_state(cubed, names, side, reach, search, eps_m, minpts, geomodel)
+    held = ["_id", "_w", "_lat", "_lon", "_x", "_y", "_z", *_CUBE]
     core = cut_lineage(
-        flagged.join(sp_state.select("_k", "_id", "_core"), ["_k", "_id"], "left")
-               .withColumn("_core", F.coalesce("_core", F.col("_cn") >= minpts))
-               .where("_core").withColumn("_node", _cube_node()))
+        dense.select(*held).unionByName(sparse.join(state.where("_core").select("_k", "_id"), ["_k", "_id"], "left_semi").select(*held))
+             .withColumn("_node", _cube_node()))
     # Cube-graph edges.  The boxes of two cubes' core points decide most pairs:
     # wholly within eps is an edge, wholly outside none.  Only for the others,
     # and only where these edges leave two components, do the core points of
@@ -448,17 +534,16 @@ def remove_by_clustering(df: DataFrame, eps_km: float | None, min_samples: int,
     valid = F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
     pts = (df.where(valid).groupBy(grp.alias("_g"), F.col(lat_col).alias("_la"),
                                    F.col(lon_col).alias("_lo"))
-             .agg(F.count(F.lit(1)).alias("_w"))
-             .withColumn("_pid", F.concat_ws("|", F.col("_la").cast("string"),
-                                             F.col("_lo").cast("string"))))
-    spots = dict(key="_g", pid="_pid", lat="_la", lon="_lo", weight="_mult")
-    pts = pts.withColumnRenamed("_w", "_mult")
+             .agg(F.count(F.lit(1)).alias("_mult")))
+    spots = dict(key="_g", lat="_la", lon="_lo", weight="_mult")
     if method == "DBSCAN":
-        noise = dbscan_noise(pts, eps_km * 1000.0, min_samples, **spots).where(F.col("OutlierScore") == 1.0)
+        noise = dbscan_noise(pts, eps_km * 1000.0, min_samples, pid="_g", **spots).where(F.col("OutlierScore") == 1.0)
     else:
         from occuflow.operators import hierarchy
 
-        noise = hierarchy.hdbscan_labels(pts, min_samples, min_cluster_size, **spots).where("cluster = -1")
+        pid = F.concat_ws("|", F.col("_la").cast("string"), F.col("_lo").cast("string"))
+        noise = hierarchy.hdbscan_labels(pts.withColumn("_pid", pid), min_samples, min_cluster_size, pid="_pid",
+                                         **spots).where("cluster = -1")
     noise = noise.select("_g", "_la", "_lo")
     # the same rows on the left of both joins: they are shuffled once
     tagged = df.where(valid).withColumn("_g", grp)
