@@ -5,11 +5,11 @@ largest of their distance and their core distances (to the ``k``-th nearest
 record, the point itself and repeated coordinates counted).  Components of
 points within a falling distance form the hierarchy.
 
-1. *Core distances* come from the exact kNN join (J11); its pairs are also the
-   first known edges.
+1. *Core distances* come from the exact kNN join (J11) of ``NEAR`` neighbours or
+   more; its pairs are also the first known edges.
 2. *Spanning tree* by Borůvka rounds: every component takes its least outgoing
-   edge (a grouped minimum), chosen edges join components (connected components with
-   pointer jumping).  A known
+   edge (a grouped minimum), chosen edges join components (pointer jumping).  Of
+   the known edges between two components the least is kept.  A known
    edge is taken as it is if no point of the component could have a shorter
    unknown one; only the others search, by branch and bound over the cube
    pyramid.  Boxes of one component are dropped whole, and bounds are shared by
@@ -52,6 +52,8 @@ from occuflow.functions.geo import EARTH_RADIUS_M, SPHEROID_BAND, ecef
 from occuflow.operators import knn
 from occuflow.session import cut_lineage, keyed_join, ship_package, spread
 
+# Neighbours of a point at least that are known to the spanning tree from the start.
+NEAR = 8
 # Edges of a piece that one task walks through.
 PIECE_EDGES = 200_000
 # Cubes of at most this many points are searched point by point.
@@ -87,7 +89,7 @@ def core_distances(numbered: DataFrame, k: int, geomodel: str) -> tuple[DataFram
     ``_core`` (mm) is NULL in groups of fewer than ``k`` records; all points
     within ``_radius`` are among the known edges ``(_k, _a, _b, _w)``, ``_a < _b``.
     """
-    near = max(k - 1, 1)
+    near = max(k - 1, NEAR)
     sites = numbered.select("_k", "_n", "_w", "_lat", "_lon")
     pairs = cut_lineage(
         keyed_join(knn.knn_candidates(sites, near, "_k", "_n", "_lat", "_lon", geomodel),
@@ -178,9 +180,9 @@ class Meeting(Reachability):
         return self.step(mm / F.lit(1000.0), F.greatest("_core", other))
 
 
-def _pyramid(state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _pyramid(state: DataFrame, deepest: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(points per level, boxes, boxes by parent), each box with its components and core distances."""
-    lv = knn.cube_levels(state.select("_k", "_n", "_c", "_core", "_lat", "_lon", "_x", "_y", "_z"))
+    lv = knn.cube_levels(state.select("_k", "_n", "_c", "_core", "_lat", "_lon", "_x", "_y", "_z"), 0, deepest)
     boxes = cut_lineage(lv.groupBy(*knn.NODE).agg(
         F.count(F.lit(1)).alias("_m"), F.min("_c").alias("_c0"), F.max("_c").alias("_c1"),
         F.min("_core").alias("_low"), F.max("_core").alias("_high"),
@@ -192,18 +194,19 @@ def _pyramid(state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return lv, boxes, below
 
 
-def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFrame:
+def _search(need: DataFrame, state: DataFrame, measure: Reachability, deepest: int) -> DataFrame:
     """The least edge ``(_k, _c, _w, _a, _b, _o)`` to another component below the bound ``_best``.
 
     ``need``: points of ``state`` with their component's bound; every one of
-    them that could have a shorter edge looks for it.
+    them that could have a shorter edge looks for it.  ``deepest``: the first
+    level of small boxes only.
     """
-    lv, boxes, below = _pyramid(state)
+    lv, boxes, below = _pyramid(state, deepest)
     query = ["_k", "_n", "_c", "_core", "_lat", "_lon", "_x", "_y", "_z"]
     facts = ["_m", "_c0", "_c1", "_low", "_high", *knn.BOX]
     reach = F.least(measure.reach(), F.lit(knn.top_side()))
     level = F.least(F.greatest(F.floor(F.log(F.lit(knn.top_side()) / reach) / F.log(F.lit(2.0 ** knn.STEP))),
-                               F.lit(0)), F.lit(knn.LEVELS - 1)).cast("int")
+                               F.lit(0)), F.lit(deepest)).cast("int")
     frontier = keyed_join(knn.cubes_in_reach(need.withColumn("_lv", level), reach)
                           .select(*query, "_best", *knn.NODE[1:]), boxes, knn.NODE)
     found = []
@@ -215,7 +218,7 @@ def _search(need: DataFrame, state: DataFrame, measure: Reachability) -> DataFra
         bound = step.groupBy("_k", "_c").agg(F.min("_most").alias("_bound"))
         live = (keyed_join(step, bound, ["_k", "_c"]).withColumn("_best", F.least("_best", "_bound"))
                 .where(F.col("_least") < F.col("_best")))
-        small = (F.col("_m") <= LEAF_POINTS) | (F.col("_lv") == knn.LEVELS - 1)
+        small = (F.col("_m") <= LEAF_POINTS) | (F.col("_lv") == deepest)
         found.append(live.where(small).select(*query, "_best", *knn.NODE[1:]))
         split = live.where(~small)
         pairs = split.agg(F.sum("_m")).first()[0] or 0
@@ -245,12 +248,23 @@ def _least_edges(edges: DataFrame) -> DataFrame:
 def _joined_components(chosen: DataFrame) -> DataFrame:
     """(_k, _c, _root): the components that the chosen edges join.
 
-    Searches stop at the bound, so components may choose different ones of
-    several equally long edges and chase each other in a ring; the joins make no
-    use of the order of choice.
+    Every component has chosen one edge, so edges lead into a ring: mostly two
+    components that chose each other, but searches stop at the bound, so
+    several may chase each other along equally long edges.  Pointer jumping with
+    the least component on the way names each by the least one of its ring; it
+    ends when the names agree along all edges.
     """
-    label = components(chosen.select("_k", F.col("_c").alias("src"), F.col("_o").alias("dst")))
-    return label.select("_k", F.col("node").alias("_c"), F.col("label").alias("_root"))
+    path = chosen.select("_k", "_c", "_o", F.col("_o").alias("_to"), F.col("_c").alias("_low"))
+    while True:
+        path = cut_lineage(path)
+        there = path.select("_k", F.col("_c").alias("_to"), F.col("_to").alias("_next"), F.col("_low").alias("_root"))
+        path = cut_lineage(keyed_join(path, there, ["_k", "_to"]).select(
+            "_k", "_c", "_o", F.col("_next").alias("_to"), F.least("_low", "_root").alias("_low"), "_root"))
+        names = path.select("_k", "_c", "_root")
+        if keyed_join(path.select("_k", "_o", F.col("_root").alias("_mine")), names.withColumnRenamed("_c", "_o"),
+                      ["_k", "_o"]).where("_mine <> _root").isEmpty():
+            return names
+        path = path.drop("_root")
 
 
 def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -> DataFrame:
@@ -263,17 +277,21 @@ def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -
     without a core distance take no part.
     """
     state = points.where("_core IS NOT NULL").withColumn("_c", F.col("_n")).drop("_w")
-    tree = None
+    known = known.where("_a <> _b").select("_k", *_EDGE, F.col("_a").alias("_ca"), F.col("_b").alias("_cb"))
+    tree, roots, deepest = None, None, None
     while True:
         state = cut_lineage(state)
+        if deepest is None:
+            deepest = knn.deepest_level(state, LEAF_POINTS)
         open_groups = state.groupBy("_k").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo < _hi").select("_k")
         state = state.join(open_groups, "_k", "left_semi")
-        ends = state.select("_k", "_n", "_c")
-        known = cut_lineage(
-            keyed_join(keyed_join(known.select("_k", *_EDGE),
-                                  ends.select("_k", F.col("_n").alias("_a"), F.col("_c").alias("_ca")), ["_k", "_a"]),
-                       ends.select("_k", F.col("_n").alias("_b"), F.col("_c").alias("_cb")), ["_k", "_b"])
-            .where("_ca <> _cb"))
+        if roots is not None:
+            # the least known edge between two components stands for all
+            at = lambda c, r: roots.select("_k", F.col("_c").alias(c), F.col("_root").alias(r))
+            known = cut_lineage(
+                keyed_join(keyed_join(known, at("_ca", "_ra"), ["_k", "_ca"]), at("_cb", "_rb"), ["_k", "_cb"])
+                .where("_ra <> _rb").groupBy("_k", F.least("_ra", "_rb").alias("_ca"), F.greatest("_ra", "_rb").alias("_cb"))
+                .agg(F.min(F.struct(*_EDGE)).alias("_e")).select("_k", *[F.col(f"_e.{c}").alias(c) for c in _EDGE], "_ca", "_cb"))
         both = known.select("_k", F.col("_ca").alias("_c"), *_EDGE, F.col("_cb").alias("_o")).unionByName(
             known.select("_k", F.col("_cb").alias("_c"), *_EDGE, F.col("_ca").alias("_o")))
         best = _least_edges(both)
@@ -282,14 +300,13 @@ def spanning_edges(points: DataFrame, known: DataFrame, measure: Reachability) -
                            .where(measure.unknown() < F.col("_best")))
         if not need.isEmpty():
             searched = need.select("_k").distinct()
-            more = _search(need, state.join(searched, "_k", "left_semi"), measure)
+            more = _search(need, state.join(searched, "_k", "left_semi"), measure, deepest)
             best = _least_edges(both.unionByName(more))
         best = cut_lineage(best)
         if best.isEmpty():
             break
         new = best.select("_k", *_EDGE).distinct()
         tree = new if tree is None else tree.unionByName(new)
-        known = known.select("_k", *_EDGE).unionByName(new).distinct()
         roots = _joined_components(best)
         settled = best.select("_k", "_c", F.col("_w").alias("_upto"))
         state = (keyed_join(state, keyed_join(settled, roots, ["_k", "_c"]), ["_k", "_c"])

@@ -81,14 +81,27 @@ def box_distance(far: bool) -> F.Column:
     return F.sqrt(total)
 
 
-def cube_levels(pts: DataFrame, first: int = 0) -> DataFrame:
-    """The points (with _x, _y, _z) once per pyramid level from ``first`` on, with their cube."""
-    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(first), F.lit(LEVELS - 1))))
+def cube_levels(pts: DataFrame, first: int = 0, last: int = LEVELS - 1) -> DataFrame:
+    """The points (with _x, _y, _z) once per pyramid level from ``first`` to ``last``, with their cube."""
+    lv = pts.withColumn("_lv", F.explode(F.sequence(F.lit(first), F.lit(last))))
     for c, a in zip(_CUBE, _AXES):
         lv = lv.withColumn(c, F.floor(F.col(a) / _side(F.col("_lv"))).cast("long"))
     return lv
 
 
+def deepest_level(pts: DataFrame, most: int) -> int:
+    """The first level on which no cube holds more than ``most`` points of a group, or the last: none below it is needed."""
+    low, high = 0, LEVELS - 1
+    while low < high:
+        level = (low + high) // 2
+        cubes = [F.floor(F.col(a) / _side(F.lit(level))).alias(c) for c, a in zip(_CUBE, _AXES)]
+        if pts.groupBy("_k", *cubes).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > most).isEmpty():
+            high = level
+        else:
+            low = level + 1
+    return low
+
+
 def cube_boxes(lv: DataFrame, weight: str | None = None) -> DataFrame:
     """Count (or weight sum) and tight box of every cube that holds points (cut)."""
     return cut_lineage(lv.groupBy(*NODE).agg(
@@ -136,7 +149,7 @@ def knn_candidates(points: DataFrame, k: int, key: str = "Species", pid: str = "
     pts = cut_lineage(points.select(F.col(key).alias("_k"), F.col(pid).alias("_id"),
                                     F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
                             .withColumn("_x", x).withColumn("_y", y).withColumn("_z", z))
-    lv = cube_levels(pts)
+    lv = cube_levels(pts, 0, deepest_level(pts, k))
     boxes = cube_boxes(lv)
 
     # 2. the finest own cube of k + 1 points and the bound it gives.

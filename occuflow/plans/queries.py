@@ -1033,8 +1033,9 @@ QUERIES["hdbscan_clusters"] = (
 
 def _removed_by_hdbscan(spark, d):
     """Cells as records, HDBSCAN noise per species removed (D3)."""
-    kept, gone = density.remove_by_clustering(_cells(_fx(spark, d)).select("Species", "H3", "LAT", "LON"), None, HIERARCHY_K,
-                                              "HDBSCAN", "LAT", "LON", "Species", HIERARCHY_MIN)
+    # written once: the removal reads its records four times
+    cells = cut_lineage(_cells(_fx(spark, d)).select("Species", "H3", "LAT", "LON"))
+    kept, gone = density.remove_by_clustering(cells, None, HIERARCHY_K, "HDBSCAN", "LAT", "LON", "Species", HIERARCHY_MIN)
     return (kept.select("Species", "H3", F.lit(0).alias("removed"))
             .unionByName(gone.select("Species", "H3", F.lit(1).alias("removed"))))
 
